@@ -8,8 +8,6 @@ batch product.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -21,7 +19,7 @@ NATIVE_TERMS = 64
 
 
 def literal(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    return F.lit([float(v) for v in values])
 
 
 def zeros(n: int) -> Column:
@@ -46,19 +44,15 @@ def dot_score(h_src: Column, h_dst: Column) -> Column:
     return dot(h_src, h_dst)
 
 
-def _sum(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
-
-
-def affine(inputs: list[tuple[Column, np.ndarray]], bias: np.ndarray, rectify: bool = False) -> Column:
-    """``sum(W_k x_k) + b`` for several (vector, matrix) pairs, optionally through a ReLU."""
+def affine(inputs: list[tuple[str, np.ndarray]], bias: np.ndarray, rectify: bool = False) -> Column:
+    """``sum(W_k x_k) + b`` for several (vector column, matrix) pairs, optionally through a ReLU."""
     if sum(w.size for _, w in inputs) <= NATIVE_TERMS:
         out = []
         for i, b in enumerate(bias):
-            terms = [F.lit(float(w[i, j])) * x[j] for x, w in inputs for j in range(w.shape[1])]
-            value = _sum([*terms, F.lit(float(b))])
-            out.append(F.greatest(value, F.lit(0.0)) if rectify else value)
-        return F.array(*out)
+            terms = [f"{float(w[i, j])!r}D * {x}[{j}]" for x, w in inputs for j in range(w.shape[1])]
+            value = " + ".join([*terms, f"{float(b)!r}D"])
+            out.append(f"greatest({value}, 0D)" if rectify else value)
+        return F.expr(f"array({', '.join(out)})")
 
     matrices = [np.ascontiguousarray(w.T) for _, w in inputs]
     offset = np.asarray(bias, dtype=float)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from supplyloom.functions.names import basename
 from supplyloom.operators.joins import lookup
-from supplyloom.storage import materialise
+from supplyloom.storage import materialise, rows_of
 
 
 def canonical_ids(relations: DataFrame) -> DataFrame:
@@ -31,6 +31,6 @@ def resolve_entities(relations: DataFrame, floor: int | None = None) -> DataFram
     for name, id_column, other in (("Purchaser", "src_id", "dst_id"), ("Seller", "dst_id", "src_id")):
         table = canonical.select(F.col("clean_name").alias(name), F.col("canonical_id").alias("__id"))
         salt = F.col("eid") if "eid" in relations.columns else F.col(other)
-        out = lookup(out.withColumn(name, basename(F.col(name))), table, name, 96, salt, "left", floor=floor)
+        out = lookup(out.withColumn(name, basename(F.col(name))), table, name, 96, salt, "left", floor=floor, rows=rows_of(canonical))
         out = out.withColumn(id_column, F.coalesce("__id", id_column)).drop("__id")
     return out.select(*relations.columns)

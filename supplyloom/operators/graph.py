@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from supplyloom.functions.draws import draw
 from supplyloom.operators.position import with_position
+from supplyloom.storage import rows_of, with_known_rows
 
 SPLITS = ("training", "validation", "testing")
 
@@ -105,12 +106,15 @@ def edge_split(
     return placed.withColumn("split", split).drop("__position", "__n")
 
 
-def shuffled_batches(edges: DataFrame, batch_size: int, seed: int = 0) -> DataFrame:
-    """Adds ``batch_id`` per split: seeded random order, last partial batch kept."""
+def shuffled_batches(edges: DataFrame, batch_size: int, seed: int = 0, by: list[str] = ("split",)) -> DataFrame:
+    """Adds ``batch_id`` per split: seeded random order, last partial batch kept.
+
+    With ``by=[]`` the edges are one split.
+    """
     keyed = edges.withColumn("__key", draw("batch", seed, F.col("eid")))
-    placed = with_position(keyed, [F.col("__key"), F.col("eid")], ["split"], name="__position")
+    placed = with_position(keyed, [F.col("__key"), F.col("eid")], by, name="__position")
     batch = F.floor(F.col("__position") / F.lit(batch_size)).cast("bigint")
-    return placed.withColumn("batch_id", batch).drop("__key", "__position")
+    return with_known_rows(placed.withColumn("batch_id", batch).drop("__key", "__position"), rows_of(placed))
 
 
 def first_batches(batched: DataFrame, max_steps: int) -> DataFrame:

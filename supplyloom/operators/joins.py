@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from supplyloom.storage import rows_of
+
 BROADCAST_BYTES = 64 << 20
 HOT_FLOOR = 1_000_000
 HOT_LIMIT = 512
@@ -33,9 +37,8 @@ def hot_keys(df: DataFrame, *keys: str, floor: int | None = None) -> dict[str, l
     return found
 
 
-def fits_broadcast(stored: DataFrame, row_bytes: int) -> bool:
-    """Size check of a written table; its row count comes from file footers."""
-    return stored.count() * row_bytes <= BROADCAST_BYTES
+def fits_broadcast(rows: int, row_bytes: int) -> bool:
+    return rows * row_bytes <= BROADCAST_BYTES
 
 
 def _salts(is_hot: Column, row: Column | None, spread: int) -> tuple[Column, Column]:
@@ -99,16 +102,19 @@ def lookup(
     row_bytes: int,
     salt_by: Column,
     how: str = "inner",
-    hot: list | None = None,
+    hot: list | Callable[[], list] | None = None,
     floor: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Brings the columns of ``table`` (a written table, one row per key) to ``big``.
 
-    Broadcast when the checked size allows it; otherwise a shuffle join whose
-    hot keys are salted. ``hot`` saves the pass that finds them.
+    Broadcast when the checked size (``rows``, or a count) allows it; otherwise a
+    shuffle join whose hot keys are salted. ``hot`` replaces the pass that finds them.
     """
-    if fits_broadcast(table, row_bytes):
+    if fits_broadcast(rows_of(table) if rows is None else rows, row_bytes):
         return big.join(F.broadcast(table), key, how)
     if hot is None:
         hot = hot_keys(big, key, floor=floor)[key]
+    elif callable(hot):
+        hot = hot()
     return salted_join(big, table, key, hot, salt_by, how)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from supplyloom.storage import materialise
+from supplyloom.storage import materialise, rows_of, with_known_rows
 
 _SLOT, _PART, _FIRST = "__slot", "__part", "__first"
 _PART_BITS = 33  # monotonically_increasing_id: partition above, row below
@@ -23,7 +23,8 @@ def _ranged(df: DataFrame, keys: list[Column], label: str) -> DataFrame:
     slots = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(
         _SLOT, F.monotonically_increasing_id()
     )
-    return materialise(slots, label).withColumn(_PART, F.shiftright(_SLOT, _PART_BITS))
+    table = materialise(slots, label)
+    return with_known_rows(table.withColumn(_PART, F.shiftright(_SLOT, _PART_BITS)), rows_of(table))
 
 
 def with_position(
@@ -65,7 +66,8 @@ def with_position(
         )
         joined = rows.withColumn(_PART, F.col(_PART).cast("bigint")).join(F.broadcast(offsets), _PART)
     extra = [F.col("__total").alias(total)] if total else []
-    return joined.select(*df.columns, (F.col(_SLOT) + F.col("__shift")).alias(name), *extra)
+    out = joined.select(*df.columns, (F.col(_SLOT) + F.col("__shift")).alias(name), *extra)
+    return with_known_rows(out, rows_of(rows))
 
 
 def running_totals(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplyloom.operators.joins import hot_keys, lookup, salted_many_join
-from supplyloom.storage import materialise
+from supplyloom.operators.joins import fits_broadcast, hot_keys, lookup, salted_many_join
+from supplyloom.storage import materialise, rows_of
 
 PROFILE = ("country", "region", "risk_premium", "risk_score")
 
@@ -23,14 +23,15 @@ def company_profiles(locations: DataFrame, country_risk: DataFrame, company_risk
 def enrich(relations: DataFrame, profiles: DataFrame, floor: int | None = None) -> DataFrame:
     """Adds the buyer's and the seller's profile to each relation."""
     profiles = materialise(profiles, "profiles")
-    hot = hot_keys(relations, "src_id", "dst_id", floor=floor)
+    rows = rows_of(profiles)
+    hot = {} if fits_broadcast(rows, 128) else hot_keys(relations, "src_id", "dst_id", floor=floor)
     out = relations
     for side, key, other in (("buyer", "src_id", "dst_id"), ("seller", "dst_id", "src_id")):
         table = profiles.select(
             F.col("company_id").alias(key), *[F.col(c).alias(f"{side}_{c}") for c in PROFILE]
         )
         salt = F.col("eid") if "eid" in relations.columns else F.col(other)
-        out = lookup(out, table, key, 128, salt, "left", hot[key])
+        out = lookup(out, table, key, 128, salt, "left", hot.get(key, []), rows=rows)
     return out
 
 
@@ -67,7 +68,7 @@ def supplier_tiers(edges: DataFrame, roots: DataFrame, depth: int = 3, floor: in
         )
         reached = reached.select("root", F.col("next").alias("at")).distinct()
         frontier = materialise(reached.join(seen, ["root", "at"], "left_anti"), "tier")
-        if frontier.isEmpty():
+        if not rows_of(frontier):
             break
         tiers.append(frontier.select("root", F.col("at").alias("company"), F.lit(tier).alias("tier")))
         seen = seen.union(frontier)

@@ -7,15 +7,16 @@ neighbours are salted, and the mean is a partial + final aggregate.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cache, cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplyloom.functions.vectors import affine, dot, literal
+from supplyloom.functions.vectors import affine, dot, literal, zeros
 from supplyloom.operators.joins import hot_keys, lookup
-from supplyloom.storage import materialise
+from supplyloom.storage import materialise, rows_of, stored
 
 
 @dataclass(frozen=True)
@@ -51,38 +52,44 @@ class MessageGraph:
     """Message edges with parallel ones folded, and the purchasers that are hot."""
 
     pairs: DataFrame  # nbr_id, node_id, multiplicity
-    hot: list = field(default_factory=list)
+    floor: int | None = None
 
     @classmethod
     def of(cls, neighbours: DataFrame, floor: int | None = None) -> "MessageGraph":
         """``neighbours`` has ``node_id`` and ``nbr_id``, in full or sampled."""
-        pairs = materialise(
-            neighbours.groupBy("nbr_id", "node_id").agg(F.count(F.lit(1)).alias("multiplicity")), "pairs"
-        )
-        return cls(pairs, hot_keys(pairs, "nbr_id", floor=floor)["nbr_id"])
+        folded = neighbours.groupBy("nbr_id", "node_id").agg(F.count(F.lit(1)).alias("multiplicity"))
+        return cls(materialise(folded, "pairs"), floor)
+
+    @cached_property
+    def hot(self) -> list:
+        return hot_keys(self.pairs, "nbr_id", floor=self.floor)["nbr_id"]
 
 
 def _messages(graph: MessageGraph, vectors: DataFrame, width: int) -> DataFrame:
     table = vectors.select(F.col("id").alias("nbr_id"), F.col("x").alias("m"))
-    return lookup(graph.pairs, table, "nbr_id", 8 * width + 32, F.col("node_id"), hot=graph.hot)
+    salt = F.col("node_id")
+    return lookup(
+        graph.pairs, table, "nbr_id", 8 * width + 32, salt, hot=lambda: graph.hot, rows=rows_of(vectors)
+    )
 
 
 def neighbour_mean(graph: MessageGraph, vectors: DataFrame, width: int) -> DataFrame:
     """``(node_id, mean)`` over in-neighbours, parallel edges counted each time."""
-    sums = [F.sum(F.col("m")[i] * F.col("multiplicity")).alias(f"s{i}") for i in range(width)]
+    sums = [F.expr(f"sum(m[{i}] * multiplicity)").alias(f"s{i}") for i in range(width)]
     total = _messages(graph, vectors, width).groupBy("node_id").agg(*sums, F.sum("multiplicity").alias("n"))
-    return total.select("node_id", F.array(*[F.col(f"s{i}") / F.col("n") for i in range(width)]).alias("agg"))
+    means = ", ".join(f"s{i} / n" for i in range(width))
+    return total.select("node_id", F.expr(f"array({means})").alias("agg"))
 
 
 def neighbour_max(graph: MessageGraph, vectors: DataFrame, width: int) -> DataFrame:
-    tops = [F.max(F.col("m")[i]).alias(f"s{i}") for i in range(width)]
+    tops = [F.expr(f"max(m[{i}])").alias(f"s{i}") for i in range(width)]
     top = _messages(graph, vectors, width).groupBy("node_id").agg(*tops)
-    return top.select("node_id", F.array(*[F.col(f"s{i}") for i in range(width)]).alias("agg"))
+    return top.select("node_id", F.array(*[f"s{i}" for i in range(width)]).alias("agg"))
 
 
 def pool_inputs(vectors: DataFrame, weights: LayerWeights) -> DataFrame:
     """``relu(W_pool h + b_pool)``, once per node and not once per edge."""
-    pooled = affine([(F.col("x"), weights.w_pool)], weights.b_pool, rectify=True)
+    pooled = affine([("x", weights.w_pool)], weights.b_pool, rectify=True)
     return vectors.select("id", pooled.alias("x"))
 
 
@@ -98,11 +105,11 @@ def sage_layer(
         gathered = neighbour_max(graph, pooled, width)
     else:
         raise ValueError(f"unknown aggregator {aggregator!r}")
-    none = F.array(*[F.lit(0.0)] * width)
+    none = zeros(width)
     joined = vectors.join(gathered.withColumnRenamed("node_id", "id"), "id", "left").select(
         "id", "x", F.coalesce("agg", none).alias("agg")
     )
-    out = affine([(F.col("x"), weights.w_self), (F.col("agg"), weights.w_neigh)], weights.bias, rectify)
+    out = affine([("x", weights.w_self), ("agg", weights.w_neigh)], weights.bias, rectify)
     return joined.select("id", out.alias("x"))
 
 
@@ -119,7 +126,7 @@ def embed(
     give the sampled encoder. The layers are written out in between, since each
     is read twice: as neighbour and as the node itself.
     """
-    x = materialise(features.select("id", "x"), "features")
+    x = stored(features, "features")
     h1 = materialise(sage_layer(x, graph1, model.layer1, model.aggregator, True), "h1")
     return sage_layer(h1, graph2 or graph1, model.layer2, model.aggregator, final_relu)
 
@@ -129,11 +136,14 @@ def embed_new(
 ) -> DataFrame:
     """Embeddings of companies the model never saw, from their two-hop neighbourhood only."""
     neighbours = edges.select(F.col("dst_id").alias("node_id"), F.col("src_id").alias("nbr_id"))
-    hot = hot_keys(neighbours, "node_id")["node_id"]
+
+    @cache
+    def hot() -> list:
+        return hot_keys(neighbours, "node_id")["node_id"]
 
     def into(ids: DataFrame) -> DataFrame:
         keys = ids.withColumnRenamed("id", "node_id")
-        found = lookup(neighbours, keys, "node_id", 32, F.col("nbr_id"), "left_semi", hot)
+        found = lookup(neighbours, keys, "node_id", 32, F.col("nbr_id"), "left_semi", hot, rows=rows_of(ids))
         return materialise(found, "reached")
 
     def and_sources(ids: DataFrame, found: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from supplyloom.functions.draws import draw, draw_below
 from supplyloom.operators.joins import lookup
 from supplyloom.operators.position import with_position
-from supplyloom.storage import materialise
+from supplyloom.storage import materialise, rows_of
 
 
 def fanout_sample(
@@ -62,7 +62,7 @@ def two_hop_blocks(seeds: DataFrame, edges: DataFrame, seed: int = 0, fanout: in
 
 def node_index(nodes: DataFrame) -> DataFrame:
     """Dense index 0..n-1 of a sparse node set, in id order."""
-    return materialise(with_position(nodes.select("id"), [F.col("id")], name="node_index"), "nodeindex")
+    return with_position(nodes.select("id"), [F.col("id")], name="node_index")
 
 
 def _draws(edges: DataFrame, k: int, n_nodes: int, seed: int) -> DataFrame:
@@ -84,9 +84,11 @@ def uniform_negatives(
         out = _draws(edges, k, dense_count, seed).withColumn("dst_id", F.col("node_index"))
         return out.drop("node_index")
     index = node_index(nodes) if index is None else index
-    drawn = _draws(edges.drop("dst_id"), k, index.count(), seed)
+    n = rows_of(index)
+    drawn = _draws(edges.drop("dst_id"), k, n, seed)
     # Draws are uniform over the index: no key can be hot.
-    out = lookup(drawn, index.withColumnRenamed("id", "dst_id"), "node_index", 32, F.col("eid"), hot=[])
+    table = index.withColumnRenamed("id", "dst_id")
+    out = lookup(drawn, table, "node_index", 32, F.col("eid"), hot=[], rows=n)
     return out.select(*edges.columns, "draw")
 
 

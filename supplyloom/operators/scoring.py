@@ -11,7 +11,7 @@ from supplyloom.operators.joins import fits_broadcast, hot_keys, lookup
 from supplyloom.operators.position import with_position
 from supplyloom.operators.refine import MIN_CONFIDENCE
 from supplyloom.sources.schemas import EDGES, require
-from supplyloom.storage import materialise
+from supplyloom.storage import rows_of
 
 
 def _salt(relations: DataFrame, other: str) -> Column:
@@ -26,10 +26,11 @@ def with_logit(relations: DataFrame, ends: DataFrame, bias: float, how: str = "l
     require(relations, EDGES, "relation table")
     out = relations
     # One pass finds the hot ids of both ends, and only when a shuffle is needed at all.
-    hot = {} if fits_broadcast(ends, 24) else hot_keys(relations, "src_id", "dst_id", floor=floor)
+    rows = rows_of(ends)
+    hot = {} if fits_broadcast(rows, 24) else hot_keys(relations, "src_id", "dst_id", floor=floor)
     for key, column, other in (("src_id", "as_buyer", "dst_id"), ("dst_id", "as_seller", "src_id")):
         table = ends.select(F.col("id").alias(key), column)
-        out = lookup(out, table, key, 24, _salt(relations, other), how, hot.get(key, []))
+        out = lookup(out, table, key, 24, _salt(relations, other), how, hot.get(key, []), rows=rows)
     logit = (F.col("as_buyer") + F.col("as_seller") + F.lit(float(bias))).alias("logit")
     return out.select(*relations.columns, logit)
 
@@ -48,7 +49,7 @@ def dot_scores(pairs: DataFrame, embeddings: DataFrame, width: int, floor: int |
     out = pairs
     for key, column, other in (("src_id", "hu", "dst_id"), ("dst_id", "hv", "src_id")):
         table = embeddings.select(F.col("id").alias(key), F.col("x").alias(column))
-        out = lookup(out, table, key, 8 * width + 32, F.col(other), "left", floor=floor)
+        out = lookup(out, table, key, 8 * width + 32, F.col(other), "left", floor=floor, rows=rows_of(embeddings))
     return out.withColumn("logit", dot_score(F.col("hu"), F.col("hv"))).drop("hu", "hv")
 
 
@@ -74,16 +75,15 @@ def topk_missing_links(edges: DataFrame, ends: DataFrame, bias: float, k: int =
     sellers (and itself) leave open. The work is linear in edges + k * companies;
     no pair of companies without an edge is ever formed except the results.
     """
-    ranks = materialise(
-        with_position(ends.select("id", "as_seller"), [F.col("as_seller").desc(), F.col("id")], name="rank"),
-        "ranks",
+    ranks = with_position(
+        ends.select("id", "as_seller"), [F.col("as_seller").desc(), F.col("id")], name="rank"
     )
-    n = ranks.count()
+    n = rows_of(ranks)
     # The purchaser's own rank is taken too: no company is offered to itself.
     buyers = edges.select("src_id").distinct()
     taken = edges.select("src_id", "dst_id").union(buyers.select("src_id", F.col("src_id").alias("dst_id"))).distinct()
     places = ranks.select(F.col("id").alias("dst_id"), "rank")
-    taken = lookup(taken, places, "dst_id", 24, F.col("src_id"))
+    taken = lookup(taken, places, "dst_id", 24, F.col("src_id"), rows=n)
     placed = with_position(taken.select("src_id", "rank"), [F.col("rank")], ["src_id"], name="at")
     # rank - at = how many open ranks lie before this taken one; it never falls.
     open_before = (F.col("rank") - F.col("at")).alias("open_before")
@@ -104,8 +104,8 @@ def topk_missing_links(edges: DataFrame, ends: DataFrame, bias: float, k: int =
     chosen = per_buyer.select("src_id", F.explode(picks).alias("p")).select("src_id", "p.place", "p.rank")
     chosen = chosen.filter(F.col("rank") < n)
     # The first ranks are wanted by nearly every purchaser: lookup salts them.
-    chosen = lookup(chosen, ranks, "rank", 32, F.col("src_id"))
+    chosen = lookup(chosen, ranks, "rank", 32, F.col("src_id"), rows=n)
     buyer_half = ends.select(F.col("id").alias("src_id"), "as_buyer")
-    chosen = lookup(chosen, buyer_half, "src_id", 24, F.col("place"), hot=[])
+    chosen = lookup(chosen, buyer_half, "src_id", 24, F.col("place"), hot=[], rows=n)
     logit = F.col("as_buyer") + F.col("as_seller") + F.lit(float(bias))
     return chosen.select("src_id", F.col("id").alias("dst_id"), "place", sigmoid(logit).alias("gnn_prediction"))

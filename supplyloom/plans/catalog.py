@@ -384,8 +384,7 @@ def _scored_examples(spark, sf_dir):
 
 
 def _batched_scores(spark, sf_dir):
-    edges = fx.silver_edges(spark, sf_dir).withColumn("split", F.lit("all"))
-    batches = graph.shuffled_batches(edges, BATCH).select("eid", "batch_id")
+    batches = graph.shuffled_batches(fx.silver_edges(spark, sf_dir), BATCH, by=[]).select("eid", "batch_id")
     return _scored_examples(spark, sf_dir).join(batches, "eid")
 
 

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from supplyloom.functions.vectors import zeros
 from supplyloom.operators.joins import lookup
-from supplyloom.operators.sampling import fanout_sample, strict_negatives, uniform_negatives
+from supplyloom.operators.sampling import fanout_sample, node_index, strict_negatives, uniform_negatives
 from supplyloom.operators.graph import node_set
 from supplyloom.params import Params
-from supplyloom.storage import materialise
+from supplyloom.storage import materialise, rows_of, stored
 
 PART_BYTES = 64 << 20
 MAX_PARTS = 256
@@ -47,9 +47,9 @@ def _padded(values: Column, size: int, pad: Column) -> Column:
 
 def _gathered(sample: DataFrame, table: DataFrame, columns: dict[str, tuple[str, int, Column]], row_bytes: int) -> DataFrame:
     """Collects the sampled neighbours of each node (at most ``fanout``) into padded arrays."""
-    stored = table.withColumnRenamed("id", "nbr_id")
-    joined = lookup(sample, stored, "nbr_id", row_bytes, F.col("node_id"))
-    item = F.struct("slot", "eid", *[c for c in stored.columns if c != "nbr_id"])
+    keyed = table.withColumnRenamed("id", "nbr_id")
+    joined = lookup(sample, keyed, "nbr_id", row_bytes, F.col("node_id"), rows=rows_of(table))
+    item = F.struct("slot", "eid", *[c for c in keyed.columns if c != "nbr_id"])
     slots = joined.groupBy(F.col("node_id").alias("id")).agg(F.array_sort(F.collect_list(item)).alias("s"))
     out = []
     for name, (source, size, pad) in columns.items():
@@ -78,7 +78,7 @@ def node_blocks(seeds: DataFrame, message_edges: DataFrame, features: DataFrame,
     key = frontier.select(F.col("id").alias("node_id"))
     inner = fanout_sample(message_edges, 1, params.seed, fan).join(key, "node_id", "left_semi")
 
-    features = materialise(features.select("id", "x"), "features")
+    features = stored(features, "features")
     near = _gathered(
         inner, features, {"e1": ("eid", fan, none), "x1": ("x", fan * width, nil)}, 8 * width + 32
     )
@@ -115,12 +115,12 @@ def node_blocks(seeds: DataFrame, message_edges: DataFrame, features: DataFrame,
     )
 
 
-def draw_negatives(positives: DataFrame, known: DataFrame, params: Params, nodes: DataFrame | None = None) -> DataFrame:
-    """Negatives of ``positives`` among the companies of ``known``."""
-    nodes = node_set(known) if nodes is None else nodes
+def draw_negatives(positives: DataFrame, known: DataFrame, params: Params, index: DataFrame | None = None) -> DataFrame:
+    """Negatives of ``positives`` among the companies of ``known``, or of a given node index."""
+    index = node_index(node_set(known)) if index is None else index
     if params.strict_negatives:
-        return strict_negatives(positives, params.num_negative_samples, known, params.seed, nodes=nodes)
-    return uniform_negatives(positives, params.num_negative_samples, nodes=nodes, seed=params.seed)
+        return strict_negatives(positives, params.num_negative_samples, known, params.seed, index=index)
+    return uniform_negatives(positives, params.num_negative_samples, index=index, seed=params.seed)
 
 
 def training_examples(
@@ -155,7 +155,7 @@ def training_examples(
         flat.append(_padded(F.flatten(F.col(f"s.{c}")), size, pad).alias(f"o_{c}"))
     valid = _padded(F.transform("s.draw", lambda _: F.lit(1.0)), shape.others, F.lit(0.0)).alias("valid")
     buyer = blocks.select(F.col("id").alias("src_id"), *[F.col(c).alias(f"s_{c}") for c in BLOCK])
-    rows = lookup(positives, buyer, "src_id", block_bytes, F.col("eid"))
+    rows = lookup(positives, buyer, "src_id", block_bytes, F.col("eid"), rows=rows_of(blocks))
     rows = rows.join(slots.select("eid", *flat, valid), "eid").drop("src_id", "dst_id")
     parts = min(MAX_PARTS, max(1, -(-params.batch_size * shape.row_bytes // PART_BYTES)))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("eid"), F.lit(parts)).cast("int"))

@@ -20,29 +20,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _company(number) -> F.Column:
-    return F.concat(F.lit("Company#"), F.lpad(number.cast("string"), 9, "0"))
-
-
-def _form(forms: tuple[str, ...]):
-    choice = F.lit(forms[-1])
-    for i, form in reversed(list(enumerate(forms[:-1]))):
-        choice = F.when(F.col("event_id") % len(forms) == i, form).otherwise(choice)
-    return choice
+RELATION = (
+    "event_id as eid",
+    "user_id as src_id",
+    "cast(regexp_extract(props, '[0-9]+', 0) as bigint) as dst_id",
+    """concat('Company#', lpad(user_id, 9, '0'), case event_id % 6 when 0 then ' LLC' when 1 then ' Ltd.'
+       when 2 then ', Inc.' when 3 then ' GmbH' when 4 then ' Pty Ltd' else '' end) as Purchaser""",
+    """concat('Company#', lpad(regexp_extract(props, '[0-9]+', 0), 9, '0'), case event_id % 5 when 0 then ' Ltd.'
+       when 1 then ' S.A.' when 2 then ' llc' when 3 then '' else ' Corp' end) as Seller""",
+    "value / (value + 25D) as probability",
+)
 
 
 def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Buyer-seller relations: an event's user buys from the company in its props."""
-    seller = F.regexp_extract("props", "[0-9]+", 0)
-    value = F.col("value")
-    return read(spark, sf_dir, "events").select(
-        F.col("event_id").alias("eid"),
-        F.col("user_id").alias("src_id"),
-        seller.cast("bigint").alias("dst_id"),
-        F.concat(_company(F.col("user_id")), _form((" LLC", " Ltd.", ", Inc.", " GmbH", " Pty Ltd", ""))).alias("Purchaser"),
-        F.concat(_company(seller), _form((" Ltd.", " S.A.", " llc", "", " Corp"))).alias("Seller"),
-        (value / (value + F.lit(25.0))).alias("probability"),
-    )
+    return read(spark, sf_dir, "events").selectExpr(*RELATION)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +64,7 @@ def company_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(region, nation.n_regionkey == region.r_regionkey)
         .select(
             F.col("c_custkey").alias("company_id"),
-            _company(F.col("c_custkey")).alias("company"),
+            F.expr("concat('Company#', lpad(c_custkey, 9, '0'))").alias("company"),
             F.col("n_name").alias("country"),
             F.col("r_name").alias("region"),
         )

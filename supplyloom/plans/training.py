@@ -18,13 +18,13 @@ from supplyloom.operators import metrics as M
 from supplyloom.operators.features import normal_features
 from supplyloom.operators.graph import edge_split, first_batches, node_set, shuffled_batches
 from supplyloom.operators.sage import LinkModel, MessageGraph, embed, endpoint_scores
-from supplyloom.operators.sampling import fanout_sample, labelled_examples
+from supplyloom.operators.sampling import fanout_sample, labelled_examples, node_index
 from supplyloom.operators.scoring import with_logit
 from supplyloom.params import Params
 from supplyloom.plans.examples import Shape, draw_negatives, training_examples
 from supplyloom.plans.gradient import batch_gradient, forward
 from supplyloom.plans.weights import as_model, flatten, initial_weights, unflatten
-from supplyloom.storage import materialise
+from supplyloom.storage import materialise, rows_of
 
 ROWS_PER_CHUNK_BYTES = 32 << 20
 HISTORY_BYTES = 32 << 20
@@ -153,13 +153,11 @@ def replay_scores(
 def train(graph: SplitGraph, params: Params, run_id: str = "run") -> Trained:
     """Fits the model on the training split; logs loss, AUC and AP per step."""
     spark = graph.edges.sparkSession
-    training = materialise(graph.of("training"), "training")
-    batched = first_batches(
-        shuffled_batches(training.withColumn("split", F.lit("training")), params.batch_size, params.seed),
-        params.max_steps,
-    )
+    training = graph.of("training")
+    batched = shuffled_batches(training, params.batch_size, params.seed, by=[])
+    n_steps = min(params.max_steps, -(-rows_of(batched) // params.batch_size))
+    batched = first_batches(batched, params.max_steps)
     examples, shape = training_examples(batched, training, graph.features, params)
-    n_steps = min(params.max_steps, -(-training.count() // params.batch_size))
 
     weights = initial_weights(params)
     flat = flatten(weights)
@@ -204,37 +202,56 @@ def full_embeddings(message_edges: DataFrame, features: DataFrame, model: LinkMo
     return embed(features, model, MessageGraph.of(neighbours), final_relu=final_relu)
 
 
-def scored_split(graph: SplitGraph, split: str, model: LinkModel, params: Params) -> DataFrame:
-    """``(batch_id, eid, label, score)`` of all batches of a split, with its negatives.
+@dataclass(frozen=True)
+class Scorer:
+    """What evaluation needs of a model and its message edges, computed once for several splits."""
+
+    ends: DataFrame  # id, as_buyer, as_seller
+    index: DataFrame  # companies negatives are drawn from
+    known: DataFrame  # edges a strict negative must not hit
+    bias: float
+
+
+def scorer(graph: SplitGraph, model: LinkModel, params: Params, split: str | None = None) -> Scorer:
+    """Messages come from the training edges, so no held-out edge passes one.
 
-    Messages come from the training edges, so no scored edge of another split
-    passes one; ``own_split_messages`` uses the split's own edges instead.
+    With a ``split``, messages and negatives come from that split's own edges.
     """
-    held = materialise(graph.of(split), "held")
-    messages = held if params.own_split_messages else materialise(graph.of("training"), "training")
-    nodes = node_set(held) if params.own_split_messages else graph.features.select("id")
+    messages = graph.of(split or "training")
     embeddings = sampled_embeddings(messages, graph.features, model, params)
     ends = materialise(endpoint_scores(embeddings, model), "ends")
-    batched = shuffled_batches(held.withColumn("split", F.lit(split)), params.batch_size, params.seed)
-    batched = materialise(batched.drop("split"), "batched")
-    known = held if params.own_split_messages else graph.edges.drop("split")
-    negatives = draw_negatives(batched, known, params, nodes)
+    nodes = node_set(messages) if split else graph.features.select("id")
+    known = messages if split else graph.edges.drop("split")
+    return Scorer(ends, node_index(nodes), known, model.score_b)
+
+
+def scored_split(graph: SplitGraph, split: str, scores: Scorer, params: Params) -> DataFrame:
+    """``(batch_id, eid, label, score)`` of all batches of a split, with its negatives."""
+    batched = shuffled_batches(graph.of(split), params.batch_size, params.seed, by=[])
+    negatives = draw_negatives(batched, scores.known, params, scores.index)
     examples = labelled_examples(batched, negatives)
-    return with_logit(examples, ends, model.score_b, "inner").withColumnRenamed("logit", "score").select(
-        "batch_id", "eid", "label", "score"
+    return with_logit(examples, scores.ends, scores.bias, "inner").select(
+        "batch_id", "eid", "label", F.col("logit").alias("score")
     )
 
 
-def evaluate(graph: SplitGraph, split: str, model: LinkModel, params: Params) -> DataFrame:
+def evaluate(
+    graph: SplitGraph, split: str, model: LinkModel, params: Params, scores: Scorer | None = None
+) -> DataFrame:
     """AUC and AP per batch of a split, no gradient."""
-    return M.auc_ap(scored_split(graph, split, model, params), ["batch_id"], bounded=True)
+    if scores is None:
+        scores = scorer(graph, model, params, split if params.own_split_messages else None)
+    return M.auc_ap(scored_split(graph, split, scores, params), ["batch_id"], bounded=True)
 
 
-def evaluation_metrics(graph: SplitGraph, model: LinkModel, params: Params, run_id: str = "run") -> DataFrame:
-    """Mean AUC and AP of validation and testing, as metric rows."""
+def evaluation_metrics(
+    graph: SplitGraph, model: LinkModel, params: Params, run_id: str = "run", splits=("validation", "testing")
+) -> DataFrame:
+    """Mean AUC and AP per split, as metric rows."""
+    shared = None if params.own_split_messages else scorer(graph, model, params)
     out = None
-    for split in ("validation", "testing"):
-        mean = M.mean_auc_ap(evaluate(graph, split, model, params))
+    for split in splits:
+        mean = M.mean_auc_ap(evaluate(graph, split, model, params, shared))
         rows = M.as_metrics(mean, run_id, split, F.lit(0), {"mean_auc": "mean_auc", "mean_ap": "mean_ap"})
         out = rows if out is None else out.unionByName(rows)
     return out

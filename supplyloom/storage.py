@@ -2,7 +2,7 @@
 
 They live below ``spark.checkpoint.dir``, the folder all executors share, so a
 lost executor costs a re-read and not a recomputation. Written as Parquet they
-also stay column-pruned, and counting their rows only reads footers.
+also stay column-pruned, and their row count is observed while they are written.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CONF = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
@@ -35,9 +36,29 @@ def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> D
     """Write ``df`` once and return a scan of the written table."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.partitionBy(partition_by) if partition_by else counted.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written = True
+    return with_known_rows(table, seen.get["rows"])
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` itself when ``materialise`` returned it, else a written copy."""
+    return df if getattr(df, "written", False) else materialise(df, label)
+
+
+def with_known_rows(df: DataFrame, rows: int) -> DataFrame:
+    df.known_rows = rows
+    return df
+
+
+def rows_of(df: DataFrame) -> int:
+    """Row count; no job when it was observed on the way."""
+    known = getattr(df, "known_rows", None)
+    return df.count() if known is None else known
 
 
 def clear_scratch(spark: SparkSession) -> None:
