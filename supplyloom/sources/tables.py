@@ -8,9 +8,12 @@ from pyspark.sql import types as T
 DIMENSION_TABLES = ("company_risk_data", "company_locations", "company_risk_frame")
 
 
-def use_database(spark: SparkSession, database: str, create: bool = True) -> None:
+def use_database(
+    spark: SparkSession, database: str, create: bool = True, location: str | None = None
+) -> None:
     if create:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        where = f" LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
     spark.sql(f"USE `{database}`")
 
 
