@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from supplyloom.storage import rows_of
 
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 128 << 20
 HOT_FLOOR = 1_000_000
 HOT_LIMIT = 512
 SPREAD = 64
@@ -22,18 +22,20 @@ def hot_keys(df: DataFrame, *keys: str, floor: int | None = None) -> dict[str, l
     than 1/HOT_LIMIT of the table, which one task can take.
     """
     floor = HOT_FLOOR if floor is None else floor
-    pairs = F.array(*[F.struct(F.lit(k).alias("c"), F.col(k).cast("string").alias("k")) for k in keys])
+    # ``keys`` share one type, so the fixed-width aggregate stays in codegen.
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), F.col(k).alias("k")) for i, k in enumerate(keys)])
     counts = (
-        df.select(F.explode(pairs).alias("p"))
-        .groupBy("p")
+        df.select(F.inline(pairs))
+        .filter(F.col("k").isNotNull())
+        .groupBy("c", "k")
         .count()
-        .filter((F.col("count") >= floor) & F.col("p.k").isNotNull())
-        .orderBy(F.desc("count"), "p")
+        .filter(F.col("count") >= floor)
+        .orderBy(F.desc("count"), "c", "k")
         .limit(HOT_LIMIT * len(keys))
     )
     found: dict[str, list] = {k: [] for k in keys}
     for row in counts.collect():
-        found[row.p.c].append(row.p.k)
+        found[keys[row.c]].append(row.k)
     return found
 
 
@@ -64,7 +66,7 @@ def salted_join(
     """
     if not hot:
         return big.join(table, key, how)
-    one, every = _salts(F.col(key).cast("string").isin(hot), salt_by, spread)
+    one, every = _salts(F.col(key).isin(hot), salt_by, spread)
     left = big.withColumn("__salt", one)
     right = table.withColumn("__salt", F.explode(every))
     return left.join(right, [key, "__salt"], how).drop("__salt")
@@ -87,9 +89,8 @@ def salted_many_join(
     """
     if not hot_left and not hot_right:
         return left.join(right, key)
-    name = F.col(key).cast("string")
-    left_one, left_all = _salts(name.isin(hot_left), left_row, spread)
-    right_one, right_all = _salts(name.isin(hot_right), right_row, spread)
+    left_one, left_all = _salts(F.col(key).isin(hot_left), left_row, spread)
+    right_one, right_all = _salts(F.col(key).isin(hot_right), right_row, spread)
     a = left.withColumn("__l", left_one).withColumn("__r", F.explode(right_all))
     b = right.withColumn("__r", right_one).withColumn("__l", F.explode(left_all))
     return a.join(b, [key, "__l", "__r"]).drop("__l", "__r")

@@ -13,9 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from supplyloom.operators.joins import fits_broadcast
 from supplyloom.storage import materialise, rows_of, with_known_rows
 
 _SLOT, _PART, _FIRST = "__slot", "__part", "__first"
+OFFSET_BYTES = 96
 _PART_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
@@ -27,6 +29,13 @@ def _ranged(df: DataFrame, keys: list[Column], label: str) -> DataFrame:
     return with_known_rows(table.withColumn(_PART, F.shiftright(_SLOT, _PART_BITS)), rows_of(table))
 
 
+def _join_offsets(rows: DataFrame, offsets: DataFrame, segment_by: list[str]) -> DataFrame:
+    """Few segments: no shuffle. Many: a key holds at most one range partition of rows."""
+    offsets = materialise(offsets, "offsets")
+    small = fits_broadcast(rows_of(offsets), OFFSET_BYTES)
+    return rows.join(F.broadcast(offsets) if small else offsets, [*segment_by, _PART])
+
+
 def with_position(
     df: DataFrame,
     order_by: list[Column],
@@ -53,7 +62,7 @@ def with_position(
             (F.sum("__n").over(before) - F.col("__n") - F.col(_FIRST)).alias("__shift"),
             F.sum("__n").over(Window.partitionBy(*segment_by)).alias("__total"),
         )
-        joined = rows.join(offsets, [*segment_by, _PART])
+        joined = _join_offsets(rows, offsets, segment_by)
     else:
         # One row per partition, so the running sum is the driver's to do.
         counts = sorted(pieces.collect(), key=lambda r: r[_PART])
@@ -82,7 +91,7 @@ def running_totals(
         offsets = pieces.select(
             *segment_by, _PART, *[(F.sum(f"__{n}").over(before) - F.col(f"__{n}")).alias(f"__{n}") for n in sums]
         )
-        joined = rows.join(offsets, [*segment_by, _PART])
+        joined = _join_offsets(rows, offsets, segment_by)
     else:
         seen = {n: 0 for n in sums}
         shifts = []

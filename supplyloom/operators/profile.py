@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from supplyloom.operators.position import running_totals
@@ -76,7 +76,8 @@ def probability_histogram(relations: DataFrame, bins: int = 20, column: str = "p
     """Counts and density per equal bin of [0, 1]; 1 belongs to the last bin."""
     p = F.col(column).cast("double")
     bucket = F.least(F.width_bucket(p, F.lit(0.0), F.lit(1.0), F.lit(bins)), F.lit(bins).cast("bigint"))
-    n = relations.filter(p.isNotNull()).count()
+    # At most ``bins`` rows reach this window.
+    total = F.sum("n").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return (
         relations.filter(p.isNotNull())
         .groupBy(bucket.alias("bin"))
@@ -85,6 +86,6 @@ def probability_histogram(relations: DataFrame, bins: int = 20, column: str = "p
             "bin",
             ((F.col("bin") - 1) / F.lit(float(bins))).alias("bin_start"),
             "n",
-            (F.col("n") * F.lit(float(bins)) / F.lit(float(n or 1))).alias("density"),
+            (F.col("n") * F.lit(float(bins)) / total).alias("density"),
         )
     )

@@ -11,9 +11,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from supplyloom.operators.graph import edge_split
 from supplyloom.operators.metrics import mean_auc_ap
 from supplyloom.params import DEFAULT, SEARCH_PARALLELISM, SEARCH_SPACE, SEARCH_TRIALS, Params
 from supplyloom.plans.training import evaluate, split_graph, train
+from supplyloom.storage import materialise
 
 TRIALS_SCHEMA = "trial long, loss double, params string"
 
@@ -36,8 +38,12 @@ def objective(edges: DataFrame, params: Params) -> float:
 def search(
     edges: DataFrame, trials: list[Params], parallelism: int = SEARCH_PARALLELISM
 ) -> DataFrame:
-    """One row per trial. Each trial is data-parallel, and several run side by side."""
+    """One row per trial. Each trial is data-parallel, and several run side by side.
+
+    All trials share the split of the first one's fractions.
+    """
     spark = edges.sparkSession
+    edges = materialise(edge_split(edges, trials[0].test_p, trials[0].valid_p), "split")
     task = inheritable_thread_target(spark)(lambda p: objective(edges, p))
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         losses = list(pool.map(task, trials))

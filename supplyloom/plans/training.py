@@ -24,7 +24,7 @@ from supplyloom.params import Params
 from supplyloom.plans.examples import Shape, draw_negatives, training_examples
 from supplyloom.plans.gradient import batch_gradient, forward
 from supplyloom.plans.weights import as_model, flatten, initial_weights, unflatten
-from supplyloom.storage import materialise, rows_of
+from supplyloom.storage import materialise, rows_of, stored
 
 ROWS_PER_CHUNK_BYTES = 32 << 20
 HISTORY_BYTES = 32 << 20
@@ -51,10 +51,12 @@ class Trained:
 
 
 def split_graph(edges: DataFrame, params: Params, features: DataFrame | None = None) -> SplitGraph:
-    split = materialise(edge_split(edges, params.test_p, params.valid_p), "split")
+    """Edges that already have a ``split`` keep it, so several runs can share one."""
+    split = edges if "split" in edges.columns else edge_split(edges, params.test_p, params.valid_p)
+    split = stored(split, "split")
     if features is None:
         features = normal_features(node_set(split), params.num_node_features, params.seed)
-    return SplitGraph(split, materialise(features, "features"))
+    return SplitGraph(split, stored(features, "features"))
 
 
 class Optimiser:
