@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from supplyloom.functions.draws import draw, draw_below
 from supplyloom.operators.joins import lookup
 from supplyloom.operators.position import with_position
+from supplyloom.operators.refine import with_label
 from supplyloom.storage import materialise, rows_of
 
 
@@ -115,5 +116,5 @@ def strict_negatives(
 
 def labelled_examples(positives: DataFrame, negatives: DataFrame) -> DataFrame:
     """Positive edges (draw 0, label 1) and their negatives (label 0) in one table."""
-    pos = positives.withColumn("draw", F.lit(0)).withColumn("label", F.lit(1))
-    return pos.unionByName(negatives.withColumn("label", F.lit(0)))
+    pos = with_label(positives.withColumn("draw", F.lit(0)), 1)
+    return pos.unionByName(with_label(negatives, 0))

@@ -400,6 +400,30 @@ def auc_ap_mean(spark, sf_dir):
     return out.select("n_batches", *_r("mean_auc", "mean_ap"))
 
 
+@query
+def metric_log(spark, sf_dir):
+    """The per-batch metrics appended to a metric table and read back."""
+    per_batch = metrics.auc_ap(_batched_scores(spark, sf_dir), ["batch_id"], bounded=True)
+    path = scratch_path(spark, "metriclog")
+    names = {"auc": "AUC", "ap": "AP"}
+    metrics.append_metrics(metrics.as_metrics(per_batch, "fixed", "all", F.col("batch_id"), names), path)
+    return tables.read_path(spark, path).select("run_id", "split", "step", "name", *_r("value"))
+
+
+@query
+def evaluate_fixed_model(spark, sf_dir):
+    """AUC and AP per batch of the held-out splits under the fixed weights."""
+    params = DEFAULT.with_(num_node_features=fx.WIDTH, batch_size=BATCH, num_negative_samples=NEGATIVES)
+    data = fit.split_graph(fx.silver_edges(spark, sf_dir), params, fx.fixed_features(spark, sf_dir))
+    model = fx.fixed_model()
+    shared = fit.scorer(data, model, params)
+    out = None
+    for split in ("validation", "testing"):
+        rows = fit.evaluate(data, split, model, params, shared).withColumn("split", F.lit(split))
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("split", "batch_id", "n_examples", *_r("auc", "ap"))
+
+
 @query
 def auc_ap_pooled(spark, sf_dir):
     """All examples as one ranking."""

@@ -107,13 +107,48 @@ for _n in (1, 2):
         select eid, src_id, dst_id, slot from (
           select *, row_number() over (partition by dst_id order by {draw(f"'fanout|0|{_n}|' || eid")}, eid)::int as slot from e)
         where slot <= 4"""
+    STEPS[f"t{_n}"] = f"""
+        select eid, src_id, dst_id, slot from (
+          select *, row_number() over (partition by dst_id order by {draw(f"'fanout|0|{_n}|' || eid")}, eid)::int as slot
+          from split where split = 'training')
+        where slot <= 4"""
 STEPS |= layer("f1", "x", "s1", 0, 1, True)
 STEPS |= layer("f2", "f1", "s2", 3, 4, False)
-STEPS |= {
-    "ends": """
+STEPS |= layer("g1", "x", "t1", 0, 1, True)
+STEPS |= layer("g2", "g1", "t2", 3, 4, False)
+
+
+def halves(step: str) -> str:
+    return f"""
         select id, sum(((3 * j + 1) % 5 - 2) / 4::double * v) / 1000 as a,
                sum(((3 * (j + 4) + 1) % 5 - 2) / 4::double * v) / 1000 as b
-        from h2 group by id""",
+        from {step} group by id"""
+
+
+def batch_metrics(step: str, by: str) -> str:
+    return f"""
+        select {by}, count(*) as n_examples, sum(label) as p, count(*) - sum(label) as n,
+               sum(case when label = 1 then mid end) as ranks, sum(label * above_pos / above_all::double) / sum(label) as ap
+        from (select *, rank() over (partition by {by} order by score)
+                        + (count(*) over (partition by {by}, score) - 1) / 2::double as mid,
+                     sum(label) over (partition by {by} order by score desc) as above_pos,
+                     count(*) over (partition by {by} order by score desc) as above_all
+              from {step})
+        group by {by}"""
+
+
+AUC = "(ranks - p * (p + 1) / 2::double) / (p::double * n)"
+STEPS |= {
+    "held": """
+        select split, batch_id, src_id, dst_id, 1 as label from batches where split <> 'training'
+        union all
+        select split, batch_id, n.src_id, n.dst_id, 0 from batches b join neg_dense n on n.eid = b.eid where split <> 'training'""",
+    "held_ends": halves("g2"),
+    "held_scored": """
+        select h.*, u.a + v.b + 1 as score
+        from held h join held_ends u on u.id = src_id join held_ends v on v.id = dst_id""",
+    "held_metrics": batch_metrics("held_scored", "split, batch_id"),
+    "ends": halves("h2"),
     "scored": """
         select s.*, 1 / (1 + exp(-(u.a + v.b + 1))) as gnn_prediction
         from silver s left join ends u on u.id = src_id left join ends v on v.id = dst_id""",
@@ -124,17 +159,8 @@ STEPS |= {
         select x.*, u.a + v.b + 1 as score
         from examples x join ends u on u.id = src_id join ends v on v.id = dst_id""",
     "ex_batched": "select x.*, batch_id from ex_scored x join all_batches using (eid)",
-    "by_batch": """
-        select batch_id, count(*) as n_examples, sum(label) as p, count(*) - sum(label) as n,
-               sum(case when label = 1 then mid end) as ranks, sum(label * above_pos / above_all::double) / sum(label) as ap
-        from (select *, rank() over (partition by batch_id order by score)
-                        + (count(*) over (partition by batch_id, score) - 1) / 2::double as mid,
-                     sum(label) over (partition by batch_id order by score desc) as above_pos,
-                     count(*) over (partition by batch_id order by score desc) as above_all
-              from ex_batched)
-        group by batch_id""",
-    "auc_batch": """
-        select batch_id, n_examples, (ranks - p * (p + 1) / 2::double) / (p::double * n) as auc, ap from by_batch""",
+    "by_batch": batch_metrics("ex_batched", "batch_id"),
+    "auc_batch": f"select batch_id, n_examples, {AUC} as auc, ap from by_batch",
     "locations": """
         select c_custkey as company_id, n_name as country, r_name as region
         from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
@@ -394,6 +420,17 @@ def oracle_sql() -> dict[str, str]:
             *BATCHED,
             final="select count(*) as n_batches, round(avg(auc), 6) as mean_auc, round(avg(ap), 6) as mean_ap from auc_batch",
         ),
+        "metric_log": with_steps(
+            *BATCHED,
+            final="""
+            select 'fixed' as run_id, 'all' as split, batch_id as step, 'AUC' as name, round(auc, 6) as value from auc_batch
+            union all select 'fixed', 'all', batch_id, 'AP', round(ap, 6) from auc_batch""",
+        ),
+        "evaluate_fixed_model": with_steps(
+            *FIXED, "placed", "split", "batches", "neg_dense", "t1", "t2", "g1_agg", "g1", "g2_agg", "g2",
+            "held", "held_ends", "held_scored", "held_metrics",
+            final=f"""select split, batch_id, n_examples, round({AUC}, 6) as auc, round(ap, 6) as ap from held_metrics""",
+        ),
         "auc_ap_pooled": with_steps(
             *EXAMPLES,
             final="""
