@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.functions.names import basename
-from supplyloom.operators.joins import lookup
+from supplyloom.operators.joins import fits_broadcast, hot_keys, lookup
+from supplyloom.operators.refine import clean_names
 from supplyloom.storage import materialise, rows_of
 
+NAME_BYTES = 128
+
 
 def canonical_ids(relations: DataFrame) -> DataFrame:
     """``(clean_name, canonical_id)``: the lowest id among all spellings."""
@@ -27,10 +30,12 @@ def canonical_ids(relations: DataFrame) -> DataFrame:
 def resolve_entities(relations: DataFrame, floor: int | None = None) -> DataFrame:
     """Cleans both names and re-keys both ends; a nameless end keeps its id."""
     canonical = materialise(canonical_ids(relations), "canonical")
-    out = relations
+    out = clean_names(relations)
+    rows = rows_of(canonical)
+    hot = {} if fits_broadcast(rows, NAME_BYTES) else hot_keys(out, "Purchaser", "Seller", floor=floor)
     for name, id_column, other in (("Purchaser", "src_id", "dst_id"), ("Seller", "dst_id", "src_id")):
         table = canonical.select(F.col("clean_name").alias(name), F.col("canonical_id").alias("__id"))
         salt = F.col("eid") if "eid" in relations.columns else F.col(other)
-        out = lookup(out.withColumn(name, basename(F.col(name))), table, name, 96, salt, "left", floor=floor, rows=rows_of(canonical))
+        out = lookup(out, table, name, NAME_BYTES, salt, "left", hot.get(name, []), rows=rows)
         out = out.withColumn(id_column, F.coalesce("__id", id_column)).drop("__id")
     return out.select(*relations.columns)

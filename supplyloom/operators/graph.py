@@ -16,11 +16,12 @@ SPLITS = ("training", "validation", "testing")
 
 
 def edges_of(relations: DataFrame, order_by: list[Column] | None = None) -> DataFrame:
-    """Edge table of a relation table.
+    """Edge table of a relation table; a relation without both ids is no edge.
 
     Uses the table's own ``eid``; without one, edges are numbered in ``order_by``
     order, which must be total for the numbers to be repeatable.
     """
+    relations = relations.filter(F.col("src_id").isNotNull() & F.col("dst_id").isNotNull())
     if "eid" in relations.columns:
         return relations.select("eid", "src_id", "dst_id")
     if order_by is None:

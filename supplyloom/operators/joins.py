@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyloom.storage import rows_of
+from supplyloom.storage import rows_of, stored
 
 BROADCAST_BYTES = 128 << 20
 HOT_FLOOR = 1_000_000
@@ -62,11 +62,15 @@ def salted_join(
     """Equi-join on ``key`` with the rows of each hot key spread over ``spread`` tasks.
 
     Rows of ``big`` get one salt each, rows of ``table`` are copied once per salt
-    for hot keys only, so every pair still meets exactly once.
+    for hot keys only, so every pair still meets exactly once. A left join keeps
+    rows without a key, which match nothing: they are spread as well.
     """
-    if not hot:
+    keep = how == "left"
+    if not hot and not keep:
         return big.join(table, key, how)
-    one, every = _salts(F.col(key).isin(hot), salt_by, spread)
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    one, _ = _salts(F.col(key).isNull() | is_hot if keep else is_hot, salt_by, spread)
+    _, every = _salts(is_hot, None, spread)
     left = big.withColumn("__salt", one)
     right = table.withColumn("__salt", F.explode(every))
     return left.join(right, [key, "__salt"], how).drop("__salt")
@@ -106,15 +110,18 @@ def lookup(
     hot: list | Callable[[], list] | None = None,
     floor: int | None = None,
     rows: int | None = None,
+    store: bool = False,
 ) -> DataFrame:
     """Brings the columns of ``table`` (a written table, one row per key) to ``big``.
 
     Broadcast when the checked size (``rows``, or a count) allows it; otherwise a
-    shuffle join whose hot keys are salted. ``hot`` replaces the pass that finds them.
+    shuffle join whose hot keys are salted. ``hot`` replaces the pass that finds
+    them; ``store`` writes a ``big`` that is dear to compute before that pass.
     """
     if fits_broadcast(rows_of(table) if rows is None else rows, row_bytes):
         return big.join(F.broadcast(table), key, how)
     if hot is None:
+        big = stored(big, "big") if store else big
         hot = hot_keys(big, key, floor=floor)[key]
     elif callable(hot):
         hot = hot()

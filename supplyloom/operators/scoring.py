@@ -46,10 +46,11 @@ def dot_scores(pairs: DataFrame, embeddings: DataFrame, width: int, floor: int |
 
     Vectors are heavy, so score distinct pairs and join the result back.
     """
-    out = pairs
+    out, rows, row_bytes = pairs, rows_of(embeddings), 8 * width + 32
+    hot = {} if fits_broadcast(rows, row_bytes) else hot_keys(pairs, "src_id", "dst_id", floor=floor)
     for key, column, other in (("src_id", "hu", "dst_id"), ("dst_id", "hv", "src_id")):
         table = embeddings.select(F.col("id").alias(key), F.col("x").alias(column))
-        out = lookup(out, table, key, 8 * width + 32, F.col(other), "left", floor=floor, rows=rows_of(embeddings))
+        out = lookup(out, table, key, row_bytes, F.col(other), "left", hot.get(key, []), rows=rows)
     return out.withColumn("logit", dot_score(F.col("hu"), F.col("hv"))).drop("hu", "hv")
 
 
@@ -83,7 +84,7 @@ def topk_missing_links(edges: DataFrame, ends: DataFrame, bias: float, k: int =
     buyers = edges.select("src_id").distinct()
     taken = edges.select("src_id", "dst_id").union(buyers.select("src_id", F.col("src_id").alias("dst_id"))).distinct()
     places = ranks.select(F.col("id").alias("dst_id"), "rank")
-    taken = lookup(taken, places, "dst_id", 24, F.col("src_id"), rows=n)
+    taken = lookup(taken, places, "dst_id", 24, F.col("src_id"), rows=n, store=True)
     placed = with_position(taken.select("src_id", "rank"), [F.col("rank")], ["src_id"], name="at")
     # rank - at = how many open ranks lie before this taken one; it never falls.
     open_before = (F.col("rank") - F.col("at")).alias("open_before")
@@ -104,7 +105,7 @@ def topk_missing_links(edges: DataFrame, ends: DataFrame, bias: float, k: int =
     chosen = per_buyer.select("src_id", F.explode(picks).alias("p")).select("src_id", "p.place", "p.rank")
     chosen = chosen.filter(F.col("rank") < n)
     # The first ranks are wanted by nearly every purchaser: lookup salts them.
-    chosen = lookup(chosen, ranks, "rank", 32, F.col("src_id"), rows=n)
+    chosen = lookup(chosen, ranks, "rank", 32, F.col("src_id"), rows=n, store=True)
     buyer_half = ends.select(F.col("id").alias("src_id"), "as_buyer")
     chosen = lookup(chosen, buyer_half, "src_id", 24, F.col("place"), hot=[], rows=n)
     logit = F.col("as_buyer") + F.col("as_seller") + F.lit(float(bias))

@@ -48,7 +48,7 @@ def _padded(values: Column, size: int, pad: Column) -> Column:
 def _gathered(sample: DataFrame, table: DataFrame, columns: dict[str, tuple[str, int, Column]], row_bytes: int) -> DataFrame:
     """Collects the sampled neighbours of each node (at most ``fanout``) into padded arrays."""
     keyed = table.withColumnRenamed("id", "nbr_id")
-    joined = lookup(sample, keyed, "nbr_id", row_bytes, F.col("node_id"), rows=rows_of(table))
+    joined = lookup(sample, keyed, "nbr_id", row_bytes, F.col("node_id"), rows=rows_of(table), store=True)
     item = F.struct("slot", "eid", *[c for c in keyed.columns if c != "nbr_id"])
     slots = joined.groupBy(F.col("node_id").alias("id")).agg(F.array_sort(F.collect_list(item)).alias("s"))
     out = []

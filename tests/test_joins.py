@@ -33,6 +33,14 @@ def test_salted_lookup_equals_plain_join(spark, skewed, how, monkeypatch):
     assert "__salt" in out._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_rows_without_a_key_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    df = spark.createDataFrame([(i, None if i % 3 else i) for i in range(300)], "row long, key long")
+    out = joins.lookup(df, spark.createDataFrame([(3, "a")], "key long, v string"), "key", 64, F.col("row"), "left")
+    assert out.count() == 300 and out.filter("v = 'a'").count() == 1
+    assert "isnull(key" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_lookup_broadcasts_only_below_the_bound(spark, skewed, monkeypatch):
     _, df = skewed
     table = spark.createDataFrame([(1, "a")], "key long, v string")
