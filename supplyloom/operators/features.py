@@ -9,8 +9,12 @@ from supplyloom.functions.draws import draw, standard_normals
 
 
 def normal_features(nodes: DataFrame, count: int, seed: int = 0) -> DataFrame:
-    """Seeded standard-normal vector per node: the same company always gets the same one."""
-    return nodes.select("id", standard_normals(count, "feature", seed, F.col("id")).alias("x"))
+    """Seeded standard-normal vector per node: the same company always gets the same one.
+
+    Values are of single precision, which is how training examples carry them.
+    """
+    normals = standard_normals(count, "feature", seed, F.col("id"))
+    return nodes.select("id", normals.cast("array<float>").cast("array<double>").alias("x"))
 
 
 def integer_features(nodes: DataFrame, count: int) -> DataFrame:

@@ -12,14 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyloom.functions.vectors import zeros
 from supplyloom.operators.joins import lookup
 from supplyloom.operators.sampling import fanout_sample, node_index, strict_negatives, uniform_negatives
 from supplyloom.operators.graph import node_set
 from supplyloom.params import Params
-from supplyloom.storage import materialise, rows_of, stored
+from supplyloom.storage import materialise, rows_of, stored, with_known_rows
 
-PART_BYTES = 64 << 20
+PART_BYTES = 8 << 20
 MAX_PARTS = 256
 # Per node: own vector, sampled in-neighbours, and the in-neighbours of those
 # (edge ids padded with -1, vectors with zeros).
@@ -37,8 +36,12 @@ class Shape:
 
     @property
     def row_bytes(self) -> int:
-        block = self.width * (1 + self.fanout + self.fanout + self.fanout**2) + 2 * self.fanout + self.fanout**2
-        return 8 * block * (1 + self.others)
+        return (1 + self.others) * block_bytes(self.width, self.fanout)
+
+
+def block_bytes(width: int, fanout: int) -> int:
+    """Vectors travel in single precision, edge ids as longs."""
+    return 4 * width * (1 + 2 * fanout + fanout**2) + 8 * (2 * fanout + fanout**2)
 
 
 def _padded(values: Column, size: int, pad: Column) -> Column:
@@ -66,7 +69,7 @@ def node_blocks(seeds: DataFrame, message_edges: DataFrame, features: DataFrame,
     then restricted to the nodes that matter, on the same partitioning.
     """
     width, fan = params.num_node_features, params.fanout
-    none, nil = F.lit(NO_EDGE).cast("bigint"), F.lit(0.0)
+    none, nil = F.lit(NO_EDGE).cast("bigint"), F.lit(0.0).cast("float")
     seeds = materialise(seeds.select("id"), "seeds")
     key = seeds.select(F.col("id").alias("node_id"))
     outer = materialise(
@@ -79,8 +82,10 @@ def node_blocks(seeds: DataFrame, message_edges: DataFrame, features: DataFrame,
     inner = fanout_sample(message_edges, 1, params.seed, fan).join(key, "node_id", "left_semi")
 
     features = stored(features, "features")
+    rows = rows_of(features)
+    features = with_known_rows(features.select("id", F.col("x").cast("array<float>").alias("x")), rows)
     near = _gathered(
-        inner, features, {"e1": ("eid", fan, none), "x1": ("x", fan * width, nil)}, 8 * width + 32
+        inner, features, {"e1": ("eid", fan, none), "x1": ("x", fan * width, nil)}, 4 * width + 32
     )
     block1 = materialise(
         features.join(frontier, "id", "left_semi")
@@ -88,7 +93,7 @@ def node_blocks(seeds: DataFrame, message_edges: DataFrame, features: DataFrame,
         .select(
             "id", "x",
             F.coalesce("e1", F.array_repeat(none, fan)).alias("e1"),
-            F.coalesce("x1", zeros(fan * width)).alias("x1"),
+            F.coalesce("x1", F.array_repeat(nil, fan * width)).alias("x1"),
         ),
         "block1",
     )
@@ -100,7 +105,7 @@ def node_blocks(seeds: DataFrame, message_edges: DataFrame, features: DataFrame,
             "e21": ("e1", fan * fan, none),
             "x21": ("x1", fan * fan * width, nil),
         },
-        8 * (width + fan * width + fan) + 64,
+        4 * width * (1 + fan) + 8 * fan + 64,
     )
     return (
         block1.join(seeds, "id", "left_semi")
@@ -108,9 +113,9 @@ def node_blocks(seeds: DataFrame, message_edges: DataFrame, features: DataFrame,
         .select(
             "id", "x", "e1", "x1",
             F.coalesce("e2", F.array_repeat(none, fan)).alias("e2"),
-            F.coalesce("x2", zeros(fan * width)).alias("x2"),
+            F.coalesce("x2", F.array_repeat(nil, fan * width)).alias("x2"),
             F.coalesce("e21", F.array_repeat(none, fan * fan)).alias("e21"),
-            F.coalesce("x21", zeros(fan * fan * width)).alias("x21"),
+            F.coalesce("x21", F.array_repeat(nil, fan * fan * width)).alias("x21"),
         )
     )
 
@@ -144,18 +149,18 @@ def training_examples(
     seeds = positives.select(F.col("src_id").alias("id")).union(others.select("id")).distinct()
     blocks = materialise(node_blocks(seeds, message_edges, features, params), "blocks")
 
-    block_bytes = shape.row_bytes // (1 + shape.others)
-    placed = lookup(others, blocks, "id", block_bytes, F.col("eid"))
+    one = block_bytes(shape.width, shape.fanout)
+    placed = lookup(others, blocks, "id", one, F.col("eid"))
     # At most 1 + k slots per edge, in draw order; missing ones are padded.
     slots = placed.groupBy("eid").agg(F.array_sort(F.collect_list(F.struct("draw", *BLOCK))).alias("s"))
     flat = []
     for c in BLOCK:
         size = _flat_size(c, shape) * shape.others
-        pad = F.lit(NO_EDGE).cast("bigint") if c.startswith("e") else F.lit(0.0)
+        pad = F.lit(NO_EDGE).cast("bigint") if c.startswith("e") else F.lit(0.0).cast("float")
         flat.append(_padded(F.flatten(F.col(f"s.{c}")), size, pad).alias(f"o_{c}"))
     valid = _padded(F.transform("s.draw", lambda _: F.lit(1.0)), shape.others, F.lit(0.0)).alias("valid")
     buyer = blocks.select(F.col("id").alias("src_id"), *[F.col(c).alias(f"s_{c}") for c in BLOCK])
-    rows = lookup(positives, buyer, "src_id", block_bytes, F.col("eid"), rows=rows_of(blocks))
+    rows = lookup(positives, buyer, "src_id", one, F.col("eid"), rows=rows_of(blocks))
     rows = rows.join(slots.select("eid", *flat, valid), "eid").drop("src_id", "dst_id")
     parts = min(MAX_PARTS, max(1, -(-params.batch_size * shape.row_bytes // PART_BYTES)))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("eid"), F.lit(parts)).cast("int"))

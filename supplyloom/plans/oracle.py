@@ -218,7 +218,7 @@ def oracle_sql() -> dict[str, str]:
     digest = "'feature|0|' || id || '|' || (k // 2)"
     u1 = f"(({unit.format(t=digest, at=1)} + 0.5::double) / 1152921504606846976::double)"
     u2 = f"(({unit.format(t=digest, at=16)} + 0.5::double) / 1152921504606846976::double)"
-    normal = f"sqrt(-2 * ln({u1})) * case when k % 2 = 0 then cos(2 * pi() * {u2}) else sin(2 * pi() * {u2}) end"
+    normal = f"(sqrt(-2 * ln({u1})) * case when k % 2 = 0 then cos(2 * pi() * {u2}) else sin(2 * pi() * {u2}) end)::float::double"
     negatives = f"""
         select eid, src_id, id as dst_id, j as draw
         from e, (select unnest(range(1, {{top}}))::int as j) join node_index
