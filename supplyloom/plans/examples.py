@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,28 +22,53 @@ from supplyloom.storage import materialise, rows_of, stored, with_known_rows
 
 PART_BYTES = 8 << 20
 MAX_PARTS = 256
-# Per node: own vector, sampled in-neighbours, and the in-neighbours of those
-# (edge ids padded with -1, vectors with zeros).
-BLOCK = ("x", "e1", "x1", "e2", "x2", "e21", "x21")
 NO_EDGE = -1
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Sizes a gradient task needs to read the flat arrays."""
+    """Layout of a node's block, a fixed-size record: its own vector, those of its
+    sampled in-neighbours, those of their in-neighbours, then the edge ids that
+    brought them (NO_EDGE and zeros where there is none)."""
 
     width: int
     fanout: int
-    others: int  # seller and its negatives
+    others: int  # seller and negatives per example, at most
+
+    @property
+    def vector_sizes(self) -> tuple[int, int, int, int]:
+        f, d = self.fanout, self.width
+        return d, f * d, f * d, f * f * d
+
+    @property
+    def edge_sizes(self) -> tuple[int, int, int]:
+        return self.fanout, self.fanout, self.fanout**2
+
+    @property
+    def block_bytes(self) -> int:
+        """Vectors are in single precision, edge ids are longs."""
+        return 4 * sum(self.vector_sizes) + 8 * sum(self.edge_sizes)
 
     @property
     def row_bytes(self) -> int:
-        return (1 + self.others) * block_bytes(self.width, self.fanout)
+        return self.block_bytes * (1 + self.others)
+
+
+def _packed(shape: Shape) -> Column:
+    """One binary per node: joins, shuffles and scans then copy bytes, not elements."""
 
+    @F.arrow_udf("binary")
+    def pack(*columns: pa.Array) -> pa.Array:
+        n = len(columns[0])
+        parts = []
+        for column, kind in zip(columns, [np.float32] * 4 + [np.int64] * 3):
+            flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)
+            parts.append(np.ascontiguousarray(flat).view(np.uint8).reshape(n, -1) if n else flat.view(np.uint8))
+        data = np.hstack(parts) if n else np.empty(0, np.uint8)
+        offsets = np.arange(n + 1, dtype=np.int32) * shape.block_bytes
+        return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
 
-def block_bytes(width: int, fanout: int) -> int:
-    """Vectors travel in single precision, edge ids as longs."""
-    return 4 * width * (1 + 2 * fanout + fanout**2) + 8 * (2 * fanout + fanout**2)
+    return pack("x", "x1", "x2", "x21", "e1", "e2", "e21")
 
 
 def _padded(values: Column, size: int, pad: Column) -> Column:
@@ -62,8 +89,10 @@ def _gathered(sample: DataFrame, table: DataFrame, columns: dict[str, tuple[str,
     return slots.select("id", *out)
 
 
-def node_blocks(seeds: DataFrame, message_edges: DataFrame, features: DataFrame, params: Params) -> DataFrame:
-    """``(id, x, e1, x1, e2, x2, e21, x21)`` of the seed nodes.
+def node_blocks(
+    seeds: DataFrame, message_edges: DataFrame, features: DataFrame, params: Params, shape: Shape
+) -> DataFrame:
+    """``(id, block)`` of the seed nodes.
 
     The sample cuts hubs before its shuffle, so it is taken first and
     then restricted to the nodes that matter, on the same partitioning.
@@ -117,6 +146,7 @@ def node_blocks(seeds: DataFrame, message_edges: DataFrame, features: DataFrame,
             F.coalesce("e21", F.array_repeat(none, fan * fan)).alias("e21"),
             F.coalesce("x21", F.array_repeat(nil, fan * fan * width)).alias("x21"),
         )
+        .select("id", _packed(shape).alias("block"))
     )
 
 
@@ -134,9 +164,8 @@ def training_examples(
     """One row per positive edge of the capped batches, stored by ``batch_id``.
 
     ``batched`` has ``eid, src_id, dst_id, batch_id``. Columns of the result:
-    ``batch_id, part, eid``, the purchaser's block as ``s_*``, the blocks of
-    seller and negatives one after the other as ``o_*``, and ``valid`` marking
-    which of those slots are filled.
+    ``batch_id, part, eid``, the purchaser's block as ``buyer`` and, as ``others``,
+    the blocks of the seller and of the negatives in draw order.
     """
     shape = Shape(params.num_node_features, params.fanout, 1 + params.num_negative_samples)
     positives = materialise(batched.select("eid", "src_id", "dst_id", "batch_id"), "positives")
@@ -147,28 +176,16 @@ def training_examples(
         "others",
     )
     seeds = positives.select(F.col("src_id").alias("id")).union(others.select("id")).distinct()
-    blocks = materialise(node_blocks(seeds, message_edges, features, params), "blocks")
-
-    one = block_bytes(shape.width, shape.fanout)
-    placed = lookup(others, blocks, "id", one, F.col("eid"))
-    # At most 1 + k slots per edge, in draw order; missing ones are padded.
-    slots = placed.groupBy("eid").agg(F.array_sort(F.collect_list(F.struct("draw", *BLOCK))).alias("s"))
-    flat = []
-    for c in BLOCK:
-        size = _flat_size(c, shape) * shape.others
-        pad = F.lit(NO_EDGE).cast("bigint") if c.startswith("e") else F.lit(0.0).cast("float")
-        flat.append(_padded(F.flatten(F.col(f"s.{c}")), size, pad).alias(f"o_{c}"))
-    valid = _padded(F.transform("s.draw", lambda _: F.lit(1.0)), shape.others, F.lit(0.0)).alias("valid")
-    buyer = blocks.select(F.col("id").alias("src_id"), *[F.col(c).alias(f"s_{c}") for c in BLOCK])
-    rows = lookup(positives, buyer, "src_id", one, F.col("eid"), rows=rows_of(blocks))
-    rows = rows.join(slots.select("eid", *flat, valid), "eid").drop("src_id", "dst_id")
+    blocks = materialise(node_blocks(seeds, message_edges, features, params, shape), "blocks")
+
+    placed = lookup(others, blocks, "id", shape.block_bytes, F.col("eid"))
+    # At most 1 + k blocks per edge.
+    slots = F.array_sort(F.collect_list(F.struct("draw", "block"))).getField("block")
+    grouped = placed.groupBy("eid").agg(slots.alias("others"))
+    buyers = blocks.select(F.col("id").alias("src_id"), F.col("block").alias("buyer"))
+    rows = lookup(positives, buyers, "src_id", shape.block_bytes, F.col("eid"), rows=rows_of(blocks))
+    rows = rows.join(grouped, "eid").select("batch_id", "eid", "buyer", "others")
     parts = min(MAX_PARTS, max(1, -(-params.batch_size * shape.row_bytes // PART_BYTES)))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("eid"), F.lit(parts)).cast("int"))
     laid_out = rows.repartition("batch_id", "part")
     return materialise(laid_out, "examples", partition_by="batch_id"), shape
-
-
-def _flat_size(column: str, shape: Shape) -> int:
-    per_edge = {"x": 1, "e1": shape.fanout, "x1": shape.fanout, "e2": shape.fanout, "x2": shape.fanout}
-    per_edge |= {"e21": shape.fanout**2, "x21": shape.fanout**2}
-    return per_edge[column] * (shape.width if column.startswith("x") else 1)

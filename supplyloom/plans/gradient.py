@@ -13,32 +13,28 @@ import pyarrow as pa
 from supplyloom.plans.examples import NO_EDGE, Shape
 
 
-def _matrix(batch: pa.RecordBatch, column: str, dtype=float) -> np.ndarray:
-    flat = batch.column(column).flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(dtype, copy=False)
-
-
-def _ends(batch: pa.RecordBatch, side: str, count: int, shape: Shape, drop: np.ndarray | None) -> dict:
-    """The blocks of one side as arrays with ``rows * count`` nodes in front."""
-    f, d = shape.fanout, shape.width
-    n = batch.num_rows * count
-    own = None if drop is None else np.repeat(drop, count)
-
-    def present(column: str, *dims: int) -> np.ndarray:
-        eids = _matrix(batch, f"{side}_{column}", np.int64).reshape(n, *dims)
-        mask = eids != NO_EDGE
-        if own is not None:
-            mask &= eids != own.reshape(n, *[1] * len(dims))
-        return mask.astype(float)
-
+def _records(blocks: pa.Array, size: int) -> np.ndarray:
+    """Fixed-size binary records as bytes ``[n, size]``, without a copy."""
+    n = len(blocks)
+    _, offsets, data = blocks.buffers()
+    start = np.frombuffer(offsets, np.int32)[blocks.offset] if n else 0
+    return np.frombuffer(data, np.uint8, n * size, start).reshape(n, size) if n else np.empty((0, size), np.uint8)
+
+
+def _fields(records: np.ndarray, shape: Shape, drop: np.ndarray | None) -> dict:
+    """The vectors and neighbour masks of ``n`` blocks; edges in ``drop`` [n] are masked out."""
+    n, f, d = len(records), shape.fanout, shape.width
+    split = 4 * sum(shape.vector_sizes)
+    vectors = np.ascontiguousarray(records[:, :split]).view(np.float32).astype(float)
+    eids = np.ascontiguousarray(records[:, split:]).view(np.int64)
+    x, x1, x2, x21 = np.split(vectors, np.cumsum(shape.vector_sizes)[:-1], axis=1)
+    present = eids != NO_EDGE
+    if drop is not None:
+        present &= eids != drop[:, None]
+    m1, m2, m21 = np.split(present.astype(float), np.cumsum(shape.edge_sizes)[:-1], axis=1)
     return {
-        "x": _matrix(batch, f"{side}_x").reshape(n, d),
-        "m1": present("e1", f),
-        "x1": _matrix(batch, f"{side}_x1").reshape(n, f, d),
-        "m2": present("e2", f),
-        "x2": _matrix(batch, f"{side}_x2").reshape(n, f, d),
-        "m21": present("e21", f, f),
-        "x21": _matrix(batch, f"{side}_x21").reshape(n, f, f, d),
+        "x": x, "x1": x1.reshape(n, f, d), "x2": x2.reshape(n, f, d), "x21": x21.reshape(n, f, f, d),
+        "m1": m1, "m2": m2, "m21": m21.reshape(n, f, f),
     }
 
 
@@ -101,46 +97,51 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def forward(batch: pa.RecordBatch, w: dict, shape: Shape, exclude: bool) -> tuple[np.ndarray, np.ndarray, tuple]:
-    """Logits ``[rows, 1 + k]`` (seller first), the filled slots, and what backward needs."""
-    n, k = batch.num_rows, shape.others
-    drop = batch.column("eid").to_numpy(zero_copy_only=False) if exclude else None
-    h_src, c_src = _encode(w, _ends(batch, "s", 1, shape, drop))
-    h_dst, c_dst = _encode(w, _ends(batch, "o", k, shape, drop))
+    """Logits of all slots, the row each slot belongs to, and what backward needs.
+
+    The first slot of a row is its seller, the others are its negatives.
+    """
+    others = batch.column("others")
+    row = np.repeat(np.arange(batch.num_rows), np.diff(others.offsets.to_numpy()))
+    eid = batch.column("eid").to_numpy(zero_copy_only=False) if exclude else None
+    size = shape.block_bytes
+    h_src, c_src = _encode(w, _fields(_records(batch.column("buyer"), size), shape, eid))
+    h_dst, c_dst = _encode(w, _fields(_records(others.flatten(), size), shape, None if eid is None else eid[row]))
     half = shape.width
-    logits = (h_src @ w["score.w"][:half])[:, None] + (h_dst @ w["score.w"][half:]).reshape(n, k) + w["score.b"][0]
-    valid = _matrix(batch, "valid").reshape(n, k)
-    return logits, valid, (h_src, c_src, h_dst, c_dst)
+    logits = (h_src @ w["score.w"][:half])[row] + h_dst @ w["score.w"][half:] + w["score.b"][0]
+    return logits, row, (h_src, c_src, h_dst, c_dst)
+
+
+def sellers(row: np.ndarray) -> np.ndarray:
+    """Marks the first slot of each row."""
+    return np.diff(row, prepend=-1) != 0
 
 
-def loss_and_slope(logits: np.ndarray, valid: np.ndarray, loss: str) -> tuple[float, float, np.ndarray]:
+def loss_and_slope(logits: np.ndarray, row: np.ndarray, loss: str) -> tuple[float, float, np.ndarray]:
     """(summed loss, number of terms, d sum / d logits)."""
+    first = sellers(row)
     if loss == "binary_cross_entropy":
-        label = np.zeros_like(logits)
-        label[:, 0] = 1.0
-        terms = np.maximum(logits, 0.0) - logits * label + np.log1p(np.exp(-np.abs(logits)))
-        return float((terms * valid).sum()), float(valid.sum()), (_sigmoid(logits) - label) * valid
+        terms = np.maximum(logits, 0.0) - logits * first + np.log1p(np.exp(-np.abs(logits)))
+        return float(terms.sum()), float(len(terms)), _sigmoid(logits) - first
     strength = _sigmoid(logits)
-    slope = strength * (1.0 - strength)
-    gap = strength[:, 1:] - strength[:, :1] + 1.0
-    active = (gap > 0) * valid[:, 1:]
-    d = np.empty_like(logits)
-    d[:, 1:] = active * slope[:, 1:]
-    d[:, 0] = -active.sum(axis=1) * slope[:, 0]
-    return float((gap * active).sum()), float(valid[:, 1:].sum()), d
+    gap = np.where(first, 0.0, strength - strength[first][row] + 1.0)
+    active = (gap > 0).astype(float)
+    pull = np.where(first, -np.bincount(row, active)[row] if len(row) else 0.0, active)
+    return float(gap[gap > 0].sum()), float((~first).sum()), pull * strength * (1.0 - strength)
 
 
 def batch_gradient(
     batch: pa.RecordBatch, w: dict, shape: Shape, loss: str, exclude: bool
 ) -> tuple[float, float, dict]:
     """(summed loss, number of terms, summed gradient per weight)."""
-    logits, valid, (h_src, c_src, h_dst, c_dst) = forward(batch, w, shape, exclude)
-    total, terms, d = loss_and_slope(logits, valid, loss)
+    logits, row, (h_src, c_src, h_dst, c_dst) = forward(batch, w, shape, exclude)
+    total, terms, d_dst = loss_and_slope(logits, row, loss)
+    d_src = np.bincount(row, d_dst, minlength=batch.num_rows)
     g = {name: np.zeros_like(value) for name, value in w.items()}
     half = shape.width
-    d_src, d_dst = d.sum(axis=1), d.ravel()
     g["score.w"][:half] = h_src.T @ d_src
     g["score.w"][half:] = h_dst.T @ d_dst
-    g["score.b"][0] = d.sum()
+    g["score.b"][0] = d_dst.sum()
     _encode_back(w, g, d_src[:, None] * w["score.w"][:half], c_src)
     _encode_back(w, g, d_dst[:, None] * w["score.w"][half:], c_dst)
     return total, terms, g

@@ -22,7 +22,7 @@ from supplyloom.operators.sampling import fanout_sample, labelled_examples, node
 from supplyloom.operators.scoring import with_logit
 from supplyloom.params import Params
 from supplyloom.plans.examples import Shape, draw_negatives, training_examples
-from supplyloom.plans.gradient import batch_gradient, forward
+from supplyloom.plans.gradient import batch_gradient, forward, sellers
 from supplyloom.plans.weights import as_model, flatten, initial_weights, unflatten
 from supplyloom.storage import materialise, rows_of, stored
 
@@ -135,16 +135,12 @@ def replay_scores(
             steps = batch.column("batch_id").to_numpy()
             for step in np.unique(steps):
                 part = batch.filter(pa.array(steps == step))
-                logits, valid, _ = forward(part, history[int(step)], shape, exclude)
-                keep = valid > 0
-                label = np.zeros(logits.shape, dtype=np.int32)
-                label[:, 0] = 1
-                n = int(keep.sum())
+                logits, row, _ = forward(part, history[int(step)], shape, exclude)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "batch_id": pa.array(np.full(n, step, dtype=np.int64)),
-                        "label": pa.array(label[keep]),
-                        "score": pa.array(logits[keep]),
+                        "batch_id": pa.array(np.full(len(row), step, dtype=np.int64)),
+                        "label": pa.array(sellers(row).astype(np.int32)),
+                        "score": pa.array(logits),
                     }
                 )
 

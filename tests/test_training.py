@@ -9,7 +9,7 @@ import brute
 from supplyloom.params import DEFAULT, SEARCH_SPACE, TUNED, Params
 from supplyloom.plans import search, training, weights as W
 from supplyloom.plans.examples import training_examples
-from supplyloom.plans.gradient import batch_gradient, forward
+from supplyloom.plans.gradient import batch_gradient, forward, sellers
 from supplyloom.operators import graph
 
 P = Params(num_node_features=3, hidden_dim=4, num_negative_samples=2, batch_size=16, max_steps=4, lr=0.05, seed=1)
@@ -72,14 +72,15 @@ def test_forward_equals_the_sampled_encoder(spark, edges, exclude):
     ]
     ends = {r.eid: (r.src_id, r.dst_id) for r in train.collect()}
     batch = _arrow(examples)
-    logits, valid, _ = forward(batch, weights, shape, exclude)
-    assert len(logits) == len(ends) and valid.all()
-    for row, eid in zip(logits, batch.column("eid").to_pylist()):
+    flat, row, _ = forward(batch, weights, shape, exclude)
+    assert len(flat) == 3 * len(ends)
+    logits = flat[sellers(row)]
+    for logit, eid in zip(logits, batch.column("eid").to_pylist()):
         layers = [[(s, d) for s, d, e in k if not (exclude and e == eid)] for k in kept]
         h = brute.embed(x, layers[0], model, layers[1])
         u, v = ends[eid]
         want = model.score_w @ np.concatenate([h[u], h[v]]) + model.score_b
-        assert row[0] == pytest.approx(want, abs=1e-10)
+        assert logit == pytest.approx(want, abs=1e-10)
 
 
 def test_gradient_does_not_depend_on_partitions(edges):
