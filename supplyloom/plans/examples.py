@@ -169,6 +169,8 @@ def training_examples(
     """
     shape = Shape(params.num_node_features, params.fanout, 1 + params.num_negative_samples)
     positives = materialise(batched.select("eid", "src_id", "dst_id", "batch_id"), "positives")
+    if not positives.groupBy("eid").count().filter(F.col("count") > 1).isEmpty():
+        raise ValueError("eid must be unique: it ties negatives and sampled neighbours to their edge")
     negatives = draw_negatives(positives.drop("batch_id"), message_edges, params)
     others = materialise(
         positives.select("eid", F.col("dst_id").alias("id"), F.lit(0).alias("draw"))

@@ -46,12 +46,15 @@ def silver_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two-sided graph of customers and suppliers; larger, without overlap of ids."""
+    """Two-sided graph of customers and suppliers; larger, without overlap of ids.
+
+    Line numbers repeat within an order, so these edges have no id of their own;
+    ``edges_of`` numbers them.
+    """
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return joined.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("eid"),
         F.col("o_custkey").alias("src_id"),
         (F.col("l_suppkey") + 1000000).alias("dst_id"),
     )

@@ -43,7 +43,7 @@ STEPS: dict[str, str] = {
         from rel where probability >= 0.55::double""",
     "e": "select eid, src_id, dst_id from silver",
     "orders_e": """
-        select l_orderkey * 10 + l_linenumber as eid, o_custkey as src_id, l_suppkey + 1000000 as dst_id
+        select o_custkey as src_id, l_suppkey + 1000000 as dst_id
         from lineitem join orders on l_orderkey = o_orderkey""",
     "nodes": "select src_id as id from e union select dst_id from e",
     "dense": "select unnest(range(0, (select max(greatest(src_id, dst_id)) + 1 from e))) as id",
