@@ -22,6 +22,9 @@ def hot_keys(df: DataFrame, *keys: str, floor: int | None = None) -> dict[str, l
     than 1/HOT_LIMIT of the table, which one task can take.
     """
     floor = HOT_FLOOR if floor is None else floor
+    known = getattr(df, "known_rows", None)
+    if known is not None and known < floor:
+        return {k: [] for k in keys}
     # ``keys`` share one type, so the fixed-width aggregate stays in codegen.
     pairs = F.array(*[F.struct(F.lit(i).alias("c"), F.col(k).alias("k")) for i, k in enumerate(keys)])
     counts = (

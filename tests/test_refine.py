@@ -60,9 +60,11 @@ def test_entities(spark, floor, monkeypatch):
     ]
 
 
-def test_quantiles_with_ties_and_nulls(spark):
+@pytest.mark.parametrize("driver_values", [0, 50_000])
+def test_quantiles_with_ties_and_nulls(spark, monkeypatch, driver_values):
     import numpy as np
 
+    monkeypatch.setattr("supplyloom.operators.profile.DRIVER_VALUES", driver_values)
     values = [0.5] * 400 + [i / 997 for i in range(997)] + [None] * 3
     df = spark.createDataFrame([(v,) for v in values], "probability double").repartition(6)
     real = [v for v in values if v is not None]
