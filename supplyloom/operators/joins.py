@@ -12,19 +12,21 @@ from supplyloom.storage import rows_of, stored
 BROADCAST_BYTES = 128 << 20
 HOT_FLOOR = 1_000_000
 HOT_LIMIT = 512
-SPREAD = 64
+NULL_SPREAD = 1 << 20
 
+Spreads = dict  # hot key -> number of salts
 
-def hot_keys(df: DataFrame, *keys: str, floor: int | None = None) -> dict[str, list]:
-    """Keys with at least ``floor`` rows, at most HOT_LIMIT per column, in one pass.
 
-    Any key outside the returned ones holds fewer than ``floor`` rows or less
-    than 1/HOT_LIMIT of the table, which one task can take.
+def hot_keys(df: DataFrame, *keys: str, floor: int | None = None) -> dict[str, Spreads]:
+    """Keys with at least ``floor`` rows, about HOT_LIMIT per column, in one pass.
+
+    Each comes with the number of salts that leaves about ``floor`` rows per salt.
+    Any other key holds fewer than ``floor`` rows or less than 1/HOT_LIMIT of the table.
     """
     floor = HOT_FLOOR if floor is None else floor
     known = getattr(df, "known_rows", None)
     if known is not None and known < floor:
-        return {k: [] for k in keys}
+        return {k: {} for k in keys}
     # ``keys`` share one type, so the fixed-width aggregate stays in codegen.
     pairs = F.array(*[F.struct(F.lit(i).alias("c"), F.col(k).alias("k")) for i, k in enumerate(keys)])
     counts = (
@@ -36,9 +38,10 @@ def hot_keys(df: DataFrame, *keys: str, floor: int | None = None) -> dict[str, l
         .orderBy(F.desc("count"), "c", "k")
         .limit(HOT_LIMIT * len(keys))
     )
-    found: dict[str, list] = {k: [] for k in keys}
+    found: dict[str, Spreads] = {k: {} for k in keys}
     for row in counts.collect():
-        found[keys[row.c]].append(row.k)
+        # Powers of two, so that few distinct spreads need a test per row.
+        found[keys[row.c]][row.k] = 2 << (row["count"] // floor - 1).bit_length()
     return found
 
 
@@ -46,23 +49,26 @@ def fits_broadcast(rows: int, row_bytes: int) -> bool:
     return rows * row_bytes <= BROADCAST_BYTES
 
 
-def _salts(is_hot: Column, row: Column | None, spread: int) -> tuple[Column, Column]:
-    """(one salt per row, all salts of a key) as longs; cold keys only have salt 0."""
-    zero, last = F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint")
-    one = F.when(is_hot, F.pmod(F.xxhash64(row), F.lit(spread))).otherwise(zero) if row is not None else None
-    return one, F.when(is_hot, F.sequence(zero, last)).otherwise(F.array(zero))
+def _spread(key: str, hot: Spreads, null_spread: int = 1) -> Column:
+    """Number of salts of each row's key; 1 for cold keys."""
+    out = F.lit(1)
+    for spread in sorted(set(hot.values())):
+        out = F.when(F.col(key).isin([k for k, s in hot.items() if s == spread]), F.lit(spread)).otherwise(out)
+    return F.when(F.col(key).isNull(), F.lit(null_spread)).otherwise(out) if null_spread > 1 else out
+
+
+def _one_salt(spread: Column, row: Column) -> Column:
+    return F.pmod(F.xxhash64(row), spread.cast("bigint"))
+
+
+def _all_salts(spread: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), spread.cast("bigint") - 1))
 
 
 def salted_join(
-    big: DataFrame,
-    table: DataFrame,
-    key: str,
-    hot: list,
-    salt_by: Column,
-    how: str = "inner",
-    spread: int = SPREAD,
+    big: DataFrame, table: DataFrame, key: str, hot: Spreads, salt_by: Column, how: str = "inner"
 ) -> DataFrame:
-    """Equi-join on ``key`` with the rows of each hot key spread over ``spread`` tasks.
+    """Equi-join on ``key`` with the rows of each hot key spread over its salts.
 
     Rows of ``big`` get one salt each, rows of ``table`` are copied once per salt
     for hot keys only, so every pair still meets exactly once. A left join keeps
@@ -71,11 +77,8 @@ def salted_join(
     keep = how == "left"
     if not hot and not keep:
         return big.join(table, key, how)
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    one, _ = _salts(F.col(key).isNull() | is_hot if keep else is_hot, salt_by, spread)
-    _, every = _salts(is_hot, None, spread)
-    left = big.withColumn("__salt", one)
-    right = table.withColumn("__salt", F.explode(every))
+    left = big.withColumn("__salt", _one_salt(_spread(key, hot, NULL_SPREAD if keep else 1), salt_by))
+    right = table.withColumn("__salt", _all_salts(_spread(key, hot)))
     return left.join(right, [key, "__salt"], how).drop("__salt")
 
 
@@ -83,23 +86,22 @@ def salted_many_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    hot_left: list,
-    hot_right: list,
+    hot_left: Spreads,
+    hot_right: Spreads,
     left_row: Column,
     right_row: Column,
-    spread: int = SPREAD,
 ) -> DataFrame:
     """Inner many-to-many equi-join whose keys may be hot on either side.
 
     A hot key becomes a grid: each row picks its own line of the grid and is
-    copied along the other side's lines, so every pair meets exactly once.
+    copied along the other side's lines, so every pair meets exactly once. The
+    copies are a small fraction of the result, which has floor rows per line.
     """
     if not hot_left and not hot_right:
         return left.join(right, key)
-    left_one, left_all = _salts(F.col(key).isin(hot_left), left_row, spread)
-    right_one, right_all = _salts(F.col(key).isin(hot_right), right_row, spread)
-    a = left.withColumn("__l", left_one).withColumn("__r", F.explode(right_all))
-    b = right.withColumn("__r", right_one).withColumn("__l", F.explode(left_all))
+    ls, rs = _spread(key, hot_left), _spread(key, hot_right)
+    a = left.withColumn("__l", _one_salt(ls, left_row)).withColumn("__r", _all_salts(rs))
+    b = right.withColumn("__r", _one_salt(rs, right_row)).withColumn("__l", _all_salts(ls))
     return a.join(b, [key, "__l", "__r"]).drop("__l", "__r")
 
 
@@ -110,7 +112,7 @@ def lookup(
     row_bytes: int,
     salt_by: Column,
     how: str = "inner",
-    hot: list | Callable[[], list] | None = None,
+    hot: Spreads | Callable[[], Spreads] | None = None,
     floor: int | None = None,
     rows: int | None = None,
     store: bool = False,

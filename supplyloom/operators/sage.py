@@ -61,7 +61,7 @@ class MessageGraph:
         return cls(materialise(folded, "pairs"), floor)
 
     @cached_property
-    def hot(self) -> list:
+    def hot(self) -> dict:
         return hot_keys(self.pairs, "nbr_id", floor=self.floor)["nbr_id"]
 
 
@@ -138,7 +138,7 @@ def embed_new(
     neighbours = edges.select(F.col("dst_id").alias("node_id"), F.col("src_id").alias("nbr_id"))
 
     @cache
-    def hot() -> list:
+    def hot() -> dict:
         return hot_keys(neighbours, "node_id")["node_id"]
 
     def into(ids: DataFrame) -> DataFrame:

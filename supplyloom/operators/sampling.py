@@ -89,7 +89,7 @@ def uniform_negatives(
     drawn = _draws(edges.drop("dst_id"), k, n, seed)
     # Draws are uniform over the index: no key can be hot.
     table = index.withColumnRenamed("id", "dst_id")
-    out = lookup(drawn, table, "node_index", 32, F.col("eid"), hot=[], rows=n)
+    out = lookup(drawn, table, "node_index", 32, F.col("eid"), hot={}, rows=n)
     return out.select(*edges.columns, "draw")
 
 

@@ -53,6 +53,8 @@ class Params:
                 continue
             if key not in names:
                 raise KeyError(f"unknown parameter {key!r}")
+            if names[key] is bool and isinstance(value, str):
+                value = value.strip().lower() == "true"
             out[key] = names[key](value)
         return cls(**out)
 

@@ -26,8 +26,8 @@ _registry: dict[str, Query] = {}
 SPLIT_PARAMS = DEFAULT
 NEGATIVES = 3
 BATCH = 64
-# Small settings for the learning queries: the data is whole, the run is short.
-TRAIN_PARAMS = DEFAULT.with_(num_negative_samples=3, batch_size=512, max_steps=6, lr=0.01)
+# One pass over the whole training split: the number of steps grows with the data.
+TRAIN_PARAMS = DEFAULT.with_(num_negative_samples=3, batch_size=2048, max_steps=1_000_000, lr=0.01)
 
 
 def query(f: Query) -> Query:
@@ -529,7 +529,7 @@ def stream_score(spark, sf_dir):
 
 @query
 def train_link_model(spark, sf_dir):
-    """Metric log of a short run over the whole silver graph."""
+    """Metric log of one pass over the training edges of the silver graph."""
     data = fit.split_graph(fx.silver_edges(spark, sf_dir), TRAIN_PARAMS)
     return fit.train(data, TRAIN_PARAMS).metrics
 
@@ -544,7 +544,7 @@ def evaluate_link_model(spark, sf_dir):
 @query
 def param_search(spark, sf_dir):
     space = {"aggregator_type": ("mean", "pool"), "optimiser": ("Adam", "SGD"), "lr": (1e-3, 1e-2)}
-    base = TRAIN_PARAMS.with_(num_node_features=4, hidden_dim=5, max_steps=2)
+    base = TRAIN_PARAMS.with_(num_node_features=4, hidden_dim=5)
     edges = materialise(fx.silver_edges(spark, sf_dir), "edges")
     trials = hyper.search(edges, hyper.draw_trials(2, 1, base, space), parallelism=2)
     best = hyper.best_trial(trials).select(F.col("trial").alias("best"))

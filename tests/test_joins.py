@@ -18,8 +18,12 @@ def test_hot_keys(skewed):
     rows, df = skewed
     counts = Counter(k for _, k in rows if k is not None)
     floor = 200
-    assert joins.hot_keys(df, "key", floor=floor) == {"key": [k for k, n in counts.items() if n >= floor]}
-    assert joins.hot_keys(df, "key") == {"key": []}
+    found = joins.hot_keys(df, "key", floor=floor)["key"]
+    assert set(found) == {k for k, n in counts.items() if n >= floor}
+    assert joins.hot_keys(df, "key") == {"key": {}}
+    # about ``floor`` rows per salt, whatever the key holds
+    for k, spread in joins.hot_keys(df, "key", floor=7)["key"].items():
+        assert counts[k] / 7 < spread <= 4 * counts[k] / 7
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
@@ -59,6 +63,6 @@ def test_grid_join_equals_plain_join(spark):
     a = spark.createDataFrame(left, "l long, key long")
     b = spark.createDataFrame(right, "key long, r long")
     plain = Counter((l, r) for l, k in left for k2, r in right if k == k2)
-    for hot_l, hot_r in (([1], [1]), ([1, 2], []), ([], [1, 3]), ([], [])):
-        out = joins.salted_many_join(a, b, "key", hot_l, hot_r, F.col("l"), F.col("r"), spread=5)
+    for hot_l, hot_r in (({1: 4}, {1: 2}), ({1: 8, 2: 2}, {}), ({}, {1: 2, 3: 4}), ({}, {})):
+        out = joins.salted_many_join(a, b, "key", hot_l, hot_r, F.col("l"), F.col("r"))
         assert Counter((x.l, x.r) for x in out.collect()) == plain
