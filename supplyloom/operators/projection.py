@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from supplyloom.operators.graph import exact_sample
 from supplyloom.storage import materialise

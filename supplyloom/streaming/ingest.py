@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from supplyloom.operators.refine import MIN_CONFIDENCE, refined, to_silver
 from supplyloom.operators.scoring import score_relations
-from supplyloom.sources.landing import read_landing
+from supplyloom.sources.landing import landing_schema, read_landing
 from supplyloom.sources.schemas import BRONZE, CORRUPT, with_corrupt_column
 
 TIMEOUT_SECONDS = 3600
@@ -45,9 +45,15 @@ def _drain(query, timeout: float) -> None:
 
 def ingest_bronze(
     spark: SparkSession, landing: str, bronze: str, checkpoint: str, schema: T.StructType = BRONZE,
-    files_per_trigger: int | None = None,
+    files_per_trigger: int | None = None, schema_location: str | None = None,
 ) -> None:
-    """Landing JSON -> bronze path. Each file once; new columns widen the path."""
+    """Landing JSON -> bronze path. Each file once; new columns widen the path.
+
+    With a ``schema_location`` the column types are inferred, kept there, and
+    widened by the columns of newly landed files.
+    """
+    if schema_location:
+        schema = landing_schema(spark, landing, schema_location)
     append_available(read_landing(spark, landing, schema, files_per_trigger), bronze, checkpoint)
 
 

@@ -1,8 +1,6 @@
 import random
 from collections import Counter
 
-import pytest
-from pyspark.sql import functions as F
 
 from brute import draw
 from supplyloom.operators import graph, sampling

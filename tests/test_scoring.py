@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from supplyloom.operators import joins, risk, scoring
 
@@ -41,6 +40,17 @@ def test_unknown_company_scores_null(spark, ends, way):
     assert rows[0].gnn_prediction is not None and rows[1].gnn_prediction is None and rows[2].gnn_prediction is None
 
 
+def test_plans_stay_in_the_jvm_and_broadcast_small_tables(spark, ends):
+    df = spark.createDataFrame([(0, 1, 2, 0.6)], "eid long, src_id long, dst_id long, probability double")
+    plan = scoring.score_relations(df, ends, 0.1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "EvalPython" not in plan
+    profiles = spark.createDataFrame(
+        [(1, "A", "R", 1.0, 0.5)], "company_id long, country string, region string, risk_premium double, risk_score double"
+    )
+    plan = risk.enrich(df, profiles)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2
+
+
 def test_rejected(spark, ends):
     df = spark.createDataFrame(
         [(0, 1, 2, 0.6), (1, 1, 2, 0.5), (2, 1, 99, 0.1), (3, 3, 4, None)],

@@ -80,6 +80,9 @@ def test_schema_is_inferred_once_and_widened(spark, tmp_path):
     again = landing.landing_schema(spark, land, where)
     assert again.fieldNames() == [*first.fieldNames(), "tier"]
     assert landing.landing_schema(spark, land, where, evolve=False) == again
+    ingest.ingest_bronze(spark, land, str(tmp_path / "b"), str(tmp_path / "c"), schema_location=where)
+    rows = tables.read_path(spark, str(tmp_path / "b")).orderBy("src_id").collect()
+    assert [(r.src_id, r.tier, r.probability) for r in rows] == [(1, None, 0.5), (2, 3, 0.5)]
 
 
 def test_tables(spark, tmp_path):

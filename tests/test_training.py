@@ -1,9 +1,7 @@
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 import brute
 from supplyloom.params import DEFAULT, SEARCH_SPACE, TUNED, Params
