@@ -27,7 +27,7 @@ SPLIT_PARAMS = DEFAULT
 NEGATIVES = 3
 BATCH = 64
 # One pass over the whole training split: the number of steps grows with the data.
-TRAIN_PARAMS = DEFAULT.with_(num_negative_samples=3, batch_size=2048, max_steps=1_000_000, lr=0.01)
+TRAIN_PARAMS = DEFAULT.with_(num_negative_samples=3, batch_size=4096, max_steps=1_000_000, lr=0.01)
 
 
 def query(f: Query) -> Query:
@@ -377,10 +377,15 @@ def topk_missing_links(spark, sf_dir):
 # --- metrics and losses ------------------------------------------------------
 
 
+def _tied(scored: DataFrame) -> DataFrame:
+    """Scores that are equal but for the order of their additions become ties (shifted as above)."""
+    return scored.withColumn("score", F.round(F.col("score") + F.lit(1.3e-10), 9))
+
+
 def _scored_examples(spark, sf_dir):
     examples = _examples(spark, sf_dir)
     scored = scoring.with_logit(examples, fx.fixed_companies(spark, sf_dir), fx.fixed_model().score_b, "inner")
-    return scored.withColumnRenamed("logit", "score")
+    return _tied(scored.withColumnRenamed("logit", "score"))
 
 
 def _batched_scores(spark, sf_dir):
@@ -419,7 +424,8 @@ def evaluate_fixed_model(spark, sf_dir):
     shared = fit.scorer(data, model, params)
     out = None
     for split in ("validation", "testing"):
-        rows = fit.evaluate(data, split, model, params, shared).withColumn("split", F.lit(split))
+        scored = _tied(fit.scored_split(data, split, shared, params))
+        rows = metrics.auc_ap(scored, ["batch_id"], bounded=True).withColumn("split", F.lit(split))
         out = rows if out is None else out.unionByName(rows)
     return out.select("split", "batch_id", "n_examples", *_r("auc", "ap"))
 

@@ -145,7 +145,7 @@ STEPS |= {
         select split, batch_id, n.src_id, n.dst_id, 0 from batches b join neg_dense n on n.eid = b.eid where split <> 'training'""",
     "held_ends": halves("g2"),
     "held_scored": """
-        select h.*, u.a + v.b + 1 as score
+        select h.*, round(u.a + v.b + 1 + 1.3e-10::double, 9) as score
         from held h join held_ends u on u.id = src_id join held_ends v on v.id = dst_id""",
     "held_metrics": batch_metrics("held_scored", "split, batch_id"),
     "ends": halves("h2"),
@@ -156,7 +156,7 @@ STEPS |= {
         select s.*, case when gnn_prediction >= probability then gnn_prediction else probability end as refined_probability
         from scored s""",
     "ex_scored": """
-        select x.*, u.a + v.b + 1 as score
+        select x.*, round(u.a + v.b + 1 + 1.3e-10::double, 9) as score
         from examples x join ends u on u.id = src_id join ends v on v.id = dst_id""",
     "ex_batched": "select x.*, batch_id from ex_scored x join all_batches using (eid)",
     "by_batch": batch_metrics("ex_batched", "batch_id"),
