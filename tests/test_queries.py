@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import difference
+from supplyloom.plans import catalog, oracle
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), oracle.oracle_sql()
 
 
 def test_every_oracle_has_a_query():
