@@ -7,13 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyloom.llm import fingerprint, mixing, secrets
+from supplyloom.llm import fingerprint, mixing, secrets, tokens
+from supplyloom.storage import scratch_path
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    """Place of the public tokenizer's file on the machine that asks."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op1_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_file)
+    return tokens.read_tokens(spark, folder, with_ids=False)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "literal")
@@ -81,7 +97,7 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op4_secret_scan, op7_source_mix, op9_fingerprint)
+    named = (op1_token_binary, op4_secret_scan, op7_source_mix, op9_fingerprint)
     return {f.__name__: f for f in named}
 
 
