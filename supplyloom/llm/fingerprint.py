@@ -112,8 +112,9 @@ def likeness(a: str, b: str, signs_a: str, signs_b: str) -> Column:
     )
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds ``next``, a struct of ``columns`` of the next row by descending doc_id; after the last comes the first.
+def with_next(docs: DataFrame, added: dict[str, Column], columns: list[str]) -> DataFrame:
+    """Adds ``added`` columns and ``next``, a struct of ``columns`` of the next row by descending doc_id; after the
+    last row comes the first.
 
     Rows go once to ranges of ids, with a window in each; the first row of the range below joins as a guard at its
     end. Equal ids follow one another by text, a null id comes last. Ranges have equal widths, so ids should be
@@ -139,7 +140,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
         .where("_turn = 1")
         .select(*docs.columns, F.col("into").alias("_range"), F.lit(True).alias("_guard"))
     )
-    rows = ranged.select(*docs.columns, "_range", F.lit(False).alias("_guard")).unionByName(guards)
+    rows = ranged.select(*docs.columns, "_range", F.lit(False).alias("_guard")).unionByName(guards).withColumns(added)
     order = Window.partitionBy("_range").orderBy("_guard", F.col("doc_id").desc_nulls_last(), "text")
     return rows.withColumn("next", F.lead(F.struct(*columns)).over(order)).where(~F.col("_guard")).drop("_range", "_guard")
 
@@ -147,10 +148,9 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
 def compare_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edit: its last half replaced by the beginning of the next document."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    printed = texts.withColumn("print", fingerprint("text"))
     half = "cast(floor(n_chars / 2) as int)"
     edited = (
-        with_next(printed, ["text", "print"])
+        with_next(texts, {"print": fingerprint("text")}, ["text", "print"])
         .withColumn("n_chars", F.char_length("text").cast("long"))
         .withColumn(
             "edited", F.expr(f"concat(substring(text, 1, cast(n_chars as int) - {half}), substring(next.text, 1, {half}))")
