@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyloom.llm import chat, fingerprint, mixing, secrets, tokens, urls
+from supplyloom.llm import chat, fingerprint, jaccard, mixing, secrets, tokens, urls
 from supplyloom.storage import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +36,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), labels)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_components(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "literal")
@@ -113,7 +117,7 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_token_binary, op2_url_filter, op4_secret_scan, op6_chat_format, op7_source_mix, op9_fingerprint)
+    named = (op1_token_binary, op2_url_filter, op3_jaccard_join, op4_secret_scan, op6_chat_format, op7_source_mix, op9_fingerprint)
     return {f.__name__: f for f in named}
 
 
