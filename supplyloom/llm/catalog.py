@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyloom.llm import chat, fingerprint, jaccard, mixing, secrets, tokens, urls
+from supplyloom.llm import chat, fingerprint, jaccard, mixing, quality, secrets, tokens, urls
 from supplyloom.storage import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -112,12 +112,19 @@ FROM counted
 """
 
 
+def op8_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edits(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_token_binary, op2_url_filter, op3_jaccard_join, op4_secret_scan, op6_chat_format, op7_source_mix, op9_fingerprint)
+    named = (op1_token_binary, op2_url_filter, op3_jaccard_join, op4_secret_scan, op6_chat_format, op7_source_mix, op8_quality_score, op9_fingerprint)
     return {f.__name__: f for f in named}
 
 
