@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyloom.llm import chat, fingerprint, jaccard, mixing, quality, secrets, tokens, urls
+from supplyloom.llm import chat, fingerprint, jaccard, latent, mixing, quality, secrets, tokens, urls
 from supplyloom.storage import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -123,8 +123,12 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edits(table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_token_binary, op2_url_filter, op3_jaccard_join, op4_secret_scan, op6_chat_format, op7_source_mix, op8_quality_score, op9_fingerprint)
+    named = (op1_token_binary, op2_url_filter, op3_jaccard_join, op4_secret_scan, op6_chat_format, op7_source_mix, op8_quality_score, op9_fingerprint, op10_decontaminate)
     return {f.__name__: f for f in named}
 
 

@@ -16,6 +16,8 @@ _BASE = int(_draw.integers(1, 1 << 62)) * 2 + 1
 _BACK = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Separators that leave letters, digits and all non-ASCII bytes in words.
+PUNCTUATION = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 #: Bytes handled at once, unless a single text is longer.
@@ -64,11 +66,11 @@ def slices(column: pa.Array):
         first = last
 
 
-def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, at: np.ndarray, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word; for each row the first word's number (one more than rows)."""
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[at] = True
-    inside = ~_SPACE[data]
+    inside = ~separators[data]
     before = np.empty(len(data), dtype=bool)
     if len(data):
         before[0] = False
@@ -81,10 +83,10 @@ def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, at)
 
 
-def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(column: pa.Array, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of a column; for each row the first word's number (one more than rows)."""
     data, at = text_bytes(column)
-    starts, ends, first = word_bounds(data, at)
+    starts, ends, first = word_bounds(data, at, separators)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_VALUES[_LOWER[data]] * _powers_of(_BASE, len(data))[: len(data)], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * _powers_of(_BACK, len(data) + 1)[starts]
