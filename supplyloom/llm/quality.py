@@ -15,15 +15,15 @@ share of label 1 (0.5 without labels); repeated rows are scored each.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from supplyloom.llm.words import text_bytes
+from supplyloom.llm.words import slices, text_bytes
 
 WIDTH, STRIDE, EMBED, FILTERS = 16, 8, 6, 24
 FIT_ROWS, FIT_BYTES, EPOCHS, BATCH, RATE = 3000, 1 << 15, 14, 48, 0.02
@@ -151,18 +151,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> B
     return ByteNetwork().fit([r["text"].encode() for r in sample], wanted)
 
 
+def _scores(texts: pa.Array, model: ByteNetwork | float) -> np.ndarray:
+    scores = np.full(len(texts), model if isinstance(model, float) else 0.5)
+    if not isinstance(model, float):
+        for first, part in slices(texts):
+            scores[first : first + len(part)] = model.scores(*text_bytes(part))
+    return scores
+
+
 def score_quality(docs: DataFrame, model: ByteNetwork | float, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` and ``score`` for every row."""
     chosen = docs.select(*keep, F.col("text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from supplyloom.llm.words import slices
-
         for batch in batches:
-            scores = np.full(batch.num_rows, model if isinstance(model, float) else 0.5)
-            if not isinstance(model, float):
-                for first, part in slices(batch.column(len(keep))):
-                    scores[first : first + len(part)] = model.scores(*text_bytes(part))
+            scores = _scores(batch.column(len(keep)), model)
             columns = [*batch.columns[: len(keep)], pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score"])
 
@@ -170,5 +173,12 @@ def score_quality(docs: DataFrame, model: ByteNetwork | float, keep: tuple[str,
     return chosen.mapInArrow(run, f"{kept}score double")
 
 
-def crc_held_out(doc_id: int) -> bool:
-    return zlib.crc32(str(doc_id).encode()) % 3 == 1
+def keep_good(docs: DataFrame, model: ByteNetwork | float, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose texts score ``least`` or more, unchanged."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column(place), model) >= least))
+
+    return docs.mapInArrow(run, StructType(docs.schema.fields))
