@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyloom.llm import chat, fingerprint, jaccard, latent, mixing, quality, secrets, tokens, urls
+from supplyloom.llm import chat, extract, fingerprint, jaccard, latent, mixing, quality, secrets, tokens, urls
 from supplyloom.storage import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -55,6 +55,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -128,7 +133,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_token_binary, op2_url_filter, op3_jaccard_join, op4_secret_scan, op6_chat_format, op7_source_mix, op8_quality_score, op9_fingerprint, op10_decontaminate)
+    named = (op1_token_binary, op2_url_filter, op3_jaccard_join, op4_secret_scan, op5_main_text, op6_chat_format, op7_source_mix, op8_quality_score, op9_fingerprint, op10_decontaminate)
     return {f.__name__: f for f in named}
 
 
