@@ -375,6 +375,7 @@ def similarity_components(docs: DataFrame, n: int = 5, percent: int = 75) -> Dat
         total = int(tokens.sum(dtype=np.uint64))
         return doc_id, len(tokens), np.uint64(total).astype(np.int64), np.uint64(key).astype(np.int64), prefix.view(np.int64)
 
+    docs = docs.select("doc_id", "text")
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("prefix", LONGS)])
     rows = materialise(
         shingle_sets(docs, n, filed, "doc_id long, n int, k1 long, k2 long, prefix array<long>", schema), "jaccard-rows"

@@ -138,7 +138,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> B
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     known = known.select(F.col("doc_id").alias("labelled_id"), F.col(label).alias("wanted")).dropDuplicates(["labelled_id"])
     sample = (
-        docs.join(known, F.col("doc_id") == F.col("labelled_id"))
+        docs.select("doc_id", "text")
+        .join(known, F.col("doc_id") == F.col("labelled_id"))
         .where(F.octet_length("text") <= FIT_BYTES)
         .select("text", "wanted", F.xxhash64("doc_id").alias("draw"), "doc_id")
         .orderBy("draw", "doc_id", "text", "wanted")
