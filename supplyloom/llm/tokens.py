@@ -26,10 +26,11 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
+import string
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 65536, 65536
 LEVEL = 3
+ID = attrgetter("id")
 #: Bytes of frames in a block, and of blocks in an Arrow batch; a longer document makes a block of its own.
 BLOCK_BYTES, BATCH_BYTES = 1 << 18, 1 << 22
 #: Pieces a task remembers before it begins anew: some 150 MB.
@@ -64,9 +66,8 @@ BLOCKS_DDL = (
     "offsets array<long>, starts array<long>, n_ids array<long>, payload binary"
 )
 
-#: White space but for single spaces and single line ends between other characters.
-UNUSUAL = re.compile(r"[^\S \n]|[\x1c-\x1f]|\s\s|^\s|\s$")
-TAIL = re.compile(r"[!-&(-/:-@\[-`{-~]+$")  # ASCII punctuation but for the apostrophe
+#: What may end a word and is then a piece of its own: ASCII punctuation but for the apostrophe.
+TAIL = string.punctuation.replace("'", "")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -94,31 +95,35 @@ class Encoder(dict):
     def direct(self, text: str) -> bytes:
         return array(self.code, self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def word(self, piece: str) -> bytes:
-        """One piece that the splitting rules leave whole, straight to the merges."""
-        mapped = piece.encode().decode("latin-1").translate(self.alphabet)
-        return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+    def word(self, core: str) -> bytes:
+        """A space and letters, which the splitting rules leave whole: straight to the merges."""
+        if core.isascii():
+            mapped = self.alphabet[0x20] + core
+        else:
+            mapped = (" " + core).encode().decode("latin-1").translate(self.alphabet)
+        return array(self.code, map(ID, self.model.tokenize(mapped))).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        end = TAIL.search(piece)
-        core, tail = (piece[: end.start()], end[0]) if end and end.start() else (piece, "")
-        if tail and tail not in self.tails:
-            if len(self.tails) >= REMEMBERED:
-                self.tails.clear()
-            self.tails[tail] = self.direct(tail)
-        if core.isalpha():
-            ids = self.word(" " + core)
+        core = piece.rstrip(TAIL)
+        if core != piece and core[-1:].isalnum():
+            tail = piece[len(core) :]
+            if tail not in self.tails:
+                if len(self.tails) >= REMEMBERED:
+                    self.tails.clear()
+                self.tails[tail] = self.direct(tail)
+            ids = self[core] + self.tails[tail]
+        elif core.isalpha():
+            ids = self.word(core)
         else:
-            ids = self.direct(core if core[:1] == "\n" else " " + core)
-        if tail:
-            ids += self.tails[tail]
+            ids = self.direct(piece if piece[:1] == "\n" else " " + piece)
         self[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        if UNUSUAL.search(text):
+        # Other white space than single spaces and single line ends between words?
+        if " ".join(text.split()) != text.replace("\n", " "):
             return self.direct(text)
         first, *rest = text.replace("\n", " \n").split(" ")
         return self.direct(first) + b"".join(map(self.__getitem__, rest))
@@ -146,7 +151,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: Callable[[], str], end
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sample = (
-        texts.where(F.char_length("text") <= SAMPLE_CHARS)
+        # About twice the sample by hash, so that no task sends more than its part of it.
+        texts.where(F.pmod(F.xxhash64("doc_id"), max(1, texts.count() // (2 * SAMPLE_DOCS))) == 0)
+        .where(F.char_length("text") <= SAMPLE_CHARS)
         .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
         .limit(SAMPLE_DOCS)
     )
