@@ -1,38 +1,68 @@
-"""Connected components of a link table, by Spark joins alone."""
+"""Connected components of a link table, by Spark joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from supplyloom.storage import materialise, rows_of
+from supplyloom.storage import materialise
+
+
+def contracted(links: DataFrame) -> DataFrame:
+    """Links (a, b) -> links (u, v), u < v, with the same components: in each batch every node to its smallest one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while parent.setdefault(x, x) != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = root(a), root(b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+            pairs = [(root(x), x) for x in parent]
+            pairs = [(u, v) for u, v in pairs if u != v]
+            columns = [pa.array(c, pa.int64()) for c in zip(*pairs)] or [pa.array([], pa.int64())] * 2
+            yield pa.RecordBatch.from_arrays(columns, names=["u", "v"])
+
+    return links.mapInArrow(run, "u long, v long")
+
+
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written out, with their number and a sum over them that tells whether a round changed anything."""
+    seen = Observation()
+    mark = F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit(0x7FFFFFFF)))
+    table = materialise(edges.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark")), "cc-links")
+    return table, (seen.get["n"], seen.get["mark"])
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` for every node of a link, the component being its smallest node.
 
-    Large-star and small-star rounds: each node's greater neighbours, then its lesser ones and itself, are linked to
-    the smallest around it, until nothing changes; a few rounds even for long chains, since paths halve. Each round
-    is written out, so that a lost executor costs one round. Minima are pre-aggregated, so a hub is no hot task.
+    Large-star and small-star rounds: the greater neighbours of a node, then its lesser ones and itself, are linked
+    to the smallest around it, until nothing changes; a few rounds even for long chains, since paths halve. Each round
+    is one job and is written out, so a lost executor costs one round. Minima are pre-aggregated, so a hub is no hot
+    task, and its links are spread by their other end.
     """
-    both = links.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u <> v").distinct()
-    edges = materialise(both, "cc-links")
-    if not rows_of(edges):
-        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    while True:
-        # u < v in each edge; large star: all greater neighbours of a node go to its smallest neighbour or itself
-        around = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = edges.join(least, "u").select(F.col("m").alias("u"), "v").where("u <> v").distinct()
-        # small star: the lesser neighbours of a node, and it, go to the smallest of them
+    edges, mark = _written(contracted(links.select(a, b).where(F.col(a) != F.col(b))).distinct())
+    while mark[0]:
+        parents = edges.groupBy("v").agg(F.min("u").alias("m")).withColumnRenamed("v", "w")
+        # large star: greater neighbours of u go to the smallest node around u
+        large = edges.join(parents, F.col("u") == F.col("w"), "left").select(F.coalesce("m", "u").alias("u"), "v")
+        # small star: the lesser neighbours of v, and v, go to the smallest of them
         lowest = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(lowest, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v"))
-        after = materialise(small.where("u <> v").distinct(), "cc-links")
-        # done when every node has one neighbour that is smaller and itself a root: then no round changes anything
-        open_ends = after.alias("x").join(after.select(F.col("v").alias("w")).distinct(), F.col("x.u") == F.col("w"))
-        settled = rows_of(after) == after.select("v").distinct().count() and not open_ends.limit(1).count()
-        edges = after
-        if settled:
+        edges, after = _written(small.where("u <> v").distinct())
+        if after == mark:
             break
+        mark = after
     roots = edges.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
     return edges.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(roots)
