@@ -1,15 +1,15 @@
 """N-gram Jaccard join with signature trees.
 
 Documents link when the sets of their n-word shingles have a Jaccard similarity of ``percent`` or more. Documents of
-equal sets are one class. The join of classes goes in three steps, each a Spark shuffle of small rows:
+equal sets are one class, named by a hash of the set. The join of classes goes in three steps:
 
 1. *Blocks.* In any fixed order of shingles, two linked sets share one among the first ``n - ceil(t n) + 1`` of each.
    The order is that of the shingles' 64-bit hashes. Where that prefix is long, ``PREFIX`` shingles of it do: each is
    shared with a chance of 3 in 4 or more, so a link escapes all with a chance below 0.25**36, far less than that of
    a collision of two hashes. Frequent shingles (of common lines, of large groups of near copies) are put last in the
    order for the documents that have them in their prefix, and their prefixes are taken anew.
-2. *Signature trees.* In each block a tree is built over the documents' bitmaps: a node holds the OR of the bitmaps
-   below it, their range of sizes, and how many shingles share a bit at most. A dual traversal from the root drops
+2. *Signature trees.* Blocks of the same classes are one. In each block a tree is built over the documents' bitmaps: a node holds the OR of
+   the bitmaps below it, their range of sizes, and how many shingles share a bit at most. A dual traversal from the root drops
    pairs of nodes whose greatest possible overlap (common bits, plus shared bits, at most the smaller size) is too
    small for their sizes. Pairs of documents that survive are candidates; they form candidate groups.
 3. *Check.* Each candidate group gets its documents' whole sets once, in chunks of bounded size. The same traversal
@@ -37,12 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.llm.components import connected_components
-from supplyloom.llm.words import hashed_shingles, hashed_words, slices
+from supplyloom.llm.words import hashed_shingles, hashed_words, mix, slices
 from supplyloom.storage import materialise, rows_of
 
 PREFIX = 36
 #: A shingle in more prefixes than HOT goes last; at most HOT_LIST of them (8 bytes each), the most frequent ones.
 HOT, HOT_LIST = 64, 1_000_000
+#: Rows of ids that may go to every task at once; longer tables are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
 #: Documents in a chunk of the check, and in a block that gets a tree; a larger block is one candidate group at once.
 CHUNK = 2048
 FANOUT = 8
@@ -232,24 +234,30 @@ def shingle_sets(docs: DataFrame, n: int, finish, ddl: str, schema: pa.Schema) -
                 columns = zip(*[finish(i, s) for i, s in zip(ids, sets)])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ddl)
+    return docs.mapInArrow(run, ddl)
 
 
 LONGS = pa.list_(pa.int64())
-SET_DDL, SET_SCHEMA = "rep long, n int, tokens array<long>", pa.schema([("rep", pa.int64()), ("n", pa.int32()), ("tokens", LONGS)])
+SET_DDL, SET_SCHEMA = "cls long, n int, tokens array<long>", pa.schema([("cls", pa.int64()), ("n", pa.int32()), ("tokens", LONGS)])
 
 
-def candidate_links(filed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``filed`` (token, rep), tokens of two documents or more -> links (a, b) that span the candidate groups."""
+def class_of(tokens: np.ndarray) -> int:
+    """Name of a set: a hash of it."""
+    parts = np.array([tokens.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(tokens), initial=0), len(tokens)], dtype=np.uint64)
+    return int(mix(np.cumsum(mix(parts + np.arange(3, dtype=np.uint64)))).view(np.int64)[-1])
 
-    def maps_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [bitmap(t) for t in _lists(pa.chunked_array([batch.column(2)]))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([m.tobytes() for m in found], pa.binary())], names=["rep", "n", "map"])
+
+def small(table: DataFrame) -> DataFrame:
+    """A written table of short rows, marked for broadcast when it has few enough."""
+    return F.broadcast(table) if rows_of(table) <= BROADCAST_ROWS else table
+
+
+def candidate_links(filed: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """``filed`` (token, cls), ``maps`` (cls, n, map) -> links (a, b) that span the candidate groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in runs(batches, ["token"]):
-            reps, sizes = table["rep"].to_numpy(), table["n"].to_numpy().astype(np.int64)
+            names, sizes = table["cls"].to_numpy(), table["n"].to_numpy().astype(np.int64)
             maps = [np.frombuffer(m.as_buffer(), dtype=np.uint64) for m in table["map"].combine_chunks()]
             small, links = np.zeros(table.num_rows, dtype=bool), []
             for start, count in zip(starts, np.diff(starts)):
@@ -259,23 +267,30 @@ def candidate_links(filed: DataFrame, sets: DataFrame, percent: int) -> DataFram
                 labels = np.arange(count)
                 for a, b in tree_pairs(sizes[start : start + count], maps[start : start + count], percent, labels):
                     merge(labels, a, b)
-                    links.append((reps[start + a], reps[start + b]))
+                    links.append((names[start + a], names[start + b]))
             if small.any():
-                links += _small_blocks(table["token"].to_numpy(), reps, sizes, maps, small, percent)
+                links += _small_blocks(table["token"].to_numpy(), names, sizes, maps, small, percent)
             if links:
                 a, b = zip(*set(links))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    counts = filed.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("hub"))
-    counted = materialise(filed.join(counts.where("c > 1"), "token"), "jaccard-blocks")
-    whole = counted.where(F.col("c") > CHUNK).select(F.col("hub").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    maps = sets.mapInArrow(maps_of, "rep long, n int, map binary")
-    blocks = counted.where(F.col("c") <= CHUNK).select("token", "rep").join(maps, "rep")
+    mark = F.xxhash64("cls")
+    counts = filed.groupBy("token").agg(
+        F.count(F.lit(1)).alias("c"),
+        F.min("cls").alias("hub"),
+        F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("s"),
+        F.sum(F.shiftrightunsigned(mark, 32)).alias("t"),
+    )
+    # Near copies share most of their prefixes: blocks of the same classes are compared once.
+    kept = counts.where("c > 1").groupBy("c", "hub", "s", "t").agg(F.min("token").alias("token")).select("token", "c", "hub")
+    counted = materialise(filed.join(small(materialise(kept, "jaccard-kept")), "token"), "jaccard-blocks")
+    whole = counted.where(F.col("c") > CHUNK).select(F.col("hub").alias("a"), F.col("cls").alias("b")).where("a <> b")
+    blocks = counted.where(F.col("c") <= CHUNK).select("token", "cls").join(maps, "cls")
     trees = blocks.repartition("token").sortWithinPartitions("token").mapInArrow(run, "a long, b long")
     return trees.unionByName(whole)
 
 
-def _small_blocks(tokens, reps, sizes, maps, small, percent) -> list[tuple[int, int]]:
+def _small_blocks(tokens, names, sizes, maps, small, percent) -> list[tuple[int, int]]:
     """Pairs of all one-node blocks at once."""
     left, right = [], []
     for apart in range(1, SINGLE):
@@ -296,19 +311,20 @@ def _small_blocks(tokens, reps, sizes, maps, small, percent) -> list[tuple[int,
             extra = np.minimum(sizes[x] - bits_of(x_maps), sizes[y] - bits_of(y_maps))
             overlap = bits_of(x_maps & y_maps) + extra
             may = (100 + percent) * overlap >= percent * (sizes[x] + sizes[y])
-            found += list(zip(reps[x[may]].tolist(), reps[y[may]].tolist()))
+            found += list(zip(names[x[may]].tolist(), names[y[may]].tolist()))
     return found
 
 
 def checked_links(members: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect what is connected in each cell: two chunks of a group, or one with itself.
 
-    ``members``: group, chunk, label, rep, n, tokens. ``cells``: group, i, j.
+    ``members``: group, chunk, label, cls, n, tokens. ``cells``: group, i, j.
     """
     sides = cells.select("group", "i", "j", F.col("i").alias("chunk")).unionByName(
         cells.where("i <> j").select("group", "i", "j", F.col("j").alias("chunk"))
     )
-    placed = members.join(sides, ["group", "chunk"]).select("group", "i", "j", "label", "rep", "n", "tokens")
+    sides = small(materialise(sides, "jaccard-cells"))
+    placed = members.join(sides, ["group", "chunk"]).select("group", "i", "j", "label", "cls", "n", "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in runs(batches, ["group", "i", "j"]):
@@ -317,44 +333,43 @@ def checked_links(members: DataFrame, cells: DataFrame, percent: int) -> DataFra
                 part = table.slice(start, end - start)
                 if part.num_rows < 2:
                     continue
-                reps, sizes, sets = part["rep"].to_numpy(), part["n"].to_numpy().astype(np.int64), _lists(part["tokens"])
+                names, sizes, sets = part["cls"].to_numpy(), part["n"].to_numpy().astype(np.int64), _lists(part["tokens"])
                 labels = np.unique(part["label"].to_numpy(), return_inverse=True)[1]
                 for a, b in tree_pairs(sizes, [bitmap(s) for s in sets], percent, labels):
                     common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
                     if 100 * common >= percent * (sizes[a] + sizes[b] - common):
                         merge(labels, a, b)
-                        links.append((reps[a], reps[b]))
+                        links.append((names[a], names[b]))
             if links:
                 a, b = zip(*links)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     keys = ["group", "i", "j"]
-    return placed.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(run, "a long, b long")
+    return placed.repartition(*keys).sortWithinPartitions(*keys, "cls").mapInArrow(run, "a long, b long")
 
 
-def check_groups(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Exact links that connect the documents of each candidate group as all their links do."""
-    sized = groups.groupBy("component").agg(F.count(F.lit(1)).alias("many"))
-    places = groups.join(sized, "component").select(
-        F.col("component").alias("group"),
-        F.col("node").alias("rep"),
-        F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / CHUNK)).cast("int").alias("chunk"),
-    )
-    members = materialise(sets.join(places, "rep").withColumn("label", F.col("rep")), "jaccard-groups")
-    chunks = members.select("group", "chunk").distinct()
-    alone = materialise(checked_links(members, chunks.select("group", F.col("chunk").alias("i"), F.col("chunk").alias("j")), percent), "jaccard-links")
+def check_groups(members: DataFrame, percent: int) -> DataFrame:
+    """Exact links that connect the classes of each candidate group as all their links do.
+
+    ``members``: group, chunk, cls, n, tokens.
+    """
+    alone_members = members.withColumn("label", F.col("cls"))
+    chunks = materialise(members.select("group", "chunk").distinct(), "jaccard-chunks")
+    cells = chunks.select("group", F.col("chunk").alias("i"), F.col("chunk").alias("j"))
+    alone = materialise(checked_links(alone_members, cells, percent), "jaccard-links")
     several = chunks.where("chunk > 0").select("group", F.col("chunk").alias("j"))
     if not several.limit(1).count():
         return alone
-    large = members.join(several.select("group").distinct(), "group").drop("label")
+    large = members.join(small(materialise(several.select("group").distinct(), "jaccard-large")), "group", "left_semi")
 
     def labelled(links: DataFrame) -> DataFrame:
-        known = connected_components(links).select(F.col("node").alias("rep"), F.col("component").alias("label"))
-        return large.join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        known = connected_components(links).select(F.col("node").alias("cls"), F.col("component").alias("label"))
+        known = small(materialise(known, "jaccard-labels"))
+        return large.join(known, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
     first = materialise(checked_links(labelled(alone), several.select("group", F.lit(0).alias("i"), "j"), percent), "jaccard-links")
     links = alone.unionByName(first)
-    now = materialise(labelled(links), "jaccard-labels")
+    now = labelled(links)
     held = now.groupBy("group", "chunk").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     a, b = held.alias("a"), held.alias("b")
     differ = (F.col("a.low") != F.col("a.high")) | (F.col("b.low") != F.col("b.high")) | (F.col("a.low") != F.col("b.low"))
@@ -368,71 +383,83 @@ def check_groups(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
 def similarity_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def filed(doc_id, tokens: np.ndarray) -> tuple:
         prefix = prefix_of(tokens, np.zeros(len(tokens), dtype=bool), percent)
-        key = int(np.bitwise_xor.reduce(tokens * np.uint64(0x9E3779B97F4A7C15))) if len(tokens) else 0
-        total = int(tokens.sum(dtype=np.uint64))
-        return doc_id, len(tokens), np.uint64(total).astype(np.int64), np.uint64(key).astype(np.int64), prefix.view(np.int64)
+        return doc_id, len(tokens), class_of(tokens), prefix.view(np.int64), bitmap(tokens).tobytes()
 
-    docs = docs.select("doc_id", "text")
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("prefix", LONGS)])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("prefix", LONGS), ("map", pa.binary())])
     rows = materialise(
-        shingle_sets(docs, n, filed, "doc_id long, n int, k1 long, k2 long, prefix array<long>", schema), "jaccard-rows"
+        shingle_sets(docs, n, filed, "doc_id long, n int, cls long, prefix array<long>, map binary", schema), "jaccard-rows"
     )
-    keys = ["n", "k1", "k2"]
     own = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = own.select(*keys, "doc_id").groupBy(*keys).agg(F.min("doc_id").alias("rep"))
-    # One row per class: the prefix comes from the row that represents it.
-    heads = own.alias("o").join(classes.alias("c"), [*keys]).where("doc_id = rep").select("rep", "prefix").dropDuplicates()
-
-    posted = materialise(heads.select("rep", F.explode("prefix").alias("token")), "jaccard-posted")
-    counts = materialise(posted.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "jaccard-counts")
-    shared = materialise(posted.join(counts, "token"), "jaccard-shared")
-    partners = shared.select("rep").distinct()
-    texts = docs.join(partners, F.col("doc_id") == F.col("rep"), "left_semi")
-    sets = materialise(
-        shingle_sets(texts, n, lambda i, s: (i, len(s), s.view(np.int64)), SET_DDL, SET_SCHEMA).where("n > 0").dropDuplicates(["rep", "n", "tokens"])
-        if _repeats(own)
-        else shingle_sets(texts, n, lambda i, s: (i, len(s), s.view(np.int64)), SET_DDL, SET_SCHEMA),
-        "jaccard-sets",
+    classes = materialise(
+        own.groupBy("cls").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("many")), "jaccard-classes"
+    )
+    # One row per class. Only rows of classes that have several are shuffled for it.
+    copied = small(materialise(classes.where("many > 1").select("cls", "head"), "jaccard-copied"))
+    heads = own.join(copied.drop("head"), "cls", "left_anti").unionByName(
+        own.join(copied, "cls").where("doc_id = head").drop("head").dropDuplicates(["cls"])
     )
+    posted = heads.select("cls", F.explode("prefix").alias("token"))
+    counts = materialise(posted.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "jaccard-counts")
+    cold = counts.where(F.col("c") <= HOT).select("token")
+    blocks = posted.join(small(materialise(cold, "jaccard-cold")), "token", "left_semi")
 
-    hot = _most_frequent(counts)
-    blocks = shared.where(F.col("c") <= HOT) if len(hot) < HOT_LIST else shared.join(_as_table(docs, hot), "token", "left_anti")
-    blocks = blocks.select("token", "rep")
+    hot = _most_frequent(counts, HOT_LIST)
     if len(hot):
-        flagged = sets.join(shared.where(F.col("c") > HOT).select("rep").distinct(), "rep", "left_semi")
-        refiled = materialise(_refiled(flagged, hot, percent), "jaccard-refiled")
         # Shingles that come into prefixes in place of the frequent ones may be frequent too.
-        again = _most_frequent(refiled.groupBy("token").agg(F.count(F.lit(1)).alias("c")))
-        hot = np.union1d(hot, again) if len(hot) + len(again) <= HOT_LIST else hot
-        if len(again):
-            refiled = _refiled(flagged, hot, percent)
-        blocks = blocks.unionByName(refiled)
-    candidates = candidate_links(blocks.distinct(), sets, percent)
+        again = _refiled(docs, n, hot, hot, percent).groupBy("token").agg(F.countDistinct("cls").alias("c"))
+        last = np.union1d(hot, _most_frequent(again, max(0, HOT_LIST - len(hot))))
+        refiled = materialise(_refiled(docs, n, hot, last, percent).distinct(), "jaccard-refiled")
+        blocks = blocks.unionByName(refiled.select("cls", "token"))
+        if len(hot) >= HOT_LIST:  # frequent shingles beyond the list are blocks like others
+            rest = counts.where(F.col("c") > HOT).select("token").join(_as_table(docs, hot), "token", "left_anti")
+            blocks = blocks.unionByName(posted.join(rest, "token", "left_semi"))
+    candidates = candidate_links(materialise(blocks.distinct(), "jaccard-filed"), heads.select("cls", "n", "map"), percent)
     groups = connected_components(candidates)
-    links = check_groups(sets, groups, percent)
-    found = connected_components(links)
-
-    named = classes.join(found, F.col("rep") == F.col("node"), "left").select(
-        *keys, F.coalesce("component", "rep").alias("component")
-    )
-    result = rows.drop("prefix").join(named, keys, "left")
+    links = check_groups(_members(docs, n, classes, groups), percent)
+    if _repeats(own):
+        # Rows of one doc_id are one document: its classes are connected.
+        first = own.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z").select("doc_id", "a")
+        links = links.unionByName(own.join(first, "doc_id").select("a", F.col("cls").alias("b")).where("a <> b"))
+    found = connected_components(links).withColumnRenamed("node", "cls")
+
+    placed = classes.join(found, "cls", "left").select("cls", "head", F.coalesce("component", "cls").alias("group"))
+    least = placed.groupBy("group").agg(F.min("head").alias("component"))
+    named = placed.join(least, "group").select("cls", "component")
+    result = rows.select("doc_id", "n", "cls").join(named, "cls", "left")
     # An empty set links with nothing, and a row without an id takes no part.
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")))
     return result.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
 
 
+def _members(docs: DataFrame, n: int, classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """The whole sets of the classes in candidate groups, in chunks: group, chunk, cls, n, tokens."""
+    sized = groups.groupBy("component").agg(F.count(F.lit(1)).alias("many"))
+    places = groups.join(sized, "component").select(
+        F.col("component").alias("group"),
+        F.col("node").alias("cls"),
+        F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / CHUNK)).cast("int").alias("chunk"),
+    )
+    places = materialise(places.join(classes.select("cls", "head"), "cls"), "jaccard-places")
+    texts = docs.join(small(places).select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = shingle_sets(texts, n, lambda i, s: (class_of(s), len(s), s.view(np.int64)), SET_DDL, SET_SCHEMA)
+    members = sets.join(small(places).drop("head"), "cls").select("group", "chunk", "cls", "n", "tokens")
+    members = members.dropDuplicates(["cls"]) if _repeats(docs) else members
+    return materialise(members, "jaccard-members")
+
+
 def _repeats(rows: DataFrame) -> bool:
     return rows.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
 
 
-def _most_frequent(counts: DataFrame) -> np.ndarray:
-    """The frequent shingles, ascending; HOT_LIST at most."""
-    top = counts.where(F.col("c") > HOT)
-    if rows_of(materialise(top, "jaccard-hot")) > HOT_LIST:
-        top = top.orderBy(F.col("c").desc(), "token").limit(HOT_LIST)
+def _most_frequent(counts: DataFrame, most: int) -> np.ndarray:
+    """The frequent shingles, ascending; ``most`` at most."""
+    top = materialise(counts.where(F.col("c") > HOT), "jaccard-hot")
+    if rows_of(top) > most:
+        top = top.orderBy(F.col("c").desc(), "token").limit(most)
     return np.sort(np.array([r["token"] for r in top.select("token").collect()], dtype=np.int64).view(np.uint64))
 
 
@@ -440,14 +467,20 @@ def _as_table(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     return docs.sparkSession.createDataFrame([(int(t),) for t in hot.view(np.int64)], "token long")
 
 
-def _refiled(sets: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
-    """(token, rep) by the order that has ``hot`` last."""
+def _refiled(docs: DataFrame, n: int, flags: np.ndarray, last: np.ndarray, percent: int) -> DataFrame:
+    """(cls, token) of documents with one of ``flags`` in their prefix, by the order that has ``last`` last."""
+
+    def filed(_, tokens: np.ndarray) -> tuple:
+        plain = prefix_of(tokens, np.zeros(len(tokens), dtype=bool), percent)
+        if not _among(plain, flags).any():
+            return 0, None
+        return class_of(tokens), prefix_of(tokens, _among(tokens, last), percent).view(np.int64)
+
+    schema = pa.schema([("cls", pa.int64()), ("prefix", LONGS)])
+    found = shingle_sets(docs.where("doc_id IS NOT NULL"), n, filed, "cls long, prefix array<long>", schema)
+    return found.where("prefix IS NOT NULL").select("cls", F.explode("prefix").alias("token"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens = _lists(pa.chunked_array([batch.column(2)]))
-            found = [prefix_of(t, np.isin(t, hot), percent).view(np.int64) for t in tokens]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, LONGS)], names=["rep", "prefix"])
 
-    filed = sets.mapInArrow(run, "rep long, prefix array<long>")
-    return filed.select(F.explode("prefix").alias("token"), "rep")
+def _among(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+    return known[at] == tokens
