@@ -18,7 +18,7 @@ LEGAL_FORMS = (
     "sarl", "sas", "sdn", "se", "sl", "snc", "sp zoo", "spa", "sprl", "srl",
     "sro", "zao", "zrt",
 )
-PASSES = 2
+SEPARATORS = " ,.&"
 
 
 def _form_pattern(form: str) -> str:
@@ -31,18 +31,15 @@ def _form_pattern(form: str) -> str:
 
 
 def legal_form_pattern(forms=LEGAL_FORMS) -> str:
+    """One or more forms at the end, with what stands before them as the first group."""
     longest_first = sorted(forms, key=lambda f: (-len(f), f))
-    return r"(?i)[ ,.&]+(" + "|".join(_form_pattern(f) for f in longest_first) + r")[.]?$"
+    form = "|".join(_form_pattern(f) for f in longest_first)
+    return rf"(?i)([^{SEPARATORS}])(?:[{SEPARATORS}]+(?:{form})[.]?)+$"
 
 
 def basename(name: Column, forms=LEGAL_FORMS) -> Column:
-    """Strips up to two trailing legal forms ("Pty Ltd", "Co., Ltd.").
+    """Strips any number of trailing legal forms ("Co Pty Ltd", "Co., Ltd.").
 
     Null stays null, and a name that is nothing but a legal form stays whole.
     """
-    pattern = legal_form_pattern(forms)
-    out = F.trim(name)
-    for _ in range(PASSES):
-        stripped = F.regexp_replace(out, pattern, "")
-        out = F.when(F.length(stripped) > 0, stripped).otherwise(out)
-    return out
+    return F.regexp_replace(F.trim(name), legal_form_pattern(forms), "$1")

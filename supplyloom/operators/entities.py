@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.functions.names import basename
-from supplyloom.operators.joins import fits_broadcast, hot_keys, lookup
+from supplyloom.operators.joins import NOT_HOT, fits_broadcast, hot_keys, lookup
 from supplyloom.operators.refine import clean_names
 from supplyloom.storage import materialise, rows_of
 
@@ -36,6 +36,6 @@ def resolve_entities(relations: DataFrame, floor: int | None = None) -> DataFram
     for name, id_column, other in (("Purchaser", "src_id", "dst_id"), ("Seller", "dst_id", "src_id")):
         table = canonical.select(F.col("clean_name").alias(name), F.col("canonical_id").alias("__id"))
         salt = F.col("eid") if "eid" in relations.columns else F.col(other)
-        out = lookup(out, table, name, NAME_BYTES, salt, "left", hot.get(name, {}), rows=rows)
+        out = lookup(out, table, name, NAME_BYTES, salt, "left", hot.get(name, NOT_HOT), rows=rows)
         out = out.withColumn(id_column, F.coalesce("__id", id_column)).drop("__id")
     return out.select(*relations.columns)

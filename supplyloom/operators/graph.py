@@ -5,11 +5,13 @@ An edge points from purchaser to seller. Parallel edges and self-loops are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from supplyloom.functions.draws import draw
-from supplyloom.operators.position import with_position
+from supplyloom.functions.draws import DRAW_BITS, draw
+from supplyloom.operators.position import values_at, with_position
 from supplyloom.storage import rows_of, with_known_rows
 
 SPLITS = ("training", "validation", "testing")
@@ -89,33 +91,47 @@ def hubs(edges: DataFrame, min_share: float = 0.01) -> DataFrame:
     )
 
 
-def edge_split(
-    edges: DataFrame, test_p: float = 0.10, valid_p: float = 0.20, order_by: list[Column] | None = None
-) -> DataFrame:
-    """Adds ``split``: by position the first edges train, the next validate, the last test."""
-    placed = with_position(edges, order_by or [F.col("eid")], name="__position", total="__n")
+def edge_split(edges: DataFrame, test_p: float = 0.10, valid_p: float = 0.20) -> DataFrame:
+    """Adds ``split``: in the order of ``eid`` the first edges train, the next validate, the last test.
+
+    The two ids at which the split changes are found by counting; the edges themselves stay where they are.
+    """
+    n = rows_of(edges)
     # int(p * n) in doubles, as a split by fractions is usually written
-    n = F.col("__n").cast("double")
-    test = F.floor(F.lit(float(test_p)) * n)
-    valid = F.floor(F.lit(float(valid_p)) * n)
-    train = F.col("__n") - valid - test
-    split = (
-        F.when(F.col("__position") < train, SPLITS[0])
-        .when(F.col("__position") < train + valid, SPLITS[1])
-        .otherwise(SPLITS[2])
-    )
-    return placed.withColumn("split", split).drop("__position", "__n")
+    test, valid = math.floor(test_p * n), math.floor(valid_p * n)
+    train = n - valid - test
+    starts = values_at(edges, "eid", [train, train + valid])
+    split = F.lit(SPLITS[0])
+    if train in starts:
+        split = F.when(F.col("eid") < F.lit(starts[train][0]), split).otherwise(SPLITS[1])
+    if train + valid in starts:
+        split = F.when(F.col("eid") < F.lit(starts[train + valid][0]), split).otherwise(SPLITS[2])
+    return with_known_rows(edges.withColumn("split", split), n)
+
+
+#: Rows of a bucket of the random order, about, and buckets at most.
+BUCKET_ROWS, BUCKET_BITS = 4096, 16
 
 
 def shuffled_batches(edges: DataFrame, batch_size: int, seed: int = 0, by: list[str] = ("split",)) -> DataFrame:
     """Adds ``batch_id`` per split: seeded random order, last partial batch kept.
 
-    With ``by=[]`` the edges are one split.
+    With ``by=[]`` the edges are one split. The keys are uniform, so their leading bits are buckets of equal size: a
+    count per bucket gives its first position, and a window in each bucket the rest. One shuffle, nothing written.
     """
-    keyed = edges.withColumn("__key", draw("batch", seed, F.col("eid")))
-    placed = with_position(keyed, [F.col("__key"), F.col("eid")], by, name="__position")
-    batch = F.floor(F.col("__position") / F.lit(batch_size)).cast("bigint")
-    return with_known_rows(placed.withColumn("batch_id", batch).drop("__key", "__position"), rows_of(placed))
+    by, n = list(by), rows_of(edges)
+    bits = min(BUCKET_BITS, max(0, math.ceil(math.log2(max(1, n) / BUCKET_ROWS))))
+    keyed = edges.withColumn("__key", draw("batch", seed, F.col("eid"))).withColumn(
+        "__bucket", F.shiftright("__key", DRAW_BITS - bits).cast("int")
+    )
+    # At most 2**BUCKET_BITS rows for each split.
+    before = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(*by, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.withColumn("__first", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    here = Window.partitionBy(*by, "__bucket").orderBy("__key", "eid")
+    placed = keyed.withColumn("__place", F.row_number().over(here) - 1).join(offsets, [*by, "__bucket"])
+    batch = F.floor((F.col("__first") + F.col("__place")) / F.lit(batch_size)).cast("bigint")
+    return with_known_rows(placed.select(*edges.columns, batch.alias("batch_id")), n)
 
 
 def first_batches(batched: DataFrame, max_steps: int) -> DataFrame:
@@ -124,12 +140,17 @@ def first_batches(batched: DataFrame, max_steps: int) -> DataFrame:
 
 
 def exact_sample(df: DataFrame, fraction: float, key: str, seed: int = 0) -> DataFrame:
-    """Exactly ``round(n * fraction)`` rows without replacement.
+    """Exactly ``round(n * fraction)`` rows without replacement, halves rounded to even.
 
-    Rows are taken by position in hash order, so no task holds the sample.
+    Rows are taken by their place in hash order up to a hash found by counting; only rows of that very hash, if the
+    sample ends among them, are sorted.
     """
+    n = rows_of(df)
+    size = round(n * float(fraction))
     keyed = df.withColumn("__key", draw("sample", seed, F.col(key)))
-    placed = with_position(keyed, [F.col("__key"), F.col(key)], name="__position", total="__n")
-    # bround: halves go to the even neighbour
-    size = F.bround(F.col("__n") * F.lit(float(fraction)))
-    return placed.filter(F.col("__position") < size).drop("__key", "__position", "__n")
+    last = values_at(keyed, "__key", [size - 1]).get(size - 1)
+    if last is None:
+        return df.limit(0)
+    value, below = last
+    ties = keyed.filter(F.col("__key") == F.lit(value)).orderBy(key).limit(size - below)
+    return keyed.filter(F.col("__key") < F.lit(value)).union(ties).drop("__key")

@@ -39,11 +39,13 @@ def auc_ap(
         ranked = counts.withColumn("tp", F.sum("pos").over(down)).withColumn("seen", F.sum("n").over(down))
     else:
         ranked = running_totals(counts, {"tp": "pos", "seen": "n"}, falling, by)
-    neg = F.col("n") - F.col("pos")
+    # Products of counts leave the range of longs at some 10^9 examples, so the factors are doubles.
+    pos, tp, seen = (F.col(c).cast("double") for c in ("pos", "tp", "seen"))
+    neg = (F.col("n") - F.col("pos")).cast("double")
     # Each negative is beaten by the positives above it and ties with those at its score.
-    wins = F.sum((neg * (F.lit(2) * F.col("tp") - F.col("pos"))).cast("double")) / F.lit(2.0)
-    steps = F.sum(F.col("pos") * F.col("tp") / F.col("seen"))
-    both = F.when((F.sum("pos") > 0) & (F.sum(neg) > 0), wins / (F.sum("pos").cast("double") * F.sum(neg)))
+    wins = F.sum(neg * (F.lit(2.0) * tp - pos)) / F.lit(2.0)
+    steps = F.sum(pos * tp / seen)
+    both = F.when((F.sum("pos") > 0) & (F.sum(neg) > 0), wins / (F.sum(pos) * F.sum(neg)))
     return ranked.groupBy(*by).agg(
         both.alias("auc"),
         F.when(F.sum("pos") > 0, steps / F.sum("pos")).alias("ap"),
@@ -67,12 +69,15 @@ def bce_loss(scored: DataFrame, by: list[str] = (), logit: str = "score") -> Dat
 def margin_loss(scored: DataFrame, by: list[str] = (), logit: str = "score") -> DataFrame:
     """Mean over negatives of ``max(0, s(neg) - s(pos) + 1)`` against their own positive.
 
-    ``eid`` ties a negative to its positive; both go through the sigmoid.
+    ``eid`` ties the k drawn negatives to their one positive; both go through the sigmoid.
     """
     strength = sigmoid(F.col(logit))
-    pos = scored.filter(F.col("label") == 1).select("eid", strength.alias("pos"))
-    neg = scored.filter(F.col("label") == 0).select(*by, "eid", strength.alias("neg"))
-    return neg.join(pos, "eid").groupBy(*by).agg(F.avg(margin(F.col("pos"), F.col("neg"))).alias("margin_loss"))
+    groups = scored.groupBy("eid").agg(
+        F.max(F.when(F.col("label") == 1, strength)).alias("pos"),
+        F.collect_list(F.when(F.col("label") == 0, F.struct(*by, strength.alias("neg")))).alias("negs"),
+    )
+    rows = groups.filter(F.col("pos").isNotNull()).select("pos", F.inline("negs"))
+    return rows.groupBy(*by).agg(F.avg(margin(F.col("pos"), F.col("neg"))).alias("margin_loss"))
 
 
 def as_metrics(values: DataFrame, run_id: str, split: str, step: Column, names: dict[str, str]) -> DataFrame:

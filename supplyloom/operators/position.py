@@ -107,3 +107,37 @@ def running_totals(
     return joined.select(
         *df.columns, *[(F.sum(c).over(here) + F.col(f"__{n}")).alias(n) for n, c in sums.items()]
     )
+
+
+BINS = 4096
+
+
+def values_at(df: DataFrame, key: str, ranks: list[int]) -> dict[int, tuple[int, int]]:
+    """For each 0-based rank the value of the whole-number column ``key`` there, and how many rows lie below it.
+
+    Found by counting: each pass splits the ranges that hold a rank into BINS equal parts, so the rows are scanned a
+    few times (twice for dense numbers) and never shuffled or sorted; only counts per part leave a task.
+    """
+    keys = df.select(F.col(key).cast("decimal(20,0)").alias("k")).filter(F.col("k").isNotNull())
+    ends = keys.agg(F.min("k").alias("low"), F.max("k").alias("high"), F.count(F.lit(1)).alias("n")).first()
+    ranks = sorted({r for r in ranks if 0 <= r < (ends.n or 0)})
+    if not ranks:
+        return {}
+    found: dict[int, tuple[int, int]] = {}
+    spans = {(int(ends.low), int(ends.high) + 1, 0): ranks}  # (low, end, rows below) -> ranks inside
+    while spans:
+        narrower: dict[tuple[int, int, int], list[int]] = {}
+        for (low, end, below), wanted in spans.items():
+            width = -(-(end - low) // BINS)
+            part = F.expr(f"cast((k - {low}BD) div {width}BD as int)")
+            counts = keys.filter(f"k >= {low}BD AND k < {end}BD").groupBy(part.alias("p")).count()
+            for row in sorted(counts.collect(), key=lambda r: r.p):  # at most BINS rows
+                inside = [r for r in wanted if below <= r < below + row["count"]]
+                start = low + row.p * width
+                if inside and width == 1:
+                    found |= {r: (start, below) for r in inside}
+                elif inside:
+                    narrower[(start, min(start + width, end), below)] = inside
+                below += row["count"]
+        spans = narrower
+    return found

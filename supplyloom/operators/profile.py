@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from supplyloom.operators.position import running_totals
 
 BINS = 4096
-DRIVER_VALUES = 50_000
 
 
 def exact_quantiles(df: DataFrame, column: str, fractions: list[float], bins: int = BINS) -> list[float | None]:
@@ -38,27 +37,14 @@ def exact_quantiles(df: DataFrame, column: str, fractions: list[float], bins: in
             start[row.bin] = below
         below += row["count"]
     counts = binned.filter(F.col("bin").isin(wanted)).groupBy("bin", "v").agg(F.count(F.lit(1)).alias("n"))
-    if sum(r["count"] for r in histogram if r.bin in start) <= DRIVER_VALUES:
-        at = _walk(sorted(counts.collect(), key=lambda r: r.v), start, ranks)
-    else:
-        at = _ranked(counts, start, ranks)
+    at = _ranked(counts, start, ranks)
     return [
         at[math.floor(s)] + (at[math.ceil(s)] - at[math.floor(s)]) * (s - math.floor(s)) for s in spots
     ]
 
 
-def _walk(counts: list, start: dict[int, int], ranks: list[int]) -> dict[int, float]:
-    """Value at each rank, from the few values of the wanted bins."""
-    at, upto = {}, dict(start)
-    for row in counts:
-        first = upto[row.bin]
-        upto[row.bin] += row.n
-        at.update({r: row.v for r in ranks if first <= r < upto[row.bin]})
-    return at
-
-
 def _ranked(counts: DataFrame, start: dict[int, int], ranks: list[int]) -> dict[int, float]:
-    """The same by running totals, for bins of any size."""
+    """Value at each rank by running totals, for bins of any size."""
     ordered = running_totals(counts, {"upto": "n"}, [F.col("v")], ["bin"])
     offset = F.element_at(
         F.create_map(*[F.lit(x).cast(t) for b, s in start.items() for x, t in ((b, "int"), (s, "bigint"))]),

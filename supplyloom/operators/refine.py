@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.functions.names import basename
+from supplyloom.sources.schemas import BRONZE, typed
 
 MIN_CONFIDENCE = 0.55
 REVIEW_PREDICTION = 0.8
@@ -23,8 +24,8 @@ def clean_names(relations: DataFrame) -> DataFrame:
 
 
 def to_silver(relations: DataFrame, threshold: float = MIN_CONFIDENCE) -> DataFrame:
-    """Works on batch and streaming frames alike."""
-    return clean_names(confidence_filter(relations, threshold))
+    """Works on batch and streaming frames alike, and on landed text as on typed columns."""
+    return clean_names(confidence_filter(typed(relations, BRONZE), threshold))
 
 
 def cast_probability(relations: DataFrame, column: str = "probability") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplyloom.operators.joins import fits_broadcast, hot_keys, lookup, salted_many_join
+from supplyloom.operators.joins import NOT_HOT, fits_broadcast, hot_keys, lookup, salted_many_join
 from supplyloom.storage import materialise, rows_of
 
 PROFILE = ("country", "region", "risk_premium", "risk_score")
@@ -31,7 +31,7 @@ def enrich(relations: DataFrame, profiles: DataFrame, floor: int | None = None)
             F.col("company_id").alias(key), *[F.col(c).alias(f"{side}_{c}") for c in PROFILE]
         )
         salt = F.col("eid") if "eid" in relations.columns else F.col(other)
-        out = lookup(out, table, key, 128, salt, "left", hot.get(key, {}), rows=rows)
+        out = lookup(out, table, key, 128, salt, "left", hot.get(key, NOT_HOT), rows=rows)
     return out
 
 

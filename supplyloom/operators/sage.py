@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.functions.vectors import affine, dot, literal, zeros
-from supplyloom.operators.joins import hot_keys, lookup
+from supplyloom.operators.joins import Spreads, hot_keys, lookup
 from supplyloom.storage import materialise, rows_of, stored
 
 
@@ -61,7 +61,7 @@ class MessageGraph:
         return cls(materialise(folded, "pairs"), floor)
 
     @cached_property
-    def hot(self) -> dict:
+    def hot(self) -> Spreads:
         return hot_keys(self.pairs, "nbr_id", floor=self.floor)["nbr_id"]
 
 
@@ -138,7 +138,7 @@ def embed_new(
     neighbours = edges.select(F.col("dst_id").alias("node_id"), F.col("src_id").alias("nbr_id"))
 
     @cache
-    def hot() -> dict:
+    def hot() -> Spreads:
         return hot_keys(neighbours, "node_id")["node_id"]
 
     def into(ids: DataFrame) -> DataFrame:

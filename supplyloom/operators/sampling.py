@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from supplyloom.functions.draws import draw, draw_below
-from supplyloom.operators.joins import lookup
+from supplyloom.operators.joins import NOT_HOT, lookup
 from supplyloom.operators.position import with_position
 from supplyloom.operators.refine import with_label
 from supplyloom.storage import materialise, rows_of
@@ -89,7 +89,7 @@ def uniform_negatives(
     drawn = _draws(edges.drop("dst_id"), k, n, seed)
     # Draws are uniform over the index: no key can be hot.
     table = index.withColumnRenamed("id", "dst_id")
-    out = lookup(drawn, table, "node_index", 32, F.col("eid"), hot={}, rows=n)
+    out = lookup(drawn, table, "node_index", 32, F.col("eid"), hot=NOT_HOT, rows=n)
     return out.select(*edges.columns, "draw")
 
 

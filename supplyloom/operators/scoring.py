@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from supplyloom.functions.activations import sigmoid
 from supplyloom.functions.vectors import dot_score
-from supplyloom.operators.joins import fits_broadcast, hot_keys, lookup
+from supplyloom.operators.joins import NOT_HOT, fits_broadcast, hot_keys, lookup
 from supplyloom.operators.position import with_position
 from supplyloom.operators.refine import MIN_CONFIDENCE
 from supplyloom.sources.schemas import EDGES, require
@@ -30,7 +30,7 @@ def with_logit(relations: DataFrame, ends: DataFrame, bias: float, how: str = "l
     hot = {} if fits_broadcast(rows, 24) else hot_keys(relations, "src_id", "dst_id", floor=floor)
     for key, column, other in (("src_id", "as_buyer", "dst_id"), ("dst_id", "as_seller", "src_id")):
         table = ends.select(F.col("id").alias(key), column)
-        out = lookup(out, table, key, 24, _salt(relations, other), how, hot.get(key, {}), rows=rows)
+        out = lookup(out, table, key, 24, _salt(relations, other), how, hot.get(key, NOT_HOT), rows=rows)
     logit = (F.col("as_buyer") + F.col("as_seller") + F.lit(float(bias))).alias("logit")
     return out.select(*relations.columns, logit)
 
@@ -50,7 +50,7 @@ def dot_scores(pairs: DataFrame, embeddings: DataFrame, width: int, floor: int |
     hot = {} if fits_broadcast(rows, row_bytes) else hot_keys(pairs, "src_id", "dst_id", floor=floor)
     for key, column, other in (("src_id", "hu", "dst_id"), ("dst_id", "hv", "src_id")):
         table = embeddings.select(F.col("id").alias(key), F.col("x").alias(column))
-        out = lookup(out, table, key, row_bytes, F.col(other), "left", hot.get(key, {}), rows=rows)
+        out = lookup(out, table, key, row_bytes, F.col(other), "left", hot.get(key, NOT_HOT), rows=rows)
     return out.withColumn("logit", dot_score(F.col("hu"), F.col("hv"))).drop("hu", "hv")
 
 
@@ -107,6 +107,6 @@ def topk_missing_links(edges: DataFrame, ends: DataFrame, bias: float, k: int =
     # The first ranks are wanted by nearly every purchaser: lookup salts them.
     chosen = lookup(chosen, ranks, "rank", 32, F.col("src_id"), rows=n, store=True)
     buyer_half = ends.select(F.col("id").alias("src_id"), "as_buyer")
-    chosen = lookup(chosen, buyer_half, "src_id", 24, F.col("place"), hot={}, rows=n)
+    chosen = lookup(chosen, buyer_half, "src_id", 24, F.col("place"), hot=NOT_HOT, rows=n)
     logit = F.col("as_buyer") + F.col("as_seller") + F.lit(float(bias))
     return chosen.select("src_id", F.col("id").alias("dst_id"), "place", sigmoid(logit).alias("gnn_prediction"))

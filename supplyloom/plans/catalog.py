@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +16,11 @@ from supplyloom.params import DEFAULT
 from supplyloom.plans import fixtures as fx
 from supplyloom.plans import search as hyper
 from supplyloom.plans import training as fit
-from supplyloom.plans.gold import build_gold
+from supplyloom.plans.gold import build_gold, write_gold
+from supplyloom.plans.weights import load_weights, save_weights
 from supplyloom.sources import tables
-from supplyloom.storage import materialise, scratch_path
+from supplyloom.sources.schemas import BRONZE, EDGES, model_signature, require, typed
+from supplyloom.storage import materialise, rows_of, scratch_path
 from supplyloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,8 +29,16 @@ _registry: dict[str, Query] = {}
 SPLIT_PARAMS = DEFAULT
 NEGATIVES = 3
 BATCH = 64
-# One pass over the whole training split: the number of steps grows with the data.
-TRAIN_PARAMS = DEFAULT.with_(num_negative_samples=3, batch_size=4096, max_steps=1_000_000, lr=0.01)
+#: The link model is fitted on at most FIT_ROWS training edges, in TRAIN_STEPS batches of equal size: the first
+#: ones of the seeded random order. Scoring and evaluation cover all edges.
+FIT_ROWS, TRAIN_STEPS = 1_000_000, 12
+
+
+def _train_params(edges: DataFrame):
+    """The steps are as many for any table; batches grow with it up to the bound."""
+    params = DEFAULT.with_(num_negative_samples=3, max_steps=TRAIN_STEPS, lr=0.01)
+    training = int(rows_of(edges) * (1 - params.test_p - params.valid_p))
+    return params.with_(batch_size=max(1, min(training, FIT_ROWS) // TRAIN_STEPS))
 
 
 def query(f: Query) -> Query:
@@ -197,10 +208,9 @@ def fanout_sample(spark, sf_dir):
 
 @query
 def two_hop_blocks(spark, sf_dir):
-    """Blocks of the companies of the validation edges."""
-    split = materialise(_split(spark, sf_dir), "split")
-    seeds = graph.node_set(split.filter(F.col("split") == "validation"))
-    return sampling.two_hop_blocks(seeds, split.drop("split"))
+    """Blocks of the companies at either end of all edges and of their negatives."""
+    seeds = graph.node_set(_examples(spark, sf_dir))
+    return sampling.two_hop_blocks(seeds, fx.silver_edges(spark, sf_dir))
 
 
 @query
@@ -210,7 +220,8 @@ def negatives_uniform(spark, sf_dir):
 
 
 def _dense_count(spark, sf_dir) -> int:
-    return graph.graph_counts(fx.silver_edges(spark, sf_dir)).first().n_dense_nodes
+    top = fx.silver_edges(spark, sf_dir).agg(F.max(F.greatest("src_id", "dst_id")).alias("top")).first().top
+    return 0 if top is None else top + 1
 
 
 @query
@@ -295,11 +306,12 @@ def sampled_embeddings(spark, sf_dir):
 
 @query
 def new_company_embeddings(spark, sf_dir):
-    """Companies absent from the training edges, embedded with frozen weights."""
-    split = materialise(_split(spark, sf_dir), "split")
-    known = graph.node_set(split.filter(F.col("split") == "training"))
-    new = graph.node_set(split).join(known, "id", "left_anti")
-    return _long(embed_new(new, fx.fixed_features(spark, sf_dir), split.drop("split"), fx.fixed_model()))
+    """Companies of the order graph that are not in its first days, embedded with frozen weights."""
+    edges = fx.order_edges(spark, sf_dir)
+    known = graph.node_set(fx.early_order_edges(spark, sf_dir))
+    new = graph.node_set(edges).join(known, "id", "left_anti")
+    x = features.integer_features(graph.node_set(edges), fx.WIDTH)
+    return _long(embed_new(new, x, edges, fx.fixed_model()))
 
 
 @query
@@ -453,7 +465,7 @@ def _enriched(spark, sf_dir):
     profiles = risk.company_profiles(
         fx.company_locations(spark, sf_dir), fx.company_risk_data(spark, sf_dir), fx.company_risk_frame(spark, sf_dir)
     )
-    return risk.enrich(fx.silver(spark, sf_dir), profiles)
+    return risk.enrich(_gold(spark, sf_dir).refined, profiles)
 
 
 @query
@@ -473,9 +485,9 @@ def risk_by_country(spark, sf_dir):
 
 @query
 def supplier_tiers(spark, sf_dir):
-    """Three tiers of suppliers behind every purchaser."""
-    edges = fx.silver_edges(spark, sf_dir)
-    return risk.supplier_tiers(edges, edges.select(F.col("src_id").alias("id")), 3)
+    """Three tiers of suppliers behind the companies of a watch list: those of low risk scores."""
+    watched = fx.company_risk_frame(spark, sf_dir).filter("risk_score < -0.05").select(F.col("company_id").alias("id"))
+    return risk.supplier_tiers(fx.silver_edges(spark, sf_dir), watched, 3)
 
 
 @query
@@ -503,7 +515,7 @@ def _streamed(spark, sf_dir, silver: bool) -> DataFrame:
     ingest.ingest_bronze(spark, _landed(spark, sf_dir), f"{work}/bronze", f"{work}/bronze-checkpoint")
     if silver:
         ingest.refine_silver(spark, f"{work}/bronze", f"{work}/silver", f"{work}/silver-checkpoint")
-    return tables.read_path(spark, f"{work}/{'silver' if silver else 'bronze'}", merge_schema=True)
+    return typed(tables.read_path(spark, f"{work}/{'silver' if silver else 'bronze'}", merge_schema=True), BRONZE)
 
 
 @query
@@ -530,28 +542,153 @@ def stream_score(spark, sf_dir):
     )
 
 
+def _mixed_landing(spark, sf_dir) -> str:
+    """Relations whose confidence is a number in some records and text in others."""
+    path = scratch_path(spark, "landing")
+    rows = fx.relations(spark, sf_dir).select("eid", "Purchaser", "Seller", "src_id", "dst_id", "probability")
+    rows.filter("eid % 2 = 0").drop("eid").write.json(path)
+    rows.filter("eid % 2 = 1").withColumn("probability", F.col("probability").cast("string")).drop("eid").write.mode(
+        "append"
+    ).json(path)
+    return path
+
+
+@query
+def stream_text_confidence(spark, sf_dir):
+    """Silver of a landing folder that mixes numbers and text."""
+    work = scratch_path(spark, "stream")
+    ingest.ingest_bronze(spark, _mixed_landing(spark, sf_dir), f"{work}/bronze", f"{work}/c1")
+    ingest.refine_silver(spark, f"{work}/bronze", f"{work}/silver", f"{work}/c2")
+    return tables.read_path(spark, f"{work}/silver").select("Purchaser", "Seller", "src_id", "dst_id", *_r("probability"))
+
+
+@query
+def stream_evolving(spark, sf_dir):
+    """Three landings: whole-number ranks, fractional ranks with a new column, and a line that does not parse."""
+    work, landing = scratch_path(spark, "stream"), scratch_path(spark, "landing")
+    columns = ["Purchaser", "Seller", "src_id", "dst_id", "probability"]
+    rows = fx.relations(spark, sf_dir)
+    whole = F.col("eid").alias("rank")
+    half = (F.col("eid") + F.lit(0.5)).alias("rank")
+    tier = (F.col("eid") % 5).alias("tier")
+    landings = (
+        rows.filter("eid % 3 = 0").select(*columns, whole),
+        rows.filter("eid % 3 = 1").select(*columns, half, tier),
+        rows.filter("eid % 3 = 2").select(*columns, half, tier),
+    )
+    for i, part in enumerate(landings):
+        part.write.mode("append").json(landing)
+        if i == 2:
+            broken = rows.agg(F.concat(F.lit('{"Purchaser": "broken '), F.count(F.lit(1)).cast("string")).alias("value"))
+            broken.coalesce(1).write.mode("append").text(landing)
+        ingest.ingest_bronze(spark, landing, f"{work}/bronze", f"{work}/c1", schema_location=f"{work}/schema")
+        ingest.refine_silver(spark, f"{work}/bronze", f"{work}/silver", f"{work}/c2", schema_location=f"{work}/schema")
+    names = [*columns, "rank", "tier"]
+    bronze = ingest.read_typed(spark, f"{work}/bronze", f"{work}/schema")
+    silver = ingest.read_typed(spark, f"{work}/silver", f"{work}/schema")
+    both = bronze.select(*names, F.lit("bronze").alias("layer")).unionByName(
+        silver.select(*names, F.lit("silver").alias("layer"))
+    )
+    return both.select("layer", "Purchaser", "Seller", "src_id", "dst_id", "tier", *_r("probability", "rank"))
+
+
+# --- tables ------------------------------------------------------------------
+
+
+@query
+def namespace_tables(spark, sf_dir):
+    """Dimension tables loaded from CSV and the gold tables, in a database of their own: rows and columns of each."""
+    work = scratch_path(spark, "namespace")
+    database = f"loom_{work.rsplit('-', 1)[-1]}"
+    before = spark.catalog.currentDatabase()
+    frames = {"company_risk_data": fx.company_risk_data, "company_locations": fx.company_locations, "company_risk_frame": fx.company_risk_frame}
+    for name, frame in frames.items():
+        frame(spark, sf_dir).write.option("header", True).csv(f"{work}/{name}.csv")
+    tables.use_database(spark, database, location=f"{work}/{database}")
+    try:
+        tables.load_dimension_tables(spark, work)
+        write_gold(_gold(spark, sf_dir), "gold_predictions", "gold_refined")
+        out = None
+        for name in (*tables.DIMENSION_TABLES, "gold_predictions", "gold_refined"):
+            table = tables.read_table(spark, name)
+            columns = ",".join(sorted(table.columns))
+            rows = table.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.lit(columns).alias("columns"))
+            out = rows if out is None else out.unionByName(rows)
+        return materialise(out, "namespace")
+    finally:
+        tables.use_database(spark, before, create=False)
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+@query
+def preview_sorted(spark, sf_dir):
+    """The preview of a table that is ordered by its key."""
+    ordered = fx.silver(spark, sf_dir).orderBy("eid")
+    return tables.preview(ordered, 100).select("eid", "src_id", "dst_id", *_r("probability"))
+
+
+@query
+def contract_check(spark, sf_dir):
+    """Which tables keep the edge contract of the link scorer, with their edges."""
+    silver = fx.silver(spark, sf_dir)
+    given = {"silver": silver, "text_ids": silver.withColumn("src_id", F.col("src_id").cast("string")), "no_seller": silver.drop("dst_id")}
+    out = None
+    for name, frame in given.items():
+        try:
+            model_signature(require(frame, EDGES))
+            kept = True
+        except ValueError:
+            kept = False
+        row = frame.agg(F.lit(name).alias("name"), F.lit(kept).alias("kept"), F.count(F.lit(1)).alias("n"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def latest_weights(spark, sf_dir):
+    """Three saved versions of a model, each scaled by what the table holds; the last one is loaded."""
+    path = scratch_path(spark, "weights")
+    n = fx.silver_edges(spark, sf_dir).count()
+    for version in (1, 2, 3):
+        save_weights(spark, {"score.w": np.arange(4.0) * version, "score.b": np.array([float(n * version)])}, "mean", path, version)
+    weights, _ = load_weights(spark, path)
+    rows = [(name, i, float(v)) for name, w in weights.items() for i, v in enumerate(w.ravel())]
+    return spark.createDataFrame(rows, "name string, place int, value double")
+
+
+@query
+def best_trial(spark, sf_dir):
+    """The trial of the lowest loss, of losses given as a table: event values by user."""
+    losses = fx.read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("trial")).agg(
+        F.max("value").alias("loss"), F.max("event_type").alias("params")
+    )
+    return hyper.best_trial(losses).select("trial", "params", *_r("loss"))
+
+
 # --- learning ----------------------------------------------------------------
 
 
 @query
 def train_link_model(spark, sf_dir):
-    """Metric log of one pass over the training edges of the silver graph."""
-    data = fit.split_graph(fx.silver_edges(spark, sf_dir), TRAIN_PARAMS)
-    return fit.train(data, TRAIN_PARAMS).metrics
+    """Metric log of a fit on the training edges of the silver graph."""
+    edges = materialise(fx.silver_edges(spark, sf_dir), "edges")
+    params = _train_params(edges)
+    return fit.train(fit.split_graph(edges, params), params).metrics
 
 
 @query
 def evaluate_link_model(spark, sf_dir):
-    data = fit.split_graph(fx.silver_edges(spark, sf_dir), TRAIN_PARAMS)
-    trained = fit.train(data, TRAIN_PARAMS)
-    return fit.evaluation_metrics(data, trained.model, TRAIN_PARAMS)
+    edges = materialise(fx.silver_edges(spark, sf_dir), "edges")
+    params = _train_params(edges)
+    data = fit.split_graph(edges, params)
+    return fit.evaluation_metrics(data, fit.train(data, params).model, params)
 
 
 @query
 def param_search(spark, sf_dir):
     space = {"aggregator_type": ("mean", "pool"), "optimiser": ("Adam", "SGD"), "lr": (1e-3, 1e-2)}
-    base = TRAIN_PARAMS.with_(num_node_features=4, hidden_dim=5)
     edges = materialise(fx.silver_edges(spark, sf_dir), "edges")
+    base = _train_params(edges).with_(num_node_features=4, hidden_dim=5)
     trials = hyper.search(edges, hyper.draw_trials(2, 1, base, space), parallelism=2)
     best = hyper.best_trial(trials).select(F.col("trial").alias("best"))
     return trials.join(F.broadcast(best), trials.trial == best.best, "left").select(

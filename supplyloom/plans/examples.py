@@ -21,7 +21,6 @@ from supplyloom.params import Params
 from supplyloom.storage import materialise, rows_of, stored, with_known_rows
 
 PART_BYTES = 8 << 20
-MAX_PARTS = 256
 NO_EDGE = -1
 
 
@@ -187,7 +186,7 @@ def training_examples(
     buyers = blocks.select(F.col("id").alias("src_id"), F.col("block").alias("buyer"))
     rows = lookup(positives, buyers, "src_id", shape.block_bytes, F.col("eid"), rows=rows_of(blocks))
     rows = rows.join(grouped, "eid").select("batch_id", "eid", "buyer", "others")
-    parts = min(MAX_PARTS, max(1, -(-params.batch_size * shape.row_bytes // PART_BYTES)))
+    parts = max(1, -(-params.batch_size * shape.row_bytes // PART_BYTES))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("eid"), F.lit(parts)).cast("int"))
     laid_out = rows.repartition("batch_id", "part")
     return materialise(laid_out, "examples", partition_by="batch_id"), shape

@@ -25,7 +25,7 @@ RELATION = (
     "user_id as src_id",
     "cast(regexp_extract(props, '[0-9]+', 0) as bigint) as dst_id",
     """concat('Company#', lpad(user_id, 9, '0'), case event_id % 6 when 0 then ' LLC' when 1 then ' Ltd.'
-       when 2 then ', Inc.' when 3 then ' GmbH' when 4 then ' Pty Ltd' else '' end) as Purchaser""",
+       when 2 then ', Inc.' when 3 then ' GmbH' when 4 then ' Co. Pty Ltd' else '' end) as Purchaser""",
     """concat('Company#', lpad(regexp_extract(props, '[0-9]+', 0), 9, '0'), case event_id % 5 when 0 then ' Ltd.'
        when 1 then ' S.A.' when 2 then ' llc' when 3 then '' else ' Corp' end) as Seller""",
     "value / (value + 25D) as probability",
@@ -60,6 +60,17 @@ def order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def early_order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order graph of the first three days."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    first = orders.agg(F.date_add(F.min(F.col("o_orderdate").cast("date")), 3).alias("until"))
+    early = orders.join(F.broadcast(first), F.col("o_orderdate").cast("date") < F.col("until"))
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    return lines.join(early, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("src_id"), (F.col("l_suppkey") + 1000000).alias("dst_id")
+    )
+
+
 def company_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation, region = (read(spark, sf_dir, t) for t in ("customer", "nation", "region"))
     return (

@@ -19,11 +19,11 @@ def off_tie(value: str) -> str:
     return f"round({value} + 1.3e-7::double, 6)"
 
 
-FORM = r"'(?i)[ ,.]+(gmbh|corp|llc|ltd|inc|pty|co|plc|s\.?a)[.]?$'"
+FORM = r"'(?i)([^ ,.])([ ,.]+(gmbh|corp|llc|ltd|inc|pty|co|plc|s\.?a)[.]?)+$'"
 
 
 def clean(name: str) -> str:
-    return f"regexp_replace(regexp_replace({name}, {FORM}, ''), {FORM}, '')"
+    return rf"regexp_replace({name}, {FORM}, '\1')"
 
 
 STEPS: dict[str, str] = {
@@ -32,7 +32,7 @@ STEPS: dict[str, str] = {
                cast(regexp_extract(props, '[0-9]+', 0) as bigint) as dst_id,
                'Company#' || lpad(cast(user_id as varchar), 9, '0')
                  || case event_id % 6 when 0 then ' LLC' when 1 then ' Ltd.' when 2 then ', Inc.'
-                                      when 3 then ' GmbH' when 4 then ' Pty Ltd' else '' end as Purchaser,
+                                      when 3 then ' GmbH' when 4 then ' Co. Pty Ltd' else '' end as Purchaser,
                'Company#' || lpad(regexp_extract(props, '[0-9]+', 0), 9, '0')
                  || case event_id % 5 when 0 then ' Ltd.' when 1 then ' S.A.' when 2 then ' llc'
                                       when 3 then '' else ' Corp' end as Seller,
@@ -45,6 +45,9 @@ STEPS: dict[str, str] = {
     "orders_e": """
         select o_custkey as src_id, l_suppkey + 1000000 as dst_id
         from lineitem join orders on l_orderkey = o_orderkey""",
+    "early_e": """
+        select o_custkey as src_id, l_suppkey + 1000000 as dst_id from lineitem join orders on l_orderkey = o_orderkey
+        where o_orderdate::date < (select min(o_orderdate)::date + 3 from orders)""",
     "nodes": "select src_id as id from e union select dst_id from e",
     "dense": "select unnest(range(0, (select max(greatest(src_id, dst_id)) + 1 from e))) as id",
     "placed": "select *, row_number() over (order by eid) - 1 as pos, count(*) over () as n from e",
@@ -172,10 +175,12 @@ STEPS |= {
         select s.*, b.country as buyer_country, b.region as buyer_region, b.risk_premium as buyer_risk_premium,
                b.risk_score as buyer_risk_score, t.country as seller_country, t.region as seller_region,
                t.risk_premium as seller_risk_premium, t.risk_score as seller_risk_score
-        from silver s left join profiles b on b.company_id = src_id left join profiles t on t.company_id = dst_id""",
+        from (select eid, src_id, dst_id, Purchaser, Seller, refined_probability as probability from refined) s
+             left join profiles b on b.company_id = src_id left join profiles t on t.company_id = dst_id""",
     "links": "select distinct src_id, dst_id from e where src_id <> dst_id",
     "walk": """
         select src_id as root, dst_id as company, 1 as tier from links
+        where src_id in (select c_custkey from customer where c_acctbal / 10000::double < -0.05::double)
         union select w.root, l.dst_id, w.tier + 1 from walk w join links l on l.src_id = w.company where w.tier < 3""",
     "spelled": f"""
         select eid, src_id * 10 + eid % 6 as src_id, dst_id * 10 + eid % 5 as dst_id,
@@ -322,10 +327,9 @@ def oracle_sql() -> dict[str, str]:
             *GRAPH, "s1", final="select dst_id as node_id, src_id as nbr_id, eid, slot from s1"
         ),
         "two_hop_blocks": with_steps(
-            *GRAPH, "placed", "split", "s1", "s2",
+            *GRAPH, "dense", "neg_dense", "examples", "s1", "s2",
             final=f"""
-            , seeds as (select src_id as id from split where split = 'validation'
-                        union select dst_id from split where split = 'validation'),
+            , seeds as (select src_id as id from examples union select dst_id from examples),
             outer_e as (select * from ({fanned(2)}) where node_id in (select id from seeds)),
             frontier as (select id from seeds union select nbr_id from outer_e)
             select * from outer_e union all select * from ({fanned(1)}) where node_id in (select id from frontier)""",
@@ -357,13 +361,8 @@ def oracle_sql() -> dict[str, str]:
             *FIXED, "s1", "s2", "f1_agg", "f1", "f2_agg", "f2", final=vector("f2")
         ),
         "new_company_embeddings": with_steps(
-            *EMBED, "nodes", "placed", "split",
-            final=vector(
-                "h2", "v",
-                """where id in (select id from nodes) and id not in
-                     (select src_id from split where split = 'training'
-                      union select dst_id from split where split = 'training')""",
-            ),
+            "orders_e", "early_e", "dims", "orders_x", "o1_agg", "o1", "o2_agg", "o2",
+            final=vector("o2", "v", "where id not in (select src_id from early_e union select dst_id from early_e)"),
         ),
         "order_graph_embeddings": with_steps(
             "orders_e", "dims", "orders_x", "o1_agg", "o1", "o2_agg", "o2", final=vector("o2")
@@ -453,14 +452,14 @@ def oracle_sql() -> dict[str, str]:
             from ex_scored n join ex_scored p on p.eid = n.eid and p.label = 1 where n.label = 0""",
         ),
         "risk_enriched": with_steps(
-            "rel", "silver", "locations", "country_risk", "profiles", "enriched",
+            *SCORE, "refined", "locations", "country_risk", "profiles", "enriched",
             final=f"""
             select {edge}, {names}, buyer_country, buyer_region, seller_country, seller_region,
                    {r6('probability', 'buyer_risk_premium', 'buyer_risk_score', 'seller_risk_premium', 'seller_risk_score')}
             from enriched""",
         ),
         "risk_by_country": with_steps(
-            "rel", "silver", "locations", "country_risk", "profiles", "enriched",
+            *SCORE, "refined", "locations", "country_risk", "profiles", "enriched",
             final="""
             select buyer_country, seller_country, count(*) as n_relations, round(sum(probability), 6) as expected_relations,
                    round(max(seller_risk_premium), 6) as seller_risk_premium,
@@ -481,6 +480,47 @@ def oracle_sql() -> dict[str, str]:
         "stream_silver": with_steps(
             "rel", "silver", final=f"select {names}, src_id, dst_id, {r6('probability')} from silver"
         ),
+        "stream_text_confidence": with_steps(
+            "rel", "silver", final=f"select {names}, src_id, dst_id, {r6('probability')} from silver"
+        ),
+        "stream_evolving": with_steps(
+            "rel", "silver",
+            final=f"""
+            , extra as (select eid as x, round(case when eid % 3 = 0 then eid else eid + 0.5::double end, 6) as rank,
+                               case when eid % 3 > 0 then eid % 5 end as tier from rel)
+            select 'bronze' as layer, {names}, src_id, dst_id, tier, {r6('probability')}, rank from rel join extra on x = eid
+            union all
+            select 'bronze', null, null, null, null, null, null, null
+            union all
+            select 'silver', {names}, src_id, dst_id, tier, {r6('probability')}, rank from silver join extra on x = eid""",
+        ),
+        "namespace_tables": with_steps(
+            "rel", "silver",
+            final="""
+            select 'company_risk_data' as name, count(*) as n, 'country,risk_premium' as columns from nation
+            union all select 'company_locations', count(*), 'company,company_id,country,region' from customer
+            union all select 'company_risk_frame', count(*), 'company_id,risk_score' from customer
+            union all select 'gold_predictions', count(*), 'Purchaser,Seller,dst_id,eid,gnn_prediction,probability,src_id' from silver
+            union all select 'gold_refined', count(*), 'Purchaser,Seller,dst_id,eid,probability,src_id' from silver""",
+        ),
+        "preview_sorted": with_steps(
+            "rel", "silver", final=f"select {edge}, {r6('probability')} from silver order by eid limit 100"
+        ),
+        "contract_check": with_steps(
+            "rel", "silver",
+            final="""
+            select 'silver' as name, true as kept, count(*) as n from silver
+            union all select 'text_ids', false, count(*) from silver union all select 'no_seller', false, count(*) from silver""",
+        ),
+        "latest_weights": with_steps(
+            *GRAPH,
+            final="""
+            select 'score.w' as name, i::int as place, 3 * i::double as value from (select unnest(range(0, 4)) as i)
+            union all select 'score.b', 0, 3::double * count(*) from e""",
+        ),
+        "best_trial": """
+            select user_id as trial, max(event_type) as params, round(max(value), 6) as loss
+            from events group by user_id order by max(value), user_id limit 1""",
         "stream_score": with_steps(
             *SCORE, "refined",
             final=f"""select {names}, src_id, dst_id, {r6('probability', 'gnn_prediction', 'refined_probability')} from refined""",

@@ -9,12 +9,11 @@ from pyspark.sql import types as T
 from supplyloom.operators.refine import MIN_CONFIDENCE, refined, to_silver
 from supplyloom.operators.scoring import score_relations
 from supplyloom.sources.landing import landing_schema, read_landing
-from supplyloom.sources.schemas import BRONZE, CORRUPT, with_corrupt_column
+from supplyloom.sources.schemas import BRONZE, CORRUPT, as_landed, typed, with_corrupt_column
+from supplyloom.sources.tables import read_path
 
-TIMEOUT_SECONDS = 3600
 
-
-def append_available(stream: DataFrame, path: str, checkpoint: str, timeout: float = TIMEOUT_SECONDS) -> None:
+def append_available(stream: DataFrame, path: str, checkpoint: str, timeout: float | None = None) -> None:
     """Takes everything that has arrived, appends it once, then stops."""
     query = (
         stream.writeStream.format("parquet")
@@ -26,7 +25,7 @@ def append_available(stream: DataFrame, path: str, checkpoint: str, timeout: flo
     _drain(query, timeout)
 
 
-def append_available_to_table(stream: DataFrame, table: str, checkpoint: str, timeout: float = TIMEOUT_SECONDS) -> None:
+def append_available_to_table(stream: DataFrame, table: str, checkpoint: str, timeout: float | None = None) -> None:
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -37,38 +36,71 @@ def append_available_to_table(stream: DataFrame, table: str, checkpoint: str, ti
     _drain(query, timeout)
 
 
-def _drain(query, timeout: float) -> None:
-    if not query.awaitTermination(timeout):
+def _drain(query, timeout: float | None) -> None:
+    """Waits until everything is taken, however long that is, unless a limit is given."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream did not drain within {timeout} s")
 
 
 def ingest_bronze(
     spark: SparkSession, landing: str, bronze: str, checkpoint: str, schema: T.StructType = BRONZE,
-    files_per_trigger: int | None = None, schema_location: str | None = None,
+    files_per_trigger: int | None = None, schema_location: str | None = None, timeout: float | None = None,
 ) -> None:
     """Landing JSON -> bronze path. Each file once; new columns widen the path.
 
-    With a ``schema_location`` the column types are inferred, kept there, and
-    widened by the columns of newly landed files.
+    Bronze holds the values as text. With a ``schema_location`` the columns and
+    their types are inferred, kept there, and widened by newly landed files; a
+    file that lands while this runs should wait for the next call, as its new
+    columns would not be known yet.
     """
     if schema_location:
         schema = landing_schema(spark, landing, schema_location)
-    append_available(read_landing(spark, landing, schema, files_per_trigger), bronze, checkpoint)
+    append_available(read_landing(spark, landing, schema, files_per_trigger), bronze, checkpoint, timeout)
 
 
 def refine_silver(
     spark: SparkSession, bronze: str, silver: str, checkpoint: str, schema: T.StructType = BRONZE,
-    threshold: float = MIN_CONFIDENCE,
+    threshold: float = MIN_CONFIDENCE, schema_location: str | None = None, timeout: float | None = None,
 ) -> None:
-    """Bronze path -> confident, clean relations. Unparsed lines stay in bronze."""
-    stream = spark.readStream.schema(with_corrupt_column(schema)).parquet(bronze)
-    append_available(to_silver(stream.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), threshold), silver, checkpoint)
+    """Bronze path -> confident, clean relations. Unparsed lines stay in bronze.
+
+    The columns of the contract get their types; others stay text, so that the
+    silver files of all schema versions agree (``read_typed`` gives them theirs).
+    """
+    if schema_location:
+        schema = landing_schema(spark, bronze, schema_location, evolve=False)
+    stream = spark.readStream.schema(with_corrupt_column(as_landed(schema))).parquet(bronze)
+    append_available(_parsed(stream, threshold), silver, checkpoint, timeout)
+
 
+def _parsed(stream: DataFrame, threshold: float = MIN_CONFIDENCE) -> DataFrame:
+    if CORRUPT in stream.columns:
+        stream = stream.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return to_silver(stream, threshold)
 
-def refine_silver_table(spark: SparkSession, bronze_table: str, silver_table: str, checkpoint: str) -> None:
-    """The same between two tables of the catalog."""
-    append_available_to_table(to_silver(spark.readStream.table(bronze_table)), silver_table, checkpoint)
+
+def read_typed(spark: SparkSession, path: str, schema_location: str) -> DataFrame:
+    """A bronze or silver path, its text columns with the types the kept schema has by now."""
+    schema = landing_schema(spark, path, schema_location, evolve=False)
+    rows = read_path(spark, path, merge_schema=True)
+    text = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)}
+    return typed(rows, T.StructType([f for f in schema.fields if f.name in text]))
+
+
+def refine_silver_table(
+    spark: SparkSession, bronze_table: str, silver_table: str, checkpoint: str, timeout: float | None = None
+) -> None:
+    """The same between two tables of the catalog. Columns that bronze gained are added to silver first."""
+    refined_stream = _parsed(spark.readStream.table(bronze_table))
+    if spark.catalog.tableExists(silver_table):
+        have = set(spark.table(silver_table).columns)
+        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in refined_stream.schema.fields if f.name not in have]
+        if new:
+            spark.sql(f"ALTER TABLE {silver_table} ADD COLUMNS ({', '.join(new)})")
+    append_available_to_table(refined_stream, silver_table, checkpoint, timeout)
 
 
 def scored_batch(relations: DataFrame, companies: DataFrame, bias: float) -> DataFrame:
@@ -79,7 +111,7 @@ def scored_batch(relations: DataFrame, companies: DataFrame, bias: float) -> Dat
 
 def score_arrivals(
     spark: SparkSession, silver: str, companies: DataFrame, bias: float, out: str, checkpoint: str,
-    schema: T.StructType = BRONZE, timeout: float = TIMEOUT_SECONDS,
+    schema: T.StructType = BRONZE, timeout: float | None = None,
 ) -> None:
     """Scores newly arrived relations against the written company table.
 

@@ -18,14 +18,24 @@ def test_hot_keys(skewed):
     rows, df = skewed
     counts = Counter(k for _, k in rows if k is not None)
     floor = 200
-    found = joins.hot_keys(df, "key", floor=floor)["key"]
-    assert set(found) == {k for k, n in counts.items() if n >= floor}
-    assert joins.hot_keys(df, "key") == {"key": {}}
+    found = joins.hot_keys(df, "key", floor=floor)["key"].table.collect()
+    assert {r[0] for r in found} == {k for k, n in counts.items() if n >= floor}
+    assert joins.hot_keys(df, "key") == {"key": joins.NOT_HOT}
     # about ``floor`` rows per salt, whatever the key holds
-    for k, spread in joins.hot_keys(df, "key", floor=7)["key"].items():
+    for k, spread in joins.hot_keys(df, "key", floor=7)["key"].table.collect():
         assert counts[k] / 7 < spread <= 4 * counts[k] / 7
 
 
+def test_more_hot_keys_than_any_list(spark, monkeypatch):
+    """Thousands of hot keys: all are salted, none is left out."""
+    df = spark.range(12_000).selectExpr("id as row", "id % 3000 as key")
+    table = spark.range(0, 3000, 2).selectExpr("id as key", "id * 10 as v")
+    assert joins.hot_keys(df, "key", floor=4)["key"].table.count() == 3000
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1 << 17)
+    out = joins.lookup(df, table, "key", 1 << 10, F.col("row"), floor=4)
+    assert out.count() == 6000 and out.filter("v <> key * 10").count() == 0
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_salted_lookup_equals_plain_join(spark, skewed, how, monkeypatch):
     _, df = skewed
@@ -63,6 +73,10 @@ def test_grid_join_equals_plain_join(spark):
     a = spark.createDataFrame(left, "l long, key long")
     b = spark.createDataFrame(right, "key long, r long")
     plain = Counter((l, r) for l, k in left for k2, r in right if k == k2)
+    def spreads(hot):
+        return joins.Spreads(spark.createDataFrame(list(hot.items()), "__hot long, __spread long")) if hot else joins.NOT_HOT
+
     for hot_l, hot_r in (({1: 4}, {1: 2}), ({1: 8, 2: 2}, {}), ({}, {1: 2, 3: 4}), ({}, {})):
+        hot_l, hot_r = spreads(hot_l), spreads(hot_r)
         out = joins.salted_many_join(a, b, "key", hot_l, hot_r, F.col("l"), F.col("r"))
         assert Counter((x.l, x.r) for x in out.collect()) == plain

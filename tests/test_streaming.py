@@ -81,10 +81,33 @@ def test_schema_is_inferred_once_and_widened(spark, tmp_path):
     assert again.fieldNames() == [*first.fieldNames(), "tier"]
     assert landing.landing_schema(spark, land, where, evolve=False) == again
     ingest.ingest_bronze(spark, land, str(tmp_path / "b"), str(tmp_path / "c"), schema_location=where)
-    rows = tables.read_path(spark, str(tmp_path / "b")).orderBy("src_id").collect()
+    rows = ingest.read_typed(spark, str(tmp_path / "b"), where).orderBy("src_id").collect()
     assert [(r.src_id, r.tier, r.probability) for r in rows] == [(1, None, 0.5), (2, 3, 0.5)]
 
 
+def test_types_widen_and_no_record_is_lost(spark, tmp_path):
+    land, bronze, silver, where = (str(tmp_path / n) for n in ("l", "b", "s", "schema"))
+
+    def run():
+        ingest.ingest_bronze(spark, land, bronze, str(tmp_path / "c1"), schema_location=where)
+        ingest.refine_silver(spark, bronze, silver, str(tmp_path / "c2"), schema_location=where)
+
+    _land(land, "a.json", [_row(1, 1, rank=1), _row(2, "0.95", rank=2)])
+    run()
+    # a file written long ago and renamed into the folder only now
+    _land(land, "b.json", [_row(3, 0.7, rank=2.5, tags={"a": [1]})])
+    os.utime(os.path.join(land, "b.json"), (1, 1))
+    _land(land, "c.json", [_row(4, "high", rank="x")], extra='{"Purchaser": "broken')
+    run()
+    assert ingest.read_typed(spark, bronze, where).count() == 5
+    rows = {r.src_id: r for r in ingest.read_typed(spark, silver, where).collect()}
+    assert {i: r.probability for i, r in rows.items()} == {1: 1.0, 2: 0.95, 3: 0.7}
+    assert [rows[i]["rank"] for i in (1, 2, 3)] == ["1", "2", "2.5"] and rows[3].tags.a == [1]
+    kinds = {f.name: f.dataType.simpleString() for f in landing.landing_schema(spark, land, where, evolve=False).fields}
+    assert kinds["probability"] == "string" and kinds["rank"] == "string"
+    assert landing.widen(T.LongType(), T.DoubleType()) == T.DoubleType()
+
+
 def test_tables(spark, tmp_path):
     tables.use_database(spark, "loom_test", location=str(tmp_path / "wh"))
     folder = tmp_path / "csv"
