@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,27 +40,28 @@ PASSAGE = 32
 #: Words in more than this part of the passages are left out, but for the rarest ones of each item.
 MAX_DF, LEAST_WORDS = 0.002, 8
 RANK, OVERSAMPLE = 128, 16
-#: Words a window needs, and its cosine with an item, to be a candidate.
-MIN_HITS, MIN_COSINE = 3, 0.4
+#: What a window needs to be a candidate: words, its cosine with an item, and the part of the item's TF-IDF weight
+#: that its words make up. Less of the weight leaves too few words for a leak.
+MIN_HITS, MIN_COSINE, MIN_WEIGHT = 3, 0.5, 0.3
 #: Parts of an item's words in common: alone, or with the answer.
 MIN_COMMON, MIN_COMMON_ANSWERED, MIN_ANSWER = 0.65, 0.45, 0.6
 WORD = re.compile(r"[A-Za-z0-9\u0080-\U0010ffff]+")
 
 
-def plain_words(text: str) -> list[str]:
-    return [w.lower() for w in WORD.findall(text)]
+def lower_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of lower-cased texts; for each text the first word's number (one more than texts)."""
+    return hashed_words(pc.utf8_lower(texts), PUNCTUATION)
 
 
-def answer_of(text: str) -> list[str]:
-    """Words of the last sentence, or the last eight where there is one sentence only."""
-    sentences = [plain_words(s) for s in re.split(r"(?<=[.!?])\s+|\n+", text)]
-    sentences = [s for s in sentences if s]
-    return sentences[-1] if len(sentences) > 1 else plain_words(text)[-8:]
+def answer_of(text: str) -> str:
+    """The last sentence, or the last eight words where there is one sentence only."""
+    sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n+", text) if WORD.search(s)]
+    return sentences[-1] if len(sentences) > 1 else " ".join(WORD.findall(text)[-8:])
 
 
-def common_length(a: list[str], b: list[str]) -> int:
+def common_length(a: list, b: list) -> int:
     """Length of the longest common subsequence, by bit rows."""
-    places: dict[str, int] = defaultdict(int)
+    places: dict = defaultdict(int)
     for i, w in enumerate(a):
         places[w] |= 1 << i
     full = (1 << len(a)) - 1
@@ -108,7 +110,7 @@ def document_frequencies(texts: DataFrame, vocabulary: Vocabulary) -> tuple[np.n
         seen, passages = np.zeros(size, dtype=np.int64), 0
         for batch in batches:
             for _, part in slices(batch.column(0)):
-                words, first = hashed_words(part, PUNCTUATION)
+                words, first = lower_words(part)
                 counts = np.diff(first)
                 at, term = vocabulary.find(words)
                 doc = np.searchsorted(first, at, side="right") - 1
@@ -142,7 +144,7 @@ def informative_hits(texts: DataFrame, vocabulary: Vocabulary, kept: np.ndarray)
         for batch in batches:
             ids = batch.column(0)
             for start, part in slices(batch.column(1)):
-                words, first = hashed_words(part, PUNCTUATION)
+                words, first = lower_words(part)
                 at, term = vocabulary.find(words)
                 good = kept[term]
                 at, term = at[good], number[term[good]]
@@ -235,9 +237,12 @@ def latent_space(hits: DataFrame, idf: np.ndarray, items: tuple, passages: int,
     return (last @ vectors[:, ::-1][:, :RANK]).astype(np.float32)
 
 
-def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: np.ndarray) -> DataFrame:
+def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: np.ndarray, items: tuple) -> DataFrame:
     """Best window of each document for each item it comes near to: ``doc_id, item, cosine, place, words``."""
     projected = (idf[:, None] * space).astype(np.float32)
+    rows, terms, weights = items
+    size = len(idf)
+    cells, parts = rows * size + terms, weights * weights  # ascending: an item's part of its weight by word
     spark = hits.sparkSession
     held = spark.sparkContext.broadcast((projected, queries))
 
@@ -262,8 +267,18 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
                     at = chosen[k : k + 4096]
                     norms = np.linalg.norm(windows[at], axis=1)
                     cosines = (windows[at] @ wanted.T) / np.maximum(norms, 1e-9)[:, None]
-                    for i, item in zip(*np.nonzero(cosines >= MIN_COSINE)):
-                        key, c = (int(at_row[at[i]]), int(item)), float(cosines[i, item])
+                    near, item_of = np.nonzero(cosines >= MIN_COSINE)
+                    if not len(near):
+                        continue
+                    sizes = hit[at[near]]
+                    first = np.cumsum(sizes) - sizes
+                    within = np.arange(int(sizes.sum())) + np.repeat(starts[at[near]] - first, sizes)
+                    wanted_cells = np.repeat(item_of, sizes) * size + term[within]
+                    known = np.minimum(np.searchsorted(cells, wanted_cells), len(cells) - 1)
+                    shares = np.add.reduceat(np.where(cells[known] == wanted_cells, parts[known], 0), first)
+                    good = np.flatnonzero(shares >= MIN_WEIGHT)
+                    for i, item in zip(near[good].tolist(), item_of[good].tolist()):
+                        key, c = (int(at_row[at[i]]), item), float(cosines[i, item])
                         if c > best.get(key, (0.0,))[0]:
                             best[key] = (c, int(at_half[at[i]]) * half, words)
             if best:
@@ -280,24 +295,19 @@ LEAKS = "doc_id long, item_id long, cosine double, common double, answer boolean
 
 def check_candidates(texts: DataFrame, near: DataFrame, items: list) -> DataFrame:
     """Longest common subsequences around each candidate's window."""
-    known = [(r["item_id"], plain_words(r["text"]), answer_of(r["text"])) for r in items]
+    known = [(r["item_id"], _hashes(r["text"]), _hashes(answer_of(r["text"]))) for r in items]
     per_document = near.groupBy("doc_id").agg(F.collect_set(F.struct("item", "cosine", "place", "words")).alias("near"))
     chosen = texts.join(per_document, "doc_id").select("doc_id", "text", "near")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for doc_id, text, near_by in zip(*(c.to_pylist() for c in batch.columns)):
-                words = plain_words(text)
-                for n in near_by:
-                    item_id, wanted, answer = known[n["item"]]
-                    low, high = max(0, n["place"] - len(wanted)), n["place"] + n["words"] + len(wanted)
-                    length, step = len(wanted) * 5 // 4 + 2, max(1, len(wanted) // 8)
-                    ends = range(low, max(low + 1, min(high, len(words)) - len(wanted) + 1), step)
-                    common = max(common_length(wanted, words[a : a + length]) for a in ends) / len(wanted)
-                    answered = common_length(answer, words[low:high]) >= MIN_ANSWER * len(answer)
-                    if common >= MIN_COMMON or (common >= MIN_COMMON_ANSWERED and answered):
-                        found.append((doc_id, item_id, n["cosine"], common, answered))
+            for start, part in slices(batch.column(1)):
+                hashes, first = lower_words(part)
+                ids, near_by = (batch.column(i).slice(start, len(part)).to_pylist() for i in (0, 2))
+                for i, doc_id in enumerate(ids):
+                    words = hashes[first[i] : first[i + 1]]
+                    found += [(doc_id, *leak) for leak in (_leak(words, n, *known[n["item"]]) for n in near_by[i]) if leak]
             if found:
                 types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_())
                 columns = [pa.array(c, t) for c, t in zip(zip(*found), types)]
@@ -306,10 +316,30 @@ def check_candidates(texts: DataFrame, near: DataFrame, items: list) -> DataFram
     return chosen.mapInArrow(run, LEAKS)
 
 
+def _hashes(text: str) -> np.ndarray:
+    return lower_words(pa.array([text], pa.string()))[0]
+
+
+def _leak(words: np.ndarray, near: dict, item_id: int, wanted: np.ndarray, answer: np.ndarray) -> tuple | None:
+    """What a leak row tells if the document's words around a window hold enough of an item."""
+    low, high = max(0, near["place"] - len(wanted)), near["place"] + near["words"] + len(wanted)
+    around = words[low:high]
+    if np.isin(wanted, around).sum() < MIN_COMMON_ANSWERED * len(wanted):
+        return None
+    around, wanted, answer = around.tolist(), wanted.tolist(), answer.tolist()
+    length, step = len(wanted) * 5 // 4 + 2, max(1, len(wanted) // 8)
+    starts = range(0, max(1, len(around) - len(wanted) + 1), step)
+    common = max(common_length(wanted, around[a : a + length]) for a in starts) / len(wanted)
+    answered = common_length(answer, around) >= MIN_ANSWER * len(answer)
+    if common >= MIN_COMMON or (common >= MIN_COMMON_ANSWERED and answered):
+        return item_id, near["cosine"], common, answered
+    return None
+
+
 def _leaks_of(texts: DataFrame, items: list) -> DataFrame | None:
     """Leaks of one block of the benchmark."""
-    items = [r for r in items if plain_words(r["text"] or "")]
-    words, first = hashed_words(pa.array([r["text"] for r in items], pa.string()), PUNCTUATION)
+    items = [r for r in items if WORD.search(r["text"] or "")]
+    words, first = lower_words(pa.array([r["text"] for r in items], pa.string()))
     vocabulary = Vocabulary(words)
     if not len(words):
         return None
@@ -328,7 +358,7 @@ def _leaks_of(texts: DataFrame, items: list) -> DataFrame | None:
     space = latent_space(hits, idf, (rows, terms, weights), passages)
     queries = _summed(rows, weights[:, None] * space[terms])
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
-    return check_candidates(texts, near_windows(hits, idf, space, queries), items)
+    return check_candidates(texts, near_windows(hits, idf, space, queries, (rows, terms, weights)), items)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
