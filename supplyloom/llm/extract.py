@@ -146,9 +146,7 @@ def read_page(html: str) -> tuple[list[Block], list[tuple[int, int]], bool]:
                 return
 
     at, low = 0, None
-    for m in MARKUP.finditer(html):
-        if m.start() < at:
-            continue  # inside of raw text
+    while m := MARKUP.search(html, at):
         if m.start() > at and not stack[-1].chrome:
             pieces.append(html[at : m.start()])
         at = m.end()
