@@ -12,7 +12,7 @@ from supplyloom.functions.activations import sigmoid
 from supplyloom.functions.vectors import linear_score
 from supplyloom.operators import entities, features, graph, metrics, profile, projection, refine, risk, sampling, scoring
 from supplyloom.operators.sage import MessageGraph, embed_new, neighbour_max, neighbour_mean, pool_inputs, sage_layer
-from supplyloom.params import DEFAULT
+from supplyloom.params import DEFAULT, TUNED
 from supplyloom.plans import fixtures as fx
 from supplyloom.plans import search as hyper
 from supplyloom.plans import training as fit
@@ -298,6 +298,24 @@ def sage_embeddings_rectified(spark, sf_dir):
     return _long(fit.full_embeddings(edges, x, fx.fixed_model(), final_relu=True))
 
 
+def _wide(spark, sf_dir, aggregator: str, width: int, hidden: int):
+    edges = fx.silver_edges(spark, sf_dir)
+    x = features.integer_features(graph.dense_nodes(edges), width)
+    return _long(fit.full_embeddings(edges, x, fx.wide_model(aggregator, width, hidden)))
+
+
+@query
+def sage_embeddings_default_width(spark, sf_dir):
+    """15 -> 20 -> 15, the widths of the default preset."""
+    return _wide(spark, sf_dir, "mean", DEFAULT.num_node_features, DEFAULT.hidden_dim)
+
+
+@query
+def sage_embeddings_tuned_width(spark, sf_dir):
+    """50 -> 100 -> 50 with max-pooling, the widths of the tuned preset."""
+    return _wide(spark, sf_dir, "pool", TUNED.num_node_features, TUNED.hidden_dim)
+
+
 @query
 def sampled_embeddings(spark, sf_dir):
     edges, x = fx.silver_edges(spark, sf_dir), fx.fixed_features(spark, sf_dir)
@@ -668,6 +686,18 @@ def best_trial(spark, sf_dir):
 # --- learning ----------------------------------------------------------------
 
 
+@query
+def train_score_head(spark, sf_dir):
+    """Three gradient steps of the scorer on fixed embeddings, scaled to about one."""
+    h = fx.fixed_embeddings(spark, sf_dir).select("id", F.transform("x", lambda v: v / F.lit(1e4)).alias("h"))
+    h = materialise(h, "embeddings")
+    ends = _examples(spark, sf_dir)
+    for key, name in (("src_id", "hu"), ("dst_id", "hv")):
+        ends = ends.join(h.select(F.col("id").alias(key), F.col("h").alias(name)), key)
+    rows = materialise(ends.select("label", "hu", "hv"), "examples")
+    return fit.train_score_head(rows, fx.WIDTH, 3, 0.5).select("step", "place", *_r("value"))
+
+
 @query
 def train_link_model(spark, sf_dir):
     """Metric log of a fit on the training edges of the silver graph."""

@@ -112,6 +112,20 @@ def fixed_model(aggregator: str = "mean") -> LinkModel:
     return LinkModel(*layers, ((3 * j + 1) % 5 - 2) / 4.0 / 1000.0, 1.0, aggregator)
 
 
+def wide_model(aggregator: str, width: int, hidden: int) -> LinkModel:
+    """The same rule of weights at other widths: ``width`` -> ``hidden`` -> ``width``."""
+
+    def weights(k: int, rows: int, columns: int) -> np.ndarray:
+        i, j = np.arange(rows)[:, None], np.arange(columns)[None, :]
+        return ((3 * i + 5 * j + 2 * k) % 7 - 3) / 4.0
+
+    layers = []
+    for k, columns, rows in ((0, width, hidden), (3, hidden, width)):
+        pool = (weights(k + 2, columns, columns), np.full(columns, 125.0)) if aggregator == "pool" else (None, None)
+        layers.append(LayerWeights(weights(k, rows, columns), weights(k + 1, rows, columns), np.full(rows, 125.0), *pool))
+    return LinkModel(*layers, np.zeros(2 * width), 0.0, aggregator)
+
+
 def fixed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Integer features of all ids 0..max of the silver edges."""
     return integer_features(dense_nodes(silver_edges(spark, sf_dir)), WIDTH)

@@ -80,21 +80,24 @@ def weight(k: int, row: str, col: str) -> str:
     return f"((3 * {row} + 5 * {col} + 2 * {k}) % 7 - 3) / 4::double"
 
 
-def layer(out: str, src: str, edges: str, k_self: int, k_neigh: int, relu: bool, pool: int | None = None) -> dict[str, str]:
-    """One aggregation layer in long form (id, j, v)."""
+def layer(
+    out: str, src: str, edges: str, k_self: int, k_neigh: int, relu: bool, pool: int | None = None, dims: str = "dims",
+    pool_dims: str = "dims",
+) -> dict[str, str]:
+    """One aggregation layer in long form (id, j, v); ``dims`` number its outputs, ``pool_dims`` its inputs."""
     steps = {}
     nbr = src
     if pool is not None:
         nbr = f"{out}_p"
         steps[nbr] = f"""
             select id, i as j, greatest(0, sum({weight(pool, 'i', 'j')} * v) + 125) as v
-            from {src}, dims group by id, i"""
+            from {src}, {pool_dims} group by id, i"""
     how = "avg" if pool is None else "max"
     steps[f"{out}_agg"] = f"select dst_id as id, j, {how}(v) as m from {edges} join {nbr} on id = src_id group by dst_id, j"
     value = f"sum({weight(k_self, 'i', 'a.j')} * a.v + {weight(k_neigh, 'i', 'a.j')} * coalesce(g.m, 0)) + 125"
     steps[out] = f"""
         select a.id, i as j, {f'greatest(0, {value})' if relu else value} as v
-        from {src} a left join {out}_agg g on a.id = g.id and a.j = g.j, dims group by a.id, i"""
+        from {src} a left join {out}_agg g on a.id = g.id and a.j = g.j, {dims} group by a.id, i"""
     return steps
 
 
@@ -105,6 +108,14 @@ STEPS |= layer("q1", "x", "e", 0, 1, True, pool=2)
 STEPS |= layer("q2", "q1", "e", 3, 4, False, pool=5)
 STEPS |= layer("o1", "orders_x", "orders_e", 0, 1, True)
 STEPS |= layer("o2", "o1", "orders_e", 3, 4, False)
+for _n in (15, 20, 50, 100):
+    STEPS[f"dims{_n}"] = f"select unnest(range(0, {_n})) as i"
+for _n in (15, 50):
+    STEPS[f"x{_n}"] = f"select id, i as j, ({draw("'f|' || id || '|' || i")} % 2001 - 1000)::double as v from dense, dims{_n}"
+STEPS |= layer("d1", "x15", "e", 0, 1, True, dims="dims20")
+STEPS |= layer("d2", "d1", "e", 3, 4, False, dims="dims15")
+STEPS |= layer("w1", "x50", "e", 0, 1, True, 2, "dims100", "dims50")
+STEPS |= layer("w2", "w1", "e", 3, 4, False, 5, "dims50", "dims100")
 for _n in (1, 2):
     STEPS[f"s{_n}"] = f"""
         select eid, src_id, dst_id, slot from (
@@ -194,6 +205,23 @@ STEPS |= {
 }
 
 
+def score_head(steps: int, lr: float) -> str:
+    """Gradient steps of a linear scorer in long form: inputs (example, place, v), weights (place, value)."""
+    chain = ["""
+        inputs as (
+          select x.eid, x.draw, x.label, j as place, v / 1e4 as v from examples x join h2 on id = src_id
+          union all select x.eid, x.draw, x.label, j + 4, v / 1e4 from examples x join h2 on id = dst_id
+          union all select eid, draw, label, 8, 1 from examples),
+        n0 as (select place, 0::double as value from inputs group by place)"""]
+    for k in range(1, steps + 1):
+        chain.append(f"""
+        z{k} as (select eid, draw, label, sum(v * value) as z from inputs join n{k - 1} using (place) group by eid, draw, label),
+        n{k} as (select i.place, any_value(w.value) - {lr}::double * avg((1 / (1 + exp(-z)) - i.label) * v) as value
+                 from inputs i join z{k} using (eid, draw) join n{k - 1} w on w.place = i.place group by i.place)""")
+    rows = [f"select {k} as step, place::int as place, round(value, 6) as value from n{k}" for k in range(1, steps + 1)]
+    return ", " + ", ".join(chain) + " " + " union all ".join(rows)
+
+
 def with_steps(*names: str, final: str) -> str:
     """The named steps in their listed order, then the final SELECT."""
     wanted = [n for n in STEPS if n in names]
@@ -360,6 +388,13 @@ def oracle_sql() -> dict[str, str]:
         "sampled_embeddings": with_steps(
             *FIXED, "s1", "s2", "f1_agg", "f1", "f2_agg", "f2", final=vector("f2")
         ),
+        "sage_embeddings_default_width": with_steps(
+            *GRAPH, "dense", "dims15", "dims20", "x15", "d1_agg", "d1", "d2_agg", "d2", final=vector("d2")
+        ),
+        "sage_embeddings_tuned_width": with_steps(
+            *GRAPH, "dense", "dims50", "dims100", "x50", "w1_p", "w1_agg", "w1", "w2_p", "w2_agg", "w2", final=vector("w2")
+        ),
+        "train_score_head": with_steps(*EMBED, "neg_dense", "examples", final=score_head(3, 0.5)),
         "new_company_embeddings": with_steps(
             "orders_e", "early_e", "dims", "orders_x", "o1_agg", "o1", "o2_agg", "o2",
             final=vector("o2", "v", "where id not in (select src_id from early_e union select dst_id from early_e)"),

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from supplyloom.functions.activations import sigmoid
+from supplyloom.functions.vectors import linear_score
 from supplyloom.operators import metrics as M
 from supplyloom.operators.features import normal_features
 from supplyloom.operators.graph import edge_split, first_batches, node_set, shuffled_batches
@@ -187,6 +189,23 @@ def train(graph: SplitGraph, params: Params, run_id: str = "run") -> Trained:
     return Trained(as_model(weights, params.aggregator_type), weights, table)
 
 
+def train_score_head(examples: DataFrame, width: int, steps: int, lr: float) -> DataFrame:
+    """Fits the linear scorer on given vectors by full gradient steps of the mean log loss, from zero.
+
+    ``examples`` has ``label`` and the vectors ``hu`` and ``hv``. A step is one aggregate: the gradient of a weight is
+    the mean of its input times the error. Rows ``(step, place, value)``: the weights after each step, the bias last.
+    """
+    inputs = [F.get(c, i) for c in ("hu", "hv") for i in range(width)] + [F.lit(1.0)]
+    weights, rows = np.zeros(len(inputs)), []
+    for step in range(1, steps + 1):
+        logit = linear_score(F.col("hu"), F.col("hv"), weights[:-1], float(weights[-1]))
+        error = sigmoid(logit) - F.col("label")
+        gradient = examples.agg(*[F.avg(error * x).alias(f"g{i}") for i, x in enumerate(inputs)]).first()
+        weights = weights - lr * np.array(gradient, dtype=float)
+        rows += [(step, i, float(w)) for i, w in enumerate(weights)]
+    return examples.sparkSession.createDataFrame(rows, "step int, place int, value double")
+
+
 def sampled_embeddings(message_edges: DataFrame, features: DataFrame, model: LinkModel, params: Params) -> DataFrame:
     """The sampled encoder over all nodes: one neighbourhood per node and run."""
     graphs = [
