@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from supplyloom.functions.draws import draw, draw_below
-from supplyloom.operators.joins import NOT_HOT, lookup
+from supplyloom.operators.joins import NOT_HOT, fits_broadcast, lookup
 from supplyloom.operators.position import with_position
 from supplyloom.operators.refine import with_label
 from supplyloom.storage import materialise, rows_of
@@ -36,6 +36,18 @@ def fanout_sample(
     )
 
 
+def fanout_of(ids: DataFrame, edges: DataFrame, layer: int, seed: int = 0, fanout: int = 4) -> DataFrame:
+    """The fan-out sample of the nodes in ``ids``, a written table.
+
+    Few nodes are broadcast, and only their edges are ranked; for many, the sample cuts hubs before its shuffle, so
+    it is taken first and restricted on the same partitioning. A node's sample is the same either way.
+    """
+    if fits_broadcast(rows_of(ids), 16):
+        return fanout_sample(edges.join(F.broadcast(ids.select(F.col("id").alias("dst_id"))), "dst_id", "left_semi"), layer, seed, fanout)
+    keys = ids.select(F.col("id").alias("node_id"))
+    return fanout_sample(edges, layer, seed, fanout).join(keys, "node_id", "left_semi")
+
+
 def full_neighbours(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("dst_id").alias("node_id"), F.col("src_id").alias("nbr_id"), "eid")
 
@@ -46,14 +58,10 @@ def two_hop_blocks(seeds: DataFrame, edges: DataFrame, seed: int = 0, fanout: in
     ``layer`` 2 holds the in-edges of the seeds, ``layer`` 1 those of the seeds
     and of the nodes layer 2 reaches.
     """
-    outer = fanout_sample(edges, 2, seed, fanout).join(
-        seeds.select(F.col("id").alias("node_id")), "node_id", "left_semi"
-    )
-    outer = materialise(outer, "block2")
-    frontier = seeds.select("id").union(outer.select(F.col("nbr_id").alias("id"))).distinct()
-    inner = fanout_sample(edges, 1, seed, fanout).join(
-        frontier.select(F.col("id").alias("node_id")), "node_id", "left_semi"
-    )
+    seeds = materialise(seeds.select("id").distinct(), "seeds")
+    outer = materialise(fanout_of(seeds, edges, 2, seed, fanout), "block2")
+    frontier = materialise(seeds.union(outer.select(F.col("nbr_id").alias("id"))).distinct(), "frontier")
+    inner = fanout_of(frontier, edges, 1, seed, fanout)
     columns = ["node_id", "nbr_id", "eid", "slot"]
     return (
         outer.select(F.lit(2).alias("layer"), *columns)

@@ -237,8 +237,9 @@ def negatives_strict(spark, sf_dir):
     return sampling.strict_negatives(edges, NEGATIVES, edges, nodes=graph.node_set(edges))
 
 
-def _examples(spark, sf_dir):
-    edges = fx.silver_edges(spark, sf_dir)
+def _examples(spark, sf_dir, edges: DataFrame | None = None):
+    """Positives and negatives of the silver edges, or of given ones with columns of their own."""
+    edges = fx.silver_edges(spark, sf_dir) if edges is None else edges
     negatives = sampling.uniform_negatives(edges, NEGATIVES, dense_count=_dense_count(spark, sf_dir))
     return sampling.labelled_examples(edges, negatives)
 
@@ -412,15 +413,15 @@ def _tied(scored: DataFrame) -> DataFrame:
     return scored.withColumn("score", F.round(F.col("score") + F.lit(1.3e-10), 9))
 
 
-def _scored_examples(spark, sf_dir):
-    examples = _examples(spark, sf_dir)
+def _scored_examples(spark, sf_dir, edges: DataFrame | None = None):
+    examples = _examples(spark, sf_dir, edges)
     scored = scoring.with_logit(examples, fx.fixed_companies(spark, sf_dir), fx.fixed_model().score_b, "inner")
     return _tied(scored.withColumnRenamed("logit", "score"))
 
 
 def _batched_scores(spark, sf_dir):
-    batches = graph.shuffled_batches(fx.silver_edges(spark, sf_dir), BATCH, by=[]).select("eid", "batch_id")
-    return _scored_examples(spark, sf_dir).join(batches, "eid")
+    """Edges carry their batch into their negatives."""
+    return _scored_examples(spark, sf_dir, graph.shuffled_batches(fx.silver_edges(spark, sf_dir), BATCH, by=[]))
 
 
 @query

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.operators.joins import lookup
-from supplyloom.operators.sampling import fanout_sample, node_index, strict_negatives, uniform_negatives
+from supplyloom.operators.sampling import fanout_of, node_index, strict_negatives, uniform_negatives
 from supplyloom.operators.graph import node_set
 from supplyloom.params import Params
 from supplyloom.storage import materialise, rows_of, stored, with_known_rows
@@ -93,21 +93,16 @@ def node_blocks(
 ) -> DataFrame:
     """``(id, block)`` of the seed nodes.
 
-    The sample cuts hubs before its shuffle, so it is taken first and
-    then restricted to the nodes that matter, on the same partitioning.
+    Only the nodes that matter are sampled, where their list is short enough to be sent out.
     """
     width, fan = params.num_node_features, params.fanout
     none, nil = F.lit(NO_EDGE).cast("bigint"), F.lit(0.0).cast("float")
     seeds = materialise(seeds.select("id"), "seeds")
-    key = seeds.select(F.col("id").alias("node_id"))
-    outer = materialise(
-        fanout_sample(message_edges, 2, params.seed, fan).join(key, "node_id", "left_semi"), "outer"
-    )
+    outer = materialise(fanout_of(seeds, message_edges, 2, params.seed, fan), "outer")
     frontier = materialise(
         seeds.union(outer.select(F.col("nbr_id").alias("id"))).distinct(), "frontier"
     )
-    key = frontier.select(F.col("id").alias("node_id"))
-    inner = fanout_sample(message_edges, 1, params.seed, fan).join(key, "node_id", "left_semi")
+    inner = fanout_of(frontier, message_edges, 1, params.seed, fan)
 
     features = stored(features, "features")
     rows = rows_of(features)
