@@ -80,7 +80,7 @@ OP7_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS draw
+         substr(md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 15) AS draw
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
