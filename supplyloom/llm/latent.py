@@ -40,6 +40,8 @@ PASSAGE = 32
 #: Words in more than this part of the passages are left out, but for the rarest ones of each item.
 MAX_DF, LEAST_WORDS = 0.002, 8
 RANK, OVERSAMPLE = 128, 16
+#: Hits whose vectors a task holds at once, unless a single document has more.
+PIECE = 32768
 #: What a window needs to be a candidate: words, its cosine with an item, and the part of the item's TF-IDF weight
 #: that its words make up. Less of the weight leaves too few words for a leak.
 MIN_HITS, MIN_COSINE, MIN_WEIGHT = 3, 0.5, 0.3
@@ -161,6 +163,18 @@ def informative_hits(texts: DataFrame, vocabulary: Vocabulary, kept: np.ndarray)
     return materialise(named.mapInArrow(run, HITS), "latent-hits")
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of hits in runs of rows with some PIECE hits, to bound the vectors held at once."""
+    for batch in batches:
+        ends = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + PIECE, side="right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, place and term of every hit."""
     counts = batch.column(1).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -192,7 +206,7 @@ def passage_product(hits: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((len(idf), width), dtype=np.float32)
-        for batch in batches:
+        for batch in _pieces(batches):
             row, place, term = _flat(batch)
             if len(row):
                 passages = np.cumsum(np.append(False, (row[1:] != row[:-1]) | (place[1:] // PASSAGE != place[:-1] // PASSAGE)))
@@ -248,7 +262,7 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, wanted = held.value
-        for batch in batches:
+        for batch in _pieces(batches):
             row, place, term = _flat(batch)
             best: dict[tuple[int, int], tuple] = {}
             for words in (PASSAGE, 2 * PASSAGE) if len(row) else ():
