@@ -30,6 +30,7 @@ import string
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from operator import attrgetter
 
 import numpy as np
@@ -43,8 +44,8 @@ LEVEL = 3
 ID = attrgetter("id")
 #: Bytes of frames in a block, and of blocks in an Arrow batch; a longer document makes a block of its own.
 BLOCK_BYTES, BATCH_BYTES = 1 << 18, 1 << 22
-#: Pieces a task remembers before it begins anew: some 150 MB.
-REMEMBERED = 500_000
+#: Pieces of a generation: a process remembers this one and the one before, some 70 MB.
+REMEMBERED = 150_000
 
 BLOCKS = pa.schema(
     [
@@ -90,6 +91,7 @@ class Encoder(dict):
         self.code = "H" if self.whole.get_vocab_size() <= 1 << 16 else "I"
         self.width = array(self.code).itemsize
         self.alphabet = byte_alphabet()
+        self.before: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
 
     def direct(self, text: str) -> bytes:
@@ -105,7 +107,11 @@ class Encoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= REMEMBERED:
+            self.before = dict(self)
             self.clear()
+        if piece in self.before:
+            self[piece] = self.before[piece]
+            return self[piece]
         core = piece.rstrip(TAIL)
         if core != piece and core[-1:].isalnum():
             tail = piece[len(core) :]
@@ -129,6 +135,12 @@ class Encoder(dict):
         return self.direct(first) + b"".join(map(self.__getitem__, rest))
 
 
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder per process, with what it remembers."""
+    return Encoder(path)
+
+
 def train_dictionary(samples: list[bytes]) -> bytes:
     """A zstandard dictionary; too few samples give their own bytes as one, and none an empty one."""
     import zstandard
@@ -157,7 +169,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: Callable[[], str], end
         .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
         .limit(SAMPLE_DOCS)
     )
-    encoder = Encoder(tokenizer())
+    encoder = encoder_of(tokenizer())
     width, end = encoder.width, array(encoder.code, [end_id]).tobytes()
     dictionary = train_dictionary([encoder.encode(r["text"]) + end for r in sample.collect()])
     name = hashlib.sha256(dictionary).hexdigest()
@@ -168,7 +180,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: Callable[[], str], end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encoder, shard = Encoder(tokenizer()), TaskContext.get().partitionId()
+        encoder, shard = encoder_of(tokenizer()), TaskContext.get().partitionId()
         pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=_compression(dictionary), write_dict_id=False)
         ids, frames, lengths, blocks, at, block, held = [], [], [], [], 0, 0, 0
 
