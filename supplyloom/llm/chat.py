@@ -30,6 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from supplyloom.llm.batches import bounded_batches
+
 TURN, END, LOSS_ROLE = b"<|turn|>", b"<|end|>\n", "assistant"
 CONTROL = r"(?:\||/?s>|/?INST\])"
 ESCAPE = re.compile(rb"([<\[]\\*)(?=" + CONTROL.encode() + rb")")
@@ -99,6 +101,7 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
     """``conv_id, turn, role, text`` -> rows of ``FORMATTED``."""
+    bounded_batches(conversations.sparkSession)
     turns = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),

@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from supplyloom.llm.batches import bounded_batches
 from supplyloom.llm.urls import host_of
 from supplyloom.storage import materialise
 
@@ -233,6 +234,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``url, html`` -> ``keep`` and ``text``."""
+    bounded_batches(pages.sparkSession)
     hosted = pages.select(*keep, F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), F.col("html").alias("html"))
     low = style_tree(hosted).where((F.col("importance") < LEAST) & (F.col("pages") >= MIN_PAGES))
     removed = materialise(low.groupBy("host").agg(F.collect_list("path").alias("removed"), F.count(F.lit(1)).alias("n")), "style-removed")

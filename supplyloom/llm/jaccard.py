@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from supplyloom.llm.batches import bounded_batches
 from supplyloom.llm.components import connected_components
 from supplyloom.llm.words import hashed_shingles, hashed_words, mix, slices
 from supplyloom.storage import materialise, rows_of
@@ -383,6 +384,7 @@ def check_groups(members: DataFrame, percent: int) -> DataFrame:
 
 def similarity_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id``."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def filed(doc_id, tokens: np.ndarray) -> tuple:

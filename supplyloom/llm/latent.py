@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from supplyloom.llm.batches import bounded_batches
 from supplyloom.llm.words import PUNCTUATION, hashed_words, slices
 from supplyloom.storage import materialise
 
@@ -378,6 +379,7 @@ def _leaks_of(texts: DataFrame, items: list) -> DataFrame | None:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) against ``benchmark`` (item_id, text)."""
     spark: SparkSession = docs.sparkSession
+    bounded_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
     query = benchmark.where("text IS NOT NULL").select("item_id", "text").orderBy("item_id", "text")
     found, block = [], []

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from supplyloom.llm.batches import bounded_batches
 from supplyloom.llm.words import slices, text_bytes
 
 WIDTH, STRIDE, EMBED, FILTERS = 16, 8, 6, 24
@@ -165,6 +166,7 @@ def _scores(texts: pa.Array, model: ByteNetwork | float) -> np.ndarray:
 
 def score_quality(docs: DataFrame, model: ByteNetwork | float, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` and ``score`` for every row."""
+    bounded_batches(docs.sparkSession)
     chosen = docs.select(*keep, F.col("text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,6 +181,7 @@ def score_quality(docs: DataFrame, model: ByteNetwork | float, keep: tuple[str,
 
 def keep_good(docs: DataFrame, model: ByteNetwork | float, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose texts score ``least`` or more, unchanged."""
+    bounded_batches(docs.sparkSession)
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from supplyloom.llm.batches import bounded_batches
+
 KINDS = ("assign", "access", "hex", "literal")
 # Fixed values of the scan's contract.
 ASSIGN = re.compile(
@@ -115,6 +117,7 @@ SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end"
 
 def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` and ``spans`` for every row."""
+    bounded_batches(docs.sparkSession)
     chosen = docs.select(*keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -39,6 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from supplyloom.llm.batches import bounded_batches
+
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 65536, 65536
 LEVEL = 3
 ID = attrgetter("id")
@@ -161,6 +163,7 @@ def _compression(dictionary: bytes):
 def write_tokens(docs: DataFrame, folder: str, tokenizer: Callable[[], str], end_id: int = 0) -> None:
     """Encode ``doc_id, text`` into a new token folder. ``tokenizer`` gives the file's place on the machine it runs on."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sample = (
         # About twice the sample by hash, so that no task sends more than its part of it.
@@ -249,6 +252,7 @@ def read_tokens(spark: SparkSession, folder: str, wanted: list[int] | None = Non
 
     ``wanted``: these documents only; other blocks are left out by their id range, other frames are not decompressed.
     """
+    bounded_batches(spark)
     blocks = spark.read.parquet(f"{folder}/blocks")
     if wanted is not None:
         inside = [F.lit(False)] + [F.lit(i).between(F.col("first_id"), F.col("last_id")) for i in wanted]
