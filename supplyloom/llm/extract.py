@@ -10,10 +10,11 @@ pages. From these counts Spark computes importances by entropy:
   repeats does not matter;
 - of a branch, ``(1 - GAMMA)`` times its own presentation plus ``GAMMA`` times the content below it, by pages.
 
-Branches below ``LEAST`` go from every page of the host. What an element's tag, role or class says outright comes
-before entropy: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments go in any
-case; where a page marks its article, text outside goes too, and headings and paragraphs right in it stay even if
-many pages share them (copies of an article are no boilerplate).
+What an element's tag, role or class says weighs its importance in the tree: that of menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles and comments is scaled down (``CHROME_WEIGHT``, below ``LEAST`` even
+on a site of one page), that of headings and paragraphs right in a marked article is scaled up to ``LEAST`` and more
+(copies of an article are no boilerplate), that of all others is as computed, from ``MIN_PAGES`` pages on. Branches
+below ``LEAST`` go from every page of the host. Where a page marks its article, text outside of it goes too.
 
 The text is that of the remaining blocks in page order, one ``\\n`` between them; in a block, character references are
 decoded, white space becomes one space and is trimmed. Defined cases: a null or empty html has an empty text; markup
@@ -39,6 +40,9 @@ from supplyloom.llm.urls import host_of
 from supplyloom.storage import materialise
 
 DEPTH, GAMMA, LEAST, MIN_PAGES = 48, 0.9, 0.3, 4
+CHROME_WEIGHT = 0.25
+#: What the markup says of a node.
+OTHER, CHROME, TEXT = 0, 1, 2
 #: Removed branches that may go to every task at once; more are joined by a salted shuffle.
 BROADCAST_BRANCHES, SALTS = 200_000, 32
 
@@ -79,15 +83,17 @@ class Element(NamedTuple):
     path: int
     chrome: bool
     main: bool  # an article, or in one
-    free: bool  # entropy decides on this branch
+    node: bool  # a node of its own in the tree; what is in chrome belongs to its topmost element
+    kind: int
     children: list
 
 
 class Block(NamedTuple):
     text: str
-    branch: tuple[int, ...]  # paths of the branches that entropy may remove, outermost first
+    branch: tuple[int, ...]  # paths of the nodes it is in, outermost first
     path: int
     main: bool
+    chrome: bool
 
 
 def _hash(*parts) -> int:
@@ -106,16 +112,17 @@ def _opened(parent: Element, tag: str, attributes: str, depth: int) -> Element:
             or found.get("aria-hidden") == "true"
         )
     main = not chrome and (parent.main or tag in MAIN_TAGS or found.get("role", "").lower() == "main")
+    kind = CHROME if chrome else TEXT if main and parent.main and tag in TEXT_TAGS else OTHER
     label = f"{tag}.{re.sub('[0-9]+', '0', found.get('class', '').lower())}"
-    path = _hash(parent.path, label) if depth < DEPTH else parent.path
+    node = depth < DEPTH and not parent.chrome and tag not in ("html", "body")
+    path = _hash(parent.path, label, kind) if node or tag in ("html", "body") else parent.path
     parent.children.append(label)
-    free = not chrome and depth < DEPTH and tag not in ("html", "body") and not main or main and parent.main and tag not in TEXT_TAGS
-    return Element(tag, path, chrome, main, free, [])
+    return Element(tag, path, chrome, main, node, kind, [])
 
 
-def read_page(html: str) -> tuple[list[Block], list[tuple[int, int]], bool]:
-    """Blocks outside of marked chrome in page order; (path, child sequence) of each element; whether a main part is marked."""
-    root = Element("", 0, False, False, False, [])
+def read_page(html: str) -> tuple[list[Block], list[tuple[int, int, int]], bool]:
+    """Blocks in page order; (path, kind, child sequence) of each node; whether a main part is marked."""
+    root = Element("", 0, False, False, False, OTHER, [])
     stack, blocks, styles, pieces, marked = [root], [], [], [], False
     open_tags: Counter[str] = Counter()
 
@@ -123,8 +130,8 @@ def read_page(html: str) -> tuple[list[Block], list[tuple[int, int]], bool]:
         text = " ".join(references.unescape("".join(pieces)).split())
         pieces.clear()
         top = stack[-1]
-        if text and not top.chrome:
-            blocks.append(Block(text, tuple(dict.fromkeys(e.path for e in stack if e.free)), top.path, top.main))
+        if text:
+            blocks.append(Block(text, tuple(dict.fromkeys(e.path for e in stack if e.node)), top.path, top.main, top.chrome))
 
     def close(count: int) -> None:
         for _ in range(count):
@@ -132,8 +139,8 @@ def read_page(html: str) -> tuple[list[Block], list[tuple[int, int]], bool]:
                 end_block()
             done = stack.pop()
             open_tags[done.tag] -= 1
-            if not done.chrome:
-                styles.append((done.path, _hash(*done.children)))
+            if done.node:
+                styles.append((done.path, done.kind, _hash(*done.children)))
 
     def close_within(tags: frozenset, stops: frozenset) -> None:
         if not any(open_tags[t] for t in tags):
@@ -148,7 +155,7 @@ def read_page(html: str) -> tuple[list[Block], list[tuple[int, int]], bool]:
 
     at, low = 0, None
     while m := MARKUP.search(html, at):
-        if m.start() > at and not stack[-1].chrome:
+        if m.start() > at:
             pieces.append(html[at : m.start()])
         at = m.end()
         if m[2] is None:
@@ -166,7 +173,7 @@ def read_page(html: str) -> tuple[list[Block], list[tuple[int, int]], bool]:
         if tag in ENDS:
             close_within(*ENDS[tag])
         element = _opened(stack[-1], tag, m[3], len(stack))
-        if tag in BLOCK_TAGS or element.chrome and not stack[-1].chrome:
+        if tag in BLOCK_TAGS or element.chrome:
             end_block()
         marked |= element.main
         if tag in VOID_TAGS:
@@ -177,49 +184,53 @@ def read_page(html: str) -> tuple[list[Block], list[tuple[int, int]], bool]:
             low = html.lower() if low is None else low
             end = low.find(f"</{tag}", at)
             at = len(html) if end < 0 else end
-    if at < len(html) and not stack[-1].chrome:
+    if at < len(html):
         pieces.append(html[at:])
     close(len(stack) - 1)
     end_block()
     return blocks, styles, marked
 
 
-def main_text(html: str, removed: frozenset | set = frozenset()) -> str:
+def main_text(html: str, removed: frozenset | None = None) -> str:
+    """Text of a page without the ``removed`` branches of its host's tree; without a tree, of what is no marked chrome."""
     blocks, _, marked = read_page(html)
-    kept = [b.text for b in blocks if (b.main or not marked) and removed.isdisjoint(b.branch)]
-    return "\n".join(kept)
+    gone = (lambda b: b.chrome) if removed is None else (lambda b: not removed.isdisjoint(b.branch))
+    return "\n".join(b.text for b in blocks if (b.main or not marked) and not gone(b))
 
 
-NODES = pa.list_(pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("mark", pa.int64()), ("up", pa.list_(pa.int64()))]))
-NODES_DDL = "host string, nodes array<struct<path:long,kind:int,mark:long,up:array<long>>>"
+NODES = pa.list_(pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("said", pa.int32()), ("mark", pa.int64()), ("up", pa.list_(pa.int64()))]))
+NODES_DDL = "host string, nodes array<struct<path:long,kind:int,said:int,mark:long,up:array<long>>>"
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """``(host, html)`` -> ``host, path, importance, pages`` of the branches that entropy may remove."""
+    """``(host, html)`` -> ``host, path, said, importance, pages`` of all nodes with text below them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for html in batch.column(1):
                 blocks, styles, _ = read_page(html.as_py() or "")
-                free = {p for b in blocks for p in b.branch}
-                nodes = {(p, 0, s): () for p, s in styles if p in free}
-                nodes |= {(b.path, 1, _hash(b.text)): b.branch for b in blocks if b.branch}
-                rows.append([{"path": p, "kind": k, "mark": m, "up": list(up)} for (p, k, m), up in nodes.items()])
+                nodes = {(p, 0, said, mark): () for p, said, mark in styles}
+                nodes |= {(b.path, 1, OTHER, _hash(b.text)): b.branch for b in blocks if b.branch}
+                names = ("path", "kind", "said", "mark")
+                rows.append([dict(zip(names, node)) | {"up": list(up)} for node, up in nodes.items()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, NODES)], names=["host", "nodes"])
 
     seen = pages.select("host", "html").mapInArrow(run, NODES_DDL).select("host", F.explode("nodes").alias("x")).select("host", "x.*")
     marks = materialise(
-        seen.groupBy("host", "path", "kind", "mark").agg(F.count(F.lit(1)).alias("c"), F.first("up").alias("up")), "style-marks"
+        seen.groupBy("host", "path", "kind", "mark").agg(
+            F.count(F.lit(1)).alias("c"), F.first("up").alias("up"), F.first("said").alias("said")
+        ),
+        "style-marks",
     )
     # A node is on as many pages as have a child sequence of it; a page with several counts for each.
     on = marks.where("kind = 0").groupBy("host", "path").agg(
-        F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("clogc")
+        F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.first("said").alias("said")
     )
     m = F.col("pages").cast("double")
     # -sum p log p with p = c / m, in logarithms to the base m
     layout = F.when(m > 1, (F.log(m) - F.col("clogc") / m) / F.log(m)).otherwise(1.0)
-    nodes = on.select("host", "path", "pages", layout.alias("layout"))
+    nodes = on.select("host", "path", "said", "pages", layout.alias("layout"))
     texts = marks.where("kind = 1").join(on.select("host", "path", "pages"), ["host", "path"], "left")
     most = F.greatest(F.coalesce("pages", F.lit(1)), F.col("c")).cast("double")
     told = F.when(most > 1, 1 - F.log("c") / F.log(most)).otherwise(1.0)
@@ -228,15 +239,21 @@ def style_tree(pages: DataFrame) -> DataFrame:
         .groupBy("host", "path")
         .agg(F.avg("told").alias("content"))
     )
-    importance = (1 - GAMMA) * F.col("layout") + GAMMA * F.col("content")
-    return nodes.join(below, ["host", "path"]).select("host", "path", importance.alias("importance"), "pages")
+    computed = F.greatest((1 - GAMMA) * F.col("layout") + GAMMA * F.col("content"), F.lit(0.0))
+    importance = (
+        F.when(F.col("said") == CHROME, CHROME_WEIGHT * computed)
+        .when(F.col("said") == TEXT, LEAST + (1 - LEAST) * computed)
+        .when(F.col("pages") < MIN_PAGES, F.lit(1.0))
+        .otherwise(computed)
+    )
+    return nodes.join(below, ["host", "path"]).select("host", "path", "said", importance.alias("importance"), "pages")
 
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``url, html`` -> ``keep`` and ``text``."""
     bounded_batches(pages.sparkSession)
     hosted = pages.select(*keep, F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), F.col("html").alias("html"))
-    low = style_tree(hosted).where((F.col("importance") < LEAST) & (F.col("pages") >= MIN_PAGES))
+    low = style_tree(hosted).where(F.col("importance") < LEAST)
     removed = materialise(low.groupBy("host").agg(F.collect_list("path").alias("removed"), F.count(F.lit(1)).alias("n")), "style-removed")
     total = removed.agg(F.sum("n")).first()[0] or 0
     if total <= BROADCAST_BRANCHES:
