@@ -52,7 +52,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     is one job and is written out, so a lost executor costs one round. Minima are pre-aggregated, so a hub is no hot
     task, and its links are spread by their other end.
     """
-    edges, mark = _written(contracted(links.select(a, b).where(F.col(a) != F.col(b))).distinct())
+    # Written first: links that come from Python workers would otherwise keep two workers busy in each task.
+    given = materialise(links.select(a, b).where(F.col(a) != F.col(b)), "cc-given")
+    edges, mark = _written(contracted(given).distinct())
     while mark[0]:
         parents = edges.groupBy("v").agg(F.min("u").alias("m")).withColumnRenamed("v", "w")
         # large star: greater neighbours of u go to the smallest node around u
