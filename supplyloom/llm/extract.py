@@ -12,14 +12,16 @@ pages. From these counts Spark computes importances by entropy:
 
 What an element's tag, role or class says weighs its importance in the tree: that of menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and comments is scaled down (``CHROME_WEIGHT``, below ``LEAST`` even
-on a site of one page), that of headings and paragraphs right in a marked article is scaled up to ``LEAST`` and more
+on a site of one page), that of a marked article and of all unmarked elements in it is scaled up to ``LEAST`` and more
 (copies of an article are no boilerplate), that of all others is as computed, from ``MIN_PAGES`` pages on. Branches
-below ``LEAST`` go from every page of the host. Where a page marks its article, text outside of it goes too.
+below ``LEAST`` go from every page of the host. Where a page marks its article, text outside of it goes too. Pages of a
+host that hold the same text but for marked chrome (mirrors, addresses with other parameters) count once.
 
 The text is that of the remaining blocks in page order, one ``\\n`` between them; in a block, character references are
 decoded, white space becomes one space and is trimmed. Defined cases: a null or empty html has an empty text; markup
 cut off at the end is dropped; elements nested deeper than ``DEPTH`` count as part of their ancestor at that depth;
-repeated rows count as pages each; pages without a host form a host of their own; further columns are passed over.
+repeated rows count as one page and have a text each; pages without a host form a host of their own; further columns
+are passed over.
 """
 
 from __future__ import annotations
@@ -64,7 +66,6 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 "
     "h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre li ul ol dl dt dd table tbody thead tr td th figure figcaption".split())
 #: An element that opens ends one of these that is still open, if nothing of the second set is in between.
 ENDS = {"li": ("li", "ul ol"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr"), "th": ("td th", "tr"), "option": ("option", "select")}
 ENDS = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in ENDS.items()}
@@ -112,7 +113,7 @@ def _opened(parent: Element, tag: str, attributes: str, depth: int) -> Element:
             or found.get("aria-hidden") == "true"
         )
     main = not chrome and (parent.main or tag in MAIN_TAGS or found.get("role", "").lower() == "main")
-    kind = CHROME if chrome else TEXT if main and parent.main and tag in TEXT_TAGS else OTHER
+    kind = CHROME if chrome else TEXT if main else OTHER
     label = f"{tag}.{re.sub('[0-9]+', '0', found.get('class', '').lower())}"
     node = depth < DEPTH and not parent.chrome and tag not in ("html", "body")
     path = _hash(parent.path, label, kind) if node or tag in ("html", "body") else parent.path
@@ -191,6 +192,11 @@ def read_page(html: str) -> tuple[list[Block], list[tuple[int, int, int]], bool]
     return blocks, styles, marked
 
 
+def _content(blocks: list[Block], marked: bool) -> int:
+    """What copies of a page have in common."""
+    return _hash(*(b.text for b in blocks if (b.main or not marked) and not b.chrome))
+
+
 def main_text(html: str, removed: frozenset | None = None) -> str:
     """Text of a page without the ``removed`` branches of its host's tree; without a tree, of what is no marked chrome."""
     blocks, _, marked = read_page(html)
@@ -199,7 +205,7 @@ def main_text(html: str, removed: frozenset | None = None) -> str:
 
 
 NODES = pa.list_(pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("said", pa.int32()), ("mark", pa.int64()), ("up", pa.list_(pa.int64()))]))
-NODES_DDL = "host string, nodes array<struct<path:long,kind:int,said:int,mark:long,up:array<long>>>"
+NODES_DDL = "host string, content long, nodes array<struct<path:long,kind:int,said:int,mark:long,up:array<long>>>"
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
@@ -207,16 +213,21 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, contents = [], []
             for html in batch.column(1):
-                blocks, styles, _ = read_page(html.as_py() or "")
+                blocks, styles, marked = read_page(html.as_py() or "")
+                contents.append(_content(blocks, marked))
                 nodes = {(p, 0, said, mark): () for p, said, mark in styles}
                 nodes |= {(b.path, 1, OTHER, _hash(b.text)): b.branch for b in blocks if b.branch}
                 names = ("path", "kind", "said", "mark")
                 rows.append([dict(zip(names, node)) | {"up": list(up)} for node, up in nodes.items()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, NODES)], names=["host", "nodes"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(contents, pa.int64()), pa.array(rows, NODES)], names=["host", "content", "nodes"]
+            )
 
-    seen = pages.select("host", "html").mapInArrow(run, NODES_DDL).select("host", F.explode("nodes").alias("x")).select("host", "x.*")
+    # Copies count once; the least of their trees stands for them, whatever the order of rows.
+    once = pages.select("host", "html").mapInArrow(run, NODES_DDL).groupBy("host", "content").agg(F.min("nodes").alias("nodes"))
+    seen = once.select("host", F.explode("nodes").alias("x")).select("host", "x.*")
     marks = materialise(
         seen.groupBy("host", "path", "kind", "mark").agg(
             F.count(F.lit(1)).alias("c"), F.first("up").alias("up"), F.first("said").alias("said")

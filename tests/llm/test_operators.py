@@ -148,6 +148,23 @@ def test_style_tree_removes_what_pages_repeat(spark):
     assert found[99].startswith("Home About")  # one page tells nothing
 
 
+def test_copies_of_pages_keep_their_text(spark):
+    """Hosts of copies only, copies with another date, and many copies among other pages."""
+    article = lambda k, date="": (
+        f"<nav>Home</nav><article><h1>Title {k}</h1><div class=date>{date}</div><div class=body><section><p>One {k}</p><p>Two</p>"
+        f"</section>bare {k}</div></article>"
+    )
+    text = lambda k, date="": "\n".join(filter(None, (f"Title {k}", date, f"One {k}", "Two", f"bare {k}")))
+    plain = "<div><div class=top>Home</div><div class=text>Words of a page</div></div>"
+    given = {f"http://copies.org/?utm={i}": (article(1), text(1)) for i in range(4)}
+    given |= {f"http://dated.org/{i}": (article(1, f"Day {i}"), text(1, f"Day {i}")) for i in range(6)}
+    given |= {f"http://groups.org/{k}/{i}": (article(k), text(k)) for k in range(3) for i in range(20)}
+    given |= {f"http://plain.org/?utm={i}": (plain, "Home\nWords of a page") for i in range(5)}
+    rows = spark.createDataFrame([(u, h) for u, (h, _) in given.items()], "url string, html string")
+    found = {r.url: r.text for r in extract.extract(rows, keep=("url",)).collect()}
+    assert found == {u: t for u, (_, t) in given.items()}
+
+
 def test_chat_round_trip(spark, sf):
     rows = {}
     for r in read(spark, sf, "conversations").orderBy("conv_id", "turn").collect():
