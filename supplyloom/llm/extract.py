@@ -14,7 +14,10 @@ What an element's tag, role or class says weighs its importance in the tree: tha
 sidebars, notices, adverts, forms, scripts, styles and comments is scaled down (``CHROME_WEIGHT``, below ``LEAST`` even
 on a site of one page), that of a marked article and of all unmarked elements in it is scaled up to ``LEAST`` and more
 (copies of an article are no boilerplate), that of all others is as computed, from ``MIN_PAGES`` pages on. Branches
-below ``LEAST`` go from every page of the host. Where a page marks its article, text outside of it goes too. Pages of a
+below ``LEAST`` go from every page of the host. In a marked article a class or id says so only if all of its words do
+(``share-bar``); one that merely holds such a word (``related-work``), or names a section or paragraph by its topic
+(``id=search``), is a hint: it lowers the importance (``HINT_WEIGHT``) and the site's pages decide. Names of headings
+are not read. Where a page marks its article, text outside of it goes too. Pages of a
 host that hold the same text but for marked chrome (mirrors, addresses with other parameters) count once.
 
 The text is that of the remaining blocks in page order, one ``\\n`` between them; in a block, character references are
@@ -42,15 +45,15 @@ from supplyloom.llm.urls import host_of
 from supplyloom.storage import materialise
 
 DEPTH, GAMMA, LEAST, MIN_PAGES = 48, 0.9, 0.3, 4
-CHROME_WEIGHT = 0.25
+CHROME_WEIGHT, HINT_WEIGHT = 0.25, 0.6
 #: What the markup says of a node.
-OTHER, CHROME, TEXT = 0, 1, 2
+OTHER, CHROME, TEXT, HINT = 0, 1, 2, 3
 #: Removed branches that may go to every task at once; more are joined by a salted shuffle.
 BROADCAST_BRANCHES, SALTS = 200_000, 32
 
 CHROME_TAGS = frozenset(
     "nav header footer aside form script style noscript template iframe svg button select input textarea dialog menu "
-    "head object canvas audio video title math map datalist option".split()
+    "head object canvas audio video title annotation map datalist option".split()
 )
 CHROME_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar "
@@ -58,6 +61,14 @@ CHROME_WORDS = frozenset(
     "newsletter subscribe signup login share sharing social related recommended comment comments reply replies disqus "
     "widget search toolbar skip copyright pagination pager".split()
 )
+#: Words that say nothing of their own beside one of these; in an article, header is no chrome by itself.
+PLAIN_WORDS = frozenset(
+    "bar box button buttons link links list icon icons form wrapper wrap container block item items inner posts articles "
+    "stories area slot unit".split()
+)
+#: What ids of other elements than div name as chrome; other words are as likely topics there.
+CHROME_IDS = frozenset("comment comments reply replies disqus related recommended newsletter subscribe share".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 MAIN_TAGS = frozenset(("article", "main"))
 RAW_TAGS = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
@@ -101,19 +112,35 @@ def _hash(*parts) -> int:
     return xxhash.xxh64_intdigest("\x00".join(map(str, parts))) - (1 << 63)
 
 
+def _said(parent: Element, tag: str, classes: str, name: str) -> int:
+    """What an element's class and id say: CHROME, HINT or OTHER."""
+    if tag in HEADINGS:
+        return OTHER
+    said = OTHER
+    for value, chrome in ((classes, CHROME_WORDS), (name, CHROME_WORDS if tag == "div" else CHROME_IDS)):
+        for token in value.lower().split():
+            words = set(PARTS.findall(token))
+            if CHROME_WORDS.isdisjoint(words):
+                continue
+            if not parent.main or (words <= chrome | PLAIN_WORDS and not words <= PLAIN_WORDS | {"header"}):
+                return CHROME
+            said = HINT
+    return said
+
+
 def _opened(parent: Element, tag: str, attributes: str, depth: int) -> Element:
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
-    named = f"{found.get('class', '')} {found.get('id', '')}".lower()
-    chrome = parent.chrome or (tag in CHROME_TAGS and not (tag == "header" and parent.main))
+    chrome, said = parent.chrome or (tag in CHROME_TAGS and not (tag == "header" and parent.main)), OTHER
     if not chrome and tag not in ("html", "body") and tag not in MAIN_TAGS:
+        said = _said(parent, tag, found.get("class", ""), found.get("id", ""))
         chrome = (
-            not CHROME_WORDS.isdisjoint(PARTS.findall(named))
+            said == CHROME
             or found.get("role", "").lower() in CHROME_ROLES
             or "hidden" in found
             or found.get("aria-hidden") == "true"
         )
     main = not chrome and (parent.main or tag in MAIN_TAGS or found.get("role", "").lower() == "main")
-    kind = CHROME if chrome else TEXT if main else OTHER
+    kind = CHROME if chrome else HINT if said == HINT else TEXT if main else OTHER
     label = f"{tag}.{re.sub('[0-9]+', '0', found.get('class', '').lower())}"
     node = depth < DEPTH and not parent.chrome and tag not in ("html", "body")
     path = _hash(parent.path, label, kind) if node or tag in ("html", "body") else parent.path
@@ -255,6 +282,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
         F.when(F.col("said") == CHROME, CHROME_WEIGHT * computed)
         .when(F.col("said") == TEXT, LEAST + (1 - LEAST) * computed)
         .when(F.col("pages") < MIN_PAGES, F.lit(1.0))
+        .when(F.col("said") == HINT, HINT_WEIGHT * computed)
         .otherwise(computed)
     )
     return nodes.join(below, ["host", "path"]).select("host", "path", "said", importance.alias("importance"), "pages")

@@ -148,6 +148,20 @@ def test_style_tree_removes_what_pages_repeat(spark):
     assert found[99].startswith("Home About")  # one page tells nothing
 
 
+def test_slugs_are_no_chrome(spark):
+    """Topics in names of an article's parts; the site's pages tell them from furniture."""
+    page = lambda i: (
+        f"<article><h1 id=cookies>Cookies {i}</h1><h2 id=search-algorithms class=header>Search {i}</h2><section id=related-work><p>Work {i}</p>"
+        f"</section><section id=search><p>Find {i}</p></section><div class=social-science>Science {i}</div><h3 id=header-files>Files {i}</h3>"
+        f"<p>Let <math><mi>x</mi><mo>=</mo><mn>{i}</mn></math></p><div class='social-follow'>Follow us</div><div class=share-bar>Share {i}</div>"
+        f"<div class='related'>More {i}</div><div id=comments>Said {i}</div><nav>Next {i}</nav></article>"
+    )
+    text = lambda i: f"Cookies {i}\nSearch {i}\nWork {i}\nFind {i}\nScience {i}\nFiles {i}\nLet x={i}"
+    rows = [(i, f"http://many.org/{i}", page(i)) for i in range(9)] + [(99, "http://one.org/", page(99))]
+    found = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == text(i) for i in range(9)) and found[99] == text(99) + "\nFollow us"
+
+
 def test_copies_of_pages_keep_their_text(spark):
     """Hosts of copies only, copies with another date, and many copies among other pages."""
     article = lambda k, date="": (
