@@ -6,12 +6,16 @@ documents near an item there (by cosine) are candidates. A candidate is a leak w
 words covers most of the item, or much of it together with its answer (its last sentence), as paraphrases do.
 
 1. One pass over all texts counts in how many passages each benchmark word occurs. Words of few passages carry the
-   search, and the ``LEAST_WORDS`` rarest ones of every item in any case.
+   search, and the ``LEAST_WORDS`` rarest ones of every query passage in any case.
 2. A second pass keeps where those words occur, a small table from which everything else up to the check is done.
 3. The check reads the texts of candidate documents only.
 
+An item of more than two passages is searched by overlapping query passages of that length, each with a vector of its
+own, so a copy is near to some of them however long the item is; the check is always for the whole item. Items of
+fewer than ``MIN_HITS`` words are too short for a vector and are found where their words stand in sequence.
+
 The benchmark is the given query set. Its words and vectors are what tasks receive: it is handled in blocks of
-``ITEM_BLOCK`` items, so this has a fixed bound however large the benchmark is.
+``ITEM_BLOCK`` query passages (more if one item has more), so this has a bound however large the benchmark is.
 
 Result: a row per document and item, ``doc_id, item_id, cosine, common, answer``: the best window's cosine, the part
 of the item's words in common, whether the answer was found. Defined cases: null or empty texts, and items without
@@ -24,6 +28,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +37,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyloom.llm.batches import bounded_batches
-from supplyloom.llm.words import PUNCTUATION, hashed_words, slices
+from supplyloom.llm.words import PUNCTUATION, hashed_words, mix, slices
 from supplyloom.storage import materialise
 
 ITEM_BLOCK = 1000
-#: Words of a passage. Windows of one and of two passages are searched, in steps of half their length.
+#: Words of a passage. Windows of one and of two passages are searched, in steps of half their length. Query passages
+#: have two at most and start a passage after each other.
 PASSAGE = 32
-#: Words in more than this part of the passages are left out, but for the rarest ones of each item.
+#: Words in more than this part of the passages are left out, but for the rarest ones of each query passage.
 MAX_DF, LEAST_WORDS = 0.002, 8
 RANK, OVERSAMPLE = 128, 16
 #: Hits whose vectors a task holds at once, unless a single document has more.
@@ -252,8 +258,11 @@ def latent_space(hits: DataFrame, idf: np.ndarray, items: tuple, passages: int,
     return (last @ vectors[:, ::-1][:, :RANK]).astype(np.float32)
 
 
-def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: np.ndarray, items: tuple) -> DataFrame:
-    """Best window of each document for each item it comes near to: ``doc_id, item, cosine, place, words``."""
+def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: np.ndarray, items: tuple, owner: np.ndarray) -> DataFrame:
+    """Best window of each document for each item it comes near to: ``doc_id, item, cosine, place, words``.
+
+    ``queries`` and ``items`` have a row for each query passage; ``owner`` tells the item it is of.
+    """
     projected = (idf[:, None] * space).astype(np.float32)
     rows, terms, weights = items
     size = len(idf)
@@ -293,7 +302,7 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
                     shares = np.add.reduceat(np.where(cells[known] == wanted_cells, parts[known], 0), first)
                     good = np.flatnonzero(shares >= MIN_WEIGHT)
                     for i, item in zip(near[good].tolist(), item_of[good].tolist()):
-                        key, c = (int(at_row[at[i]]), item), float(cosines[i, item])
+                        key, c = (int(at_row[at[i]]), int(owner[item])), float(cosines[i, item])
                         if c > best.get(key, (0.0,))[0]:
                             best[key] = (c, int(at_half[at[i]]) * half, words)
             if best:
@@ -324,13 +333,17 @@ def check_candidates(texts: DataFrame, near: DataFrame, items: list) -> DataFram
                     words = hashes[first[i] : first[i + 1]]
                     found += [(doc_id, *leak) for leak in (_leak(words, n, *known[n["item"]]) for n in near_by[i]) if leak]
             if found:
-                types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_())
-                columns = [pa.array(c, t) for c, t in zip(zip(*found), types)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "cosine", "common", "answer"])
+                yield _leak_rows(found)
 
     return chosen.mapInArrow(run, LEAKS)
 
 
+def _leak_rows(found: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_())
+    columns = [pa.array(c, t) for c, t in zip(zip(*found), types)]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "cosine", "common", "answer"])
+
+
 def _hashes(text: str) -> np.ndarray:
     return lower_words(pa.array([text], pa.string()))[0]
 
@@ -351,14 +364,67 @@ def _leak(words: np.ndarray, near: dict, item_id: int, wanted: np.ndarray, answe
     return None
 
 
+def query_starts(count: int) -> range | list[int]:
+    """Where the query passages of an item of so many words start; the last one ends with the item."""
+    last = max(0, count - 2 * PASSAGE)
+    return [*range(0, last, PASSAGE), last]
+
+
+def short_leaks(texts: DataFrame, items: list) -> DataFrame:
+    """Documents in which the words of items of fewer than MIN_HITS words stand in sequence."""
+    known: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
+    for r in items:
+        words = _hashes(r["text"])
+        known[len(words)][int(_sequences(words, len(words))[0])].append(r["item_id"])
+    known = {n: dict(wanted) for n, wanted in known.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for start, part in slices(batch.column(1)):
+                hashes, first = lower_words(part)
+                ids = batch.column(0).slice(start, len(part)).to_pylist()
+                for n, wanted in known.items():
+                    rolled = _sequences(hashes, n)
+                    at = np.flatnonzero(np.isin(rolled, np.fromiter(wanted, np.uint64, len(wanted))))
+                    row = np.searchsorted(first, at, side="right") - 1
+                    inside = at + n <= first[row + 1]
+                    pairs = set(zip(row[inside].tolist(), rolled[at[inside]].tolist()))
+                    found += [(ids[i], item, 1.0, 1.0, True) for i, h in pairs for item in wanted[h]]
+            if found:
+                yield _leak_rows(found)
+
+    return texts.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, LEAKS)
+
+
+def _sequences(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each run of ``n`` words."""
+    many = max(0, len(words) - n + 1)
+    rolled = np.zeros(many, dtype=np.uint64)
+    for i in range(n):
+        rolled = mix(rolled * np.uint64(3) + words[i : many + i])
+    return rolled
+
+
 def _leaks_of(texts: DataFrame, items: list) -> DataFrame | None:
     """Leaks of one block of the benchmark."""
-    items = [r for r in items if WORD.search(r["text"] or "")]
-    words, first = lower_words(pa.array([r["text"] for r in items], pa.string()))
+    items = [(r, len(_hashes(r["text"]))) for r in items]
+    short = [r for r, count in items if 0 < count < MIN_HITS]
+    items = [r for r, count in items if count >= MIN_HITS]
+    found = [short_leaks(texts, short)] if short else []
+    if items:
+        found.append(_latent_leaks(texts, items))
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
+def _latent_leaks(texts: DataFrame, items: list) -> DataFrame:
+    whole, at = lower_words(pa.array([r["text"] for r in items], pa.string()))
+    starts = [(i, at[i] + a) for i, count in enumerate(np.diff(at)) for a in query_starts(int(count))]
+    owner = np.array([i for i, _ in starts])
+    parts = [whole[a : min(a + 2 * PASSAGE, at[i + 1])] for i, a in starts]
+    words, first = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
     vocabulary = Vocabulary(words)
-    if not len(words):
-        return None
-    item_of = np.repeat(np.arange(len(items)), np.diff(first))
+    item_of = np.repeat(np.arange(len(parts)), np.diff(first))
     _, term = vocabulary.find(words)
     seen, passages = document_frequencies(texts, vocabulary)
     kept = seen <= MAX_DF * passages
@@ -373,7 +439,7 @@ def _leaks_of(texts: DataFrame, items: list) -> DataFrame | None:
     space = latent_space(hits, idf, (rows, terms, weights), passages)
     queries = _summed(rows, weights[:, None] * space[terms])
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
-    return check_candidates(texts, near_windows(hits, idf, space, queries, (rows, terms, weights)), items)
+    return check_candidates(texts, near_windows(hits, idf, space, queries, (rows, terms, weights), owner), items)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -382,12 +448,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bounded_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
     query = benchmark.where("text IS NOT NULL").select("item_id", "text").orderBy("item_id", "text")
-    found, block = [], []
+    found, block, passages = [], [], 0
     for row in query.toLocalIterator():
-        block.append(row)
-        if len(block) == ITEM_BLOCK:
+        more = len(query_starts(len(_hashes(row["text"]))))
+        if block and passages + more > ITEM_BLOCK:
             found.append(_leaks_of(texts, block))
-            block = []
+            block, passages = [], 0
+        block.append(row)
+        passages += more
     if block:
         found.append(_leaks_of(texts, block))
     leaks = spark.createDataFrame([], LEAKS)

@@ -294,6 +294,26 @@ def test_paraphrases_are_found(spark, sf):
     assert len(found & wanted) >= 0.9 * len(wanted) and not [d for d, _ in found if d >= 1000]
 
 
+def _made_words(draw, many):
+    return [draw.choice("bdfgklmnprst") + draw.choice("aeiou") + draw.choice("bdfgklmnprst") + draw.choice("aeiou") for _ in range(many)]
+
+
+def test_long_and_short_items_are_found(spark):
+    """Verbatim copies of items of any length, at odd places of other text."""
+    draw = random.Random(11)
+    sizes = {1: 300, 2: 1000, 3: 65, 4: 140, 5: 2, 6: 1, 7: 3}
+    items = {i: " ".join(_made_words(draw, n)) for i, n in sizes.items()}
+    items[5], items[6] = "Zorvax quill", "Ypthor!"
+    other = lambda n: " ".join(_made_words(draw, n))
+    docs = [(i, f"{other(77)} {items[i]}. {other(55)}") for i in items]
+    docs += [(50, f"{other(9)} quill Zorvax ypthors {other(9)}"), (51, f"{items[2][:1500]} {other(900)}"), (None, items[6])]
+    docs += [(100 + i, other(400)) for i in range(150)]
+    rows = latent.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(i, i) for i in items} and all(r.common == 1 for r in rows)
+
+
 def test_common_subsequence():
     draw = random.Random(1)
     for _ in range(200):
