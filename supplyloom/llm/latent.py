@@ -2,7 +2,7 @@
 
 Passages of documents and benchmark items are TF-IDF vectors over the words of the benchmark. A randomised singular
 value decomposition, whose products with the passage matrix are sums over all tasks, gives a latent space; windows of
-documents near an item there (by cosine) are candidates. A candidate is a leak when the longest common subsequence of
+documents near an item there (by cosine) are candidates, all of them. A candidate is a leak when the longest common subsequence of
 words covers most of the item, or much of it together with its answer (its last sentence), as paraphrases do.
 
 1. One pass over all texts counts in how many passages each benchmark word occurs. Words of few passages carry the
@@ -17,8 +17,8 @@ fewer than ``MIN_HITS`` words are too short for a vector and are found where the
 The benchmark is the given query set. Its words and vectors are what tasks receive: it is handled in blocks of
 ``ITEM_BLOCK`` query passages (more if one item has more), so this has a bound however large the benchmark is.
 
-Result: a row per document and item, ``doc_id, item_id, cosine, common, answer``: the best window's cosine, the part
-of the item's words in common, whether the answer was found. Defined cases: null or empty texts, and items without
+Result: a row per document and item, ``doc_id, item_id, cosine, common, answer``: the part of the item's words in common
+where that is most, the best cosine of the windows there, whether the answer was found there. Defined cases: null or empty texts, and items without
 words, match nothing; documents that repeat a doc_id are searched each and reported once; rows without a doc_id are
 not reported; an empty benchmark or table gives no rows; further columns are passed over.
 """
@@ -258,8 +258,19 @@ def latent_space(hits: DataFrame, idf: np.ndarray, items: tuple, passages: int,
     return (last @ vectors[:, ::-1][:, :RANK]).astype(np.float32)
 
 
+def _spans(row, item, place, end, cosine) -> tuple[np.ndarray, ...]:
+    """Windows (row, item, place, end, cosine), those of a row and item that overlap merged, with the greatest cosine."""
+    order = np.lexsort((place, item, row))
+    row, item, place, end, cosine = (x[order] for x in (row, item, place, end, cosine))
+    other = np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]))
+    shift = np.cumsum(other) * (int(end.max()) + 1)
+    reached = np.maximum.accumulate(end + shift)
+    starts = np.flatnonzero(np.append(True, place[1:] + shift[1:] >= reached[:-1]))
+    return row[starts], item[starts], place[starts], np.maximum.reduceat(end, starts), np.maximum.reduceat(cosine, starts)
+
+
 def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: np.ndarray, items: tuple, owner: np.ndarray) -> DataFrame:
-    """Best window of each document for each item it comes near to: ``doc_id, item, cosine, place, words``.
+    """Spans of documents near an item: ``doc_id, item, cosine, place, words``. Windows that overlap make one span.
 
     ``queries`` and ``items`` have a row for each query passage; ``owner`` tells the item it is of.
     """
@@ -274,7 +285,7 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
         vectors, wanted = held.value
         for batch in _pieces(batches):
             row, place, term = _flat(batch)
-            best: dict[tuple[int, int], tuple] = {}
+            found: list[tuple[np.ndarray, ...]] = []
             for words in (PASSAGE, 2 * PASSAGE) if len(row) else ():
                 half = words // 2
                 new = np.append(True, (row[1:] != row[:-1]) | (place[1:] // half != place[:-1] // half))
@@ -301,15 +312,20 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
                     known = np.minimum(np.searchsorted(cells, wanted_cells), len(cells) - 1)
                     shares = np.add.reduceat(np.where(cells[known] == wanted_cells, parts[known], 0), first)
                     good = np.flatnonzero(shares >= MIN_WEIGHT)
-                    for i, item in zip(near[good].tolist(), item_of[good].tolist()):
-                        key, c = (int(at_row[at[i]]), int(owner[item])), float(cosines[i, item])
-                        if c > best.get(key, (0.0,))[0]:
-                            best[key] = (c, int(at_half[at[i]]) * half, words)
-            if best:
-                ids = batch.column(0).to_pylist()
-                found = [(ids[r], item, *value) for (r, item), value in best.items()]
-                columns = [pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item", "cosine", "place", "words"])
+                    if not len(good):
+                        continue
+                    window, item = near[good], item_of[good]
+                    places = at_half[at[window]] * half
+                    found.append((at_row[at[window]], owner[item], places, places + words, cosines[window, item]))
+            if found:
+                row, item, place, end, cosine = _spans(*map(np.concatenate, zip(*found)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(row, pa.int64())), pa.array(item, pa.int32()), pa.array(cosine, pa.float64()),
+                        pa.array(place, pa.int32()), pa.array(end - place, pa.int32()),
+                    ],
+                    names=["doc_id", "item", "cosine", "place", "words"],
+                )
 
     return hits.mapInArrow(run, "doc_id long, item int, cosine double, place int, words int")
 
@@ -318,7 +334,7 @@ LEAKS = "doc_id long, item_id long, cosine double, common double, answer boolean
 
 
 def check_candidates(texts: DataFrame, near: DataFrame, items: list) -> DataFrame:
-    """Longest common subsequences around each candidate's window."""
+    """Longest common subsequences around each candidate span."""
     known = [(r["item_id"], _hashes(r["text"]), _hashes(answer_of(r["text"]))) for r in items]
     per_document = near.groupBy("doc_id").agg(F.collect_set(F.struct("item", "cosine", "place", "words")).alias("near"))
     chosen = texts.join(per_document, "doc_id").select("doc_id", "text", "near")
@@ -349,19 +365,26 @@ def _hashes(text: str) -> np.ndarray:
 
 
 def _leak(words: np.ndarray, near: dict, item_id: int, wanted: np.ndarray, answer: np.ndarray) -> tuple | None:
-    """What a leak row tells if the document's words around a window hold enough of an item."""
+    """What a leak row tells if the document's words around a span hold enough of an item."""
     low, high = max(0, near["place"] - len(wanted)), near["place"] + near["words"] + len(wanted)
     around = words[low:high]
     if np.isin(wanted, around).sum() < MIN_COMMON_ANSWERED * len(wanted):
         return None
-    around, wanted, answer = around.tolist(), wanted.tolist(), answer.tolist()
     length, step = len(wanted) * 5 // 4 + 2, max(1, len(wanted) // 8)
-    starts = range(0, max(1, len(around) - len(wanted) + 1), step)
-    common = max(common_length(wanted, around[a : a + length]) for a in starts) / len(wanted)
-    answered = common_length(answer, around) >= MIN_ANSWER * len(answer)
-    if common >= MIN_COMMON or (common >= MIN_COMMON_ANSWERED and answered):
-        return item_id, near["cosine"], common, answered
-    return None
+    held = np.cumsum(np.append(0, np.isin(around, wanted)))
+    around, wanted, answer = around.tolist(), wanted.tolist(), answer.tolist()
+    best = None
+    for a in range(0, max(1, len(around) - len(wanted) + 1), step):
+        if held[min(a + length, len(around))] - held[a] < MIN_COMMON_ANSWERED * len(wanted):
+            continue
+        common = common_length(wanted, around[a : a + length]) / len(wanted)
+        if common < max(MIN_COMMON_ANSWERED, best[0] if best else 0):
+            continue
+        nearby = around[max(0, a - len(wanted)) : a + length + len(wanted)]
+        answered = common_length(answer, nearby) >= MIN_ANSWER * len(answer)
+        if common >= MIN_COMMON or answered:
+            best = max(best or (common, answered), (common, answered))
+    return best and (item_id, near["cosine"], *best)
 
 
 def query_starts(count: int) -> range | list[int]:

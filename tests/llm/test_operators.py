@@ -314,6 +314,33 @@ def test_long_and_short_items_are_found(spark):
     assert {(r.doc_id, r.item_id) for r in rows} == {(i, i) for i in items} and all(r.common == 1 for r in rows)
 
 
+def test_all_near_windows_are_checked(spark):
+    """A shuffled mention is nearer to the item than its copy among other benchmark words."""
+    draw = random.Random(12)
+    words = sorted(set(_made_words(draw, 3000)))
+    draw.shuffle(words)
+    items = {i: words[i * 40 : i * 40 + 40] for i in range(4)} | {9: words[200:216]}
+    fill = words[300:]
+    other = lambda n: [draw.choice(fill) for _ in range(n)]
+    copy = items[0] + items[9] + items[1][::-1]
+    docs = [(1, other(32) + items[9][11::-1] + other(300) + copy), (2, copy + other(300) + items[9][11::-1])]
+    docs += [(100 + i, other(400)) for i in range(100)]
+    rows = latent.find_leaks(
+        spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"),
+    ).collect()
+    assert {(r.doc_id, r.item_id): r.common for r in rows} == {(d, i): 1.0 for d in (1, 2) for i in (0, 9)}
+
+
+def test_spans_like_brute_force():
+    draw = np.random.default_rng(3)
+    row, item, place, words = (draw.integers(0, n, 300) for n in (3, 2, 400, 9))
+    got = latent._spans(row, item, place, place + words + 1, draw.random(300))
+    covered = {(r, i, x) for r, i, p, w in zip(row, item, place, words) for x in range(p, p + w + 1)}
+    assert {(r, i, x) for r, i, a, b in zip(*got[:4]) for x in range(a, b)} == covered
+    assert len(got[0]) >= len({k for k in covered if (*k[:2], k[2] - 1) not in covered})
+
+
 def test_common_subsequence():
     draw = random.Random(1)
     for _ in range(200):
