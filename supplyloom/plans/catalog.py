@@ -717,10 +717,9 @@ def evaluate_link_model(spark, sf_dir):
 
 @query
 def param_search(spark, sf_dir):
-    space = {"aggregator_type": ("mean", "pool"), "optimiser": ("Adam", "SGD"), "lr": (1e-3, 1e-2)}
+    """All trials over the whole space, with the batches and steps that they draw."""
     edges = materialise(fx.silver_edges(spark, sf_dir), "edges")
-    base = _train_params(edges).with_(num_node_features=4, hidden_dim=5)
-    trials = hyper.search(edges, hyper.draw_trials(2, 1, base, space), parallelism=2)
+    trials = hyper.search(edges, hyper.draw_trials())
     best = hyper.best_trial(trials).select(F.col("trial").alias("best"))
     return trials.join(F.broadcast(best), trials.trial == best.best, "left").select(
         "trial", "loss", "params", F.col("best").isNotNull().alias("is_best")

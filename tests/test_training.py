@@ -184,3 +184,20 @@ def test_search_picks_the_lowest_loss(spark, edges):
     assert search.best_params(trials) == P.with_(max_steps=1, seed=1 + best.trial)
     tie = spark.createDataFrame([(0, 0.5, "a"), (1, 0.2, "b"), (2, 0.2, "c")], search.TRIALS_SCHEMA)
     assert search.best_trial(tie).first().params == "b"
+
+
+def test_param_search_draws_the_whole_space(spark, sf, monkeypatch):
+    from supplyloom.params import SEARCH_SPACE, SEARCH_TRIALS
+    from supplyloom.plans import catalog, search
+
+    drawn = []
+
+    def kept(edges, trials, **_):
+        drawn.extend(trials)
+        return spark.createDataFrame([(i, -float(i), "") for i in range(len(trials))], search.TRIALS_SCHEMA)
+
+    monkeypatch.setattr(search, "search", kept)
+    rows = catalog.queries()["param_search"](spark, sf).collect()
+    assert len(rows) == len(drawn) == SEARCH_TRIALS and [r.trial for r in rows if r.is_best] == [SEARCH_TRIALS - 1]
+    for name, values in SEARCH_SPACE.items():
+        assert len({getattr(t, name) for t in drawn}) > 1 and all(getattr(t, name) in values for t in drawn)
