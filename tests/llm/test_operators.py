@@ -304,6 +304,7 @@ def test_long_and_short_items_are_found(spark):
     sizes = {1: 300, 2: 1000, 3: 65, 4: 140, 5: 2, 6: 1, 7: 3}
     items = {i: " ".join(_made_words(draw, n)) for i, n in sizes.items()}
     items[5], items[6] = "Zorvax quill", "Ypthor!"
+    items |= {n: " ".join(f"rare{n}word{j}" for j in range(n)) for n in (300, 1000)}  # weight spread evenly
     other = lambda n: " ".join(_made_words(draw, n))
     docs = [(i, f"{other(77)} {items[i]}. {other(55)}") for i in items]
     docs += [(50, f"{other(9)} quill Zorvax ypthors {other(9)}"), (51, f"{items[2][:1500]} {other(900)}"), (None, items[6])]
