@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyloom.llm import chat, extract, fingerprint, jaccard, latent, mixing, quality, secrets, tokens, urls
+from supplyloom.llm import chat, extract, fingerprint, jaccard, latent, mixing, quality, repair, secrets, tokens, toxicity, trie, urls
 from supplyloom.storage import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -132,10 +132,71 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT i AS byte, i::BIGINT AS v, 0 AS round FROM range(256) t(i)
+  UNION ALL
+  SELECT byte, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, round + 1 FROM bits WHERE round < 8),
+remainders AS (SELECT list(v ORDER BY byte) AS t FROM bits WHERE round = 8),
+turns AS (
+  SELECT conv_id, id, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, id) - 1 AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, length(coalesce(text, '')) AS chars,
+               md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+        FROM conversations WHERE conv_id IS NOT NULL)),
+hashed AS (
+  SELECT conv_id, count(*) AS own, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                         lambda crc, b: xor(crc >> 8, t[(xor(crc, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM turns, remainders GROUP BY conv_id, t),
+convs AS (
+  SELECT c.*, least(c.h, coalesce(b.own, 0)) AS given FROM hashed c LEFT JOIN hashed b ON b.conv_id = c.base),
+rebuilt AS (
+  SELECT c.conv_id, t.pos, t.id, t.chars FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, given + t.pos - h, t.id, t.chars FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h),
+paths AS (
+  SELECT c.conv_id, coalesce(list(id ORDER BY pos) FILTER (WHERE id IS NOT NULL), []) AS ids,
+         list(chars ORDER BY pos) FILTER (WHERE id IS NOT NULL) AS chars
+  FROM convs c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+members AS (
+  SELECT conv_id, d AS depth, len(ids) AS total, array_to_string(ids[1:d], '') AS node, chars[d] AS last,
+         CASE WHEN d > 0 THEN array_to_string(ids[1:d - 1], '') END AS parent
+  FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(last) AS last,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE total = depth), '')) AS ends_sha256
+  FROM members GROUP BY node, depth),
+kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+sums AS (
+  SELECT m.node, count(*) FILTER (WHERE k.n IS NULL) AS n_leaves, sum((u.n_convs - 1) * coalesce(u.last, 0)) AS saved
+  FROM nodes u LEFT JOIN kids k ON k.node = u.node JOIN members m ON m.conv_id = u.conv_id AND m.depth <= u.depth
+  GROUP BY m.node)
+SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(k.n, 0) AS n_children, s.n_leaves,
+       s.saved::BIGINT AS saved_tokens, v.ends_sha256
+FROM nodes v JOIN sums s ON s.node = v.node LEFT JOIN kids k ON k.node = v.node LEFT JOIN nodes p ON p.node = v.parent
+"""
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.digest_repairs(conversations, repair.damage(conversations))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    predicted = F.when(F.col("score") >= toxicity.CUT, 1).otherwise(0)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_token_binary, op2_url_filter, op3_jaccard_join, op4_secret_scan, op5_main_text, op6_chat_format, op7_source_mix, op8_quality_score, op9_fingerprint, op10_decontaminate)
+    named = (op1_token_binary, op2_url_filter, op3_jaccard_join, op4_secret_scan, op5_main_text, op6_chat_format, op7_source_mix, op8_quality_score, op9_fingerprint, op10_decontaminate, op11_prefix_trie, op12_structure_repair, op13_toxicity)
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_source_mix": OP7_SQL}
+    return {"op7_source_mix": OP7_SQL, "op11_prefix_trie": OP11_SQL}
