@@ -95,3 +95,34 @@ def probability_histogram(relations: DataFrame, bins: int = 20, column: str = "p
             (F.col("n") * F.lit(float(bins)) / total).alias("density"),
         )
     )
+
+
+def density_curve(relations: DataFrame, column: str = "probability", points: int = 256) -> DataFrame:
+    """``at, density`` on an even grid from the least to the greatest value: a binned Gaussian kernel estimate.
+
+    Values are counted at their nearest grid point, in one aggregate, and the counts are convolved with the kernel:
+    ``points`` squared terms, whatever the size of the table. The bandwidth is ``0.9 min(sd, iqr / 1.34) n^(-1/5)``
+    with exact quartiles; without any spread the whole mass lies at one point. An empty column gives no rows.
+    """
+    values = relations.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    stats = values.agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.stddev_samp("v").alias("sd")
+    ).first()
+    q1, q3 = exact_quantiles(relations, column, [0.25, 0.75])
+    spark = relations.sparkSession
+    if not stats.n:
+        return spark.createDataFrame([], "at double, density double")
+    step = (stats.high - stats.low) / (points - 1)
+    spread = min(x for x in (stats.sd, (q3 - q1) / 1.34) if x > 0) if stats.sd and q3 > q1 else stats.sd
+    if not spread or step <= 0:
+        return spark.createDataFrame([(stats.low, float("inf"))], "at double, density double")
+    width = 0.9 * spread * stats.n**-0.2
+    place = F.floor((F.col("v") - F.lit(stats.low)) / F.lit(step) + F.lit(0.5)).cast("int")
+    # At most ``points`` rows, each spread over the grid.
+    counts = values.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    grid = counts.select("bin", "n", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    apart = (F.col("point") - F.col("bin")) * F.lit(step) / F.lit(width)
+    kernel = F.exp(F.lit(-0.5) * apart * apart) / F.lit(math.sqrt(2 * math.pi) * width * stats.n)
+    return grid.groupBy("point").agg(F.sum(F.col("n") * kernel).alias("density")).select(
+        (F.lit(stats.low) + F.col("point") * F.lit(step)).alias("at"), "density"
+    )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from supplyloom.functions.draws import draw, draw_below
 from supplyloom.operators.joins import NOT_HOT, fits_broadcast, lookup
-from supplyloom.operators.position import with_position
+from supplyloom.operators.position import running_totals, with_position
 from supplyloom.operators.refine import with_label
 from supplyloom.storage import materialise, rows_of
 
@@ -122,6 +122,61 @@ def strict_negatives(
     )
 
 
+def _distinct_draws(k: int, open_ranks: Column, seed: int) -> Column:
+    """``min(k, open_ranks)`` distinct numbers below ``open_ranks`` for each ``eid``, uniform, in draw order.
+
+    The j-th draw is a rank among the numbers that earlier draws left, and becomes a number by stepping over those.
+    """
+    left = [draw_below(F.greatest(open_ranks - j, F.lit(1)), "open", seed, F.col("eid"), F.lit(j + 1)) for j in range(k)]
+    wanted = F.slice(F.array(*left), F.lit(1), F.least(F.lit(k), open_ranks).cast("int"))
+
+    def take(taken: Column, rank: Column) -> Column:
+        # ``below`` is sorted, so each smaller number passed moves the rank up by one.
+        number = F.aggregate(taken["below"], rank, lambda n, t: F.when(t <= n, n + 1).otherwise(n))
+        one = F.array(number)
+        return F.struct(F.array_sort(F.concat(taken["below"], one)).alias("below"), F.concat(taken["drawn"], one).alias("drawn"))
+
+    none = F.array().cast("array<bigint>")
+    return F.aggregate(wanted, F.struct(none.alias("below"), none.alias("drawn")), take, lambda taken: taken["drawn"])
+
+
+def exact_negatives(
+    edges: DataFrame, k: int, known: DataFrame, nodes: DataFrame | None = None, index: DataFrame | None = None,
+    seed: int = 0, floor: int | None = None,
+) -> DataFrame:
+    """``min(k, open companies)`` distinct pairs per edge that are no edge of ``known``; nothing is drawn in vain.
+
+    The companies a purchaser does not buy from have open ranks 0, 1, ... in index order. Each edge draws distinct open
+    ranks, and an open rank becomes a company by adding the number of the purchaser's sellers that lie before it: a
+    running count over its sellers and draws in one order, found by range partitions. The work is linear in
+    edges * k + known; a purchaser with any number of sellers or edges is spread over tasks.
+    """
+    index = node_index(nodes) if index is None else index
+    n = rows_of(index)
+    ranks = index.select(F.col("id").alias("dst_id"), "node_index")
+    sellers = known.select("src_id", "dst_id").distinct()
+    sellers = lookup(sellers, ranks, "dst_id", 32, F.col("src_id"), rows=n, store=True, floor=floor)
+    placed = with_position(sellers.select("src_id", "node_index"), [F.col("node_index")], ["src_id"], name="at")
+    placed = materialise(placed, "sellers")
+    taken = materialise(placed.groupBy("src_id").agg(F.count(F.lit(1)).alias("taken")), "taken")
+    drawn = lookup(edges.drop("dst_id"), taken, "src_id", 24, F.col("eid"), "left", rows=rows_of(taken), floor=floor)
+    open_ranks = F.lit(n).cast("bigint") - F.coalesce("taken", F.lit(0))
+    drawn = drawn.select(*[c for c in edges.columns if c != "dst_id"], F.posexplode(_distinct_draws(k, open_ranks, seed)).alias("draw", "open"))
+    drawn = drawn.withColumn("draw", F.col("draw") + 1)
+    # ``open`` of a seller: the open ranks before it. Sellers go first, so a draw counts those that it has to step over.
+    both = placed.select("src_id", (F.col("node_index") - F.col("at")).alias("open"), F.lit(1).alias("seller")).unionByName(
+        drawn.select("src_id", "open", F.lit(0).alias("seller"), *[F.col(c) for c in drawn.columns if c not in ("src_id", "open")]),
+        allowMissingColumns=True,
+    )
+    order = [F.col("open"), F.col("seller").desc(), F.col("eid"), F.col("draw")]
+    counted = running_totals(both, {"before": "seller"}, order, ["src_id"]).filter(F.col("seller") == 0)
+    counted = counted.withColumn("node_index", F.col("open") + F.col("before"))
+    # Draws are uniform over the open companies: no key can be hot.
+    table = index.withColumnRenamed("id", "dst_id")
+    out = lookup(counted, table, "node_index", 32, F.col("eid"), hot=NOT_HOT, rows=n)
+    return out.select(*edges.columns, "draw")
+
+
 def labelled_examples(positives: DataFrame, negatives: DataFrame) -> DataFrame:
     """Positive edges (draw 0, label 1) and their negatives (label 0) in one table."""
     pos = with_label(positives.withColumn("draw", F.lit(0)), 1)

@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 
 from supplyloom.functions.activations import sigmoid
 from supplyloom.functions.vectors import linear_score
-from supplyloom.operators import entities, features, graph, metrics, profile, projection, refine, risk, sampling, scoring
+from supplyloom.operators import entities, features, graph, inner_product, metrics, profile, projection, refine, risk, sampling, scale_free, scoring
 from supplyloom.operators.sage import MessageGraph, embed_new, neighbour_max, neighbour_mean, pool_inputs, sage_layer
 from supplyloom.params import DEFAULT, TUNED
 from supplyloom.plans import fixtures as fx
 from supplyloom.plans import search as hyper
+from supplyloom.plans import sql_surface
 from supplyloom.plans import training as fit
 from supplyloom.plans.gold import build_gold, write_gold
 from supplyloom.plans.weights import load_weights, save_weights
 from supplyloom.sources import tables
 from supplyloom.sources.schemas import BRONZE, EDGES, model_signature, require, typed
 from supplyloom.storage import materialise, rows_of, scratch_path
+from supplyloom.streaming import embeddings as follow
 from supplyloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +123,11 @@ def probability_histogram(spark, sf_dir):
     return profile.probability_histogram(fx.relations(spark, sf_dir)).select("bin", "n", *_r("bin_start", "density"))
 
 
+@query
+def probability_density(spark, sf_dir):
+    return profile.density_curve(fx.relations(spark, sf_dir)).select(*_r("at", "density"))
+
+
 # --- graph -------------------------------------------------------------------
 
 
@@ -149,6 +156,11 @@ def hubs(spark, sf_dir):
     return graph.hubs(fx.silver_edges(spark, sf_dir))
 
 
+@query
+def degree_power_law(spark, sf_dir):
+    return scale_free.power_law(fx.silver_edges(spark, sf_dir)).select("direction", "cutoff", "n_tail", *_r("exponent", "distance"))
+
+
 @query
 def order_graph_counts(spark, sf_dir):
     return graph.graph_counts(fx.order_edges(spark, sf_dir))
@@ -237,6 +249,12 @@ def negatives_strict(spark, sf_dir):
     return sampling.strict_negatives(edges, NEGATIVES, edges, nodes=graph.node_set(edges))
 
 
+@query
+def negatives_strict_exact(spark, sf_dir):
+    edges = fx.silver_edges(spark, sf_dir)
+    return sampling.exact_negatives(edges, NEGATIVES, edges, nodes=graph.node_set(edges))
+
+
 def _examples(spark, sf_dir, edges: DataFrame | None = None):
     """Positives and negatives of the silver edges, or of given ones with columns of their own."""
     edges = fx.silver_edges(spark, sf_dir) if edges is None else edges
@@ -383,6 +401,27 @@ def review_links(spark, sf_dir):
     return _gold(spark, sf_dir).review.select("Purchaser", "Seller", *_r("probability", "gnn_prediction"))
 
 
+@query
+def review_sql(spark, sf_dir):
+    """The review as a SQL cell over views and SQL functions."""
+    sql_surface.create_views(spark, fx.relations(spark, sf_dir), fx.fixed_companies(spark, sf_dir))
+    sql_surface.register(spark)
+    return spark.sql(
+        f"""SELECT Purchaser, Seller, round(probability, 6) AS probability, round(gnn_prediction, 6) AS gnn_prediction
+            FROM loom_review({fx.fixed_model().score_b}D)"""
+    )
+
+
+@query
+def refined_sql(spark, sf_dir):
+    sql_surface.create_views(spark, fx.relations(spark, sf_dir), fx.fixed_companies(spark, sf_dir))
+    sql_surface.register(spark)
+    return spark.sql(
+        f"""SELECT eid, src_id, dst_id, Purchaser, Seller, round(loom_refined(gnn_prediction, probability), 6) AS probability
+            FROM loom_predictions({fx.fixed_model().score_b}D)"""
+    )
+
+
 @query
 def gold_refined(spark, sf_dir):
     out = _gold(spark, sf_dir).refined
@@ -405,6 +444,14 @@ def topk_missing_links(spark, sf_dir):
     return out.select("src_id", "dst_id", "place", *_r("gnn_prediction"))
 
 
+@query
+def topk_missing_dot(spark, sf_dir):
+    """Vectors on a whole-number grid, so that both engines add their products up alike."""
+    h = fx.fixed_embeddings(spark, sf_dir).select("id", F.transform("x", lambda v: F.floor(v + F.lit(0.1234567)).cast("double")).alias("x"))
+    out = inner_product.topk_missing_dot(fx.silver_edges(spark, sf_dir), materialise(h, "embeddings"), fx.WIDTH, 5)
+    return out.select("src_id", "dst_id", "place", "logit")
+
+
 # --- metrics and losses ------------------------------------------------------
 
 
@@ -509,6 +556,12 @@ def supplier_tiers(spark, sf_dir):
     return risk.supplier_tiers(fx.silver_edges(spark, sf_dir), watched, 3)
 
 
+@query
+def tier_sizes(spark, sf_dir):
+    """Every company's reach. The sketches are exact in this range of counts."""
+    return risk.tier_sizes(fx.silver_edges(spark, sf_dir), 3)
+
+
 @query
 def entity_resolution(spark, sf_dir):
     """Each spelling of a name starts with an id of its own."""
@@ -519,6 +572,22 @@ def entity_resolution(spark, sf_dir):
     return entities.resolve_entities(spelled).select("eid", "src_id", "dst_id", "Purchaser", "Seller")
 
 
+@query
+def entity_components(spark, sf_dir):
+    """As above, and in every five companies three share ids in a chain: some relations name the next company."""
+    raw = fx.relations(spark, sf_dir)
+    turned = (F.col("src_id") % 5 < 2) & (F.col("eid") % 7 == 0)
+    following = F.expr("concat('Company#', lpad(src_id + 1, 9, '0'), ' LLC')")
+    spelled = raw.withColumns(
+        {
+            "Purchaser": F.when(turned, following).otherwise(F.col("Purchaser")),
+            "src_id": F.col("src_id") * 10 + F.col("eid") % 6,
+            "dst_id": F.col("dst_id") * 10 + F.col("eid") % 5,
+        }
+    )
+    return entities.resolve_linked_entities(spelled).select("eid", "src_id", "dst_id", "Purchaser", "Seller")
+
+
 # --- streams -----------------------------------------------------------------
 
 
@@ -561,6 +630,24 @@ def stream_score(spark, sf_dir):
     )
 
 
+@query
+def stream_embeddings(spark, sf_dir):
+    """Embeddings kept up to date over three landings, as they stand after each."""
+    work = scratch_path(spark, "follow")
+    rows, out = fx.relations(spark, sf_dir), None
+    columns = ["Purchaser", "Seller", "src_id", "dst_id", "probability"]
+    for landing in range(3):
+        rows.filter(F.col("eid") % 3 == landing).select(*columns).write.mode("append").json(f"{work}/landing")
+        ingest.ingest_bronze(spark, f"{work}/landing", f"{work}/bronze", f"{work}/c1")
+        ingest.refine_silver(spark, f"{work}/bronze", f"{work}/silver", f"{work}/c2")
+        follow.follow_embeddings(
+            spark, f"{work}/silver", f"{work}/state", f"{work}/c3", lambda ids: features.integer_features(ids, fx.WIDTH), fx.fixed_model()
+        )
+        now = _long(materialise(follow.current_embeddings(spark, f"{work}/state"), "follow")).withColumn("landing", F.lit(landing))
+        out = now if out is None else out.unionByName(now)
+    return out
+
+
 def _mixed_landing(spark, sf_dir) -> str:
     """Relations whose confidence is a number in some records and text in others."""
     path = scratch_path(spark, "landing")
@@ -699,6 +786,15 @@ def train_score_head(spark, sf_dir):
     return fit.train_score_head(rows, fx.WIDTH, 3, 0.5).select("step", "place", *_r("value"))
 
 
+@query
+def batch_losses(spark, sf_dir):
+    """Loss and bias gradient of the first batches of a fit, all under the fixed weights."""
+    params = DEFAULT.with_(num_node_features=fx.WIDTH, hidden_dim=fx.WIDTH, batch_size=BATCH, num_negative_samples=NEGATIVES, exclude_targets=False)
+    data = fit.split_graph(fx.silver_edges(spark, sf_dir), params, fx.fixed_features(spark, sf_dir))
+    losses = fit.batch_losses(data, fit.weights_of(fx.fixed_model()), params, 5)
+    return losses.select("batch_id", *_r("loss", "bias_gradient"))
+
+
 @query
 def train_link_model(spark, sf_dir):
     """Metric log of a fit on the training edges of the silver graph."""
@@ -730,3 +826,10 @@ def param_search(spark, sf_dir):
 def embedding_projection(spark, sf_dir):
     h = materialise(fx.fixed_embeddings(spark, sf_dir), "embeddings")
     return projection.embedding_projection(h, 0.3)
+
+
+@query
+def embedding_axes(spark, sf_dir):
+    """The embeddings, scaled to about one, on the two leading axes of a sample."""
+    h = fx.fixed_embeddings(spark, sf_dir).select("id", F.transform("x", lambda v: v / F.lit(1e4)).alias("x"))
+    return projection.power_projection(materialise(h, "embeddings"), fx.WIDTH, 0.3).select("id", *_r("x", "y"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.operators.joins import lookup
-from supplyloom.operators.sampling import fanout_of, node_index, strict_negatives, uniform_negatives
+from supplyloom.operators.sampling import exact_negatives, fanout_of, node_index, uniform_negatives
 from supplyloom.operators.graph import node_set
 from supplyloom.params import Params
 from supplyloom.storage import materialise, rows_of, stored, with_known_rows
@@ -148,7 +148,7 @@ def draw_negatives(positives: DataFrame, known: DataFrame, params: Params, index
     """Negatives of ``positives`` among the companies of ``known``, or of a given node index."""
     index = node_index(node_set(known)) if index is None else index
     if params.strict_negatives:
-        return strict_negatives(positives, params.num_negative_samples, known, params.seed, index=index)
+        return exact_negatives(positives, params.num_negative_samples, known, index=index, seed=params.seed)
     return uniform_negatives(positives, params.num_negative_samples, index=index, seed=params.seed)
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from supplyloom.plans.examples import NO_EDGE, Shape
 
 
-def _records(blocks: pa.Array, size: int) -> np.ndarray:
+def records_of(blocks: pa.Array, size: int) -> np.ndarray:
     """Fixed-size binary records as bytes ``[n, size]``, without a copy."""
     n = len(blocks)
     _, offsets, data = blocks.buffers()
@@ -21,8 +21,11 @@ def _records(blocks: pa.Array, size: int) -> np.ndarray:
     return np.frombuffer(data, np.uint8, n * size, start).reshape(n, size) if n else np.empty((0, size), np.uint8)
 
 
-def _fields(records: np.ndarray, shape: Shape, drop: np.ndarray | None) -> dict:
-    """The vectors and neighbour masks of ``n`` blocks; edges in ``drop`` [n] are masked out."""
+def _fields(records: np.ndarray, shape: Shape, drop: np.ndarray | None, width: int | None = None) -> dict:
+    """The vectors and neighbour masks of ``n`` blocks; edges in ``drop`` [n] are masked out.
+
+    ``width``: only that many numbers of each vector.
+    """
     n, f, d = len(records), shape.fanout, shape.width
     split = 4 * sum(shape.vector_sizes)
     vectors = np.ascontiguousarray(records[:, :split]).view(np.float32).astype(float)
@@ -32,8 +35,9 @@ def _fields(records: np.ndarray, shape: Shape, drop: np.ndarray | None) -> dict:
     if drop is not None:
         present &= eids != drop[:, None]
     m1, m2, m21 = np.split(present.astype(float), np.cumsum(shape.edge_sizes)[:-1], axis=1)
+    x1, x2, x21 = x1.reshape(n, f, d), x2.reshape(n, f, d), x21.reshape(n, f, f, d)
     return {
-        "x": x, "x1": x1.reshape(n, f, d), "x2": x2.reshape(n, f, d), "x21": x21.reshape(n, f, f, d),
+        "x": x[:, :width], "x1": x1[..., :width], "x2": x2[..., :width], "x21": x21[..., :width],
         "m1": m1, "m2": m2, "m21": m21.reshape(n, f, f),
     }
 
@@ -96,20 +100,37 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.where(x >= 0, 1.0, np.exp(-np.abs(x))) / (1.0 + np.exp(-np.abs(x)))
 
 
+def embedded(records: np.ndarray, w: dict, shape: Shape, width: int | None = None) -> np.ndarray:
+    """Embeddings of the nodes of some blocks."""
+    return _encode(w, _fields(records, shape, None, width))[0]
+
+
+def _pair_logits(
+    src: np.ndarray, dst: np.ndarray, row: np.ndarray, eid: np.ndarray | None, w: dict, shape: Shape, width: int | None
+) -> tuple[np.ndarray, tuple]:
+    h_src, c_src = _encode(w, _fields(src, shape, eid, width))
+    h_dst, c_dst = _encode(w, _fields(dst, shape, None if eid is None else eid[row], width))
+    half = h_src.shape[1]
+    logits = (h_src @ w["score.w"][:half])[row] + h_dst @ w["score.w"][half:] + w["score.b"][0]
+    return logits, (h_src, c_src, h_dst, c_dst)
+
+
+def _pairs(batch: pa.RecordBatch, shape: Shape, exclude: bool) -> tuple:
+    """Records of purchasers and of all slots, the row of each slot, and the edge ids to leave out."""
+    others = batch.column("others")
+    row = np.repeat(np.arange(batch.num_rows), np.diff(others.offsets.to_numpy()))
+    eid = batch.column("eid").to_numpy(zero_copy_only=False) if exclude else None
+    return records_of(batch.column("buyer"), shape.block_bytes), records_of(others.flatten(), shape.block_bytes), row, eid
+
+
 def forward(batch: pa.RecordBatch, w: dict, shape: Shape, exclude: bool) -> tuple[np.ndarray, np.ndarray, tuple]:
     """Logits of all slots, the row each slot belongs to, and what backward needs.
 
     The first slot of a row is its seller, the others are its negatives.
     """
-    others = batch.column("others")
-    row = np.repeat(np.arange(batch.num_rows), np.diff(others.offsets.to_numpy()))
-    eid = batch.column("eid").to_numpy(zero_copy_only=False) if exclude else None
-    size = shape.block_bytes
-    h_src, c_src = _encode(w, _fields(_records(batch.column("buyer"), size), shape, eid))
-    h_dst, c_dst = _encode(w, _fields(_records(others.flatten(), size), shape, None if eid is None else eid[row]))
-    half = shape.width
-    logits = (h_src @ w["score.w"][:half])[row] + h_dst @ w["score.w"][half:] + w["score.b"][0]
-    return logits, row, (h_src, c_src, h_dst, c_dst)
+    src, dst, row, eid = _pairs(batch, shape, exclude)
+    logits, caches = _pair_logits(src, dst, row, eid, w, shape, None)
+    return logits, row, caches
 
 
 def sellers(row: np.ndarray) -> np.ndarray:
@@ -130,18 +151,26 @@ def loss_and_slope(logits: np.ndarray, row: np.ndarray, loss: str) -> tuple[floa
     return float(gap[gap > 0].sum()), float((~first).sum()), pull * strength * (1.0 - strength)
 
 
-def batch_gradient(
-    batch: pa.RecordBatch, w: dict, shape: Shape, loss: str, exclude: bool
+def pair_gradient(
+    src: np.ndarray, dst: np.ndarray, row: np.ndarray, eid: np.ndarray | None, w: dict, shape: Shape, loss: str,
+    width: int | None = None,
 ) -> tuple[float, float, dict]:
-    """(summed loss, number of terms, summed gradient per weight)."""
-    logits, row, (h_src, c_src, h_dst, c_dst) = forward(batch, w, shape, exclude)
+    """(summed loss, number of terms, summed gradient per weight) of the blocks of purchasers and of their slots."""
+    logits, (h_src, c_src, h_dst, c_dst) = _pair_logits(src, dst, row, eid, w, shape, width)
     total, terms, d_dst = loss_and_slope(logits, row, loss)
-    d_src = np.bincount(row, d_dst, minlength=batch.num_rows)
+    d_src = np.bincount(row, d_dst, minlength=len(src))
     g = {name: np.zeros_like(value) for name, value in w.items()}
-    half = shape.width
+    half = h_src.shape[1]
     g["score.w"][:half] = h_src.T @ d_src
     g["score.w"][half:] = h_dst.T @ d_dst
     g["score.b"][0] = d_dst.sum()
     _encode_back(w, g, d_src[:, None] * w["score.w"][:half], c_src)
     _encode_back(w, g, d_dst[:, None] * w["score.w"][half:], c_dst)
     return total, terms, g
+
+
+def batch_gradient(
+    batch: pa.RecordBatch, w: dict, shape: Shape, loss: str, exclude: bool
+) -> tuple[float, float, dict]:
+    """(summed loss, number of terms, summed gradient per weight)."""
+    return pair_gradient(*_pairs(batch, shape, exclude), w, shape, loss)

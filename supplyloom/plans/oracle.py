@@ -126,6 +126,11 @@ for _n in (1, 2):
           select *, row_number() over (partition by dst_id order by {draw(f"'fanout|0|{_n}|' || eid")}, eid)::int as slot
           from split where split = 'training')
         where slot <= 4"""
+for _n in range(3):
+    STEPS[f"e_{_n}"] = f"select src_id, dst_id from e where eid % 3 <= {_n}"
+    STEPS[f"x_{_n}"] = f"select * from x where id in (select src_id from e_{_n} union select dst_id from e_{_n})"
+    STEPS |= layer(f"k{_n}", f"x_{_n}", f"e_{_n}", 0, 1, True)
+    STEPS |= layer(f"l{_n}", f"k{_n}", f"e_{_n}", 3, 4, False)
 STEPS |= layer("f1", "x", "s1", 0, 1, True)
 STEPS |= layer("f2", "f1", "s2", 3, 4, False)
 STEPS |= layer("g1", "x", "t1", 0, 1, True)
@@ -222,6 +227,35 @@ def score_head(steps: int, lr: float) -> str:
     return ", " + ", ".join(chain) + " " + " union all ".join(rows)
 
 
+def axes(steps: int) -> str:
+    """Two leading axes of the covariance of ``sample`` (id, j, v), by power iterations of four components."""
+    dims = range(4)
+
+    def walk(name: str, matrix: str) -> str:
+        moved = [" + ".join(f"m{i}{j} * v{j}" for j in dims) for i in dims]
+        squares = " + ".join(f"({m}) * ({m})" for m in moved)
+        step = ", ".join(f"({m}) / sqrt({squares})" for m in moved)
+        start = ", ".join(f"0.5::double as v{i}" for i in dims)
+        return f"""
+        {name}_walk as (select 0 as k, {start} union all
+                        select k + 1, {step} from {name}_walk, {matrix} where k < {steps}),
+        {name} as (select * from {name}_walk where k = {steps})"""
+
+    wide = ", ".join(f"max(v) filter (j = {i}) as x{i}" for i in dims)
+    entries = ", ".join(f"covar_samp(x{i}, x{j}) as m{i}{j}" for i in dims for j in dims)
+    power = " + ".join(f"v{i} * m{i}{j} * v{j}" for i in dims for j in dims)
+    left = ", ".join(f"m{i}{j} - ({power}) * v{i} * v{j} as m{i}{j}" for i in dims for j in dims)
+    sign = lambda a: " ".join(
+        f"when abs({a}.v{i}) >= greatest({', '.join(f'abs({a}.v{j})' for j in dims)}) then sign({a}.v{i})" for i in dims
+    )
+    on = lambda a: f"(case {sign(a)} end) * ({' + '.join(f'x{i} * {a}.v{i}' for i in dims)})"
+    return f"""
+        , wide as (select id, {wide} from sample group by id),
+        c1 as (select {entries} from wide), {walk('a1', 'c1')},
+        c2 as (select {left} from c1, a1), {walk('a2', 'c2')}
+        select id, round({on('a1')}, 6) as x, round({on('a2')}, 6) as y from wide, a1, a2"""
+
+
 def with_steps(*names: str, final: str) -> str:
     """The named steps in their listed order, then the final SELECT."""
     wanted = [n for n in STEPS if n in names]
@@ -256,6 +290,7 @@ def oracle_sql() -> dict[str, str]:
         select eid, src_id, id as dst_id, j as draw
         from e, (select unnest(range(1, {{top}}))::int as j) join node_index
           on ix = {draw("'negative|0|' || eid || '|' || j")} % (select count(*) from nodes)"""
+    open_draw = lambda j, m: f"({draw(f"'open|0|' || eid || '|{j}'")} % {m})"
     fanned = lambda n: f"select dst_id as node_id, src_id as nbr_id, eid, slot, {n} as layer from s{n}"
     return {
         "confidence_filter": with_steps(
@@ -291,6 +326,45 @@ def oracle_sql() -> dict[str, str]:
             from (select least(floor(probability * 20)::bigint + 1, 20) as bin from rel where probability is not null)
             group by bin""",
         ),
+        "probability_density": with_steps(
+            "rel", "q",
+            final="""
+            , s as (select count(probability) as n, min(probability) as low, max(probability) as high,
+                           stddev_samp(probability) as sd, any_value(q3) - any_value(q1) as iqr from rel, q),
+            w as (select *, (high - low) / 255 as step, 0.9::double * least(sd, iqr / 1.34::double) * pow(n, -0.2::double) as h from s),
+            bins as (select floor((probability - low) / step + 0.5::double) as bin, count(*) as c
+                     from rel, w where probability is not null group by bin)
+            select round(any_value(low + point * step), 6) as at,
+                   round(sum(c * exp(-0.5::double * pow((point - bin) * step / h, 2)) / (sqrt(2 * pi()) * h * n)), 6) as density
+            from bins, w, (select unnest(range(0, 256)) as point) group by point""",
+        ),
+        "degree_power_law": with_steps(
+            *GRAPH, "nodes",
+            final="""
+            , ends as (select 'out' as direction, src_id as id from e union all select 'in', dst_id from e),
+            deg as (select direction, id, count(*) as d from ends group by direction, id),
+            hist as (select direction, d, count(*) as c from deg group by direction, d),
+            tails as (select *, sum(c) over up as above, sum(c * ln(d::double)) over up as logs,
+                             sum(c) over (partition by direction) as n, max(d) over (partition by direction) as top
+                      from hist window up as (partition by direction order by d desc rows unbounded preceding)),
+            tried as (select direction, d as cutoff, above as n_tail, 1 + above / (logs - above * ln(d - 0.5::double)) as exponent
+                      from tails where above >= 0.1::double * n and d < top),
+            fits as (select direction, cutoff, n_tail, exponent,
+                            max(abs(above / n_tail::double - pow((d - 0.5::double) / (cutoff - 0.5::double), 1 - exponent))) as distance
+                     from tails join tried using (direction) where d >= cutoff group by all)
+            select direction, cutoff, n_tail::bigint as n_tail, round(exponent, 6) as exponent, round(distance, 6) as distance
+            from (select *, row_number() over (partition by direction order by distance, cutoff) as place from fits) where place = 1""",
+        ),
+        "tier_sizes": with_steps(
+            *GRAPH, "links",
+            final="""
+            , w1 as (select distinct src_id as id, dst_id as c from links),
+            w2 as (select * from w1 union select l.src_id, w.c from links l join w1 w on w.id = l.dst_id),
+            w3 as (select * from w1 union select l.src_id, w.c from links l join w2 w on w.id = l.dst_id)
+            select id, (select count(*) from w1 where w1.id = i.id) as within_1, (select count(*) from w2 where w2.id = i.id) as within_2,
+                   (select count(*) from w3 where w3.id = i.id) as within_3
+            from (select distinct id from w1) i""",
+        ),
         "graph_counts": with_steps(
             *GRAPH, "nodes",
             final="""select count(*) as n_edges, (select count(*) from nodes) as n_nodes,
@@ -373,6 +447,25 @@ def oracle_sql() -> dict[str, str]:
             select eid, src_id, dst_id, draw
             from (select *, row_number() over (partition by eid order by draw) as rn from kept) where rn <= 3""",
         ),
+        "negatives_strict_exact": with_steps(
+            *GRAPH, "nodes", "node_index",
+            final=f"""
+            , sold as (select distinct src_id, dst_id from e),
+            free as (select u.id as src_id, ix, row_number() over (partition by u.id order by ix) - 1 as open
+                     from nodes u join node_index v on true
+                     where not exists (select 1 from sold where sold.src_id = u.id and sold.dst_id = v.id)),
+            n_free as (select src_id, count(*) as m from free group by src_id),
+            d1 as (select e.*, m, {open_draw(1, 'm')} as r1 from e join n_free using (src_id)),
+            d2 as (select *, case when {open_draw(2, 'greatest(m - 1, 1)')} >= r1 then 1 else 0 end
+                             + {open_draw(2, 'greatest(m - 1, 1)')} as r2 from d1),
+            d3 as (select *, {open_draw(3, 'greatest(m - 2, 1)')} as x from d2),
+            d4 as (select *, case when x >= least(r1, r2) then x + 1 else x end as y from d3),
+            drawn as (select *, case when y >= greatest(r1, r2) then y + 1 else y end as r3 from d4),
+            long as (select eid, src_id, m, 1 as draw, r1 as open from drawn
+                     union all select eid, src_id, m, 2, r2 from drawn union all select eid, src_id, m, 3, r3 from drawn)
+            select eid, src_id, id as dst_id, draw::int as draw
+            from long join free using (src_id, open) join node_index using (ix) where draw <= m""",
+        ),
         "labelled_examples": with_steps(
             *GRAPH, "dense", "neg_dense", "examples", final=f"select {edge}, draw, label from examples"
         ),
@@ -395,6 +488,32 @@ def oracle_sql() -> dict[str, str]:
             *GRAPH, "dense", "dims50", "dims100", "x50", "w1_p", "w1_agg", "w1", "w2_p", "w2_agg", "w2", final=vector("w2")
         ),
         "train_score_head": with_steps(*EMBED, "neg_dense", "examples", final=score_head(3, 0.5)),
+        "batch_losses": with_steps(
+            *FIXED, "placed", "split", "batches", "t1", "t2", "g1_agg", "g1", "g2_agg", "g2", "held_ends",
+            final=f"""
+            , members as (select src_id as id from split where split = 'training' union select dst_id from split where split = 'training'),
+            numbered as (select id, row_number() over (order by id) - 1 as ix from members),
+            first as (select * from batches where split = 'training' and batch_id < 5),
+            pairs as (select batch_id, src_id, dst_id, 1 as label from first union all
+                      select batch_id, src_id, id, 0 from first, (select unnest([1, 2, 3]) as j) join numbered
+                        on ix = {draw("'negative|0|' || eid || '|' || j")} % (select count(*) from members)),
+            scores as (select p.*, u.a + v.b + 1 as z from pairs p join held_ends u on u.id = src_id join held_ends v on v.id = dst_id)
+            select batch_id, round(avg(greatest(z, 0) - z * label + ln(1 + exp(-abs(z)))), 6) as loss,
+                   round(avg(1 / (1 + exp(-z)) - label), 6) as bias_gradient
+            from scores group by batch_id""",
+        ),
+        "embedding_axes": with_steps(
+            *EMBED,
+            final=f"""
+            , chosen as (select id from (select id, row_number() over (order by {draw("'sample|0|' || id")}, id) as rn, count(*) over () as n
+                                         from dense) where rn <= round_even(n * 0.3::double, 0)),
+            sample as (select id, j, v / 1e4::double as v from h2 where id in (select id from chosen)){axes(60)}""",
+        ),
+        "stream_embeddings": with_steps(
+            *FIXED, *[f"{a}_{n}" for n in range(3) for a in ("e", "x")],
+            *[f"{a}{n}{b}" for n in range(3) for a in "kl" for b in ("_agg", "")],
+            final=" union all ".join(vector(f"l{n}").replace("select id", f"select {n} as landing, id") for n in range(3)),
+        ),
         "new_company_embeddings": with_steps(
             "orders_e", "early_e", "dims", "orders_x", "o1_agg", "o1", "o2_agg", "o2",
             final=vector("o2", "v", "where id not in (select src_id from early_e union select dst_id from early_e)"),
@@ -427,6 +546,15 @@ def oracle_sql() -> dict[str, str]:
             *SCORE, "refined",
             final=f"select {edge}, {names}, round(refined_probability, 6) as probability from refined",
         ),
+        "review_sql": with_steps(
+            *SCORE,
+            final=f"""select {names}, {r6('probability', 'gnn_prediction')} from scored
+                      where gnn_prediction > probability and gnn_prediction > 0.8::double and probability < 0.6::double""",
+        ),
+        "refined_sql": with_steps(
+            *SCORE, "refined",
+            final=f"select {edge}, {names}, round(refined_probability, 6) as probability from refined",
+        ),
         "rejected_links": with_steps(
             *EMBED, "ends",
             final=f"""
@@ -447,6 +575,18 @@ def oracle_sql() -> dict[str, str]:
                     and not exists (select 1 from e where e.src_id = s.id and e.dst_id = t.id))
             where place <= 5""",
         ),
+        "topk_missing_dot": with_steps(
+            *EMBED,
+            final="""
+            , grid as (select id, j, floor(v + 0.1234567::double) as v from h2),
+            dots as (select u.id as src_id, w.id as dst_id, sum(u.v * w.v) as logit
+                     from grid u join grid w on u.j = w.j and u.id <> w.id
+                     where u.id in (select src_id from e) group by u.id, w.id)
+            select src_id, dst_id, place::int as place, logit
+            from (select d.*, row_number() over (partition by src_id order by logit desc, dst_id) as place from dots d
+                  where not exists (select 1 from e where e.src_id = d.src_id and e.dst_id = d.dst_id))
+            where place <= 5""",
+        ),
         "auc_ap_by_batch": with_steps(
             *BATCHED, final=f"select batch_id, n_examples, {r6('auc', 'ap')} from auc_batch"
         ),
@@ -511,6 +651,23 @@ def oracle_sql() -> dict[str, str]:
             final=f"""select eid, b.id as src_id, s.id as dst_id, {names}
                       from spelled join canon b on b.name = Purchaser join canon s on s.name = Seller""",
         ),
+        "entity_components": with_steps(
+            "rel",
+            final=f"""
+            , turned as (
+              select eid, src_id * 10 + eid % 6 as src_id, dst_id * 10 + eid % 5 as dst_id, {clean('Seller')} as Seller,
+                     case when src_id % 5 < 2 and eid % 7 = 0 then 'Company#' || lpad(cast(src_id + 1 as varchar), 9, '0')
+                          else {clean('Purchaser')} end as Purchaser
+              from rel),
+            named as (select src_id as id, Purchaser as name from turned union select dst_id, Seller from turned),
+            reach as (
+              select id, id as other from named
+              union
+              select r.id, b.id from reach r join named a on a.id = r.other join named b on b.name = a.name),
+            companies as (select id, min(other) as company from reach group by id)
+            select eid, b.company as src_id, s.company as dst_id, {names}
+            from turned join companies b on b.id = src_id join companies s on s.id = dst_id""",
+        ),
         "stream_bronze": with_steps("rel", final=f"select {names}, src_id, dst_id, {r6('probability')} from rel"),
         "stream_silver": with_steps(
             "rel", "silver", final=f"select {names}, src_id, dst_id, {r6('probability')} from silver"

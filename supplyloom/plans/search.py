@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from supplyloom.operators.graph import edge_split
 from supplyloom.operators.metrics import mean_auc_ap
 from supplyloom.params import DEFAULT, SEARCH_PARALLELISM, SEARCH_SPACE, SEARCH_TRIALS, Params
+from supplyloom.plans.stacked import build_stack, evaluate_stack, stackable, train_stack
 from supplyloom.plans.training import evaluate, split_graph, train
 from supplyloom.storage import materialise
 
@@ -35,18 +36,30 @@ def objective(edges: DataFrame, params: Params) -> float:
     return 0.0 if row.mean_auc is None else -row.mean_auc
 
 
+def stacked_losses(edges: DataFrame, trials: list[Params]) -> list[float]:
+    """The objective of every trial, from jobs that all trials share."""
+    stack = build_stack(edges, trials)
+    weights, _ = train_stack(stack, trials)
+    means = {r.trial: r.mean_auc for r in evaluate_stack(stack, trials, weights).collect()}
+    return [-(means.get(t) or 0.0) for t in range(len(trials))]
+
+
 def search(
     edges: DataFrame, trials: list[Params], parallelism: int = SEARCH_PARALLELISM
 ) -> DataFrame:
-    """One row per trial. Each trial is data-parallel, and several run side by side.
+    """One row per trial. Trials of small batches share all their jobs; others are data-parallel, several side by side.
 
     All trials share the split of the first one's fractions.
     """
     spark = edges.sparkSession
     edges = materialise(edge_split(edges, trials[0].test_p, trials[0].valid_p), "split")
-    task = inheritable_thread_target(spark)(lambda p: objective(edges, p))
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        losses = list(pool.map(task, trials))
+    if stackable(trials):
+        losses = stacked_losses(edges, trials)
+    else:
+        # A wrapper per trial: each has a copy of the session's properties to itself.
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            runs = [pool.submit(inheritable_thread_target(spark)(objective), edges, p) for p in trials]
+            losses = [r.result() for r in runs]
     rows = [(i, loss, json.dumps(asdict(p), sort_keys=True)) for i, (loss, p) in enumerate(zip(losses, trials))]
     return spark.createDataFrame(rows, TRIALS_SCHEMA)
 

@@ -25,7 +25,7 @@ from supplyloom.operators.scoring import with_logit
 from supplyloom.params import Params
 from supplyloom.plans.examples import Shape, draw_negatives, training_examples
 from supplyloom.plans.gradient import batch_gradient, forward, sellers
-from supplyloom.plans.weights import as_model, flatten, initial_weights, unflatten
+from supplyloom.plans.weights import LAYER_PARTS, as_model, flatten, initial_weights, unflatten
 from supplyloom.storage import materialise, rows_of, stored
 
 ROWS_PER_CHUNK_BYTES = 32 << 20
@@ -189,6 +189,29 @@ def train(graph: SplitGraph, params: Params, run_id: str = "run") -> Trained:
     return Trained(as_model(weights, params.aggregator_type), weights, table)
 
 
+def weights_of(model: LinkModel) -> dict[str, np.ndarray]:
+    """The named arrays of a model, as training holds them."""
+    out: dict[str, np.ndarray] = {}
+    for name, layer in (("layer1", model.layer1), ("layer2", model.layer2)):
+        for part in LAYER_PARTS:
+            if getattr(layer, part) is not None:
+                out[f"{name}.{part}"] = np.asarray(getattr(layer, part), dtype=float)
+    return out | {"score.w": np.asarray(model.score_w, dtype=float), "score.b": np.array([float(model.score_b)])}
+
+
+def batch_losses(graph: SplitGraph, weights: dict[str, np.ndarray], params: Params, steps: int) -> DataFrame:
+    """``batch_id, loss, bias_gradient`` of the first batches under given weights: what a step sees before its update."""
+    training = graph.of("training")
+    batched = first_batches(shuffled_batches(training, params.batch_size, params.seed, by=[]), steps)
+    examples, shape = training_examples(batched, training, graph.features, params)
+    rows = []
+    for step in range(steps):
+        loss, gradient = step_gradient(examples.filter(F.col("batch_id") == step), weights, shape, params)
+        if gradient.any():
+            rows.append((step, float(loss), float(gradient[-1])))
+    return graph.edges.sparkSession.createDataFrame(rows, "batch_id long, loss double, bias_gradient double")
+
+
 def train_score_head(examples: DataFrame, width: int, steps: int, lr: float) -> DataFrame:
     """Fits the linear scorer on given vectors by full gradient steps of the mean log loss, from zero.
 

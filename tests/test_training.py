@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -186,18 +187,46 @@ def test_search_picks_the_lowest_loss(spark, edges):
     assert search.best_trial(tie).first().params == "b"
 
 
-def test_param_search_draws_the_whole_space(spark, sf, monkeypatch):
-    from supplyloom.params import SEARCH_SPACE, SEARCH_TRIALS
-    from supplyloom.plans import catalog, search
+def test_stacked_trials_equal_single_ones(spark, edges):
+    """Trials of other widths, losses, optimisers and batch sizes in the same jobs give what each gives alone."""
+    from supplyloom.plans import stacked
 
-    drawn = []
-
-    def kept(edges, trials, **_):
-        drawn.extend(trials)
-        return spark.createDataFrame([(i, -float(i), "") for i in range(len(trials))], search.TRIALS_SCHEMA)
+    base = P.with_(max_steps=3, seed=1, fanout=2)
+    trials = [
+        base.with_(batch_size=8, num_node_features=4, hidden_dim=3, num_negative_samples=3, optimiser="Adam", lr=0.01),
+        base.with_(batch_size=16, num_node_features=2, hidden_dim=5, num_negative_samples=2, optimiser="SGD", loss="margin", aggregator_type="pool"),
+        base.with_(batch_size=4, num_node_features=3, hidden_dim=2, num_negative_samples=1, max_steps=2),
+    ]
+    assert stacked.stackable(trials)
+    alone = [training.train(training.split_graph(edges, p), p) for p in trials]
+    stack = stacked.build_stack(edges, trials)
+    weights, losses = stacked.train_stack(stack, trials)
+    for one, w, told in zip(alone, weights, losses):
+        assert all(np.allclose(one.weights[k], w[k], atol=1e-9) for k in w)
+        logged = sorted((r.step, r.value) for r in one.metrics.filter("name = 'loss'").collect())
+        assert np.allclose([v for _, v in logged], told)
+    means = {r.trial: r.mean_auc for r in stacked.evaluate_stack(stack, trials, weights).collect()}
+    for i, p in enumerate(trials):
+        assert means[i] == pytest.approx(-search.objective(edges, p), abs=1e-6)
+    assert not stacked.stackable([trials[0], trials[0].with_(seed=2)])
+    assert not stacked.stackable([trials[0].with_(batch_size=8192)])
+
+
+def test_search_runs_side_by_side_when_trials_do_not_stack(spark, edges):
+    trials = [P.with_(max_steps=1, batch_size=b, seed=s) for b, s in ((4096, 1), (8, 2), (8, 3))]
+    losses = [r.loss for r in search.search(edges, trials, parallelism=3).orderBy("trial").collect()]
+    assert losses == pytest.approx([search.objective(edges, p) for p in trials])
+
+
+def test_param_search_runs_to_its_end(spark, sf):
+    """The registered query, unstubbed: the whole space, twenty trials, one of them the best."""
+    from supplyloom.params import SEARCH_TRIALS
+    from supplyloom.plans import catalog
 
-    monkeypatch.setattr(search, "search", kept)
     rows = catalog.queries()["param_search"](spark, sf).collect()
-    assert len(rows) == len(drawn) == SEARCH_TRIALS and [r.trial for r in rows if r.is_best] == [SEARCH_TRIALS - 1]
+    assert [r.trial for r in sorted(rows)] == list(range(SEARCH_TRIALS))
+    best = [r for r in rows if r.is_best]
+    assert len(best) == 1 and best[0].loss == min(r.loss for r in rows) <= 0
     for name, values in SEARCH_SPACE.items():
-        assert len({getattr(t, name) for t in drawn}) > 1 and all(getattr(t, name) in values for t in drawn)
+        drawn = {json.loads(r.params)[name] for r in rows}
+        assert len(drawn) > 1 and drawn <= set(values)
