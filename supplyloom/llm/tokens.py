@@ -16,7 +16,8 @@ hash of the id); it changes sizes only, never content.
 
 Encoding splits a text where the tokenizer's own rules always split (single spaces and line ends between words,
 punctuation after a word), has the tokenizers library encode each distinct piece once, and joins the results; other
-white space goes through the library as a whole text. The result is that of encoding the whole text.
+white space goes through the library as a whole text. The result is that of encoding the whole text. Pieces of a slice
+of texts are told apart by 128 bits of hash in numpy, and the ids of all of them are looked up and gathered at once.
 
 Defined cases: a null or empty text has only the end id; equal ids lie side by side, ordered by text; null ids come
 first; an empty table gives an empty folder that reads back as no rows.
@@ -35,11 +36,13 @@ from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from supplyloom.llm.batches import bounded_batches
+from supplyloom.llm.words import mix, slices, text_bytes
 
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 65536, 65536
 LEVEL = 3
@@ -94,7 +97,7 @@ class Encoder(dict):
         self.width = array(self.code).itemsize
         self.alphabet = byte_alphabet()
         self.before: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        self.table = PieceTable(self.width)
 
     def direct(self, text: str) -> bytes:
         return array(self.code, self.whole.encode(text, add_special_tokens=False).ids).tobytes()
@@ -114,20 +117,17 @@ class Encoder(dict):
         if piece in self.before:
             self[piece] = self.before[piece]
             return self[piece]
+        self[piece] = self.piece(piece)
+        return self[piece]
+
+    def piece(self, piece: str) -> bytes:
+        """A piece behind a space (or with its line end), without memory."""
         core = piece.rstrip(TAIL)
         if core != piece and core[-1:].isalnum():
-            tail = piece[len(core) :]
-            if tail not in self.tails:
-                if len(self.tails) >= REMEMBERED:
-                    self.tails.clear()
-                self.tails[tail] = self.direct(tail)
-            ids = self[core] + self.tails[tail]
-        elif core.isalpha():
-            ids = self.word(core)
-        else:
-            ids = self.direct(piece if piece[:1] == "\n" else " " + piece)
-        self[piece] = ids
-        return ids
+            return self.piece(core) + self.direct(piece[len(core) :])
+        if core == piece and core.isalpha():
+            return self.word(core)
+        return self.direct(piece if piece[:1] == "\n" else " " + piece)
 
     def encode(self, text: str) -> bytes:
         # Other white space than single spaces and single line ends between words?
@@ -137,6 +137,175 @@ class Encoder(dict):
         return self.direct(first) + b"".join(map(self.__getitem__, rest))
 
 
+#: Texts that are not words with single spaces or line ends between them (white space as Python splits at it).
+UNEVEN = (
+    r"^[ \n]|[ \n]\z|[ \n][ \n]|[\t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+#: Bytes of a text that is encoded alone, piece by piece.
+LONG_BYTES = 1 << 23
+_draw = np.random.default_rng(20250311)
+_BYTES = _draw.integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASES = [int(b) * 2 + 1 for b in _draw.integers(1, 1 << 62, 2)]
+_BACKS = [pow(b, -1, 1 << 64) for b in _BASES]
+
+
+@lru_cache(8)
+def _powers(base: int, bits: int) -> np.ndarray:
+    steps = np.full(1 << bits, base, dtype=np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+def _unit_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every unit; equal bytes of another kind have others. None is zero in the first."""
+    found, bits = [], max(20, int(len(data)).bit_length())
+    for values, base, back in zip(_BYTES, _BASES, _BACKS):
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(values[data] * _powers(base, bits)[: len(data)], out=sums[1:])
+        own = (sums[ends] - sums[starts]) * _powers(back, bits)[starts]
+        found.append(mix(own + (4 * (ends - starts) + kind).astype(np.uint64)))
+    return np.maximum(found[0], np.uint64(1)), found[1]
+
+
+class PieceTable:
+    """Ids of units by hash: open addressing in numpy arrays, looked up and filled for whole slices at once.
+
+    Half full, it starts anew: a process holds some 50 MB.
+    """
+
+    BITS = 21
+
+    def __init__(self, width: int):
+        self.code = np.dtype(f"<u{width}")
+        self.clear()
+
+    def clear(self) -> None:
+        slots = 1 << self.BITS
+        self.keys, self.checks = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
+        self.begins, self.sizes = np.zeros(slots, np.int32), np.zeros(slots, np.int32)
+        self.ids, self.used, self.rows = np.zeros(1 << 16, self.code), 0, 0
+
+    def slots_of(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, or of the first empty place where it would stand."""
+        mask = np.uint64((1 << self.BITS) - 1)
+        slots = (keys & mask).astype(np.int64)
+        open_ = np.arange(len(keys))
+        while len(open_):
+            there = self.keys[slots[open_]]
+            open_ = open_[(there != keys[open_]) & (there != 0)]
+            slots[open_] = (slots[open_] + 1) & int(mask)
+        return slots
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, pieces: list[bytes]) -> None:
+        """Distinct keys that are not there yet."""
+        sizes = np.array([len(p) for p in pieces], dtype=np.int64) // self.code.itemsize
+        ids = np.frombuffer(b"".join(pieces), dtype=self.code)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        begins = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        self.rows += len(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            slots = self.slots_of(keys[left])
+            self.keys[slots] = keys[left]  # of several for one place the last one gets it
+            won = self.keys[slots] == keys[left]
+            at, mine = slots[won], left[won]
+            self.checks[at], self.begins[at], self.sizes[at] = checks[mine], begins[mine], sizes[mine]
+            left = left[~won]
+
+
+#: Bytes of TAIL and those that a tail may follow: ASCII letters and digits. Behind others, a piece is one unit.
+_TAIL_BYTE = np.array([chr(b) in TAIL for b in range(256)])
+_BEFORE_TAIL = np.array([b < 0x80 and chr(b).isalnum() for b in range(256)])
+_AFTER_SPACE, _FIRST, _TAIL = 0, 1, 2
+
+
+def _units(data: np.ndarray, at: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and kinds of the units of texts: pieces, but for the punctuation at their ends."""
+    space = data == 0x20
+    begins = data == 0x0A
+    begins[1:] |= space[:-1]
+    begins[at[texts]] = True
+    starts = np.flatnonzero(begins)
+    ends = np.append(starts[1:], len(data))
+    # A piece ends before the space that the next one stands behind.
+    ends = ends - np.append(space[starts[1:] - 1], False)
+    first = np.zeros(len(data), dtype=bool)
+    first[at[texts]] = True
+    first = first[starts]
+    inner = np.maximum.accumulate(np.where(_TAIL_BYTE[data], -1, np.arange(len(data))))
+    core = inner[ends - 1] + 1
+    tailed = (core < ends) & (core > starts) & ~first
+    tailed[tailed] = _BEFORE_TAIL[data[core[tailed] - 1]]
+    place = np.arange(len(starts)) + np.cumsum(tailed) - tailed
+    n = len(starts) + int(tailed.sum())
+    unit_starts, unit_ends, kinds = np.empty(n, np.int64), np.empty(n, np.int64), np.empty(n, np.int64)
+    unit_starts[place], unit_ends[place], kinds[place] = starts, np.where(tailed, core, ends), np.where(first, _FIRST, _AFTER_SPACE)
+    after = place[tailed] + 1
+    unit_starts[after], unit_ends[after], kinds[after] = core[tailed], ends[tailed], _TAIL
+    return unit_starts, unit_ends, kinds
+
+
+def encode_even(encoder: Encoder, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Ids of texts of words with single spaces or line ends between them; where each text's ids start, and the end.
+
+    None if two units share a hash but not the other: the texts then go the long way.
+    """
+    table = encoder.table
+    texts = np.flatnonzero(np.diff(at))
+    if not len(texts):
+        return np.empty(0, table.code), np.zeros(len(at), dtype=np.int64)
+    starts, ends, kinds = _units(data, at, texts)
+    keys, checks = _unit_hashes(data, starts, ends, kinds)
+    if table.rows > 1 << (table.BITS - 2):
+        table.clear()
+    slots = table.slots_of(keys)
+    new = np.flatnonzero(table.keys[slots] == 0)
+    if len(new):
+        _, sample = np.unique(keys[new], return_index=True)
+        sample = new[sample]
+        raw, pieces = data.tobytes(), []
+        for a, b, kind in zip(starts[sample].tolist(), ends[sample].tolist(), kinds[sample].tolist()):
+            text = raw[a:b].decode()
+            pieces.append(encoder.piece(text) if kind == _AFTER_SPACE else encoder.direct(text))
+        table.add(keys[sample], checks[sample], pieces)
+        slots = table.slots_of(keys)
+    if not np.array_equal(table.checks[slots], checks):
+        return None
+    counts = table.sizes[slots].astype(np.int64)
+    behind = np.cumsum(counts)
+    ids = table.ids[np.repeat(table.begins[slots] - (behind - counts), counts) + np.arange(int(behind[-1]))]
+    # Where a text's first unit begins; a text without bytes has the place of the next one.
+    return ids, np.append(0, behind)[np.searchsorted(starts, at)]
+
+
+def encode_column(encoder: Encoder, column: pa.Array) -> Iterator[bytes]:
+    """The ids' bytes of every text of a column without nulls, in order."""
+    uneven = pc.match_substring_regex(column, UNEVEN)
+    for start, part in slices(column):
+        data, at = text_bytes(part)
+        odd = uneven.slice(start, len(part)).to_numpy(zero_copy_only=False)
+        if len(data) > LONG_BYTES or odd.all():
+            yield from (encoder.encode(t.as_py()) for t in part)
+            continue
+        if odd.any():
+            even = part.filter(pa.array(~odd))
+            data, at = text_bytes(even)
+        told = encode_even(encoder, data, at)
+        if told is None:
+            yield from (encoder.encode(t.as_py()) for t in part)
+            continue
+        (ids, places), i = told, 0
+        for text, alone in zip(part, odd.tolist()):
+            if alone:
+                yield encoder.encode(text.as_py())
+            else:
+                yield ids[places[i] : places[i + 1]].tobytes()
+                i += 1
+
+
 @lru_cache(1)
 def encoder_of(path: str) -> Encoder:
     """One encoder per process, with what it remembers."""
@@ -210,8 +379,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: Callable[[], str], end
 
         size = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = encoder.encode(text.as_py()) + end
+            for doc_id, raw in zip(batch.column(0).to_pylist(), encode_column(encoder, batch.column(1))):
+                raw += end
                 frame = pack.compress(raw)
                 if ids and size + len(frame) > BLOCK_BYTES:
                     blocks.append(closed())
