@@ -4,12 +4,12 @@ A text's UTF-8 bytes are embedded, and learned filters run over overlapping chun
 apart, that cover the whole text (its end is padded with zero bytes). Each filter's responses are max-pooled over all
 chunks of the text, and a dense layer combines them into one probability.
 
-The network is fitted on the driver, on a bounded sample: ``FIT_ROWS`` labelled rows at most, by hash of the id, of
+The network is fitted in one task, on a bounded sample: ``FIT_ROWS`` labelled rows at most, by hash of the id, of
 texts of at most ``FIT_BYTES`` bytes. Scoring runs over every row, in slices of bounded memory, and reads whole texts;
 a text longer than a slice is taken piece by piece, which max-pooling allows.
 
 Defined cases: a null or empty text is one chunk of padding and gets a score like any other; null labels and labels of
-unknown documents are passed over; without labels, or with one label only, the score is the same for all texts, the
+unknown documents are passed over, of clashing labels of one id the greater counts; without labels, or with one label only, the score is the same for all texts, the
 share of label 1 (0.5 without labels); repeated rows are scored each.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from supplyloom.llm.batches import bounded_batches
+from supplyloom.llm.fitting import fit_in_task
 from supplyloom.llm.words import slices, text_bytes
 
 WIDTH, STRIDE, EMBED, FILTERS = 16, 8, 6, 24
@@ -137,7 +138,8 @@ def held_out(doc_id: str = "doc_id"):
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> ByteNetwork | float:
     """The fitted network, or a constant score where the labels allow no more."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-    known = known.select(F.col("doc_id").alias("labelled_id"), F.col(label).alias("wanted")).dropDuplicates(["labelled_id"])
+    known = known.select(F.col("doc_id").alias("labelled_id"), F.col(label).alias("wanted"))
+    known = known.groupBy("labelled_id").agg(F.max("wanted").alias("wanted"))
     # About twice the sample by hash, so that no task sends more than its part of it.
     rate = max(1, known.count() // (2 * FIT_ROWS))
     known = known.where(F.pmod(F.xxhash64("labelled_id"), rate) == 0)
@@ -148,12 +150,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> B
         .orderBy(F.xxhash64("doc_id"), "doc_id", "text", "wanted")
         .select("text", "wanted")
         .limit(FIT_ROWS)
-        .collect()
     )
-    wanted = np.array([r["wanted"] for r in sample], dtype=np.float32)
+    weights, constant = fit_in_task(sample, _fitted)
+    if weights is None:
+        return constant
+    network = ByteNetwork()
+    network.weights = weights
+    return network
+
+
+def _fitted(sample: pa.Table) -> tuple[dict[str, np.ndarray] | None, float]:
+    """Weights or, where the labels allow no more, the score of all texts."""
+    wanted = np.array(sample["wanted"].to_pylist(), dtype=np.float32)
     if not len(wanted) or wanted.min() == wanted.max():
-        return float(wanted[0]) if len(wanted) else 0.5
-    return ByteNetwork().fit([r["text"].encode() for r in sample], wanted)
+        return None, float(wanted[0]) if len(wanted) else 0.5
+    return ByteNetwork().fit([t.encode() for t in sample["text"].to_pylist()], wanted).weights, 0.5
 
 
 def _scores(texts: pa.Array, model: ByteNetwork | float) -> np.ndarray:
