@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from supplyloom.llm.batches import bounded_batches
 from supplyloom.llm.components import connected_components
 from supplyloom.llm.words import hashed_shingles, hashed_words, mix, slices
+from supplyloom.operators.joins import lookup
 from supplyloom.storage import materialise, rows_of
 
 PREFIX = 36
@@ -372,12 +373,20 @@ def check_groups(members: DataFrame, percent: int) -> DataFrame:
     links = alone.unionByName(first)
     now = labelled(links)
     held = now.groupBy("group", "chunk").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    a, b = held.alias("a"), held.alias("b")
+    # Chunks connected as a whole to what most of their group is connected to need no look at each other: only the odd
+    # ones are paired, with all.
+    held = materialise(held, "jaccard-held")
+    usual = held.where("low = high").groupBy("group", "low").count()
+    usual = usual.groupBy("group").agg(F.max_by("low", F.struct("count", "low")).alias("usual"))
+    marked = held.join(usual, "group", "left")
+    odd = marked.where(F.col("usual").isNull() | (F.col("low") != F.col("high")) | (F.col("low") != F.col("usual")))
+    a, b = odd.alias("a"), marked.alias("b")
+    is_odd = F.col("b.usual").isNull() | (F.col("b.low") != F.col("b.high")) | (F.col("b.low") != F.col("b.usual"))
     differ = (F.col("a.low") != F.col("a.high")) | (F.col("b.low") != F.col("b.high")) | (F.col("a.low") != F.col("b.low"))
     open_cells = (
-        a.join(b, (F.col("a.group") == F.col("b.group")) & (F.col("a.chunk") < F.col("b.chunk")))
-        .where((F.col("a.chunk") > 0) & differ)
-        .select(F.col("a.group").alias("group"), F.col("a.chunk").alias("i"), F.col("b.chunk").alias("j"))
+        a.join(b, (F.col("a.group") == F.col("b.group")) & (F.col("a.chunk") != F.col("b.chunk")))
+        .where((F.least("a.chunk", "b.chunk") > 0) & differ & (~is_odd | (F.col("a.chunk") < F.col("b.chunk"))))
+        .select(F.col("a.group").alias("group"), F.least("a.chunk", "b.chunk").alias("i"), F.greatest("a.chunk", "b.chunk").alias("j"))
     )
     return links.unionByName(checked_links(now, open_cells, percent))
 
@@ -429,9 +438,11 @@ def similarity_components(docs: DataFrame, n: int = 5, percent: int = 75) -> Dat
     found = connected_components(links).withColumnRenamed("node", "cls")
 
     placed = classes.join(found, "cls", "left").select("cls", "head", F.coalesce("component", "cls").alias("group"))
-    least = placed.groupBy("group").agg(F.min("head").alias("component"))
-    named = placed.join(least, "group").select("cls", "component")
-    result = rows.select("doc_id", "n", "cls").join(named, "cls", "left")
+    placed = materialise(placed, "jaccard-placed")
+    # A component or a class may hold a third of all rows: looked up by broadcast or with salted keys.
+    least = materialise(placed.groupBy("group").agg(F.min("head").alias("component")), "jaccard-least")
+    named = lookup(placed, least, "group", 24, F.col("cls"), rows=rows_of(least)).select("cls", "component")
+    result = lookup(rows.select("doc_id", "n", "cls"), materialise(named, "jaccard-named"), "cls", 24, F.col("doc_id"), "left", rows=rows_of(placed))
     # An empty set links with nothing, and a row without an id takes no part.
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")))
     return result.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
@@ -439,8 +450,8 @@ def similarity_components(docs: DataFrame, n: int = 5, percent: int = 75) -> Dat
 
 def _members(docs: DataFrame, n: int, classes: DataFrame, groups: DataFrame) -> DataFrame:
     """The whole sets of the classes in candidate groups, in chunks: group, chunk, cls, n, tokens."""
-    sized = groups.groupBy("component").agg(F.count(F.lit(1)).alias("many"))
-    places = groups.join(sized, "component").select(
+    sized = materialise(groups.groupBy("component").agg(F.count(F.lit(1)).alias("many")), "jaccard-sized")
+    places = lookup(groups, sized, "component", 24, F.col("node"), rows=rows_of(sized)).select(
         F.col("component").alias("group"),
         F.col("node").alias("cls"),
         F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / CHUNK)).cast("int").alias("chunk"),
@@ -462,11 +473,11 @@ def _most_frequent(counts: DataFrame, most: int) -> np.ndarray:
     top = materialise(counts.where(F.col("c") > HOT), "jaccard-hot")
     if rows_of(top) > most:
         top = top.orderBy(F.col("c").desc(), "token").limit(most)
-    return np.sort(np.array([r["token"] for r in top.select("token").collect()], dtype=np.int64).view(np.uint64))
+    return np.sort(top.select("token").toArrow()["token"].to_numpy().view(np.uint64))
 
 
 def _as_table(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    return docs.sparkSession.createDataFrame([(int(t),) for t in hot.view(np.int64)], "token long")
+    return docs.sparkSession.createDataFrame(pa.table({"token": hot.view(np.int64)}))
 
 
 def _refiled(docs: DataFrame, n: int, flags: np.ndarray, last: np.ndarray, percent: int) -> DataFrame:
