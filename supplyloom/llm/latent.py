@@ -41,9 +41,11 @@ from supplyloom.llm.words import PUNCTUATION, hashed_words, mix, slices
 from supplyloom.storage import materialise
 
 ITEM_BLOCK = 1000
-#: Words of a passage. Windows of one and of two passages are searched, in steps of half their length. Query passages
-#: have two at most and start a passage after each other.
+#: Words of a passage. Query passages have two at most and start a passage after each other.
 PASSAGE = 32
+#: Words of the windows that are searched, in steps of half their length. The small ones find short items among other
+#: words of the benchmark, which outweigh them in a larger window.
+WINDOWS = (4, 8, 16, PASSAGE, 2 * PASSAGE)
 #: Words in more than this part of the passages are left out, but for the rarest ones of each query passage.
 MAX_DF, LEAST_WORDS = 0.002, 8
 RANK, OVERSAMPLE = 128, 16
@@ -286,7 +288,7 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
         for batch in _pieces(batches):
             row, place, term = _flat(batch)
             found: list[tuple[np.ndarray, ...]] = []
-            for words in (PASSAGE, 2 * PASSAGE) if len(row) else ():
+            for words in WINDOWS if len(row) else ():
                 half = words // 2
                 new = np.append(True, (row[1:] != row[:-1]) | (place[1:] // half != place[:-1] // half))
                 starts = np.flatnonzero(new)
