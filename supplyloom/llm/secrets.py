@@ -1,9 +1,11 @@
 """Secret scans: fixed patterns and an assignment-aware lexer.
 
 The lexer reads source and configuration syntax (``name = "literal"``, ``name: literal``, ``"name": "literal"``,
-``name := literal``, ``name => literal``, ``export NAME=literal``) into name-literal pairs. A bare value that is the
-name of another pair is a reference; literals flow along references to every name they reach, and a literal is
-reported when a sensitive name holds it and it looks like a value rather than a placeholder.
+``name := literal``, ``name => literal``, ``export NAME=literal``, ``map["name"] = literal``) into name-literal pairs.
+A bare value that is the name of another pair is a reference; literals flow along references to every name they reach,
+and a literal is reported when a sensitive name holds it and it looks like a value rather than a placeholder. Parts
+joined by ``+`` are folded into one value first, with each name in them standing for the value it was given last (or
+will be given first); when that value is reported, so is every literal that it is made of.
 
 Per row: ``spans``, an array of (kind, start, end) in code points, by start, then kind in the order of ``KINDS``.
 Defined cases: a null or empty text has no spans; texts of any length are read whole; repeated rows are scanned each.
@@ -43,7 +45,7 @@ MIN_LITERAL, MIN_BITS, MIN_SCORE = 8, 2.5, 1.3
 MAY_HOLD = "(?i:" + "|".join(sorted(NAME_PARTS)) + r"|api_key)|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"
 
 PAIR = re.compile(
-    r"""(?<![\w.$-])(?P<name>[A-Za-z_$][\w.$-]*)["']?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*"""
+    r"""(?<![\w.$-])(?P<name>[A-Za-z_$][\w.$-]*)["']?\]?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*"""
     r"""(?P<value>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|[^\s,;#"'`(){}\[\]<>]+)""",
     re.ASCII,
 )
@@ -73,38 +75,58 @@ def literal_score(value: str) -> float:
     return 0.0 if bits < MIN_BITS else min(1.0, bits / 8 + kinds / 8 + min(len(value), 32) / 128)
 
 
-def literal_spans(text: str) -> list[tuple[int, int, str]]:
-    literals: dict[str, list[tuple[int, int]]] = {}
-    refers: dict[str, list[str]] = {}
+def _pairs(text: str) -> Iterator[tuple[str, int, list[tuple[int, int]]]]:
+    """Name, place and the spans of the parts of every value."""
     for m in PAIR.finditer(text):
-        name, at, parts = m["name"], m.end(), [(m.start("value"), m.end("value"))]
+        at, parts = m.end(), [(m.start("value"), m.end("value"))]
         while more := MORE.match(text, at):
             parts.append(more.span(1))
             at = more.end()
+        yield m["name"], m.start("name"), parts
+
+
+def literal_spans(text: str) -> list[tuple[int, int, str]]:
+    # Per name its values in order: (place, value, spans of the literals in it).
+    values: dict[str, list[tuple[int, str, list[tuple[int, int]]]]] = {}
+    refers: dict[str, list[str]] = {}
+    joined = []
+    for name, place, parts in _pairs(text):
+        if len(parts) > 1:
+            joined.append((name, place, parts))
+            continue
+        [(start, end)] = parts
+        if text[start] in "\"'`":
+            start, end = start + 1, end - 1
+        elif NAME.fullmatch(text, start, end) and start != place:
+            refers.setdefault(name, []).append(text[start:end])  # a bare word, unless it names another pair
+        values.setdefault(name, []).append((place, text[start:end], [(start, end)]))
+    for name, place, parts in joined:
+        value, spans = "", []
         for start, end in parts:
             if text[start] in "\"'`":
-                literals.setdefault(name, []).append((start + 1, end - 1))
-            elif NAME.fullmatch(text, start, end) and start != m.start("name"):
-                refers.setdefault(name, []).append(text[start:end])
-                literals.setdefault(name, []).append((start, end))  # a bare word, unless it names another pair
-            else:
-                literals.setdefault(name, []).append((start, end))
+                value, spans = value + text[start + 1 : end - 1], [*spans, (start + 1, end - 1)]
+            elif known := values.get(text[start:end]):
+                before = [v for v in known if v[0] < place]
+                _, more, its = before[-1] if before else known[0]
+                value, spans = value + more, spans + its
+        values.setdefault(name, []).append((place, value, spans))
+        values[name].sort(key=lambda v: v[0])
     found = set()
-    for name in {*literals, *refers}:
+    for name in values:
         weight = name_score(name)
         if not weight:
             continue
         seen, open_names = {name}, [name]
         while open_names:  # constants that reach this name along references
             for other in refers.get(open_names.pop(), ()):
-                if other in literals and other not in seen:
+                if other in values and other not in seen:
                     seen.add(other)
                     open_names.append(other)
         for holder in seen:
-            for start, end in literals.get(holder, ()):
-                value = text[start:end]
-                if value not in literals and weight + literal_score(value) >= MIN_SCORE and literal_score(value):
-                    found.add((start, end, "literal"))
+            for _, value, spans in values[holder]:
+                score = literal_score(value)
+                if value not in values and score and weight + score >= MIN_SCORE:
+                    found.update((start, end, "literal") for start, end in spans if end > start)
     return list(found)
 
 
