@@ -5,9 +5,9 @@ the fingerprint is the sum of the vectors, each lane modulo a power of two. So t
 pieces are added or taken away by adding or subtracting their vectors (``insert``, ``delete``). Two parts:
 
 - ``exact``: four lanes modulo 2**48, with which equality is told;
-- ``signs``: 126 counters modulo 2**20 of a random bit of each piece, three to a long. A counter less half the number
-  of pieces is a random projection of the multiset, so the cosine of two such vectors estimates the likeness of two
-  multisets with a standard error of about 0.09.
+- ``signs``: 124 counters modulo 2**31 of a random bit of each piece, two to a long, more than any text has pieces. A
+  counter less half the number of pieces is a random projection of the multiset, so the cosine of two such vectors
+  estimates the likeness of two multisets with a standard error of about 0.09.
 
 DataFrame functions only. Defined cases: a null text counts as empty; an empty text has no pieces, and its fingerprint
 is all zeros; it is like another empty text (1.0) and unlike any other (0.0); repeated rows get equal results.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 PIECES = r"\n+|(?<=[.!?])\x20+"
 EXACT, EXACT_BITS = 4, 48
-GROUPS, LANE_BITS, LANES = 20, 20, 3
+GROUPS, LANE_BITS, LANES = 30, 31, 2
 #: Rows of a range of ids, about: what one window holds.
 RANGE_ROWS = 4096
 #: Ranges at most, so that the list of them stays small; beyond 2**28 rows they grow longer, and windows spill.
@@ -88,7 +88,7 @@ def delete(a: Column, b: Column) -> Column:
 
 def as_string(print_: Column) -> Column:
     lanes = [F.lpad(F.hex(print_[f"e{i}"]), EXACT_BITS // 4, "0") for i in range(EXACT)]
-    lanes += [F.lpad(F.hex(print_[f"p{i}"]), LANE_BITS * LANES // 4, "0") for i in range(2 * len(_SHIFTS))]
+    lanes += [F.lpad(F.hex(print_[f"p{i}"]), -(-LANE_BITS * LANES // 4), "0") for i in range(2 * len(_SHIFTS))]
     return F.lower(F.concat(F.hex(print_["n"]), F.lit(":"), *lanes))
 
 
