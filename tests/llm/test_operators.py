@@ -22,7 +22,7 @@ def read(spark, sf, name):
 
 def test_every_query_is_registered():
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op") and n[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in names if n.startswith("op") and n[2].isdigit()}
     assert "pipeline" in names and set(catalog.oracle_sql()) <= names
 
 
