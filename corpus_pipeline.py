@@ -34,7 +34,11 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     repeated = materialise(repeated, "repeated-ids")
     if not rows_of(repeated):
         return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # The row of the least text, then of the least of its other columns, whatever the order of the rows.
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    whole = F.struct("text", *rest)
+    once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(whole).alias("_row"))
+    once = once.select("doc_id", "_row.*").select(*docs.columns)
     return without(kept, repeated).unionByName(once)
 
 
