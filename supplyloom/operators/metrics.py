@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from supplyloom.functions.activations import bce_with_logits, margin, sigmoid
@@ -91,5 +91,17 @@ def as_metrics(values: DataFrame, run_id: str, split: str, step: Column, names:
     ).select("run_id", "split", "step", "m.name", "m.value")
 
 
+METRIC_COLUMNS = ["run_id", "split", "step", "name", "value"]
+
+
 def append_metrics(metrics: DataFrame, path: str) -> None:
-    metrics.select("run_id", "split", "step", "name", "value").write.mode("append").parquet(path)
+    """Adds rows to a metric table. A row written again replaces the earlier one for whoever reads the table."""
+    rows = metrics.select(*METRIC_COLUMNS).withColumn("written", F.expr("unix_micros(current_timestamp())"))
+    rows.write.mode("append").parquet(path)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The last value of each run, split, step and name, so a write that was retried or replayed counts once."""
+    rows = spark.read.schema(f"{METRICS_SCHEMA}, written long").parquet(path)
+    last = F.max_by("value", F.struct("written", "value")).alias("value")
+    return rows.groupBy("run_id", "split", "step", "name").agg(last)

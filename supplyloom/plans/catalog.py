@@ -23,7 +23,7 @@ from supplyloom.sources import tables
 from supplyloom.sources.schemas import BRONZE, EDGES, model_signature, require, typed
 from supplyloom.storage import materialise, rows_of, scratch_path
 from supplyloom.streaming import embeddings as follow
-from supplyloom.streaming import ingest
+from supplyloom.streaming import ingest, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
@@ -490,7 +490,7 @@ def metric_log(spark, sf_dir):
     path = scratch_path(spark, "metriclog")
     names = {"auc": "AUC", "ap": "AP"}
     metrics.append_metrics(metrics.as_metrics(per_batch, "fixed", "all", F.col("batch_id"), names), path)
-    return tables.read_path(spark, path).select("run_id", "split", "step", "name", *_r("value"))
+    return metrics.read_metrics(spark, path).select("run_id", "split", "step", "name", *_r("value"))
 
 
 @query
@@ -630,6 +630,24 @@ def stream_score(spark, sf_dir):
     )
 
 
+@query
+def stream_metrics(spark, sf_dir):
+    """Lines read, unparsed and kept in each batch of three landings; a call after the last finds nothing new."""
+    work, watch = scratch_path(spark, "watched"), monitor.BatchMetrics("landing")
+    rows, log = fx.relations(spark, sf_dir), f"{work}/metrics"
+    columns = ["Purchaser", "Seller", "src_id", "dst_id", "probability"]
+    for landing in (0, 1, 2, None):
+        if landing is not None:
+            part = rows.filter(F.col("eid") % 3 == landing)
+            part.select(*columns).write.mode("append").json(f"{work}/landing")
+            broken = part.agg(F.concat(F.lit('{"Purchaser": "broken '), F.count(F.lit(1)).cast("string")).alias("value"))
+            broken.coalesce(1).write.mode("append").text(f"{work}/landing")
+        ingest.ingest_bronze(spark, f"{work}/landing", f"{work}/bronze", f"{work}/c1", watch=watch)
+        ingest.refine_silver(spark, f"{work}/bronze", f"{work}/silver", f"{work}/c2", watch=watch)
+        watch.flush(spark, log)
+    return metrics.read_metrics(spark, log).select("run_id", "split", "step", "name", *_r("value"))
+
+
 @query
 def stream_embeddings(spark, sf_dir):
     """Embeddings kept up to date over three landings, as they stand after each."""

@@ -509,6 +509,14 @@ def oracle_sql() -> dict[str, str]:
                                          from dense) where rn <= round_even(n * 0.3::double, 0)),
             sample as (select id, j, v / 1e4::double as v from h2 where id in (select id from chosen)){axes(60)}""",
         ),
+        "stream_metrics": with_steps(
+            "rel",
+            final="""
+            , counts as (select eid % 3 as step, count(*) as n, count(*) filter (probability >= 0.55::double) as kept from rel group by 1)
+            select 'landing' as run_id, 'bronze' as split, step, 'rows_read' as name, (n + 1)::double as value from counts
+            union all select 'landing', 'bronze', step, 'rows_corrupt', 1::double from counts
+            union all select 'landing', 'silver', step, 'rows_kept', kept::double from counts""",
+        ),
         "stream_embeddings": with_steps(
             *FIXED, *[f"{a}_{n}" for n in range(3) for a in ("e", "x")],
             *[f"{a}{n}{b}" for n in range(3) for a in "kl" for b in ("_agg", "")],

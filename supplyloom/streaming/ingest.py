@@ -11,10 +11,16 @@ from supplyloom.operators.scoring import score_relations
 from supplyloom.sources.landing import landing_schema, read_landing
 from supplyloom.sources.schemas import BRONZE, CORRUPT, as_landed, typed, with_corrupt_column
 from supplyloom.sources.tables import read_path
+from supplyloom.streaming.monitor import BatchMetrics
 
 
-def append_available(stream: DataFrame, path: str, checkpoint: str, timeout: float | None = None) -> None:
+def append_available(
+    stream: DataFrame, path: str, checkpoint: str, timeout: float | None = None, watch: BatchMetrics | None = None
+) -> None:
     """Takes everything that has arrived, appends it once, then stops."""
+    streams = stream.sparkSession.streams
+    if watch is not None:
+        streams.addListener(watch)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -22,7 +28,12 @@ def append_available(stream: DataFrame, path: str, checkpoint: str, timeout: flo
         .trigger(availableNow=True)
         .start(path)
     )
-    _drain(query, timeout)
+    try:
+        _drain(query, timeout)
+    finally:
+        if watch is not None:
+            watch.wait(query)
+            streams.removeListener(watch)
 
 
 def append_available_to_table(stream: DataFrame, table: str, checkpoint: str, timeout: float | None = None) -> None:
@@ -48,24 +59,29 @@ def _drain(query, timeout: float | None) -> None:
 def ingest_bronze(
     spark: SparkSession, landing: str, bronze: str, checkpoint: str, schema: T.StructType = BRONZE,
     files_per_trigger: int | None = None, schema_location: str | None = None, timeout: float | None = None,
+    watch: BatchMetrics | None = None,
 ) -> None:
     """Landing JSON -> bronze path. Each file once; new columns widen the path.
 
     Bronze holds the values as text. With a ``schema_location`` the columns and
     their types are inferred, kept there, and widened by newly landed files; a
     file that lands while this runs should wait for the next call, as its new
-    columns would not be known yet.
+    columns would not be known yet. ``watch`` gets the lines read and those that did not parse, per batch.
     """
     if schema_location:
         schema = landing_schema(spark, landing, schema_location)
-    append_available(read_landing(spark, landing, schema, files_per_trigger), bronze, checkpoint, timeout)
+    stream = read_landing(spark, landing, schema, files_per_trigger)
+    if watch is not None:
+        stream = stream.observe("bronze", F.count(F.lit(1)).alias("rows_read"), F.count(CORRUPT).alias("rows_corrupt"))
+    append_available(stream, bronze, checkpoint, timeout, watch)
 
 
 def refine_silver(
     spark: SparkSession, bronze: str, silver: str, checkpoint: str, schema: T.StructType = BRONZE,
     threshold: float = MIN_CONFIDENCE, schema_location: str | None = None, timeout: float | None = None,
+    watch: BatchMetrics | None = None,
 ) -> None:
-    """Bronze path -> confident, clean relations. Unparsed lines stay in bronze.
+    """Bronze path -> confident, clean relations. Unparsed lines stay in bronze. ``watch`` gets the rows kept per batch.
 
     The columns of the contract get their types; others stay text, so that the
     silver files of all schema versions agree (``read_typed`` gives them theirs).
@@ -73,7 +89,10 @@ def refine_silver(
     if schema_location:
         schema = landing_schema(spark, bronze, schema_location, evolve=False)
     stream = spark.readStream.schema(with_corrupt_column(as_landed(schema))).parquet(bronze)
-    append_available(_parsed(stream, threshold), silver, checkpoint, timeout)
+    kept = _parsed(stream, threshold)
+    if watch is not None:
+        kept = kept.observe("silver", F.count(F.lit(1)).alias("rows_kept"))
+    append_available(kept, silver, checkpoint, timeout, watch)
 
 
 def _parsed(stream: DataFrame, threshold: float = MIN_CONFIDENCE) -> DataFrame:

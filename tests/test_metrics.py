@@ -77,5 +77,6 @@ def test_metric_sink(spark, tmp_path):
     rows = metrics.as_metrics(wide, "r", "training", F.col("batch_id"), {"auc": "AUC"})
     for _ in range(2):
         metrics.append_metrics(rows, str(tmp_path / "m"))
-    back = spark.read.parquet(str(tmp_path / "m")).collect()
-    assert [tuple(r) for r in back] == [("r", "training", 0, "AUC", 0.5)] * 2
+    metrics.append_metrics(rows.withColumn("value", F.col("value") + 1).withColumn("step", F.lit(1)), str(tmp_path / "m"))
+    back = metrics.read_metrics(spark, str(tmp_path / "m")).orderBy("step").collect()
+    assert [(r.run_id, r.split, r.step, r.name, r.value) for r in back] == [("r", "training", 0, "AUC", 0.5), ("r", "training", 1, "AUC", 1.5)]

@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 from supplyloom.sources import landing, tables
 from supplyloom.sources.schemas import BRONZE, CORRUPT
 from supplyloom.storage import materialise
+from supplyloom.operators.metrics import read_metrics
 from supplyloom.streaming import ingest
+from supplyloom.streaming.monitor import BatchMetrics
 
 
 def _land(folder, name, rows, extra=""):
@@ -128,3 +130,19 @@ def test_tables(spark, tmp_path):
     finally:
         spark.sql("drop database loom_test cascade")
         tables.use_database(spark, "default", create=False)
+
+
+def test_batches_are_counted(spark, tmp_path):
+    """Two files as two batches, then nothing new; counts replayed in a second log entry count once."""
+    land, bronze, silver, log = (str(tmp_path / n) for n in ("landing", "bronze", "silver", "log"))
+    _land(land, "a.json", [_row(i, 0.5 + i / 20) for i in range(4)], extra="{broken")
+    _land(land, "b.json", [_row(9, 0.9)])
+    watch = BatchMetrics("run")
+    for _ in range(2):
+        ingest.ingest_bronze(spark, land, bronze, str(tmp_path / "c1"), files_per_trigger=1, watch=watch)
+        ingest.refine_silver(spark, bronze, silver, str(tmp_path / "c2"), watch=watch)
+        watch.flush(spark, log)
+    rows = {(r.split, r.step, r.name): r.value for r in read_metrics(spark, log).collect()}
+    assert sorted(rows[("bronze", step, "rows_read")] for step in (0, 1)) == [1, 5]
+    assert sorted(rows[("bronze", step, "rows_corrupt")] for step in (0, 1)) == [0, 1]
+    assert sum(v for (split, _, _), v in rows.items() if split == "silver") == 4 and len(rows) == 5
