@@ -139,7 +139,7 @@ def test_held_out_labels_are_not_read(spark):
 
 
 def test_cases(spark):
-    docs = [(1, None), (2, ""), (None, "no id"), (3, "word " * 300_000), (4, "twice"), (4, "twice"), (5, "\n\t ")]
+    docs = [(1, None), (7, ""), (None, "no id"), (3, "word " * 300_000), (8, "twice"), (8, "twice"), (0, "\n\t ")]
     d = spark.createDataFrame(docs, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("words", "wanted", "score", "labelled_id")})
     none = spark.createDataFrame([], "doc_id long, toxic int")
     flat = toxicity.fit_toxicity(d, none)
@@ -149,7 +149,7 @@ def test_cases(spark):
     judge = toxicity.Judge(toxicity.WordNetwork(), np.zeros(toxicity.LANGUAGES))
     scores = toxicity.score_toxicity(d, judge).collect()
     assert len(scores) == len(docs) and all(0 <= r.score <= 1 for r in scores)
-    assert len({r.score for r in scores if r.doc_id in (1, 2, 5)}) == 1
-    assert len({r.score for r in scores if r.doc_id == 4}) == 1
+    assert len({r.score for r in scores if r.doc_id in (1, 7, 0)}) == 1
+    assert len({r.score for r in scores if r.doc_id == 8}) == 1
     assert toxicity.score_toxicity(d.limit(0), judge).count() == 0
     assert set(catalog.queries()) >= {"op11_prefix_trie", "op12_structure_repair", "op13_toxicity"}
