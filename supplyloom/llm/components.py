@@ -50,8 +50,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Large-star and small-star rounds: the greater neighbours of a node, then its lesser ones and itself, are linked
     to the smallest around it, until nothing changes; a few rounds even for long chains, since paths halve. Each round
-    is written out, so a lost executor costs one round. Minima are pre-aggregated and looked up, by broadcast or with
-    salted keys, so neither a hub nor a giant component makes a hot task.
+    is written out, so a lost executor costs one round. Minima are pre-aggregated, and the smallest nodes, which a giant
+    component shares, are looked up by broadcast or with salted keys.
     """
     # Written first: links that come from Python workers would otherwise keep two workers busy in each task.
     given = materialise(links.select(a, b).where(F.col(a) != F.col(b)), "cc-given")
@@ -62,9 +62,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = lookup(edges, parents, "u", 16, F.col("v"), "left", rows=rows_of(parents))
         large = large.select(F.coalesce("m", "u").alias("u"), "v")
         # small star: the lesser neighbours of v, and v, go to the smallest of them
-        lowest = materialise(large.groupBy("v").agg(F.min("u").alias("m")), "cc-lowest")
-        small = lookup(large, lowest, "v", 16, F.col("u"), rows=rows_of(lowest))
-        small = small.select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v"))
+        lowest = large.groupBy("v").agg(F.min("u").alias("m"))
+        small = large.join(lowest, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v"))
         edges, after = _written(small.where("u <> v").distinct())
         if after == mark:
             break
