@@ -10,6 +10,8 @@ de-duplication; an empty table passes through as empty; further columns are carr
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +23,24 @@ from supplyloom.storage import materialise, rows_of, scratch_path
 BROADCAST_IDS = 1_000_000
 
 
+def released(spark: SparkSession) -> SparkSession:
+    """The session, after the driver gave up what the stage before held.
+
+    Plans and broadcasts live in the JVM as long as Python has handles to them; collected, the heap shrinks again.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    return quality.keep_good(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+    return quality.keep_good(docs, quality.fit_quality(docs, table(released(spark), sf_dir, "labels")))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id."""
+    released(spark)
     groups = jaccard.similarity_components(docs)
     kept = without(docs, groups.where("doc_id <> component_id").select("doc_id"))
     repeated = kept.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
@@ -44,18 +57,19 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return without(docs, latent.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
+    return without(docs, latent.find_leaks(docs, table(released(spark), sf_dir, "benchmark")).select("doc_id"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target asks, in the order of their training positions."""
+    released(spark)
     rows = docs.select("doc_id", "source", "text", F.struct("*").alias("row"))
     return mixing.training_order(mixing.mix(rows, keep=("row",))).select("row.*")
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the corpus; what is read back from them, per document."""
-    folder = scratch_path(spark, "corpus-tokens")
+    folder = scratch_path(released(spark), "corpus-tokens")
     tokens.write_tokens(docs, folder, tokenizer_file)
     return tokens.read_tokens(spark, folder, with_ids=False)
 
