@@ -3,6 +3,7 @@
 import hashlib
 import html
 import itertools
+import math
 import random
 import re
 import zlib
@@ -97,6 +98,60 @@ def test_secrets():
     assert secrets.all_spans("TOKEN='a'\nToken := \"é\"") == []
 
 
+@pytest.mark.parametrize(
+    "code, wanted",
+    [
+        ('password = "ab1" + "Cd2" + "eF3xyZ"', {"ab1", "Cd2", "eF3xyZ"}),
+        ('os.environ["DB_PASSWORD"] = "q9W!xL2m#Pz"', {"q9W!xL2m#Pz"}),
+        ("config['api_key'] = 'k3Yz' + 'Qp81-aaZ'", {"k3Yz", "Qp81-aaZ"}),
+        ('part = "Zx81k"\nsecret = part + "Qp0aB7t"', {"Zx81k", "Qp0aB7t"}),
+        ('secret = part + "Qp0aB7t"\npart = "Zx81k"', {"Zx81k", "Qp0aB7t"}),
+        ('a = "first-Val9"\na = "Zx81k"\ntoken = a + "Qp0aB7t"\na = "later-Val9"', {"Zx81k", "Qp0aB7t"}),
+        ('title = "ab1" + "Cd2" + "eF3xyZ"', set()),
+        ('password = "a" + "b"', set()),
+        ('password = "change" + "me123"', set()),
+    ],
+)
+def test_joined_literals_and_subscripts(code, wanted):
+    assert {code[a:b] for a, b, _ in secrets.literal_spans(code)} == wanted
+
+
+def test_quality_forward_like_plain_loops():
+    """One chunk, one filter and one byte at a time."""
+    network, texts = quality.ByteNetwork(), ["", "short", "a text of several chunks, é and more of it " * 3, "x" * 16, "y" * 17]
+    w = network.weights
+    for text in texts:
+        data = list(text.encode())
+        chunks = max(1, -(-max(len(data) - quality.WIDTH, 0) // quality.STRIDE) + 1)
+        data += [256] * ((chunks - 1) * quality.STRIDE + quality.WIDTH - len(data))
+        total = float(w["shift"][0])
+        for f in range(quality.FILTERS):
+            best = -math.inf
+            for c in range(chunks):
+                value = float(w["bias"][f])
+                for i in range(quality.WIDTH):
+                    for e in range(quality.EMBED):
+                        value += float(w["embed"][data[c * quality.STRIDE + i], e]) * float(w["filters"][i * quality.EMBED + e, f])
+                best = max(best, value)
+            total += math.tanh(best) * float(w["dense"][f])
+        raw = np.frombuffer(text.encode(), np.uint8)
+        assert network.scores(raw, np.array([0, len(raw)]))[0] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-5)
+
+
+def test_short_items_in_a_dump(spark):
+    """Items of 1 to 64 words, word for word one after the other in one document, all are found."""
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(6))
+    sizes = [40, 4, 40, 5, 7, 40, 3, 1, 40, 2, 6, 40, 8, 9, 40, 10, 11, 40, 12, 14, 16, 24, 32, 48, 64]
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate(sizes)]
+    docs = [(100, " ".join(text for _, text in items))] + [(i, " ".join(word() for _ in range(200))) for i in range(50)]
+    found = latent.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert {r.item_id for r in found if r.doc_id == 100} == set(range(len(sizes)))
+    assert not [r for r in found if r.doc_id != 100]
+
+
 def test_secret_spans_like_plain_patterns(spark, sf):
     pattern = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
     texts = {r.doc_id: r.text for r in read(spark, sf, "documents").collect()}
