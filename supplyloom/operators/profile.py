@@ -7,53 +7,57 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from supplyloom.operators.position import running_totals
-
 BINS = 4096
+#: The least positive double.
+TINY = 5e-324
 
 
 def exact_quantiles(df: DataFrame, column: str, fractions: list[float], bins: int = BINS) -> list[float | None]:
     """Linearly interpolated quantiles of a numeric column, exact at any size.
 
-    A histogram finds the few bins that hold the wanted ranks; only the distinct
-    values of those bins are ordered. The built-in exact percentile keeps every
-    distinct value of a group in one task's memory.
+    Found by counting: each scan cuts the ranges that hold a wanted rank into ``bins`` parts, and keeps the least and
+    greatest value of each, so a range shrinks to one value within a few scans. Nothing is shuffled but those counts,
+    sorted or written. The built-in exact percentile keeps every distinct value of a group in one task's memory.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    bins = max(2, bins)  # two parts at least, or a range would not shrink
     stats = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     if not stats.n:
         return [None] * len(fractions)
     spots = [q * (stats.n - 1) for q in fractions]
     ranks = sorted({r for s in spots for r in (math.floor(s), math.ceil(s))})
-    width = (stats.hi - stats.lo) / bins
-    number = F.floor((F.col("v") - F.lit(stats.lo)) / F.lit(width)) if width > 0 else F.lit(0)
-    binned = values.withColumn("bin", F.least(number, F.lit(bins - 1)).cast("int"))
-    # At most ``bins`` rows.
-    histogram = sorted(binned.groupBy("bin").count().collect(), key=lambda r: r.bin)
-    below, wanted, start = 0, [], {}
-    for row in histogram:
-        if any(below <= r < below + row["count"] for r in ranks):
-            wanted.append(row.bin)
-            start[row.bin] = below
-        below += row["count"]
-    counts = binned.filter(F.col("bin").isin(wanted)).groupBy("bin", "v").agg(F.count(F.lit(1)).alias("n"))
-    at = _ranked(counts, start, ranks)
+    at: dict[int, float] = {}
+    spans = _still_open([(stats.lo, stats.hi, 0, stats.n)], ranks, at)
+    while spans:
+        spot = F.lit(None).cast("struct<span:int,bin:int>")
+        for k, (low, high, _, _) in enumerate(spans):
+            width = max((high - low) / bins, TINY)
+            number = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+            inside = (F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high))
+            spot = F.when(inside, F.struct(F.lit(k).alias("span"), number.alias("bin"))).otherwise(spot)
+        counts = values.select("v", spot.alias("at")).filter(F.col("at").isNotNull()).groupBy("at.span", "at.bin")
+        # At most ``bins`` rows for each wanted rank.
+        rows = counts.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        below, parts = [span[2] for span in spans], []
+        for r in sorted(rows, key=lambda r: (r.span, r.bin)):
+            parts.append((r.lo, r.hi, below[r.span], r.n))
+            below[r.span] += r.n
+        spans = _still_open(parts, ranks, at)
     return [
         at[math.floor(s)] + (at[math.ceil(s)] - at[math.floor(s)]) * (s - math.floor(s)) for s in spots
     ]
 
 
-def _ranked(counts: DataFrame, start: dict[int, int], ranks: list[int]) -> dict[int, float]:
-    """Value at each rank by running totals, for bins of any size."""
-    ordered = running_totals(counts, {"upto": "n"}, [F.col("v")], ["bin"])
-    offset = F.element_at(
-        F.create_map(*[F.lit(x).cast(t) for b, s in start.items() for x, t in ((b, "int"), (s, "bigint"))]),
-        F.col("bin"),
-    )
-    spans = ordered.select("v", (offset + F.col("upto") - F.col("n")).alias("first"), (offset + F.col("upto")).alias("end"))
-    hits = F.filter(F.array(*[F.lit(r).cast("bigint") for r in ranks]), lambda r: (r >= F.col("first")) & (r < F.col("end")))
-    found = spans.withColumn("hits", hits).filter(F.size("hits") > 0)  # at most one row per rank
-    return {r: row.v for row in found.collect() for r in row.hits}
+def _still_open(parts: list[tuple], ranks: list[int], at: dict[int, float]) -> list[tuple]:
+    """Parts ``(least, greatest, rows below, rows)`` that hold a rank whose value they do not tell; others go to ``at``."""
+    found = []
+    for low, high, below, n in parts:
+        inside = [r for r in ranks if below <= r < below + n]
+        at |= {r: low for r in inside if r == below or low == high}
+        at |= {r: high for r in inside if r == below + n - 1}
+        if any(r not in at for r in inside):
+            found.append((low, high, below, n))
+    return found
 
 
 def probability_profile(relations: DataFrame, column: str = "probability") -> DataFrame:
