@@ -13,6 +13,7 @@ from supplyloom.functions.vectors import linear_score
 from supplyloom.operators import entities, features, graph, inner_product, metrics, profile, projection, refine, risk, sampling, scale_free, scoring
 from supplyloom.operators.sage import MessageGraph, embed_new, neighbour_max, neighbour_mean, pool_inputs, sage_layer
 from supplyloom.params import DEFAULT, TUNED
+from supplyloom.plans import bucketed
 from supplyloom.plans import fixtures as fx
 from supplyloom.plans import search as hyper
 from supplyloom.plans import sql_surface
@@ -225,6 +226,22 @@ def two_hop_blocks(spark, sf_dir):
     return sampling.two_hop_blocks(seeds, fx.silver_edges(spark, sf_dir))
 
 
+@query
+def fresh_blocks(spark, sf_dir):
+    """Neighbourhoods of the first batches' companies, drawn anew for each batch from one bucketed table."""
+    edges = fx.silver_edges(spark, sf_dir)
+    batched = materialise(graph.first_batches(graph.shuffled_batches(edges, BATCH, by=[]), 4), "batches")
+    laid_out, out = bucketed.bucketed_graph(materialise(edges, "edges")), None
+    try:
+        for batch in range(4):
+            blocks = bucketed.fresh_blocks(laid_out, graph.node_set(batched.filter(F.col("batch_id") == batch)), batch)
+            blocks = materialise(blocks.withColumn("batch_id", F.lit(batch).cast("long")), "blocks")
+            out = blocks if out is None else out.unionByName(blocks)
+        return out
+    finally:
+        laid_out.drop()
+
+
 @query
 def negatives_uniform(spark, sf_dir):
     edges = fx.silver_edges(spark, sf_dir)

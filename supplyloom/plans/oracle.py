@@ -436,6 +436,20 @@ def oracle_sql() -> dict[str, str]:
             frontier as (select id from seeds union select nbr_id from outer_e)
             select * from outer_e union all select * from ({fanned(1)}) where node_id in (select id from frontier)""",
         ),
+        "fresh_blocks": with_steps(
+            *GRAPH, "all_batches",
+            final=f"""
+            , seeds as (select batch_id, unnest([src_id, dst_id]) as id from e join all_batches using (eid) where batch_id < 4),
+            drawn as (
+              select batch_id, layer, dst_id as node_id, src_id as nbr_id, eid,
+                     row_number() over (partition by batch_id, layer, dst_id
+                                        order by {draw("'fresh|0|' || layer || '|' || batch_id || '|' || eid")}, eid)::int as slot
+              from e, (select unnest([0, 1, 2, 3])::bigint as batch_id), (select unnest([1, 2])::int as layer)),
+            outer_e as (select * from drawn where layer = 2 and slot <= 4 and (batch_id, node_id) in (select batch_id, id from seeds)),
+            frontier as (select * from seeds union select batch_id, nbr_id from outer_e)
+            select * from outer_e union all
+            select * from drawn where layer = 1 and slot <= 4 and (batch_id, node_id) in (select * from frontier)""",
+        ),
         "negatives_uniform": with_steps(*GRAPH, "nodes", "node_index", final=negatives.format(top=4)),
         "negatives_dense": with_steps(*GRAPH, "dense", "neg_dense", final="select eid, src_id, dst_id, draw from neg_dense"),
         "negatives_strict": with_steps(

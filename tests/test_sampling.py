@@ -4,6 +4,7 @@ from collections import Counter
 
 from brute import draw
 from supplyloom.operators import graph, sampling
+from supplyloom.plans import bucketed
 
 RNG = random.Random(5)
 # company 0 sells in a third of all edges, and buys in many
@@ -74,3 +75,22 @@ def test_labels(edges_frame):
     neg = sampling.uniform_negatives(edges, 2, dense_count=40)
     got = sampling.labelled_examples(edges, neg).groupBy("label").count().collect()
     assert {(r.label, r["count"]) for r in got} == {(1, 20), (0, 40)}
+
+
+def test_fresh_blocks_exchange_nothing(spark, edges_frame):
+    """The draw reads its buckets: no shuffle in the plan; other batches see other neighbours, a retry the same."""
+    edges = edges_frame(PAIRS)
+    laid_out = bucketed.bucketed_graph(edges, 4)
+    try:
+        seeds = spark.createDataFrame([(i,) for i in range(0, 40, 3)], "id long")
+        drawn = bucketed._drawn(laid_out, seeds, 2, 0, 0, 4)
+        plan = drawn._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan and "Bucketed: true" in plan
+        blocks = [{tuple(r) for r in bucketed.fresh_blocks(laid_out, seeds, batch).collect()} for batch in (0, 0, 1)]
+        assert blocks[0] == blocks[1] != blocks[2]
+        outer = {(v, s) for layer, v, s, _, _ in blocks[0] if layer == 2}
+        for v in range(0, 40, 3):
+            mine = sorted((draw(f"fresh|0|2|0|{i}"), i, s) for i, (s, d) in enumerate(PAIRS) if d == v)
+            assert {s for a, s in outer if a == v} == {s for _, _, s in mine[:4]}
+    finally:
+        laid_out.drop()
