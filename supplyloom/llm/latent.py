@@ -280,6 +280,10 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
     rows, terms, weights = items
     size = len(idf)
     cells, parts = rows * size + terms, weights * weights  # ascending: an item's part of its weight by word
+    # A window holds at most so many times a query's heaviest word: with less than MIN_WEIGHT, the query needs no look.
+    heaviest = np.zeros(len(queries))
+    np.maximum.at(heaviest, rows, parts)
+    within_reach = {words: np.flatnonzero(words * heaviest >= MIN_WEIGHT) for words in WINDOWS}
     spark = hits.sparkSession
     held = spark.sparkContext.broadcast((projected, queries))
 
@@ -289,7 +293,10 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
             row, place, term = _flat(batch)
             found: list[tuple[np.ndarray, ...]] = []
             for words in WINDOWS if len(row) else ():
-                half = words // 2
+                half, reach = words // 2, within_reach[words]
+                if not len(reach):
+                    continue
+                near_enough = wanted[reach].T
                 new = np.append(True, (row[1:] != row[:-1]) | (place[1:] // half != place[:-1] // half))
                 starts = np.flatnonzero(new)
                 halves = np.add.reduceat(vectors[term], starts, axis=0)
@@ -303,10 +310,11 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
                 for k in range(0, len(chosen), 4096):
                     at = chosen[k : k + 4096]
                     norms = np.linalg.norm(windows[at], axis=1)
-                    cosines = (windows[at] @ wanted.T) / np.maximum(norms, 1e-9)[:, None]
-                    near, item_of = np.nonzero(cosines >= MIN_COSINE)
+                    cosines = (windows[at] @ near_enough) / np.maximum(norms, 1e-9)[:, None]
+                    near, column = np.nonzero(cosines >= MIN_COSINE)
                     if not len(near):
                         continue
+                    item_of = reach[column]
                     sizes = hit[at[near]]
                     first = np.cumsum(sizes) - sizes
                     within = np.arange(int(sizes.sum())) + np.repeat(starts[at[near]] - first, sizes)
@@ -317,8 +325,9 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
                     if not len(good):
                         continue
                     window, item = near[good], item_of[good]
+                    nearness = cosines[window, column[good]]
                     places = at_half[at[window]] * half
-                    found.append((at_row[at[window]], owner[item], places, places + words, cosines[window, item]))
+                    found.append((at_row[at[window]], owner[item], places, places + words, nearness))
             if found:
                 row, item, place, end, cosine = _spans(*map(np.concatenate, zip(*found)))
                 yield pa.RecordBatch.from_arrays(
