@@ -299,18 +299,28 @@ def near_windows(hits: DataFrame, idf: np.ndarray, space: np.ndarray, queries: n
                 near_enough = wanted[reach].T
                 new = np.append(True, (row[1:] != row[:-1]) | (place[1:] // half != place[:-1] // half))
                 starts = np.flatnonzero(new)
-                halves = np.add.reduceat(vectors[term], starts, axis=0)
                 counts = np.diff(np.append(starts, len(row)))
                 at_row, at_half = row[starts], place[starts] // half
                 follows = np.append((at_row[1:] == at_row[:-1]) & (at_half[1:] == at_half[:-1] + 1), False)
-                windows, hit = halves.copy(), counts.copy()
-                windows[:-1][follows[:-1]] += halves[1:][follows[:-1]]
+                hit = counts.copy()
                 hit[:-1][follows[:-1]] += counts[1:][follows[:-1]]
                 chosen = np.flatnonzero(hit >= MIN_HITS)
+                if not len(chosen):
+                    continue
+                # Vectors of the halves of chosen windows only.
+                needed = np.zeros(len(starts), dtype=bool)
+                needed[chosen] = True
+                needed[chosen[follows[chosen]] + 1] = True
+                own, place_of = counts[needed], np.cumsum(needed) - 1
+                begins = np.cumsum(own) - own
+                inside = np.arange(int(own.sum())) + np.repeat(starts[needed] - begins, own)
+                halves = np.add.reduceat(vectors[term[inside]], begins, axis=0)
                 for k in range(0, len(chosen), 4096):
                     at = chosen[k : k + 4096]
-                    norms = np.linalg.norm(windows[at], axis=1)
-                    cosines = (windows[at] @ near_enough) / np.maximum(norms, 1e-9)[:, None]
+                    windows, both = halves[place_of[at]], follows[at]
+                    windows[both] += halves[place_of[at[both] + 1]]
+                    norms = np.linalg.norm(windows, axis=1)
+                    cosines = (windows @ near_enough) / np.maximum(norms, 1e-9)[:, None]
                     near, column = np.nonzero(cosines >= MIN_COSINE)
                     if not len(near):
                         continue
