@@ -37,7 +37,7 @@ def objective(edges: DataFrame, params: Params) -> float:
 
 
 def stacked_losses(edges: DataFrame, trials: list[Params]) -> list[float]:
-    """The objective of every trial, from jobs that all trials share."""
+    """The objective of every trial, from tables that all trials share."""
     stack = build_stack(edges, trials)
     weights, _ = train_stack(stack, trials)
     means = {r.trial: r.mean_auc for r in evaluate_stack(stack, trials, weights).collect()}
@@ -47,7 +47,7 @@ def stacked_losses(edges: DataFrame, trials: list[Params]) -> list[float]:
 def search(
     edges: DataFrame, trials: list[Params], parallelism: int = SEARCH_PARALLELISM
 ) -> DataFrame:
-    """One row per trial. Trials of small batches share all their jobs; others are data-parallel, several side by side.
+    """One row per trial. Trials of small batches share their tables; others are data-parallel, several side by side.
 
     All trials share the split of the first one's fractions.
     """

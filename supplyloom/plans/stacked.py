@@ -2,47 +2,57 @@
 
 Trials that differ in widths, losses, optimisers, batch sizes and numbers of negatives still see the same edges in the
 same seeded order, the same sampled neighbourhoods, and prefixes of the same features and negatives. So there is one
-table for all of them: the training order in buckets of as many edges as the batch sizes divide, and for each bucket
-the distinct neighbourhood blocks that its edges need, at the greatest width. A job takes every trial through one
-bucket, a task per trial, step by step as its batch size asks, and returns the trial's weights: jobs are as many as
-buckets, whatever the number of trials, and a step costs no job of its own.
+table for all of them: the training order in buckets of as many edges as the batch sizes divide and a task can hold, and
+for each bucket the distinct companies that its edges reach in two steps, with their features at the greatest width and
+their sampled neighbours by id. A job takes one trial through some buckets, in one task, step by step as its batch size
+asks, and returns the trial's weights: a step costs no job of its own, and trials run side by side.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyloom.operators.graph import node_set, shuffled_batches
+from supplyloom.operators.graph import shuffled_batches
 from supplyloom.operators.joins import lookup
 from supplyloom.operators.metrics import auc_ap, mean_auc_ap
-from supplyloom.operators.sampling import labelled_examples, node_index
+from supplyloom.operators.sampling import fanout_of, labelled_examples, node_index
 from supplyloom.params import Params
-from supplyloom.plans.examples import Shape, draw_negatives, node_blocks
-from supplyloom.plans.gradient import embedded, pair_gradient, records_of
+from supplyloom.plans.examples import NO_EDGE, Shape, draw_negatives, node_blocks
+from supplyloom.plans.flow import Companies, step_gradient
+from supplyloom.plans.gradient import embedded, records_of
 from supplyloom.plans.training import ROWS_PER_CHUNK_BYTES, Optimiser, SplitGraph, split_graph
 from supplyloom.plans.weights import flatten, initial_weights, unflatten
 from supplyloom.storage import materialise, rows_of
 
-#: Edges of a bucket, and bytes of its blocks: what one task of a trial holds.
+#: Edges of a bucket, and bytes of its companies if none repeats: what one task of a trial holds.
 MOST_ROWS, MOST_BYTES = 2048, 256 << 20
+#: Buckets of a job, which a task reads one after the other.
+JOB_BUCKETS = 16
 #: What all trials of a stack have in common.
 SHARED = ("test_p", "valid_p", "seed", "fanout", "strict_negatives", "exclude_targets", "own_split_messages")
 
-BUCKETS = "bucket long, kind int, at int, eid long, slots array<int>, block binary"
-MOVED = "trial int, flat array<double>, first array<double>, second array<double>, step int, losses array<double>"
+MOVED = "flat binary, first binary, second binary, step int, losses array<double>"
 
 
 def bucket_rows(trials: list[Params]) -> int:
     return math.lcm(*(p.batch_size for p in trials))
 
 
+def grouped_rows(trials: list[Params], shape: Shape) -> int:
+    """Edges of a bucket: as many of the least ones together as a task can hold."""
+    rows = bucket_rows(trials)
+    return rows * max(1, min(MOST_ROWS, MOST_BYTES // shape.row_bytes) // rows)
+
+
 def stackable(trials: list[Params]) -> bool:
     """Whether the trials see the same edges, and a bucket of them fits into a task."""
     if len({tuple(getattr(p, name) for name in SHARED) for p in trials}) != 1 or trials[0].own_split_messages:
@@ -68,37 +78,70 @@ class Stack:
     shape: Shape  # the greatest width and number of negatives
     blocks: DataFrame  # id, block
     index: DataFrame  # companies that negatives are drawn from
-    buckets: DataFrame  # BUCKETS, laid out by bucket
+    buckets: DataFrame  # bucket, kind, at, eid, ids, record; laid out by bucket
     n_training: int
     rows: int  # edges of a bucket
 
 
-def _buckets(order: DataFrame, negatives: DataFrame, blocks: DataFrame, shape: Shape, rows: int) -> DataFrame:
-    """Per bucket its distinct blocks (kind 0, by slot) and its edges (kind 1) with the slots of their companies."""
-    placed = order.withColumn("bucket", F.expr(f"at div {rows}"))
-    others = negatives.select("eid", "at", "draw", F.col("dst_id").alias("id"))
-    used = placed.select("eid", "at", F.inline(F.array(
+def _packed(shape: Shape) -> Column:
+    """One binary per company: its sampled neighbours and the edges that brought them by layer, then its features."""
+
+    @F.arrow_udf("binary")
+    def pack(*columns: pa.Array) -> pa.Array:
+        n = len(columns[0])
+        flat = [c.flatten().to_numpy(zero_copy_only=False) for c in columns]
+        parts = [f.astype(np.float32 if i == 4 else np.int64).view(np.uint8).reshape(n, -1) for i, f in enumerate(flat)] if n else []
+        data = np.hstack(parts) if n else np.empty((0, 0), np.uint8)
+        offsets = np.arange(n + 1, dtype=np.int32) * data.shape[1]
+        return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
+
+    return pack("near1", "via1", "near2", "via2", "x")
+
+
+def _records(features: DataFrame, messages: DataFrame, params: Params, shape: Shape) -> tuple[DataFrame, DataFrame]:
+    """``id, record`` of every company, and ``id, reached``: the companies whose features its embedding needs."""
+    ids = materialise(features.select("id"), "ids")
+    samples = [materialise(fanout_of(ids, messages, layer, params.seed, params.fanout), f"sample{layer}") for layer in (1, 2)]
+    records = features.select("id", F.col("x").cast("array<float>").alias("x"))
+    for layer, sample in zip((1, 2), samples):
+        # At most ``fanout`` neighbours each.
+        slots = sample.groupBy(F.col("node_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("slot", "nbr_id", "eid"))).alias("s"))
+        pad = F.array_repeat(F.lit(NO_EDGE).cast("long"), params.fanout)
+        kept = [
+            F.slice(F.concat(F.coalesce(F.col("s").getField(c), F.array().cast("array<long>")), pad), 1, params.fanout).alias(name)
+            for c, name in (("nbr_id", f"near{layer}"), ("eid", f"via{layer}"))
+        ]
+        records = records.join(slots, "id", "left").select(*records.columns, *kept)
+    near, far = (s.select(F.col("node_id").alias("id"), F.col("nbr_id").alias("reached")) for s in samples)
+    firsts = ids.select("id", F.col("id").alias("reached")).unionByName(far)
+    seconds = firsts.withColumnRenamed("reached", "via").join(near.withColumnRenamed("id", "via"), "via").select("id", "reached")
+    reach = materialise(firsts.unionByName(seconds).distinct(), "reach")
+    return materialise(records.select("id", _packed(shape).alias("record")), "records"), reach
+
+
+def _buckets(order: DataFrame, negatives: DataFrame, records: DataFrame, reach: DataFrame, shape: Shape, rows: int) -> DataFrame:
+    """Per bucket the distinct companies that its edges reach (kind 0), and its edges (kind 1) with their companies."""
+    bucket = F.expr(f"at div {rows}")
+    used = order.select("eid", "at", F.inline(F.array(
         F.struct(F.lit(-1).alias("draw"), F.col("src_id").alias("id")), F.struct(F.lit(0).alias("draw"), F.col("dst_id").alias("id"))
-    ))).unionByName(others)
-    used = materialise(used.withColumn("bucket", F.expr(f"at div {rows}")), "used")
-    # At most ``rows`` edges with 2 + k companies each.
-    here = Window.partitionBy("bucket").orderBy("id")
-    slots = materialise(used.select("bucket", "id").distinct().withColumn("slot", F.row_number().over(here) - 1), "slots")
-    edges = used.join(slots, ["bucket", "id"]).groupBy("bucket", "at", "eid").agg(
-        F.array_sort(F.collect_list(F.struct("draw", "slot"))).getField("slot").alias("slots")
-    )
-    held = lookup(slots, blocks, "id", shape.block_bytes, F.col("bucket"), rows=rows_of(blocks))
+    ))).unionByName(negatives.select("eid", "at", "draw", F.col("dst_id").alias("id")))
+    used = materialise(used.withColumn("bucket", bucket), "used")
+    # At most 2 + k companies each.
+    edges = used.groupBy("bucket", "at", "eid").agg(F.array_sort(F.collect_list(F.struct("draw", "id"))).getField("id").alias("ids"))
+    asked = used.select("bucket", "id").distinct().join(reach, "id").select("bucket", F.col("reached").alias("id")).distinct()
+    asked = materialise(asked, "asked")
+    held = lookup(asked, records, "id", shape.block_bytes, F.col("bucket"), rows=rows_of(records))
     both = held.select(
-        "bucket", F.lit(0).alias("kind"), F.col("slot").alias("at"), F.lit(None).cast("long").alias("eid"),
-        F.lit(None).cast("array<int>").alias("slots"), "block",
+        "bucket", F.lit(0).alias("kind"), F.col("id").alias("at"), F.lit(None).cast("long").alias("eid"),
+        F.lit(None).cast("array<long>").alias("ids"), "record",
     ).unionByName(
-        edges.select("bucket", F.lit(1).alias("kind"), F.col("at").cast("int").alias("at"), "eid", "slots", F.lit(None).cast("binary").alias("block"))
+        edges.select("bucket", F.lit(1).alias("kind"), F.col("at").cast("long").alias("at"), "eid", "ids", F.lit(None).cast("binary").alias("record"))
     )
     return materialise(both.repartition("bucket"), "buckets", partition_by="bucket")
 
 
 def build_stack(edges: DataFrame, trials: list[Params]) -> Stack:
-    wide, rows = widest(trials), bucket_rows(trials)
+    wide = widest(trials)
     graph = split_graph(edges, wide)
     training = materialise(graph.of("training"), "training")
     n = rows_of(training)
@@ -106,76 +149,117 @@ def build_stack(edges: DataFrame, trials: list[Params]) -> Stack:
     most = max(min(p.max_steps * p.batch_size, n) for p in trials)
     order = materialise(order.filter(F.col("at") < most), "order")
     shape = Shape(wide.num_node_features, wide.fanout, 1 + wide.num_negative_samples)
+    rows = grouped_rows(trials, shape)
     # Negatives while training come from the training edges' companies, as for a single trial.
     negatives = draw_negatives(order, training, wide)
+    records, reach = _records(graph.features, training, wide, shape)
+    buckets = _buckets(order, negatives, records, reach, shape, rows)
     blocks = materialise(node_blocks(graph.features, training, graph.features, wide, shape), "blocks")
-    return Stack(graph, shape, blocks, node_index(graph.features.select("id")), _buckets(order, negatives, blocks, shape, rows), n, rows)
+    return Stack(graph, shape, blocks, node_index(graph.features.select("id")), buckets, n, rows)
+
+
+def _companies(ids: np.ndarray, records: np.ndarray, fanout: int) -> Companies:
+    """The table of a bucket, whose ids ascend. A missing neighbour has NO_EDGE and any place."""
+    lists = np.ascontiguousarray(records[:, : 32 * fanout]).view(np.int64).reshape(len(ids), 4, fanout)
+    places = [np.minimum(np.searchsorted(ids, lists[:, k]), len(ids) - 1) for k in (0, 2)]
+    x = np.ascontiguousarray(records[:, 32 * fanout :]).view(np.float32).astype(float)
+    return Companies(x, tuple(places), (lists[:, 1], lists[:, 3]))
 
 
-def _walk(trial: int, params: Params, flat: np.ndarray, optimiser: Optimiser, stack_rows: int, shape: Shape, n_steps: int):
-    """The steps of one trial within a bucket, one after the other."""
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, pa.Table]]:
+    """Companies by id and edges by place, of one bucket after the other; the rows come in order."""
+    held: list[pa.RecordBatch] = []
+
+    def parts() -> tuple[pa.Table, pa.Table]:
+        whole = pa.Table.from_batches(held)
+        kinds = whole["kind"].to_numpy()
+        return whole.filter(pa.array(kinds == 0)), whole.filter(pa.array(kinds == 1))
+
+    for batch in batches:
+        buckets = batch.column("bucket").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(buckets)) + 1), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                if held and held[0].column("bucket")[0].as_py() != buckets[a]:
+                    yield parts()
+                    held.clear()
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield parts()
+
+
+def _walk(params: Params, flat: np.ndarray, optimiser: Optimiser, shape: Shape, n_steps: int):
+    """The steps of one trial within some buckets, one after the other."""
     like = initial_weights(params)
-    chunk = max(1, ROWS_PER_CHUNK_BYTES // (shape.block_bytes * (2 + params.num_negative_samples)))
+    record = 32 * shape.fanout + 4 * params.num_node_features
+    chunk = max(1, MOST_BYTES // (2 * shape.block_bytes * (2 + params.num_negative_samples)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, blocks, edges = [], [], []
-        for batch in batches:
-            kinds = batch.column("kind").to_numpy()
-            own = batch.filter(pa.array(kinds == 0))
-            slots.append(own.column("at").to_numpy())
-            blocks.append(records_of(own.column("block"), shape.block_bytes))
-            edges += batch.filter(pa.array(kinds == 1)).select(["at", "eid", "slots"]).to_pylist()
-        if not edges:
-            return
-        records = np.concatenate(blocks)[np.argsort(np.concatenate(slots))]
-        edges.sort(key=lambda r: r["at"])
         weights, state, losses = flat, optimiser, []
-        size, first = params.batch_size, edges[0]["at"]
-        for at in range(0, len(edges), size):
-            step = (first + at) // size
-            if step >= n_steps:
-                break
-            w, total, terms, summed = unflatten(weights, like), 0.0, 0.0, np.zeros_like(weights)
-            for a in range(at, min(at + size, len(edges)), chunk):
-                part = edges[a : min(a + chunk, at + size)]
-                others = [r["slots"][1 : 2 + params.num_negative_samples] for r in part]
-                row = np.repeat(np.arange(len(part)), [len(o) for o in others])
-                eid = np.array([r["eid"] for r in part]) if params.exclude_targets else None
-                src, dst = records[[r["slots"][0] for r in part]], records[[i for o in others for i in o]]
-                a_loss, a_terms, g = pair_gradient(src, dst, row, eid, w, shape, params.loss, params.num_node_features)
-                total, terms, summed = total + a_loss, terms + a_terms, summed + flatten(g)
-            weights = state.update(weights, summed / terms)
-            losses.append(total / terms)
-        row = {"trial": trial, "flat": weights, "first": state.first, "second": state.second, "step": state.step, "losses": losses}
-        yield pa.RecordBatch.from_pydict(
-            {k: pa.array([v], pa.int32() if k in ("trial", "step") else pa.list_(pa.float64())) for k, v in row.items()}
-        )
+        for nodes, edges in _by_bucket(batches):
+            if not edges.num_rows:
+                continue
+            ids = nodes["at"].to_numpy()
+            table = _companies(ids, records_of(nodes["record"].combine_chunks(), record), shape.fanout)
+            listed = edges["ids"].combine_chunks()
+            starts = listed.offsets.to_numpy()
+            places = np.searchsorted(ids, listed.values.to_numpy())
+            eids, first, size = edges["eid"].fill_null(NO_EDGE - 2).to_numpy(), edges["at"][0].as_py(), params.batch_size
+            for at in range(0, edges.num_rows, size):
+                step = (first + at) // size
+                if step >= n_steps:
+                    break
+                w, total, terms, summed = unflatten(weights, like), 0.0, 0.0, np.zeros_like(weights)
+                end = min(at + size, edges.num_rows)
+                for a in range(at, end, chunk):
+                    b = min(a + chunk, end)
+                    # Each edge's purchaser, seller and first negatives.
+                    counts = np.minimum(starts[a + 1 : b + 1] - starts[a:b] - 1, 1 + params.num_negative_samples)
+                    row = np.repeat(np.arange(b - a), counts)
+                    slot = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                    src, dst = places[starts[a:b]], places[starts[a:b][row] + 1 + slot]
+                    eid = eids[a:b] if params.exclude_targets else None
+                    a_loss, a_terms, g = step_gradient(table, src, dst, row, eid, w, params.loss)
+                    total, terms, summed = total + a_loss, terms + a_terms, summed + flatten(g)
+                weights = state.update(weights, summed / terms)
+                losses.append(total / terms)
+        columns = {k: pa.array([v.tobytes()], pa.binary()) for k, v in (("flat", weights), ("first", state.first), ("second", state.second))}
+        columns |= {"step": pa.array([state.step], pa.int32()), "losses": pa.array([losses], pa.list_(pa.float64()))}
+        yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
+def _work(params: Params) -> int:
+    """What an edge of a trial costs, about."""
+    return (2 + params.num_negative_samples) * (params.num_node_features + params.hidden_dim)
+
+
 def train_stack(stack: Stack, trials: list[Params]) -> tuple[list[dict[str, np.ndarray]], list[list[float]]]:
-    """Weights and losses by step of every trial, one job per bucket."""
-    flats = [flatten(initial_weights(p)) for p in trials]
-    states = [Optimiser(p, f.size) for p, f in zip(trials, flats)]
-    losses: list[list[float]] = [[] for _ in trials]
-    n_steps = [min(p.max_steps, -(-stack.n_training // p.batch_size)) for p in trials]
-    for bucket in range(-(-stack.n_training // stack.rows)):
-        rows = stack.buckets.filter(F.col("bucket") == bucket).drop("bucket")
-        jobs = None
-        for t, p in enumerate(trials):
-            if bucket * stack.rows < n_steps[t] * p.batch_size:
-                walk = _walk(t, p, flats[t], states[t], stack.rows, stack.shape, n_steps[t])
-                moved = rows.coalesce(1).mapInArrow(walk, MOVED)
-                jobs = moved if jobs is None else jobs.union(moved)
-        if jobs is None:
-            break
-        for r in jobs.collect():  # one row a trial
-            flats[r.trial] = np.array(r.flat)
-            state = states[r.trial]
-            state.step, state.first, state.second = r.step, np.array(r["first"]), np.array(r.second)
-            losses[r.trial] += r.losses
-    return [unflatten(f, initial_weights(p)) for f, p in zip(flats, trials)], losses
+    """Weights and losses by step of every trial: trials side by side, each one job per group of buckets."""
+    spark = stack.buckets.sparkSession
+    own = inheritable_thread_target(spark)
+    # The longest start first. Trials are jobs of their own: a union of single partitions would be one task.
+    ranked = sorted(range(len(trials)), key=lambda t: -_work(trials[t]))
+    with ThreadPoolExecutor(max_workers=len(trials)) as pool:
+        runs = {t: pool.submit(own(_train_one), stack, trials[t]) for t in ranked}
+        done = [runs[t].result() for t in range(len(trials))]
+    return [w for w, _ in done], [losses for _, losses in done]
+
+
+def _train_one(stack: Stack, params: Params) -> tuple[dict[str, np.ndarray], list[float]]:
+    flat, losses = flatten(initial_weights(params)), []
+    state = Optimiser(params, flat.size)
+    n_steps = min(params.max_steps, -(-stack.n_training // params.batch_size))
+    record = F.expr(f"substring(record, 1, {32 * stack.shape.fanout + 4 * params.num_node_features})").alias("record")
+    n_buckets = -(-min(n_steps * params.batch_size, stack.n_training) // stack.rows)
+    for bucket in range(0, n_buckets, JOB_BUCKETS):
+        rows = stack.buckets.filter(F.col("bucket").between(bucket, min(bucket + JOB_BUCKETS, n_buckets) - 1))
+        rows = rows.select("bucket", "kind", "at", "eid", "ids", record).coalesce(1).sortWithinPartitions("bucket", "kind", "at")
+        for r in rows.mapInArrow(_walk(params, flat, state, stack.shape, n_steps), MOVED).collect():  # one row
+            flat, losses = np.frombuffer(r.flat), losses + r.losses
+            state.step, state.first, state.second = r.step, np.frombuffer(r["first"]), np.frombuffer(r.second)
+    return unflatten(flat, initial_weights(params)), losses
 
 
 def stacked_ends(stack: Stack, trials: list[Params], weights: list[dict[str, np.ndarray]]) -> DataFrame:

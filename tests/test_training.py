@@ -230,3 +230,58 @@ def test_param_search_runs_to_its_end(spark, sf):
     for name, values in SEARCH_SPACE.items():
         drawn = {json.loads(r.params)[name] for r in rows}
         assert len(drawn) > 1 and drawn <= set(values)
+
+
+@pytest.mark.parametrize("aggregator", ["mean", "pool"])
+@pytest.mark.parametrize("exclude", [True, False])
+def test_shared_encoding_equals_a_block_per_slot(aggregator, exclude):
+    """Each company once a step, whatever the number of its slots, gives the gradient of all blocks."""
+    from supplyloom.plans import flow, gradient
+    from supplyloom.plans.examples import NO_EDGE, Shape
+    from supplyloom.plans.weights import initial_weights
+
+    draw, v, f, d, n, k = np.random.default_rng(3), 6, 2, 3, 9, 4
+    x = draw.normal(size=(v, d)).astype(np.float32)
+    near = [draw.integers(0, v, (v, f)) for _ in range(2)]
+    via = [np.where(draw.random((v, f)) < 0.3, NO_EDGE, draw.integers(0, n, (v, f))) for _ in range(2)]
+    vectors = [x, x[near[0]], x[near[1]], x[near[0]][near[1]]]
+    edges = [via[0], via[1], via[0][near[1]]]
+    vectors[1], vectors[2] = vectors[1] * (edges[0] != NO_EDGE)[..., None], vectors[2] * (edges[1] != NO_EDGE)[..., None]
+    parts = [a.reshape(v, -1).astype(np.float32).view(np.uint8) for a in vectors] + [e.reshape(v, -1).astype(np.int64).view(np.uint8) for e in edges]
+    blocks = np.hstack(parts)
+    row, eid = np.repeat(np.arange(n), 1 + k), np.arange(n)
+    src, dst = draw.integers(0, v, n), draw.integers(0, v, n * (1 + k))
+    params = P.with_(num_node_features=d, hidden_dim=4, aggregator_type=aggregator, seed=2)
+    w = {name: value + 0.1 for name, value in initial_weights(params).items()}
+    table = flow.Companies(x.astype(float), tuple(near), tuple(via))
+    for loss in ("binary_cross_entropy", "margin"):
+        a = flow.step_gradient(table, src, dst, row, eid if exclude else None, w, loss)
+        b = gradient.pair_gradient(blocks[src], blocks[dst], row, eid if exclude else None, w, Shape(d, f, 1 + k), loss)
+        assert a[0] == pytest.approx(b[0]) and a[1] == b[1]
+        assert all(np.allclose(a[2][name], b[2][name], atol=1e-12) for name in w)
+
+
+def test_stacked_trials_run_side_by_side_in_small_buckets(spark, edges, monkeypatch):
+    """No trial waits for another's end, and the number of buckets changes nothing."""
+    import threading
+
+    from supplyloom.plans import stacked
+
+    base = P.with_(max_steps=6, seed=1, fanout=2, batch_size=4)
+    trials = [base, base.with_(num_negative_samples=1, aggregator_type="pool", optimiser="SGD")]
+    whole, told = stacked.train_stack(stacked.build_stack(edges, trials), trials)
+    monkeypatch.setattr(stacked, "MOST_ROWS", 8)
+    monkeypatch.setattr(stacked, "JOB_BUCKETS", 2)
+    meet, one = threading.Barrier(len(trials), timeout=60), stacked._train_one
+
+    def met(stack, params):
+        meet.wait()
+        return one(stack, params)
+
+    monkeypatch.setattr(stacked, "_train_one", met)
+    stack = stacked.build_stack(edges, trials)
+    assert stack.rows == 8
+    weights, losses = stacked.train_stack(stack, trials)
+    for a, b in zip(whole, weights):
+        assert all(np.allclose(a[k], b[k], atol=1e-9) for k in a)
+    assert all(np.allclose(a, b) for a, b in zip(told, losses))
