@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyloom.llm import chat, extract, fingerprint, jaccard, latent, mixing, quality, repair, secrets, tokens, toxicity, trie, urls
-from supplyloom.storage import scratch_path
+from supplyloom.storage import materialise, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -71,9 +71,12 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    position = F.round(mixing.first_position(mixed), 9).alias("position")
-    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", position)
+    """The mix is written in training order; what it took of each document is read back from its copies."""
+    mixed = materialise(mixing.mix(table(spark, sf_dir, "documents"), keep=("source",)), "mixed")
+    copies = materialise(mixing.training_order(mixed), "mix-order")
+    return mixing.digest_mix(mixed, copies).select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", F.round("position", 9).alias("position")
+    )
 
 
 OP7_SQL = r"""

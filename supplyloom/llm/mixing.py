@@ -141,14 +141,23 @@ def mix(
     )
 
 
-def first_position(mixed: DataFrame) -> Column:
-    """Training position of a document's first copy; null when it is not taken."""
-    return F.when(mixed["copies"] > 0, position_of(mixed["segments"], mixed["tape"] / mixed["target"]))
-
-
 def training_order(mixed: DataFrame) -> DataFrame:
     """One row per copy with its ``epoch`` and ``position``, range-sorted by position."""
     copies = mixed.where(F.col("copies") > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     demand = (F.col("epoch") * F.col("source_size") + F.col("tape")) / F.col("target")
-    at = copies.withColumn("position", position_of(F.col("segments"), demand)).drop("tape", "segments", "copies")
+    at = copies.withColumn("position", position_of(F.col("segments"), demand)).drop("segments", "copies")
     return at.repartitionByRange(F.col("position")).sortWithinPartitions("position", "doc_id", "epoch")
+
+
+def digest_mix(mixed: DataFrame, copies: DataFrame) -> DataFrame:
+    """Per document the words that ``copies`` (of ``training_order``) hold of it, and the position of the first.
+
+    Both need ``source``. A document that is taken has words, so its place on its source's tape is its own, whatever
+    its id; documents without copies follow from ``mixed``.
+    """
+    named = ["doc_id", "size", "source_size", "target"]
+    taken = copies.groupBy("source", "tape").agg(
+        *[F.first(c).alias(c) for c in named], F.sum("size").alias("taken"), F.min("position").alias("position")
+    )
+    left = mixed.where(F.col("copies") == 0).select(*named, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("double").alias("position"))
+    return taken.select(*named, "taken", "position").unionByName(left)

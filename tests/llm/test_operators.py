@@ -38,6 +38,24 @@ def test_mix_meets_targets(spark, sf):
     assert all(r.taken in (0, r["size"], 2 * r["size"]) for r in rows)
 
 
+def test_mix_is_read_back_from_its_copies(spark, sf, monkeypatch):
+    """What the query tells of a document is what the ordered mix holds: without the second copies, half of it."""
+    whole, order = mixing.training_order, catalog.op7_source_mix(spark, sf).collect()
+    monkeypatch.setattr(mixing, "training_order", lambda mixed: whole(mixed).where("epoch = 0"))
+    once = catalog.op7_source_mix(spark, sf).collect()
+    assert any(r.taken == 2 * r["size"] > 0 for r in order) and all(r.taken in (0, r["size"]) for r in once)
+    assert sorted((r.doc_id, r.position is None) for r in once) == sorted((r.doc_id, r.position is None) for r in order)
+
+
+def test_mix_digest_keeps_repeated_rows(spark):
+    rows = [(1, "a", "x y"), (1, "a", "x y"), (None, "a", "z"), (None, None, "z"), (2, None, ""), (3, "a", None)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), keep=("source",))
+    found = mixing.digest_mix(mixed, mixing.training_order(mixed))
+    same = lambda df: sorted(map(str, df.select("doc_id", "size", "source_size", "target", "taken").collect()))
+    assert same(found) == same(mixed) and len(same(found)) == len(rows)
+    assert found.where("(taken > 0) <> (position is not null)").count() == 0
+
+
 def test_schedules_are_inverted(spark):
     knots = ((0.0, 2.0), (0.25, 0.0), (0.5, 0.0), (1.0, 3.0))
     demands = [i / 20 for i in range(20)]
