@@ -5,9 +5,11 @@ that of the whole word and those of its first ``STEMS`` bytes, which inflected f
 ``WIDTHS`` words run over every place of the whole text, each filter's responses are max-pooled, and a dense layer
 combines them into one logit.
 
-The network is fitted in one task, on a bounded sample: ``FIT_ROWS`` labelled rows at most, by hash of the id, of
-texts of at most ``FIT_BYTES`` bytes; tasks send the words' buckets (six bytes a word), not the texts. A fifth of the
-sample is kept out of the gradient: it picks the epoch and calibrates a threshold for each language. The language is
+The network learns from every labelled row with a text. Up to ``FIT_ROWS`` rows fit into one task; more are learned in
+``ROUNDS`` rounds over all of them, where each task walks its rows in batches from common weights and the changes are
+averaged by rows (those of an embedding over the tasks that met it). Tables of words' buckets (six bytes a word) are
+read for that, not the texts. A fifth of the rows is kept out of the gradient: it picks the epoch or round, and all of
+it calibrates a threshold for each language, beyond one task from running totals over all distinct logits. The language is
 guessed from the function words of the text itself; a language with few labelled texts leans on all of them together.
 The score is the logit shifted so that the threshold of the text's language lies at ``CUT``.
 
@@ -33,13 +35,21 @@ from supplyloom.llm.batches import bounded_batches
 from supplyloom.llm.fitting import fit_in_task
 from supplyloom.llm.quality import held_out
 from supplyloom.llm.words import PUNCTUATION, SLICE_BYTES, hashed_words, mix, slices, text_bytes, word_bounds
+from supplyloom.operators.position import running_totals
+from supplyloom.storage import materialise, rows_of
 
 BITS, EMBED, WIDTHS, FILTERS, STEMS = 15, 8, (1, 2, 3), 8, (4, 6)
 PARTS = 1 + len(STEMS)
 BUCKETS, SPAN, ALL = 1 << BITS, max(WIDTHS), FILTERS * len(WIDTHS)
 #: The bucket of padding: its embedding is zero and never learned.
 PAD = BUCKETS
-FIT_ROWS, FIT_BYTES, STEPS, BATCH, RATE, DROP = 8000, 1 << 14, 2000, 32, 0.01, 0.2
+FIT_ROWS, FIT_BYTES, STEPS, BATCH, RATE, DROP = 8000, 128 << 20, 2000, 32, 0.01, 0.2
+#: Passes over more rows than one task fits, and texts and bytes that are shuffled together in a task.
+ROUNDS, MIXED_ROWS, MIXED_BYTES = 4, 2048, 32 << 20
+#: Labels that go to every task at once (12 bytes each); more are joined by a shuffle.
+BROADCAST_LABELS = 1_000_000
+#: Embeddings whose changes are added up together.
+PIECE = 4096
 #: Places scored at once.
 STEP = 1 << 16
 #: The score at which a text counts as toxic.
@@ -137,6 +147,27 @@ def places(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return padded, begins, counts
 
 
+class Adam:
+    def __init__(self, weights: dict[str, np.ndarray]):
+        self.step = 0
+        self.m = {k: np.zeros_like(v) for k, v in weights.items()}
+        self.v = {k: np.zeros_like(v) for k, v in weights.items()}
+
+    def update(self, weights: dict[str, np.ndarray], found: dict[str, np.ndarray], touched: np.ndarray, rate: float) -> None:
+        self.step += 1
+        m, v, step = self.m, self.v, self.step
+        for name, g in found.items():
+            rows = touched if name == "embed" else slice(None)
+            m[name][rows] += 0.1 * (g - m[name][rows])
+            v[name][rows] += 0.01 * (g * g - v[name][rows])
+            scaled = (m[name][rows] / (1 - 0.9**step)) / (np.sqrt(v[name][rows] / (1 - 0.99**step)) + 1e-6)
+            weights[name][rows] -= (rate * scaled).astype(np.float32)
+
+
+def log_losses(z: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    return np.logaddexp(0, z) - wanted * z
+
+
 class WordNetwork:
     def __init__(self, seed: int = 5):
         draw = np.random.default_rng(seed)
@@ -182,6 +213,23 @@ class WordNetwork:
 
     # --- fitting
 
+    def winners(self, padded: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per text and filter the place of the greatest response, and the response; STEP places at a time."""
+        if len(padded) <= STEP:
+            found = self.responses(padded)
+            at = np.stack([a + found[a : a + k].argmax(axis=0) for a, k in zip(begins, counts)])
+            return at, np.take_along_axis(found, at, axis=0)
+        at = np.zeros((len(begins), ALL), dtype=np.int64)
+        most = np.full((len(begins), ALL), -np.inf, dtype=np.float32)
+        for i, (first, count) in enumerate(zip(begins, counts)):
+            for a in range(first, first + count, STEP):
+                found = self.responses(padded[a : min(a + STEP, first + count) + SPAN - 1])
+                here = found.argmax(axis=0)
+                value = found[here, np.arange(ALL)]
+                better = value > most[i]
+                at[i][better], most[i][better] = a + here[better], value[better]
+        return at, most
+
     def gradient(self, words: np.ndarray, starts: np.ndarray, wanted: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Of the mean log loss, and the buckets that the embedding's rows belong to.
 
@@ -189,9 +237,8 @@ class WordNetwork:
         """
         w, n = self.weights, len(wanted)
         padded, begins, counts = places(words, starts)
-        found = self.responses(padded)
-        winners = np.stack([a + found[a : a + k].argmax(axis=0) for a, k in zip(begins, counts)])
-        best = np.tanh(np.take_along_axis(found, winners, axis=0))
+        winners, most = self.winners(padded, begins, counts)
+        best = np.tanh(most)
         score = 1 / (1 + np.exp(-(best @ w["dense"] + w["shift"][0])))
         error = ((score - wanted) / n).astype(np.float32)
         down = error[:, None] * w["dense"] * (1 - best * best)
@@ -211,9 +258,7 @@ class WordNetwork:
 
     def fit(self, texts: list[np.ndarray], wanted: np.ndarray, checked: np.ndarray, seed: int = 3) -> WordNetwork:
         """Adam over shuffled batches, with words dropped at random; keeps the epoch that is best on ``checked``."""
-        draw, step = np.random.default_rng(seed), 0
-        m = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        v = {k: np.zeros_like(x) for k, x in self.weights.items()}
+        draw, adam = np.random.default_rng(seed), Adam(self.weights)
         learned = np.flatnonzero(~checked)
         steps = -(-len(learned) // BATCH)
         epochs = -(-STEPS // steps)
@@ -221,24 +266,21 @@ class WordNetwork:
         for _ in range(epochs):
             order = draw.permutation(learned)
             for k in range(0, len(order), BATCH):
-                batch = order[k : k + BATCH]
-                thinned = [texts[i][draw.random(len(texts[i])) >= DROP] for i in batch]
-                found, touched = self.gradient(*joined(thinned), wanted[batch])
-                step += 1
-                rate = RATE * (1 - step / (total + 1))
-                for name, g in found.items():
-                    rows = touched if name == "embed" else slice(None)
-                    m[name][rows] += 0.1 * (g - m[name][rows])
-                    v[name][rows] += 0.01 * (g * g - v[name][rows])
-                    scaled = (m[name][rows] / (1 - 0.9**step)) / (np.sqrt(v[name][rows] / (1 - 0.99**step)) + 1e-6)
-                    self.weights[name][rows] -= (rate * scaled).astype(np.float32)
+                self.learn(adam, draw, [texts[i] for i in order[k : k + BATCH]], wanted[order[k : k + BATCH]], RATE * (1 - (adam.step + 1) / (total + 1)))
             z = self.scored([texts[i] for i in np.flatnonzero(checked)])
-            loss = float(np.mean(np.logaddexp(0, z) - wanted[checked] * z)) if len(z) else 0.0
+            loss = float(np.mean(log_losses(z, wanted[checked]))) if len(z) else 0.0
             if loss <= least:
                 kept, least = {k: x.copy() for k, x in self.weights.items()}, loss
         self.weights = kept
         return self
 
+    def learn(self, adam: Adam, draw: np.random.Generator, texts: list[np.ndarray], wanted: np.ndarray, rate: float) -> np.ndarray:
+        """One step; the buckets whose embeddings it met."""
+        thinned = [t[draw.random(len(t)) >= DROP] for t in texts]
+        found, touched = self.gradient(*joined(thinned), wanted)
+        adam.update(self.weights, found, touched, rate)
+        return touched
+
     def scored(self, texts: list[np.ndarray]) -> np.ndarray:
         found = [self.logits(*joined(texts[i : i + 256])) for i in range(0, len(texts), 256)]
         return np.concatenate(found) if found else np.empty(0)
@@ -269,6 +311,43 @@ def thresholds(logits: np.ndarray, wanted: np.ndarray, language: np.ndarray) ->
     return found
 
 
+def table_thresholds(scored: DataFrame) -> np.ndarray:
+    """``thresholds`` of a table ``z, wanted, language`` of any size.
+
+    All rows count: distinct logits are folded, then running totals go over range partitions.
+    """
+    named = [f"{side}{k}" for side in "pn" for k in range(LANGUAGES)]
+    of = lambda c: F.sum(((F.col("wanted") == int(c[0] == "p")) & (F.col("language") == int(c[1:]))).cast("long")).alias(c)
+    folded = materialise(scored.groupBy("z").agg(*[of(c) for c in named]), "logits")
+    sums = folded.agg(*[F.sum(c).alias(c) for c in named], F.min("z").alias("least")).first()
+    ones, zeros = (sum(sums[f"{side}{k}"] for k in range(LANGUAGES)) for side in "pn")
+    n = ones + zeros
+    one, zero = (0.5 / max(1, count) * n for count in (ones, zeros))
+
+    def wrong(missed, alarms, k):  # by the counts of each language below, and not below, a cut
+        return one * (missed[k] + PRIOR / n * sum(missed)) + zero * (alarms[k] + PRIOR / n * sum(alarms))
+
+    # A row stands for the cut between its logit and the next one.
+    running = materialise(running_totals(folded, {f"t_{c}": c for c in named}, [F.col("z")]), "cuts")
+    missed = [F.col(f"t_p{k}") for k in range(LANGUAGES)]
+    alarms = [F.lit(sums[f"n{k}"]) - F.col(f"t_n{k}") for k in range(LANGUAGES)]
+    costs = running.select("z", *[wrong(missed, alarms, k).alias(f"c{k}") for k in range(LANGUAGES)])
+    lowest = costs.agg(*[F.min(f"c{k}").alias(f"c{k}") for k in range(LANGUAGES)]).first()
+    below = [wrong([0] * LANGUAGES, [sums[f"n{j}"] for j in range(LANGUAGES)], k) for k in range(LANGUAGES)]
+    limits = [min(lowest[f"c{k}"], below[k]) + 1e-9 for k in range(LANGUAGES)]
+    good = [F.when(F.col(f"c{k}") <= limits[k], F.col("z")) for k in range(LANGUAGES)]
+    ends = costs.agg(*[f(g) for g in good for f in (F.min, F.max)]).first()
+    nexts = running.agg(*[F.min(F.when(F.col("z") > F.lit(z), F.col("z"))) for z in ends]).first()
+    cuts = [None if z is None else z + 1 if after is None else (z + after) / 2 for z, after in zip(ends, nexts)]
+    found = np.empty(LANGUAGES)
+    for k in range(LANGUAGES):
+        low, high = cuts[2 * k : 2 * k + 2]
+        if below[k] <= limits[k]:
+            low = sums["least"] - 1
+        found[k] = (low + (low if high is None else high)) / 2
+    return found
+
+
 @dataclass(frozen=True)
 class Judge:
     """A fitted network with its thresholds, or a score for all texts."""
@@ -288,39 +367,33 @@ class Judge:
         return out
 
 
-def _sample(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``words`` (buckets of two bytes, PARTS a word) and ``wanted`` of at most FIT_ROWS rows."""
+def _examples(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """``key, wanted`` and ``words`` (buckets of two bytes, PARTS a word) of every labelled row with a text."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max(label).cast("int").alias("wanted"))
-    # About twice the sample by hash, so that no task sends more than its part of it.
-    rate = max(1, known.count() // (2 * FIT_ROWS))
-    known = known.where(F.pmod(F.xxhash64("labelled_id"), rate) == 0)
-    chosen = (
-        docs.select("doc_id", "text")
-        .where(F.octet_length("text") <= FIT_BYTES)
-        # Twice to four times FIT_ROWS rows.
-        .join(F.broadcast(known), F.col("doc_id") == F.col("labelled_id"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        .select("text", "wanted")
-        .limit(FIT_ROWS)
-    )
+    known = materialise(known, "labels")
+    known = F.broadcast(known) if rows_of(known) <= BROADCAST_LABELS else known
+    chosen = docs.select("doc_id", "text").where("text IS NOT NULL").join(known, F.col("doc_id") == F.col("labelled_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = []
-            for _, words, starts in word_buckets(batch.column(0)):
-                packed += [words[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1)], names=["words", "wanted"])
+            for first, words, starts in word_buckets(batch.column(0)):
+                packed = pa.array([words[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])], pa.binary())
+                others = [batch.column(i).slice(first, len(packed)) for i in (1, 2)]
+                yield pa.RecordBatch.from_arrays([others[0], others[1], packed], names=["key", "wanted", "words"])
+
+    packed = chosen.select("text", F.xxhash64("doc_id").alias("key"), "wanted").mapInArrow(run, "key long, wanted int, words binary")
+    return materialise(packed, "words")
 
-    return chosen.mapInArrow(run, "words binary, wanted int")
 
+def _texts(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(w, dtype=np.uint16).reshape(-1, PARTS) for w in column.to_pylist()]
 
-def _fitted(sample: pa.Table) -> tuple[dict[str, np.ndarray] | None, np.ndarray | None, float]:
-    """Weights, thresholds and, where the labels allow no more, the score of all texts."""
-    wanted = np.array(sample["wanted"].to_pylist(), dtype=np.float32)
-    if not len(wanted) or wanted.min() == wanted.max():
-        return None, None, float(wanted[0]) if len(wanted) else 0.5
-    texts = [np.frombuffer(w, dtype=np.uint16).reshape(-1, PARTS) for w in sample["words"].to_pylist()]
+
+def _fitted(sample: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Weights and thresholds of rows of both labels that fit into a task."""
+    sample = sample.sort_by([("key", "ascending"), ("words", "ascending")])
+    texts, wanted = _texts(sample["words"]), sample["wanted"].to_numpy().astype(np.float32)
     # Every fifth text of either label is kept out of the gradient.
     checked = np.zeros(len(wanted), dtype=bool)
     for value in (0, 1):
@@ -328,17 +401,117 @@ def _fitted(sample: pa.Table) -> tuple[dict[str, np.ndarray] | None, np.ndarray
     network = WordNetwork().fit(texts, wanted, checked)
     told = checked if len(np.unique(wanted[checked])) == 2 else np.ones(len(wanted), dtype=bool)
     held = [texts[i] for i in np.flatnonzero(told)]
-    return network.weights, thresholds(network.scored(held), wanted[told], languages(*joined(held))), 0.5
+    return network.weights, thresholds(network.scored(held), wanted[told], languages(*joined(held)))
+
+
+def _as_rows(pieces: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {"piece": pa.array(list(pieces), pa.int32()), "sums": pa.array([v.tobytes() for v in pieces.values()], pa.binary())}
+    )
+
+
+def _added(rows: DataFrame) -> dict[int, np.ndarray]:
+    """Sums of equal pieces: a few of them, whatever the number of tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total[piece] = total.get(piece, 0) + np.frombuffer(sums)
+        if total:
+            yield _as_rows(total)
+
+    schema = "piece int, sums binary"
+    return {r.piece: np.frombuffer(r["sums"]) for r in rows.repartition("piece").mapInArrow(run, schema).collect()}
+
+
+def _one_round(examples: DataFrame, weights: dict[str, np.ndarray], number: int) -> tuple[dict[str, np.ndarray], float]:
+    """The averaged weights after each task walked its rows once, and the loss of the given ones on what is checked."""
+    dense = [k for k in weights if k != "embed"]
+    rate = RATE * (1 - number / ROUNDS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        draw = np.random.default_rng([number, TaskContext.get().partitionId()])
+        given, own = WordNetwork(), WordNetwork()
+        given.weights, own.weights = weights, {k: v.copy() for k, v in weights.items()}
+        adam, met = Adam(weights), np.zeros(BUCKETS + 1, dtype=bool)
+        losses, n, texts, wanted = np.zeros(2), 0, [], []
+
+        def walk() -> None:
+            order = draw.permutation(len(texts))
+            for k in range(0, len(order), BATCH):
+                batch = order[k : k + BATCH]
+                met[own.learn(adam, draw, [texts[i] for i in batch], np.array([wanted[i] for i in batch]), rate)] = True
+            texts.clear()
+            wanted.clear()
+
+        for batch in batches:
+            kept = batch.column("checked").to_numpy(zero_copy_only=False)
+            values, found = batch.column("wanted").to_numpy().astype(np.float32), _texts(batch.column("words"))
+            told = [t for t, c in zip(found, kept) if c]
+            losses += [log_losses(given.scored(told), values[kept]).sum(), len(told)]
+            for text, value, c in zip(found, values, kept):
+                if not c:
+                    texts.append(text)
+                    wanted.append(value)
+                    n += 1
+                    if len(texts) == MIXED_ROWS or sum(t.nbytes for t in texts[-1:]) > MIXED_BYTES:
+                        walk()
+            if sum(t.nbytes for t in texts) > MIXED_BYTES:
+                walk()
+        if texts:
+            walk()
+        pieces = {-1: losses, -2: np.append(n * np.concatenate([(own.weights[k] - weights[k]).ravel() for k in dense]).astype(float), n)}
+        change = np.hstack([own.weights["embed"] - weights["embed"], met[:, None]]).astype(float) * n
+        pieces |= {a: change[a : a + PIECE].ravel() for a in range(0, BUCKETS + 1, PIECE)}
+        yield _as_rows(pieces)
+
+    sums = _added(examples.mapInArrow(run, "piece int, sums binary"))
+    losses, moved = sums.pop(-1), sums.pop(-2)
+    after, at = {"embed": weights["embed"].copy()}, 0
+    for k in dense:
+        after[k] = weights[k] + (moved[at : at + weights[k].size] / max(1, moved[-1])).reshape(weights[k].shape).astype(np.float32)
+        at += weights[k].size
+    for a, change in sums.items():
+        change = change.reshape(-1, EMBED + 1)
+        after["embed"][a : a + PIECE] += (change[:, :-1] / np.maximum(1, change[:, -1:])).astype(np.float32)
+    return after, losses[0] / max(1, losses[1])
+
+
+def _logits(examples: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
+    network = WordNetwork()
+    network.weights = weights
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = _texts(batch.column("words"))
+            columns = [pa.array(network.scored(texts), pa.float64()), batch.column("wanted"), pa.array(languages(*joined(texts)), pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["z", "wanted", "language"])
+
+    return materialise(examples.mapInArrow(run, "z double, wanted int, language int"), "checked-logits")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Judge:
     bounded_batches(docs.sparkSession)
-    weights, cuts, constant = fit_in_task(_sample(docs, labels, label), _fitted)
-    if weights is None:
-        return Judge(None, None, constant)
+    examples = _examples(docs, labels, label)
+    told = examples.agg(F.min("wanted").alias("least"), F.max("wanted").alias("most"), F.sum(F.length("words")).alias("size")).first()
+    if told.least is None or told.least == told.most:
+        return Judge(None, None, 0.5 if told.least is None else float(told.least))
     network = WordNetwork()
-    network.weights = weights
-    return Judge(network, cuts)
+    if rows_of(examples) <= FIT_ROWS and told["size"] <= FIT_BYTES:
+        network.weights, cuts = fit_in_task(examples, _fitted)
+        return Judge(network, cuts)
+    examples = examples.withColumn("checked", F.pmod(F.xxhash64("key"), F.lit(5)) == 0)
+    checked, current, least = examples.where("checked"), network.weights, np.inf
+    for number in range(ROUNDS + 1):  # the last one is for the loss alone
+        after, loss = _one_round(checked if number == ROUNDS else examples, current, number)
+        if number and loss <= least:
+            network.weights, least = current, loss
+        current = after
+    both = checked.agg(F.min("wanted") < F.max("wanted")).first()[0]
+    return Judge(network, table_thresholds(_logits(checked if both else examples, network.weights)))
 
 
 def score_toxicity(docs: DataFrame, judge: Judge) -> DataFrame:

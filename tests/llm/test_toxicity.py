@@ -153,3 +153,31 @@ def test_cases(spark):
     assert len({r.score for r in scores if r.doc_id == 8}) == 1
     assert toxicity.score_toxicity(d.limit(0), judge).count() == 0
     assert set(catalog.queries()) >= {"op11_prefix_trie", "op12_structure_repair", "op13_toxicity"}
+
+
+def test_thresholds_of_a_table_like_those_of_a_task(spark):
+    """All rows count, over several partitions, whatever their number."""
+    draw = np.random.default_rng(1)
+    z, y, language = draw.normal(size=400), draw.integers(0, 2, 400), draw.integers(0, 5, 400)
+    z += 0.7 * y * (language != 3)
+    rows = [(float(a), int(b), int(c)) for a, b, c in zip(z, y, language)]
+    scored = spark.createDataFrame(rows, "z double, wanted int, language int").repartition(5)
+    assert np.allclose(toxicity.table_thresholds(scored), toxicity.thresholds(z, y, language))
+
+
+def test_every_labelled_row_teaches(spark, monkeypatch):
+    """With more rows than a task fits, rounds over all rows learn a word that rows beyond the first few alone hold."""
+    import zlib
+
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 50)
+    ids = [i for i in range(1, 1500) if zlib.crc32(str(i).encode()) % 3 != 1]
+    texts = [f"word{i % 7} {'vile' if i % 4 == 0 else 'kind'} the end{i % 5}" for i in ids]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(2)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in ids], "doc_id long, toxic int")
+    assert toxicity._examples(docs, labels, "toxic").count() == len(ids)
+    rounds, run = [], toxicity._one_round
+    monkeypatch.setattr(toxicity, "_one_round", lambda rows, *a: rounds.append(rows.count()) or run(rows, *a))
+    judge = toxicity.fit_toxicity(docs, labels)
+    assert rounds[: toxicity.ROUNDS] == [len(ids)] * toxicity.ROUNDS
+    scores = judge.scores(pa.array(["word1 vile the end2", "word1 kind the end2"]))
+    assert scores[0] >= toxicity.CUT > scores[1]
