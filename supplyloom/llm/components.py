@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from supplyloom.operators.joins import lookup
-from supplyloom.storage import materialise, rows_of
+from supplyloom.operators.joins import fits_broadcast, lookup
+from supplyloom.storage import materialise, packed, rows_of
 
 
 def contracted(links: DataFrame) -> DataFrame:
@@ -37,11 +37,11 @@ def contracted(links: DataFrame) -> DataFrame:
     return links.mapInArrow(run, "u long, v long")
 
 
-def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges written out, with their number and a sum over them that tells whether a round changed anything."""
+def _written(edges: DataFrame, most: int) -> tuple[DataFrame, tuple]:
+    """The edges, ``most`` at most, written out, with their number and a sum that tells whether a round changed anything."""
     seen = Observation()
     mark = F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit(0x7FFFFFFF)))
-    table = materialise(edges.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark")), "cc-links")
+    table = materialise(packed(edges, most).observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark")), "cc-links")
     return table, (seen.get["n"], seen.get["mark"])
 
 
@@ -55,16 +55,19 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     # Written first: links that come from Python workers would otherwise keep two workers busy in each task.
     given = materialise(links.select(a, b).where(F.col(a) != F.col(b)), "cc-given")
-    edges, mark = _written(contracted(given).distinct())
+    edges, mark = _written(contracted(given).distinct(), rows_of(given))
     while mark[0]:
-        parents = materialise(edges.groupBy(F.col("v").alias("u")).agg(F.min("u").alias("m")), "cc-parents")
+        parents, many = edges.groupBy(F.col("v").alias("u")).agg(F.min("u").alias("m")), mark[0]
+        if not fits_broadcast(many, 16):
+            parents = materialise(parents, "cc-parents")
+            many = rows_of(parents)
         # large star: greater neighbours of u go to the smallest node around u
-        large = lookup(edges, parents, "u", 16, F.col("v"), "left", rows=rows_of(parents))
+        large = lookup(edges, parents, "u", 16, F.col("v"), "left", rows=many)
         large = large.select(F.coalesce("m", "u").alias("u"), "v")
         # small star: the lesser neighbours of v, and v, go to the smallest of them
         lowest = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(lowest, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v"))
-        edges, after = _written(small.where("u <> v").distinct())
+        edges, after = _written(small.where("u <> v").distinct(), 2 * mark[0])
         if after == mark:
             break
         mark = after

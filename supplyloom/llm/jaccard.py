@@ -40,13 +40,15 @@ from supplyloom.llm.batches import bounded_batches
 from supplyloom.llm.components import connected_components
 from supplyloom.llm.words import hashed_shingles, hashed_words, mix, slices
 from supplyloom.operators.joins import lookup
-from supplyloom.storage import materialise, rows_of
+from supplyloom.storage import materialise, packed, rows_of
 
 PREFIX = 36
 #: A shingle in more prefixes than HOT goes last; at most HOT_LIST of them (8 bytes each), the most frequent ones.
 HOT, HOT_LIST = 64, 1_000_000
 #: Rows of ids that may go to every task at once; longer tables are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
+#: Bitmaps that are worth a task of the tree join.
+MAPS_EACH = 8192
 #: Documents in a chunk of the check, and in a block that gets a tree; a larger block is one candidate group at once.
 CHUNK = 2048
 FANOUT = 8
@@ -255,7 +257,7 @@ def small(table: DataFrame) -> DataFrame:
 
 
 def candidate_links(filed: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """``filed`` (token, cls), ``maps`` (cls, n, map) -> links (a, b) that span the candidate groups."""
+    """``filed`` (token, cls; written), ``maps`` (cls, n, map) -> links (a, b) that span the candidate groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in runs(batches, ["token"]):
@@ -285,10 +287,12 @@ def candidate_links(filed: DataFrame, maps: DataFrame, percent: int) -> DataFram
     )
     # Near copies share most of their prefixes: blocks of the same classes are compared once.
     kept = counts.where("c > 1").groupBy("c", "hub", "s", "t").agg(F.min("token").alias("token")).select("token", "c", "hub")
-    counted = materialise(filed.join(small(materialise(kept, "jaccard-kept")), "token"), "jaccard-blocks")
+    kept = materialise(packed(kept, rows_of(filed)), "jaccard-kept")
+    counted = materialise(packed(filed.join(small(kept), "token"), rows_of(filed)), "jaccard-blocks")
     whole = counted.where(F.col("c") > CHUNK).select(F.col("hub").alias("a"), F.col("cls").alias("b")).where("a <> b")
     blocks = counted.where(F.col("c") <= CHUNK).select("token", "cls").join(maps, "cls")
-    trees = blocks.repartition("token").sortWithinPartitions("token").mapInArrow(run, "a long, b long")
+    dealt = packed(blocks.repartition("token"), rows_of(counted), MAPS_EACH)
+    trees = dealt.sortWithinPartitions("token").mapInArrow(run, "a long, b long")
     return trees.unionByName(whole)
 
 
@@ -317,16 +321,16 @@ def _small_blocks(tokens, names, sizes, maps, small, percent) -> list[tuple[int,
     return found
 
 
-def checked_links(members: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+def checked_links(members: DataFrame, cells: DataFrame, percent: int, rows: int | None = None) -> DataFrame:
     """Links (a, b) that connect what is connected in each cell: two chunks of a group, or one with itself.
 
-    ``members``: group, chunk, label, cls, n, tokens. ``cells``: group, i, j.
+    ``members``: group, chunk, label, cls, n, tokens. ``cells``: group, i, j. A task gets several small cells.
     """
     sides = cells.select("group", "i", "j", F.col("i").alias("chunk")).unionByName(
         cells.where("i <> j").select("group", "i", "j", F.col("j").alias("chunk"))
     )
-    sides = small(materialise(sides, "jaccard-cells"))
-    placed = members.join(sides, ["group", "chunk"]).select("group", "i", "j", "label", "cls", "n", "tokens")
+    sides = materialise(sides, "jaccard-cells")
+    placed = members.join(small(sides), ["group", "chunk"]).select("group", "i", "j", "label", "cls", "n", "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in runs(batches, ["group", "i", "j"]):
@@ -347,35 +351,40 @@ def checked_links(members: DataFrame, cells: DataFrame, percent: int) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     keys = ["group", "i", "j"]
-    return placed.repartition(*keys).sortWithinPartitions(*keys, "cls").mapInArrow(run, "a long, b long")
+    dealt = packed(placed.repartition(*keys), CHUNK * rows_of(sides) if rows is None else rows, CHUNK)
+    return dealt.sortWithinPartitions(*keys, "cls").mapInArrow(run, "a long, b long")
 
 
 def check_groups(members: DataFrame, percent: int) -> DataFrame:
-    """Exact links that connect the classes of each candidate group as all their links do.
+    """Links (a, b) that connect the classes of each candidate group as all their exact links do.
 
-    ``members``: group, chunk, cls, n, tokens.
+    ``members`` (written): group, chunk, cls, n, tokens.
     """
+    many = rows_of(members)
     alone_members = members.withColumn("label", F.col("cls"))
-    chunks = materialise(members.select("group", "chunk").distinct(), "jaccard-chunks")
+    chunks = materialise(packed(members.select("group", "chunk").distinct(), many), "jaccard-chunks")
     cells = chunks.select("group", F.col("chunk").alias("i"), F.col("chunk").alias("j"))
-    alone = materialise(checked_links(alone_members, cells, percent), "jaccard-links")
+    alone = materialise(checked_links(alone_members, cells, percent, many), "jaccard-links")
     several = chunks.where("chunk > 0").select("group", F.col("chunk").alias("j"))
     if not several.limit(1).count():
         return alone
-    large = members.join(small(materialise(several.select("group").distinct(), "jaccard-large")), "group", "left_semi")
+    of_several = materialise(packed(several.select("group").distinct(), rows_of(chunks)), "jaccard-large")
+    large = members.join(small(of_several), "group", "left_semi")
 
-    def labelled(links: DataFrame) -> DataFrame:
+    def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The members of large groups by what is connected so far; fewer links that connect the same."""
         known = connected_components(links).select(F.col("node").alias("cls"), F.col("component").alias("label"))
-        known = small(materialise(known, "jaccard-labels"))
-        return large.join(known, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        known = materialise(known, "jaccard-labels")
+        named = large.join(small(known), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        return named, known.select(F.col("label").alias("a"), F.col("cls").alias("b"))
 
-    first = materialise(checked_links(labelled(alone), several.select("group", F.lit(0).alias("i"), "j"), percent), "jaccard-links")
-    links = alone.unionByName(first)
-    now = labelled(links)
+    now, links = labelled(alone)
+    first = materialise(checked_links(now, several.select("group", F.lit(0).alias("i"), "j"), percent), "jaccard-links")
+    now, links = labelled(links.unionByName(first))
     held = now.groupBy("group", "chunk").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     # Chunks connected as a whole to what most of their group is connected to need no look at each other: only the odd
     # ones are paired, with all.
-    held = materialise(held, "jaccard-held")
+    held = materialise(packed(held, rows_of(chunks)), "jaccard-held")
     usual = held.where("low = high").groupBy("group", "low").count()
     usual = usual.groupBy("group").agg(F.max_by("low", F.struct("count", "low")).alias("usual"))
     marked = held.join(usual, "group", "left")
@@ -388,7 +397,8 @@ def check_groups(members: DataFrame, percent: int) -> DataFrame:
         .where((F.least("a.chunk", "b.chunk") > 0) & differ & (~is_odd | (F.col("a.chunk") < F.col("b.chunk"))))
         .select(F.col("a.group").alias("group"), F.least("a.chunk", "b.chunk").alias("i"), F.greatest("a.chunk", "b.chunk").alias("j"))
     )
-    return links.unionByName(checked_links(now, open_cells, percent))
+    open_cells = materialise(open_cells, "jaccard-open")
+    return links.unionByName(checked_links(now, open_cells, percent)) if rows_of(open_cells) else links
 
 
 def similarity_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
@@ -405,42 +415,48 @@ def similarity_components(docs: DataFrame, n: int = 5, percent: int = 75) -> Dat
         shingle_sets(docs, n, filed, "doc_id long, n int, cls long, prefix array<long>, map binary", schema), "jaccard-rows"
     )
     own = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = materialise(
-        own.groupBy("cls").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("many")), "jaccard-classes"
-    )
+    classes = own.groupBy("cls").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("many"))
+    classes = materialise(packed(classes, rows_of(rows)), "jaccard-classes")
+    repeated = _repeats(own)
     # One row per class. Only rows of classes that have several are shuffled for it.
-    copied = small(materialise(classes.where("many > 1").select("cls", "head"), "jaccard-copied"))
-    heads = own.join(copied.drop("head"), "cls", "left_anti").unionByName(
-        own.join(copied, "cls").where("doc_id = head").drop("head").dropDuplicates(["cls"])
-    )
+    copied = materialise(classes.where("many > 1").select("cls", "head"), "jaccard-copied")
+    firsts = own.join(small(copied), "cls").where("doc_id = head").drop("head").dropDuplicates(["cls"])
+    firsts = materialise(packed(firsts, rows_of(copied), MAPS_EACH), "jaccard-firsts")
+    heads = own.join(small(copied.select("cls")), "cls", "left_anti").unionByName(firsts)
     posted = heads.select("cls", F.explode("prefix").alias("token"))
-    counts = materialise(posted.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "jaccard-counts")
+    most = PREFIX * rows_of(classes)
+    counts = posted.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    counts = materialise(packed(counts, most), "jaccard-counts")
     cold = counts.where(F.col("c") <= HOT).select("token")
     blocks = posted.join(small(materialise(cold, "jaccard-cold")), "token", "left_semi")
 
     hot = _most_frequent(counts, HOT_LIST)
     if len(hot):
         # Shingles that come into prefixes in place of the frequent ones may be frequent too.
-        again = _refiled(docs, n, hot, hot, percent).groupBy("token").agg(F.countDistinct("cls").alias("c"))
+        refiled = materialise(packed(_refiled(docs, n, hot, hot, percent).distinct(), most), "jaccard-refiled")
+        again = refiled.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
         last = np.union1d(hot, _most_frequent(again, max(0, HOT_LIST - len(hot))))
-        refiled = materialise(_refiled(docs, n, hot, last, percent).distinct(), "jaccard-refiled")
+        if len(last) > len(hot):
+            refiled = materialise(packed(_refiled(docs, n, hot, last, percent).distinct(), most), "jaccard-refiled")
         blocks = blocks.unionByName(refiled.select("cls", "token"))
         if len(hot) >= HOT_LIST:  # frequent shingles beyond the list are blocks like others
             rest = counts.where(F.col("c") > HOT).select("token").join(_as_table(docs, hot), "token", "left_anti")
             blocks = blocks.unionByName(posted.join(rest, "token", "left_semi"))
-    candidates = candidate_links(materialise(blocks.distinct(), "jaccard-filed"), heads.select("cls", "n", "map"), percent)
+    filed = materialise(packed(blocks.distinct(), most), "jaccard-filed")
+    candidates = candidate_links(filed, heads.select("cls", "n", "map"), percent)
     groups = connected_components(candidates)
-    links = check_groups(_members(docs, n, classes, groups), percent)
-    if _repeats(own):
+    links = check_groups(_members(docs, n, classes, groups, repeated), percent)
+    if repeated:
         # Rows of one doc_id are one document: its classes are connected.
         first = own.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z").select("doc_id", "a")
         links = links.unionByName(own.join(first, "doc_id").select("a", F.col("cls").alias("b")).where("a <> b"))
     found = connected_components(links).withColumnRenamed("node", "cls")
 
     placed = classes.join(found, "cls", "left").select("cls", "head", F.coalesce("component", "cls").alias("group"))
-    placed = materialise(placed, "jaccard-placed")
+    placed = materialise(packed(placed, rows_of(classes)), "jaccard-placed")
     # A component or a class may hold a third of all rows: looked up by broadcast or with salted keys.
-    least = materialise(placed.groupBy("group").agg(F.min("head").alias("component")), "jaccard-least")
+    least = placed.groupBy("group").agg(F.min("head").alias("component"))
+    least = materialise(packed(least, rows_of(placed)), "jaccard-least")
     named = lookup(placed, least, "group", 24, F.col("cls"), rows=rows_of(least)).select("cls", "component")
     result = lookup(rows.select("doc_id", "n", "cls"), materialise(named, "jaccard-named"), "cls", 24, F.col("doc_id"), "left", rows=rows_of(placed))
     # An empty set links with nothing, and a row without an id takes no part.
@@ -448,19 +464,23 @@ def similarity_components(docs: DataFrame, n: int = 5, percent: int = 75) -> Dat
     return result.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
 
 
-def _members(docs: DataFrame, n: int, classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """The whole sets of the classes in candidate groups, in chunks: group, chunk, cls, n, tokens."""
-    sized = materialise(groups.groupBy("component").agg(F.count(F.lit(1)).alias("many")), "jaccard-sized")
+def _members(docs: DataFrame, n: int, classes: DataFrame, groups: DataFrame, repeated: bool) -> DataFrame:
+    """The whole sets of the classes in candidate groups, in chunks: group, chunk, cls, n, tokens.
+
+    ``repeated`` tells whether a doc_id has several sets, so that a class may come from several rows.
+    """
+    sized = packed(groups.groupBy("component").agg(F.count(F.lit(1)).alias("many")), rows_of(classes))
+    sized = materialise(sized, "jaccard-sized")
     places = lookup(groups, sized, "component", 24, F.col("node"), rows=rows_of(sized)).select(
         F.col("component").alias("group"),
         F.col("node").alias("cls"),
         F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / CHUNK)).cast("int").alias("chunk"),
     )
-    places = materialise(places.join(classes.select("cls", "head"), "cls"), "jaccard-places")
+    places = materialise(packed(places.join(classes.select("cls", "head"), "cls"), rows_of(classes)), "jaccard-places")
     texts = docs.join(small(places).select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = shingle_sets(texts, n, lambda i, s: (class_of(s), len(s), s.view(np.int64)), SET_DDL, SET_SCHEMA)
     members = sets.join(small(places).drop("head"), "cls").select("group", "chunk", "cls", "n", "tokens")
-    members = members.dropDuplicates(["cls"]) if _repeats(docs) else members
+    members = members.dropDuplicates(["cls"]) if repeated else members
     return materialise(members, "jaccard-members")
 
 

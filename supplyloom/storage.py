@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CONF = "spark.checkpoint.dir"
+#: Narrow rows that are worth a task and a file of their own.
+ROWS_EACH = 1 << 15
 _local_roots: dict[str, str] = {}
 
 
@@ -45,6 +47,14 @@ def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return with_known_rows(table, seen.get["rows"])
 
 
+def packed(df: DataFrame, rows: int, each: int = ROWS_EACH) -> DataFrame:
+    """``df`` of ``rows`` rows at most in no more partitions than they are worth, but one for each core at least.
+
+    A shuffle deals even a short table out to all its partitions; each would be a task and a file.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` itself when ``materialise`` returned it, else a written copy."""
     return df if getattr(df, "written", False) else materialise(df, label)

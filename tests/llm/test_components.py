@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from supplyloom.llm import components
 from supplyloom.llm.components import connected_components
 
 
@@ -39,3 +40,25 @@ def test_components(spark, kind):
     found = connected_components(table).collect()
     wanted = brute([(a, b) for a, b in links if a != b])
     assert len(found) == len(wanted) and {r.node: r.component for r in found} == wanted
+
+
+def test_short_tables_take_few_tasks(spark, monkeypatch):
+    """However many partitions a shuffle has, a short table is written by as many tasks as there are cores."""
+    tasks = {}
+    write = components.materialise
+
+    def counted(df, label):
+        tasks.setdefault(label, []).append(df.rdd.getNumPartitions())
+        return write(df, label)
+
+    monkeypatch.setattr(components, "materialise", counted)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 61)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+        found = connected_components(spark.createDataFrame(CHAIN, "a long, b long")).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert {r.node: r.component for r in found} == brute(CHAIN)
+    assert max(tasks["cc-links"]) <= spark.sparkContext.defaultParallelism
