@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from supplyloom.llm.batches import bounded_batches
 from supplyloom.llm.words import PUNCTUATION, hashed_words, mix, slices
-from supplyloom.storage import materialise
+from supplyloom.storage import materialise, rows_of
 
 ITEM_BLOCK = 1000
 #: Words of a passage. Query passages have two at most and start a passage after each other.
@@ -54,6 +54,8 @@ PIECE = 32768
 #: What a window needs to be a candidate: words, its cosine with an item, and the part of the item's TF-IDF weight
 #: that its words make up. Less of the weight leaves too few words for a leak.
 MIN_HITS, MIN_COSINE, MIN_WEIGHT = 3, 0.5, 0.3
+#: Spans (28 bytes each) that may go to every task; more are joined by a shuffle of the texts.
+BROADCAST_SPANS = 200_000
 #: Parts of an item's words in common: alone, or with the answer.
 MIN_COMMON, MIN_COMMON_ANSWERED, MIN_ANSWER = 0.65, 0.45, 0.6
 WORD = re.compile(r"[A-Za-z0-9\u0080-\U0010ffff]+")
@@ -357,8 +359,11 @@ LEAKS = "doc_id long, item_id long, cosine double, common double, answer boolean
 def check_candidates(texts: DataFrame, near: DataFrame, items: list) -> DataFrame:
     """Longest common subsequences around each candidate span."""
     known = [(r["item_id"], _hashes(r["text"]), _hashes(answer_of(r["text"]))) for r in items]
+    near = materialise(near, "latent-near")
     per_document = near.groupBy("doc_id").agg(F.collect_set(F.struct("item", "cosine", "place", "words")).alias("near"))
-    chosen = texts.join(per_document, "doc_id").select("doc_id", "text", "near")
+    # Few documents have candidates: their spans go to the texts, which stay where they are.
+    small = rows_of(near) <= BROADCAST_SPANS
+    chosen = texts.join(F.broadcast(per_document) if small else per_document, "doc_id").select("doc_id", "text", "near")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

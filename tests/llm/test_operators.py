@@ -406,6 +406,26 @@ def test_all_near_windows_are_checked(spark):
     assert {(r.doc_id, r.item_id): r.common for r in rows} == {(d, i): 1.0 for d in (1, 2) for i in (0, 9)}
 
 
+def test_candidates_leave_texts_in_place(spark, monkeypatch):
+    """Few spans go to the texts, many are shuffled to them; the leaks are the same, repeated and null ids included."""
+    draw = random.Random(8)
+    made = _made_words(draw, 400)
+    items = [(i, " ".join(draw.choice(made) for _ in range(20))) for i in range(3)]
+    texts = [" ".join(draw.choice(made) for _ in range(200)) for _ in range(40)]
+    rows = [(i, f"{t} {items[i % 3][1]} {t}" if i % 4 == 0 else t) for i, t in enumerate(texts)] + [(4, items[1][1]), (None, items[0][1]), (99, None)]
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+
+    def leaks():
+        return sorted((r.doc_id, r.item_id) for r in latent.find_leaks(docs, benchmark).collect())
+
+    few = latent.find_leaks(docs, benchmark)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in few and "SortMergeJoin" not in few
+    found = leaks()
+    assert {(i, i % 3) for i in range(0, 40, 4)} | {(4, 1)} <= set(found) and len(found) == len(set(found))
+    monkeypatch.setattr(latent, "BROADCAST_SPANS", 0)
+    assert leaks() == found
+
+
 def test_spans_like_brute_force():
     draw = np.random.default_rng(3)
     row, item, place, words = (draw.integers(0, n, 300) for n in (3, 2, 400, 9))
