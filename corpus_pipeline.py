@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from supplyloom.llm import jaccard, latent, mixing, quality, tokens
 from supplyloom.llm.catalog import table, tokenizer_file
+from supplyloom.llm.memory import release_executors
 from supplyloom.storage import materialise, rows_of, scratch_path
 
 #: Ids that may go to every task at once (8 bytes each); more are joined by a shuffle.
@@ -24,12 +25,13 @@ BROADCAST_IDS = 1_000_000
 
 
 def released(spark: SparkSession) -> SparkSession:
-    """The session, after the driver gave up what the stage before held.
+    """The session, after the driver and the executors gave up what the stage before held.
 
     Plans and broadcasts live in the JVM as long as Python has handles to them; collected, the heap shrinks again.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    release_executors(spark)
     return spark
 
 

@@ -22,7 +22,16 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 #: Bytes handled at once, unless a single text is longer.
 SLICE_BYTES = 1 << 20
-_powers: dict[int, np.ndarray] = {}
+
+
+class _Powers(dict):
+    """Powers by base. Task functions travel with their globals: this one goes empty, each task makes its own."""
+
+    def __reduce__(self):
+        return _Powers, ()
+
+
+_powers = _Powers()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
