@@ -1,19 +1,22 @@
 """Many trials of a parameter search in the same jobs.
 
 Trials that differ in widths, losses, optimisers, batch sizes and numbers of negatives still see the same edges in the
-same seeded order, the same sampled neighbourhoods, and prefixes of the same features and negatives. So there is one
-table for all of them: the training order in buckets of as many edges as the batch sizes divide and a task can hold, and
-for each bucket the distinct companies that its edges reach in two steps, with their features at the greatest width and
-their sampled neighbours by id. A job takes one trial through some buckets, in one task, step by step as its batch size
-asks, and returns the trial's weights: a step costs no job of its own, and trials run side by side.
+same seeded order, the same sampled neighbourhoods, and prefixes of the same features and negatives. So there are two
+tables for all of them: the companies, once each, with their features at the greatest width and their sampled
+neighbours, and the training order in buckets, with each edge's companies. Companies go by their place in the order of
+ids. A job takes one trial through some buckets, in one task that holds the companies, step by step as its batch size
+asks, and returns the trial's weights: a step costs no job of its own, and trials run side by side. No company is
+written once more for a bucket that reaches it, so the tables grow with companies and edges, never with their product.
 """
 
 from __future__ import annotations
 
 import math
+import tempfile
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,21 +25,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.operators.graph import shuffled_batches
-from supplyloom.operators.joins import lookup
+from supplyloom.operators import joins
+from supplyloom.operators.joins import NOT_HOT, lookup
 from supplyloom.operators.metrics import auc_ap, mean_auc_ap
 from supplyloom.operators.sampling import fanout_of, labelled_examples, node_index
 from supplyloom.params import Params
-from supplyloom.plans.examples import NO_EDGE, Shape, draw_negatives, node_blocks
-from supplyloom.plans.flow import Companies, step_gradient
-from supplyloom.plans.gradient import embedded, records_of
+from supplyloom.plans.examples import NO_EDGE, Shape, draw_negatives
+from supplyloom.plans.flow import Companies, embeddings, step_gradient
+from supplyloom.plans.gradient import records_of
 from supplyloom.plans.training import ROWS_PER_CHUNK_BYTES, Optimiser, SplitGraph, split_graph
 from supplyloom.plans.weights import flatten, initial_weights, unflatten
-from supplyloom.storage import materialise, rows_of
+from supplyloom.storage import materialise, rows_of, with_known_rows
 
-#: Edges of a bucket, and bytes of its companies if none repeats: what one task of a trial holds.
+#: Edges of a bucket, and bytes of the companies of its least part if none repeats.
 MOST_ROWS, MOST_BYTES = 2048, 256 << 20
-#: Buckets of a job, which a task reads one after the other.
+#: Buckets of a job, which a task reads one after the other. A job reads no more of companies than of edges beyond that.
 JOB_BUCKETS = 16
+#: Bytes of companies that a task holds in memory; more are mapped from a file without a name, gone with the task.
+HELD_BYTES = 256 << 20
+#: Slots of edges in a partition of the training order, and scored examples in one of an evaluation.
+PART_SLOTS, PART_SCORED = 1 << 20, 1 << 20
 #: What all trials of a stack have in common.
 SHARED = ("test_p", "valid_p", "seed", "fanout", "strict_negatives", "exclude_targets", "own_split_messages")
 
@@ -47,10 +55,10 @@ def bucket_rows(trials: list[Params]) -> int:
     return math.lcm(*(p.batch_size for p in trials))
 
 
-def grouped_rows(trials: list[Params], shape: Shape) -> int:
-    """Edges of a bucket: as many of the least ones together as a task can hold."""
+def grouped_rows(trials: list[Params]) -> int:
+    """Edges of a bucket: as many of the least ones together as a task reads at once."""
     rows = bucket_rows(trials)
-    return rows * max(1, min(MOST_ROWS, MOST_BYTES // shape.row_bytes) // rows)
+    return rows * max(1, MOST_ROWS // rows)
 
 
 def stackable(trials: list[Params]) -> bool:
@@ -72,13 +80,13 @@ def widest(trials: list[Params]) -> Params:
 
 @dataclass(frozen=True)
 class Stack:
-    """What all trials share."""
+    """What all trials share. The ids of companies are their places in the order of ids."""
 
-    graph: SplitGraph
+    graph: SplitGraph  # its edges only
     shape: Shape  # the greatest width and number of negatives
-    blocks: DataFrame  # id, block
+    companies: DataFrame  # id, record: one row each
     index: DataFrame  # companies that negatives are drawn from
-    buckets: DataFrame  # bucket, kind, at, eid, ids, record; laid out by bucket
+    buckets: DataFrame  # bucket, at, eid, ids; laid out by bucket
     n_training: int
     rows: int  # edges of a bucket
 
@@ -98,11 +106,21 @@ def _packed(shape: Shape) -> Column:
     return pack("near1", "via1", "near2", "via2", "x")
 
 
-def _records(features: DataFrame, messages: DataFrame, params: Params, shape: Shape) -> tuple[DataFrame, DataFrame]:
-    """``id, record`` of every company, and ``id, reached``: the companies whose features its embedding needs."""
-    ids = materialise(features.select("id"), "ids")
+def _numbered(edges: DataFrame, index: DataFrame) -> DataFrame:
+    """The edges with their companies' places instead of ids. Places ascend with ids, so seeded draws stay the same."""
+    for end in ("src_id", "dst_id"):
+        table = index.select(F.col("id").alias(end), F.col("node_index").alias("__at"))
+        edges = lookup(edges, table, end, 32, F.col("eid"), rows=rows_of(index), store=True).drop(end).withColumnRenamed("__at", end)
+    return edges
+
+
+def _records(features: DataFrame, index: DataFrame, messages: DataFrame, params: Params, shape: Shape) -> DataFrame:
+    """``id, record`` of every company."""
+    ids = materialise(index.select(F.col("node_index").alias("id")), "ids")
     samples = [materialise(fanout_of(ids, messages, layer, params.seed, params.fanout), f"sample{layer}") for layer in (1, 2)]
-    records = features.select("id", F.col("x").cast("array<float>").alias("x"))
+    records = lookup(features, index, "id", 32, F.col("id"), hot=NOT_HOT, rows=rows_of(index)).select(
+        F.col("node_index").alias("id"), F.col("x").cast("array<float>").alias("x")
+    )
     for layer, sample in zip((1, 2), samples):
         # At most ``fanout`` neighbours each.
         slots = sample.groupBy(F.col("node_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("slot", "nbr_id", "eid"))).alias("s"))
@@ -112,98 +130,134 @@ def _records(features: DataFrame, messages: DataFrame, params: Params, shape: Sh
             for c, name in (("nbr_id", f"near{layer}"), ("eid", f"via{layer}"))
         ]
         records = records.join(slots, "id", "left").select(*records.columns, *kept)
-    near, far = (s.select(F.col("node_id").alias("id"), F.col("nbr_id").alias("reached")) for s in samples)
-    firsts = ids.select("id", F.col("id").alias("reached")).unionByName(far)
-    seconds = firsts.withColumnRenamed("reached", "via").join(near.withColumnRenamed("id", "via"), "via").select("id", "reached")
-    reach = materialise(firsts.unionByName(seconds).distinct(), "reach")
-    return materialise(records.select("id", _packed(shape).alias("record")), "records"), reach
+    return materialise(records.select("id", _packed(shape).alias("record")), "companies")
 
 
-def _buckets(order: DataFrame, negatives: DataFrame, records: DataFrame, reach: DataFrame, shape: Shape, rows: int) -> DataFrame:
-    """Per bucket the distinct companies that its edges reach (kind 0), and its edges (kind 1) with their companies."""
-    bucket = F.expr(f"at div {rows}")
+def _parts(df: DataFrame, rows: int, each: int) -> int:
+    """Partitions that a task can sort, one for each core at least."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // each))
+
+
+def _buckets(order: DataFrame, negatives: DataFrame, shape: Shape, rows: int) -> DataFrame:
+    """The edges of each bucket with their companies: purchaser, seller, negatives."""
     used = order.select("eid", "at", F.inline(F.array(
         F.struct(F.lit(-1).alias("draw"), F.col("src_id").alias("id")), F.struct(F.lit(0).alias("draw"), F.col("dst_id").alias("id"))
     ))).unionByName(negatives.select("eid", "at", "draw", F.col("dst_id").alias("id")))
-    used = materialise(used.withColumn("bucket", bucket), "used")
-    # At most 2 + k companies each.
+    parts = _parts(order, rows_of(order) * (1 + shape.others), PART_SLOTS)
+    # At most 2 + k companies each. One shuffle, by bucket, serves the lists and their layout.
+    used = used.withColumn("bucket", F.expr(f"at div {rows}")).repartition(parts, "bucket")
     edges = used.groupBy("bucket", "at", "eid").agg(F.array_sort(F.collect_list(F.struct("draw", "id"))).getField("id").alias("ids"))
-    asked = used.select("bucket", "id").distinct().join(reach, "id").select("bucket", F.col("reached").alias("id")).distinct()
-    asked = materialise(asked, "asked")
-    held = lookup(asked, records, "id", shape.block_bytes, F.col("bucket"), rows=rows_of(records))
-    both = held.select(
-        "bucket", F.lit(0).alias("kind"), F.col("id").alias("at"), F.lit(None).cast("long").alias("eid"),
-        F.lit(None).cast("array<long>").alias("ids"), "record",
-    ).unionByName(
-        edges.select("bucket", F.lit(1).alias("kind"), F.col("at").cast("long").alias("at"), "eid", "ids", F.lit(None).cast("binary").alias("record"))
-    )
-    return materialise(both.repartition("bucket"), "buckets", partition_by="bucket")
+    return materialise(edges, "buckets", partition_by="bucket")
 
 
 def build_stack(edges: DataFrame, trials: list[Params]) -> Stack:
     wide = widest(trials)
     graph = split_graph(edges, wide)
-    training = materialise(graph.of("training"), "training")
+    index = materialise(node_index(graph.features.select("id")), "index")
+    placed = materialise(_numbered(graph.edges, index), "placed")
+    training = materialise(placed.filter(F.col("split") == "training").drop("split"), "training")
     n = rows_of(training)
     order = shuffled_batches(training, 1, wide.seed, by=[]).withColumnRenamed("batch_id", "at")
     most = max(min(p.max_steps * p.batch_size, n) for p in trials)
     order = materialise(order.filter(F.col("at") < most), "order")
     shape = Shape(wide.num_node_features, wide.fanout, 1 + wide.num_negative_samples)
-    rows = grouped_rows(trials, shape)
+    rows = grouped_rows(trials)
     # Negatives while training come from the training edges' companies, as for a single trial.
     negatives = draw_negatives(order, training, wide)
-    records, reach = _records(graph.features, training, wide, shape)
-    buckets = _buckets(order, negatives, records, reach, shape, rows)
-    blocks = materialise(node_blocks(graph.features, training, graph.features, wide, shape), "blocks")
-    return Stack(graph, shape, blocks, node_index(graph.features.select("id")), buckets, n, rows)
-
-
-def _companies(ids: np.ndarray, records: np.ndarray, fanout: int) -> Companies:
-    """The table of a bucket, whose ids ascend. A missing neighbour has NO_EDGE and any place."""
-    lists = np.ascontiguousarray(records[:, : 32 * fanout]).view(np.int64).reshape(len(ids), 4, fanout)
-    places = [np.minimum(np.searchsorted(ids, lists[:, k]), len(ids) - 1) for k in (0, 2)]
-    x = np.ascontiguousarray(records[:, 32 * fanout :]).view(np.float32).astype(float)
-    return Companies(x, tuple(places), (lists[:, 1], lists[:, 3]))
-
-
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, pa.Table]]:
-    """Companies by id and edges by place, of one bucket after the other; the rows come in order."""
+    companies = _records(graph.features, index, training, wide, shape)
+    buckets = _buckets(order, negatives, shape, rows)
+    places = with_known_rows(index.select(F.col("node_index").alias("id"), "node_index"), rows_of(index))
+    return Stack(SplitGraph(placed, graph.features), shape, companies, places, buckets, n, rows)
+
+
+def _record_bytes(stack: Stack, params: Params) -> int:
+    return 32 * stack.shape.fanout + 4 * params.num_node_features
+
+
+def _own_records(stack: Stack, params: Params) -> DataFrame:
+    """The companies as wide as a trial asks, in one partition."""
+    return stack.companies.select("id", F.expr(f"substring(record, 1, {_record_bytes(stack, params)})").alias("record")).coalesce(1)
+
+
+class Held:
+    """The companies of a task: filled row by row, in any order, read by place."""
+
+    def __init__(self, n: int, width: int, fanout: int, most: int):
+        lists, size = 8 * fanout, 32 * fanout + 4 * width
+        self.n, self.missing, self.fanout = n, n, fanout
+        if n * size <= most:
+            room = np.empty(n * size, np.uint8)
+        else:
+            # Mapped pages go back to the disk when memory is short. The file has no name, so nothing of it stays.
+            room = np.memmap(tempfile.TemporaryFile(), np.uint8, "w+", shape=(n * size,))
+        ends = np.cumsum([0, *[n * lists] * 4, n * 4 * width])
+        parts = [room[a:b] for a, b in zip(ends, ends[1:])]
+        self.lists = [p.view(np.int64).reshape(n, fanout) for p in parts[:4]]
+        self.x = parts[4].view(np.float32).reshape(n, width)
+
+    def add(self, places: np.ndarray, records: np.ndarray) -> None:
+        lists = np.ascontiguousarray(records[:, : 32 * self.fanout]).view(np.int64).reshape(len(places), 4, self.fanout)
+        for k, table in enumerate(self.lists):
+            # A missing neighbour has NO_EDGE and any place.
+            table[places] = lists[:, k] if k % 2 else np.maximum(lists[:, k], 0)
+        self.x[places] = np.ascontiguousarray(records[:, 32 * self.fanout :]).view(np.float32)
+        self.missing -= len(places)
+
+    def table(self) -> Companies:
+        if self.missing:
+            raise ValueError(f"{self.missing} of {self.n} companies are missing")
+        near1, via1, near2, via2 = self.lists
+        return Companies(self.x, (near1, near2), (via1, via2))
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The edges of one bucket after the other; they come in order."""
     held: list[pa.RecordBatch] = []
-
-    def parts() -> tuple[pa.Table, pa.Table]:
-        whole = pa.Table.from_batches(held)
-        kinds = whole["kind"].to_numpy()
-        return whole.filter(pa.array(kinds == 0)), whole.filter(pa.array(kinds == 1))
-
     for batch in batches:
         buckets = batch.column("bucket").to_numpy()
         cuts = [0, *(np.flatnonzero(np.diff(buckets)) + 1), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 if held and held[0].column("bucket")[0].as_py() != buckets[a]:
-                    yield parts()
+                    yield pa.Table.from_batches(held)
                     held.clear()
                 held.append(batch.slice(a, b - a))
     if held:
-        yield parts()
+        yield pa.Table.from_batches(held)
 
 
-def _walk(params: Params, flat: np.ndarray, optimiser: Optimiser, shape: Shape, n_steps: int):
+def _edges_after(batches: Iterator[pa.RecordBatch], held: Held, record: int) -> Iterator[pa.RecordBatch]:
+    """Fills ``held`` with the companies, then yields the edges in their order, whichever of both comes first."""
+    early: list[pa.RecordBatch] = []
+    for batch in batches:
+        kinds = batch.column("kind").to_numpy()
+        nodes = batch.filter(pa.array(kinds == 0))
+        if nodes.num_rows:
+            held.add(nodes.column("at").to_numpy(), records_of(nodes.column("record"), record))
+        edges = batch.filter(pa.array(kinds == 1))
+        if edges.num_rows:
+            early.append(edges)
+        if not held.missing:
+            yield from early
+            early.clear()
+    yield from early
+
+
+def _walk(params: Params, flat: np.ndarray, optimiser: Optimiser, shape: Shape, n_steps: int, n_companies: int):
     """The steps of one trial within some buckets, one after the other."""
     like = initial_weights(params)
     record = 32 * shape.fanout + 4 * params.num_node_features
     chunk = max(1, MOST_BYTES // (2 * shape.block_bytes * (2 + params.num_negative_samples)))
+    most = HELD_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, state, losses = flat, optimiser, []
-        for nodes, edges in _by_bucket(batches):
-            if not edges.num_rows:
-                continue
-            ids = nodes["at"].to_numpy()
-            table = _companies(ids, records_of(nodes["record"].combine_chunks(), record), shape.fanout)
+        held, table = Held(n_companies, params.num_node_features, shape.fanout, most), None
+        for edges in _by_bucket(_edges_after(batches, held, record)):
+            table = table or held.table()
             listed = edges["ids"].combine_chunks()
             starts = listed.offsets.to_numpy()
-            places = np.searchsorted(ids, listed.values.to_numpy())
+            places = listed.values.to_numpy()
             eids, first, size = edges["eid"].fill_null(NO_EDGE - 2).to_numpy(), edges["at"][0].as_py(), params.batch_size
             for at in range(0, edges.num_rows, size):
                 step = (first + at) // size
@@ -237,8 +291,7 @@ def _work(params: Params) -> int:
 
 def train_stack(stack: Stack, trials: list[Params]) -> tuple[list[dict[str, np.ndarray]], list[list[float]]]:
     """Weights and losses by step of every trial: trials side by side, each one job per group of buckets."""
-    spark = stack.buckets.sparkSession
-    own = inheritable_thread_target(spark)
+    own = inheritable_thread_target(stack.buckets.sparkSession)
     # The longest start first. Trials are jobs of their own: a union of single partitions would be one task.
     ranked = sorted(range(len(trials)), key=lambda t: -_work(trials[t]))
     with ThreadPoolExecutor(max_workers=len(trials)) as pool:
@@ -247,63 +300,106 @@ def train_stack(stack: Stack, trials: list[Params]) -> tuple[list[dict[str, np.n
     return [w for w, _ in done], [losses for _, losses in done]
 
 
+def _job_buckets(stack: Stack, params: Params) -> int:
+    """Buckets of a job: ``JOB_BUCKETS``, or as many as have the bytes of the companies that it reads with them."""
+    each = 8 * stack.rows * (1 + stack.shape.others)
+    return max(JOB_BUCKETS, rows_of(stack.companies) * _record_bytes(stack, params) // each)
+
+
 def _train_one(stack: Stack, params: Params) -> tuple[dict[str, np.ndarray], list[float]]:
     flat, losses = flatten(initial_weights(params)), []
     state = Optimiser(params, flat.size)
     n_steps = min(params.max_steps, -(-stack.n_training // params.batch_size))
-    record = F.expr(f"substring(record, 1, {32 * stack.shape.fanout + 4 * params.num_node_features})").alias("record")
     n_buckets = -(-min(n_steps * params.batch_size, stack.n_training) // stack.rows)
-    for bucket in range(0, n_buckets, JOB_BUCKETS):
-        rows = stack.buckets.filter(F.col("bucket").between(bucket, min(bucket + JOB_BUCKETS, n_buckets) - 1))
-        rows = rows.select("bucket", "kind", "at", "eid", "ids", record).coalesce(1).sortWithinPartitions("bucket", "kind", "at")
-        for r in rows.mapInArrow(_walk(params, flat, state, stack.shape, n_steps), MOVED).collect():  # one row
+    nodes = _own_records(stack, params).select(
+        F.lit(0).alias("bucket"), F.lit(0).alias("kind"), F.col("id").alias("at"), F.lit(None).cast("long").alias("eid"),
+        F.lit(None).cast("array<long>").alias("ids"), "record",
+    )
+    of_job = _job_buckets(stack, params)
+    for bucket in range(0, n_buckets, of_job):
+        edges = stack.buckets.filter(F.col("bucket").between(bucket, min(bucket + of_job, n_buckets) - 1))
+        edges = edges.select("bucket", F.lit(1).alias("kind"), "at", "eid", "ids", F.lit(None).cast("binary").alias("record"))
+        rows = nodes.unionByName(edges.coalesce(1).sortWithinPartitions("bucket", "at")).coalesce(1)
+        walk = _walk(params, flat, state, stack.shape, n_steps, rows_of(stack.companies))
+        for r in rows.mapInArrow(walk, MOVED).collect():  # one row
             flat, losses = np.frombuffer(r.flat), losses + r.losses
             state.step, state.first, state.second = r.step, np.frombuffer(r["first"]), np.frombuffer(r.second)
     return unflatten(flat, initial_weights(params)), losses
 
 
-def stacked_ends(stack: Stack, trials: list[Params], weights: list[dict[str, np.ndarray]]) -> DataFrame:
-    """``id, as_buyer, as_seller``: arrays with one endpoint score per trial, from one pass over the blocks."""
-    shape = stack.shape
+def _ends_of(stack: Stack, params: Params, w: dict[str, np.ndarray]) -> DataFrame:
+    """``id, as_buyer, as_seller``: the endpoint scores of one trial, in one task that holds the companies."""
+    n, shape, record, d, most = rows_of(stack.companies), stack.shape, _record_bytes(stack, params), params.num_node_features, HELD_BYTES
     chunk = max(1, ROWS_PER_CHUNK_BYTES // shape.block_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, chunk):
-                batch = whole.slice(at, chunk)
-                records = records_of(batch.column("block"), shape.block_bytes)
-                halves = []
-                for p, w in zip(trials, weights):
-                    h, d = embedded(records, w, shape, p.num_node_features), p.num_node_features
-                    halves.append((h @ w["score.w"][:d], h @ w["score.w"][d:]))
-                starts = pa.array(np.arange(len(records) + 1, dtype=np.int32) * len(trials))
-                columns = [batch.column("id")]
-                for side in (0, 1):
-                    columns.append(pa.ListArray.from_arrays(starts, pa.array(np.stack([x[side] for x in halves], axis=1).ravel())))
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "as_buyer", "as_seller"])
-
-    ends = stack.blocks.select("id", "block").mapInArrow(run, "id long, as_buyer array<double>, as_seller array<double>")
-    return materialise(ends, "ends")
+        held = Held(n, d, shape.fanout, most)
+        for batch in batches:
+            if batch.num_rows:
+                held.add(batch.column("id").to_numpy(), records_of(batch.column("record"), record))
+        table = held.table()
+        for at in range(0, n, chunk):
+            ids = np.arange(at, min(at + chunk, n))
+            h = embeddings(table, ids, w)
+            yield pa.RecordBatch.from_pydict({"id": ids, "as_buyer": h @ w["score.w"][:d], "as_seller": h @ w["score.w"][d:]})
+
+    return materialise(_own_records(stack, params).mapInArrow(run, "id long, as_buyer double, as_seller double"), "ends")
+
+
+def stacked_ends(stack: Stack, trials: list[Params], weights: list[dict[str, np.ndarray]]) -> list[DataFrame]:
+    """The endpoint scores of every trial, computed side by side."""
+    own = inheritable_thread_target(stack.companies.sparkSession)
+    with ThreadPoolExecutor(max_workers=len(trials)) as pool:
+        runs = [pool.submit(own(_ends_of), stack, p, w) for p, w in zip(trials, weights)]
+        return [r.result() for r in runs]
+
+
+def _side_by_side(ends: list[DataFrame]) -> DataFrame:
+    """``id, as_buyer, as_seller``: arrays with one score per trial."""
+    if len(ends) == 1:
+        return ends[0].select("id", F.array("as_buyer").alias("as_buyer"), F.array("as_seller").alias("as_seller"))
+    longer = reduce(DataFrame.unionByName, [e.withColumn("trial", F.lit(t)) for t, e in enumerate(ends)])
+    # One row per trial each.
+    rows = F.array_sort(F.collect_list(F.struct("trial", "as_buyer", "as_seller"))).alias("s")
+    return longer.groupBy("id").agg(rows).select("id", "s.as_buyer", "s.as_seller")
 
 
 def evaluate_stack(stack: Stack, trials: list[Params], weights: list[dict[str, np.ndarray]], split: str = "validation") -> DataFrame:
-    """``trial, mean_auc, mean_ap, n_batches`` of a split: all trials score the same examples in one pass."""
+    """``trial, mean_auc, mean_ap, n_batches`` of a split: trials score the same examples in one pass.
+
+    A pass takes as many trials as have their scores sent out together; there is more than one for many companies only.
+    """
     wide = widest(trials)
     ends = stacked_ends(stack, trials, weights)
     placed = shuffled_batches(stack.graph.of(split), 1, wide.seed, by=[]).withColumnRenamed("batch_id", "at")
     placed = materialise(placed, "held")
     negatives = draw_negatives(placed, stack.graph.edges.drop("split"), wide, stack.index)
-    examples = labelled_examples(placed, negatives)
-    n, row_bytes = rows_of(ends), 8 * len(trials) + 16
+    # Batches of all sizes end where a group ends.
+    examples = labelled_examples(placed, negatives).withColumn("group", F.expr(f"at div {bucket_rows(trials)}"))
+    n = rows_of(stack.companies)
+    of_pass = max(1, min(len(trials), (joins.BROADCAST_BYTES // max(1, n) - 16) // 8))
+    passes = [_evaluated(stack, examples, rows_of(placed), ends, trials, weights, range(a, min(a + of_pass, len(trials)))) for a in range(0, len(trials), of_pass)]
+    return reduce(DataFrame.unionByName, passes)
+
+
+def _evaluated(
+    stack: Stack, examples: DataFrame, n_edges: int, ends: list[DataFrame], trials: list[Params], weights: list[dict[str, np.ndarray]], some: range
+) -> DataFrame:
+    """The means of ``some`` trials. What is shuffled are the examples, not their scores: groups hold whole batches."""
+    n, row_bytes = rows_of(stack.companies), 8 * len(some) + 16
+    table = materialise(_side_by_side([ends[t] for t in some]), "sides")
+    n_scored = n_edges * sum(1 + trials[t].num_negative_samples for t in some)
+    examples = examples.filter(F.col("draw") <= max(trials[t].num_negative_samples for t in some))
+    examples = examples.select("group", "at", "draw", "label", "src_id", "dst_id").repartition(_parts(examples, n_scored, PART_SCORED), "group")
     for key, column in (("src_id", "as_buyer"), ("dst_id", "as_seller")):
-        examples = lookup(examples, ends.select(F.col("id").alias(key), column), key, row_bytes, F.col("eid"), rows=n, store=True)
+        examples = lookup(examples, table.select(F.col("id").alias(key), column), key, row_bytes, F.col("at"), rows=n, store=True)
     asked = [
         F.struct(
-            F.lit(t).alias("trial"), F.lit(p.batch_size).alias("size"), F.lit(p.num_negative_samples).alias("k"),
-            (F.col("as_buyer")[t] + F.col("as_seller")[t] + F.lit(float(w["score.b"][0]))).alias("score"),
+            F.lit(t).alias("trial"), F.lit(trials[t].batch_size).alias("size"), F.lit(trials[t].num_negative_samples).alias("k"),
+            (F.col("as_buyer")[i] + F.col("as_seller")[i] + F.lit(float(weights[t]["score.b"][0]))).alias("score"),
         )
-        for t, (p, w) in enumerate(zip(trials, weights))
+        for i, t in enumerate(some)
     ]
-    scored = examples.select("at", "draw", "label", F.inline(F.array(*asked))).filter("draw <= k")
-    scored = scored.select("trial", F.expr("at div size").alias("batch_id"), "label", "score")
-    return mean_auc_ap(auc_ap(scored, ["trial", "batch_id"], bounded=True), ["trial"])
+    scored = examples.select("group", "at", "draw", "label", F.inline(F.array(*asked))).filter("draw <= k")
+    scored = scored.select("group", "trial", F.expr("at div size").alias("batch_id"), "label", "score")
+    return materialise(mean_auc_ap(auc_ap(scored, ["group", "trial", "batch_id"], bounded=True), ["trial"]), "means")

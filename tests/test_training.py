@@ -285,3 +285,84 @@ def test_stacked_trials_run_side_by_side_in_small_buckets(spark, edges, monkeypa
     for a, b in zip(whole, weights):
         assert all(np.allclose(a[k], b[k], atol=1e-9) for k in a)
     assert all(np.allclose(a, b) for a, b in zip(told, losses))
+
+
+@pytest.fixture
+def two_trials(monkeypatch):
+    """Trials of small batches in many buckets."""
+    from supplyloom.plans import stacked
+
+    monkeypatch.setattr(stacked, "MOST_ROWS", 8)
+    base = P.with_(max_steps=6, seed=1, fanout=2, batch_size=4)
+    return [base, base.with_(num_negative_samples=1, num_node_features=2, aggregator_type="pool", optimiser="SGD")]
+
+
+def test_stacked_companies_are_written_once(spark, edges, two_trials):
+    """However many buckets reach a company, its features lie in one row on the disk."""
+    import glob
+
+    from supplyloom.plans import stacked
+    from supplyloom.storage import scratch_root
+
+    before = set(glob.glob(f"{scratch_root(spark)}/*"))
+    stack = stacked.build_stack(edges, two_trials)
+    assert stack.buckets.select("bucket").distinct().count() > 1
+    tables = [spark.read.parquet(path) for path in set(glob.glob(f"{scratch_root(spark)}/*")) - before]
+    written = sum(t.filter("record is not null").count() for t in tables if "record" in t.columns)
+    assert written == stack.graph.features.count() > 0
+
+
+def test_stacked_scores_are_not_shuffled(spark, edges, two_trials, monkeypatch):
+    """An evaluation shuffles its examples; their scores, one for each trial, are ranked where they arise."""
+    from supplyloom.plans import stacked
+
+    ranked, whole = [], stacked.auc_ap
+    monkeypatch.setattr(stacked, "auc_ap", lambda *a, **k: ranked.append(whole(*a, **k)) or ranked[-1])
+    stack = stacked.build_stack(edges, two_trials)
+    weights, _ = stacked.train_stack(stack, two_trials)
+    assert stacked.evaluate_stack(stack, two_trials, weights).count() == len(two_trials)
+    lines = ranked[0]._jdf.queryExecution().executedPlan().toString().splitlines()
+    above = lines[: next(i for i, line in enumerate(lines) if "Generate inline" in line)]
+    assert any("Window" in line for line in above) and not any("Exchange" in line for line in above)
+
+
+def test_stacked_trials_of_many_companies(spark, edges, two_trials, monkeypatch):
+    """Companies in a file, trials in passes of their own, ids and scores joined by shuffles: the results stay."""
+    from supplyloom.operators import joins
+    from supplyloom.plans import stacked
+
+    def run():
+        stack = stacked.build_stack(edges, two_trials)
+        weights, _ = stacked.train_stack(stack, two_trials)
+        return weights, {r.trial: tuple(r)[1:] for r in stacked.evaluate_stack(stack, two_trials, weights).collect()}
+
+    (weights, means), n = run(), edges.selectExpr("explode(array(src_id, dst_id))").distinct().count()
+    monkeypatch.setattr(stacked, "HELD_BYTES", 0)
+    for most in (24 * n, 0):  # a trial's scores just fit to be sent out; nothing does
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", most)
+        others, told = run()
+        assert all(np.allclose(a[k], b[k], atol=1e-12) for a, b in zip(weights, others) for k in a)
+        assert sorted(told) == sorted(means) and all(told[t] == pytest.approx(means[t]) for t in means)
+
+
+def test_a_task_takes_companies_and_edges_in_any_order():
+    import pyarrow as pa
+
+    from supplyloom.plans import stacked
+    from supplyloom.plans.examples import NO_EDGE
+
+    lists = np.array([[[1], [7], [NO_EDGE], [NO_EDGE]], [[0], [8], [0], [9]]])
+    x = np.array([[0.5, 1.0, 2.0], [3.0, 4.0, 5.0]], dtype=np.float32)
+    records = [lists[i].astype(np.int64).tobytes() + x[i].tobytes() for i in (0, 1)]
+    rows = [(0, 1, None, records[1]), (1, 5, 50, None), (1, 6, 60, None), (0, 0, None, records[0])]
+    columns = ("kind", "at", "eid", "record")
+    types = pa.schema([("kind", pa.int32()), ("at", pa.int64()), ("eid", pa.int64()), ("record", pa.binary())])
+    for most in (0, 1 << 20):
+        held = stacked.Held(2, 3, 1, most)
+        batches = [pa.RecordBatch.from_pylist([dict(zip(columns, r)) for r in part], types) for part in (rows[:2], rows[2:])]
+        edges = list(stacked._edges_after(iter(batches), held, 32 + 12))
+        assert [e for b in edges for e in b["eid"].to_pylist()] == [50, 60]
+        table = held.table()
+        assert np.array_equal(table.x, x) and [v.ravel().tolist() for v in table.near + table.via] == [[1, 0], [0, 0], [7, 8], [NO_EDGE, 9]]
+    with pytest.raises(ValueError, match="missing"):
+        stacked.Held(2, 3, 1, 0).table()
